@@ -426,3 +426,38 @@ def backfill_ad(ad_events, campaigns, start: dt.date, end: dt.date) -> DataFrame
         .when(F.col("demand_type") == "guaranteed", F.lit(0.0))
         .alias("campaign_spend_yesterday"),
     )
+
+
+def memberships_backfill(users, ad_events, rides, start: dt.date, end: dt.date, audiences) -> DataFrame:
+    """S-08 / A-12 over days: long membership table (user_id, audience,
+    definition_version, asof) for every day in [start, end], from exploded
+    daily counts (no per-day loop)."""
+    first = start - dt.timedelta(days=29)
+    ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
+    daily = ev.groupBy("user_id", "category", "event_date").agg(
+        F.count_if(IMP).alias("imps"), F.count_if(CLK).alias("clicks")
+    )
+    x = _explode_days(daily, "event_date", start, end, 30)
+    cat = x.groupBy("user_id", "asof", "category").agg(F.sum("imps").alias("i"), F.sum("clicks").alias("c"))
+    cat_map = (
+        cat.filter(F.col("i") > 0)
+        .groupBy("user_id", "asof")
+        .agg(F.map_from_entries(F.collect_list(F.struct("category", F.col("c") / F.col("i")))).alias("user_ctr_by_category_30d"))
+    )
+    rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=6)), lit_date(end)))
+    daily_r = rd.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(F.count("*").alias("rides"))
+    r7 = (
+        _explode_days(daily_r, "event_date", start, end, 7)
+        .groupBy("user_id", "asof")
+        .agg(F.sum("rides").cast("double").alias("user_rides_per_week"))
+    )
+    spine = users.select("user_id", "segment", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof"))
+    ctx = spine.join(r7, ["user_id", "asof"], "left").join(cat_map, ["user_id", "asof"], "left")
+    match = audience_match_cols(audiences)
+    versions = {a.name: a.version for a in audiences}
+    arr = F.array(
+        *[F.when(c, F.struct(F.lit(n).alias("audience"), F.lit(versions[n]).cast("long").alias("definition_version"))) for n, c in match]
+    )
+    return ctx.select("user_id", "asof", F.explode(F.filter(arr, lambda s: s.isNotNull())).alias("m")).select(
+        "user_id", "m.audience", "m.definition_version", "asof"
+    )

@@ -33,6 +33,7 @@ def load_all() -> None:
         q_decisions,
         q_features,
         q_models,
+        q_quality,
         q_reports,
         q_resolve,
         q_stream,

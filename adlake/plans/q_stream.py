@@ -1 +1,155 @@
-"""Named queries."""
+"""Named queries: session features in batch (twins of the streams)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from adlake import config
+from adlake.operators import session_features as sf_ops
+from adlake.plans.catalog import query
+from adlake.plans.sql_views import with_views as V
+from adlake.sources import tables as tb
+
+SESSION_AS_OF_TS = dt.datetime(2024, 1, 30, 12, 0, 0)
+KNOWN_SQL = ", ".join(f"'{t}'" for t in config.KNOWN_EVENT_TYPES)
+
+
+@query(
+    "screens_viewed_10min_batch",
+    V(
+        """SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY ts
+             RANGE BETWEEN INTERVAL 599999999 MICROSECONDS PRECEDING AND CURRENT ROW) AS user_screens_viewed_10min
+           FROM session_events WHERE event_type = 'app_screen_view'""",
+        "session_events",
+    ),
+)
+def screens_viewed_10min_batch(spark, sf):
+    ev = tb.session_events(spark, sf)
+    return sf_ops.trailing_count(ev, "app_screen_view", out="user_screens_viewed_10min").select(
+        "event_id", "user_id", "user_screens_viewed_10min"
+    )
+
+
+@query(
+    "latest_session_values",
+    V(
+        """SELECT user_id,
+             max_by(category, ts) FILTER (WHERE event_type = 'destination_entered') AS user_current_destination_category,
+             max_by(ride_type, ts) FILTER (WHERE event_type = 'ride_type_selected') AS user_current_ride_type
+           FROM session_events WHERE event_type IN ('destination_entered', 'ride_type_selected') GROUP BY user_id""",
+        "session_events",
+    ),
+)
+def latest_session_values(spark, sf):
+    return sf_ops.latest_values(tb.session_events(spark, sf)).select(
+        "user_id", "user_current_destination_category", "user_current_ride_type"
+    )
+
+
+@query(
+    "session_active_asof",
+    V(
+        f"""SELECT user_id, true AS user_session_active,
+             (epoch_us(TIMESTAMP '{SESSION_AS_OF_TS}') - epoch_us(max(ts))) / 1000000.0 AS age_seconds
+           FROM session_events WHERE event_type IN ({KNOWN_SQL}) AND ts <= TIMESTAMP '{SESSION_AS_OF_TS}'
+           GROUP BY user_id
+           HAVING (epoch_us(TIMESTAMP '{SESSION_AS_OF_TS}') - epoch_us(max(ts))) / 1000000.0 < {config.SESSION_TTL_SECONDS}""",
+        "session_events",
+    ),
+)
+def session_active_asof(spark, sf):
+    return sf_ops.session_active_asof(tb.session_events(spark, sf), SESSION_AS_OF_TS)
+
+
+@query(
+    "event_type_counts",
+    V(
+        f"""SELECT event_type, count(*) AS events, event_type NOT IN ({KNOWN_SQL}) AS unknown
+           FROM session_events GROUP BY event_type""",
+        "session_events",
+    ),
+)
+def event_type_counts(spark, sf):
+    return sf_ops.event_type_counts(tb.session_events(spark, sf))
+
+
+@query(
+    "event_validation_split",
+    V(
+        f"""SELECT event_id, event_type, event_type IN ({KNOWN_SQL}) AS valid,
+             CASE WHEN event_type NOT IN ({KNOWN_SQL}) THEN 'unknown_event_type' END AS reason
+           FROM session_events""",
+        "session_events",
+    ),
+)
+def event_validation_split(spark, sf):
+    return sf_ops.validation_split(tb.session_events(spark, sf))
+
+
+EVENT_JSON_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.StringType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("ts", T.StringType()),
+        T.StructField("payload", T.MapType(T.StringType(), T.StringType())),
+    ]
+)
+
+
+def encode_events(ev):
+    """F-15 encode: one JSON text per session event (ids as text, ISO ts)."""
+    return ev.select(
+        F.to_json(
+            F.struct(
+                F.col("event_id").cast("string").alias("event_id"),
+                "event_type",
+                F.col("user_id").cast("string").alias("user_id"),
+                "session_id",
+                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                "payload",
+            )
+        ).alias("value")
+    )
+
+
+def decode_events(raw, value_col: str = "value"):
+    """F-15 decode: from_json (PERMISSIVE: a bad record becomes nulls and is
+    routed to the bad-record side by the caller), payload default {}."""
+    p = F.from_json(F.col(value_col), EVENT_JSON_SCHEMA)
+    return raw.select(p.alias("e"), F.col(value_col).alias("raw")).select(
+        F.col("e.event_id").alias("event_id"),
+        F.col("e.event_type").alias("event_type"),
+        F.col("e.user_id").alias("user_id"),
+        F.col("e.session_id").alias("session_id"),
+        F.to_timestamp(F.col("e.ts")).alias("ts"),
+        F.coalesce(F.col("e.payload"), F.create_map().cast("map<string,string>")).alias("payload"),
+        "raw",
+    )
+
+
+@query(
+    "parse_event_json",
+    V(
+        """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id, session_id,
+             category AS payload_category, ride_type AS payload_ride_type, CAST(hour(ts) AS BIGINT) AS hour_of_day
+           FROM session_events""",
+        "session_events",
+    ),
+)
+def parse_event_json(spark, sf):
+    """F-15 round trip: encode every event to JSON text, decode it back."""
+    dec = decode_events(encode_events(tb.session_events(spark, sf)))
+    return dec.select(
+        "event_id",
+        "event_type",
+        "user_id",
+        "session_id",
+        F.col("payload")["category"].alias("payload_category"),
+        F.col("payload")["ride_type"].alias("payload_ride_type"),
+        F.hour("ts").cast("long").alias("hour_of_day"),
+    )
