@@ -456,8 +456,18 @@ def memberships_backfill(users, ad_events, rides, start: dt.date, end: dt.date,
     match = audience_match_cols(audiences)
     versions = {a.name: a.version for a in audiences}
     arr = F.array(
-        *[F.when(c, F.struct(F.lit(n).alias("audience"), F.lit(versions[n]).cast("long").alias("definition_version"))) for n, c in match]
+        *[F.when(c, F.struct(F.lit(n).alias("audience"), F.lit(versions[n]).cast("long").alias("definition_version"), F.lit(i).alias("audience_order"))) for i, (n, c) in enumerate(match)]
     )
     return ctx.select("user_id", "asof", F.explode(F.filter(arr, lambda s: s.isNotNull())).alias("m")).select(
-        "user_id", "m.audience", "m.definition_version", "asof"
+        "user_id", "m.audience", "m.definition_version", "asof", "m.audience_order"
+    )
+
+
+def membership_lists(long: DataFrame) -> DataFrame:
+    """(user_id, asof, audience_memberships) from the long table; the list
+    keeps definition order (bounded by the number of audiences)."""
+    return long.groupBy("user_id", "asof").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("audience_order", "audience"))), lambda s: s["audience"]
+        ).alias("audience_memberships")
     )

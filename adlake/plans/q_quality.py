@@ -116,10 +116,12 @@ def publish_features_long(spark, sf):
 MEMB_START = AS_OF - dt.timedelta(days=6)
 
 
-def _memb_hist_sql() -> str:
+def membership_ctes(start: dt.date, n_days: int) -> list[tuple[str, str]]:
+    """DuckDB CTEs ending in mem_long(user_id, audience, definition_version,
+    audience_order, as_of_date) for n_days days from start."""
     auds = config.fixture_audiences()
     a_sql = []
-    for a in auds:
+    for order, a in enumerate(auds):
         preds = []
         for f, op, v in a.rules:
             sym = {"eq": "=", "ne": "<>", "gt": ">", "gte": ">=", "lt": "<", "lte": "<="}[op]
@@ -127,42 +129,48 @@ def _memb_hist_sql() -> str:
             val = f"'{v}'" if isinstance(v, str) else repr(float(v))
             preds.append(f"{col} {sym} {val}")
         a_sql.append(
-            f"SELECT user_id, '{a.name}' AS audience, CAST({a.version} AS BIGINT) AS definition_version, as_of_date FROM ctx WHERE {' AND '.join(preds)}"
+            f"SELECT user_id, '{a.name}' AS audience, CAST({a.version} AS BIGINT) AS definition_version, "
+            f"{order} AS audience_order, as_of_date FROM mctx WHERE {' AND '.join(preds)}"
         )
     cats = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     cat_cols = ", ".join(
         f"coalesce(max(ctr) FILTER (WHERE category = '{c}'), 0.0) AS ctr_{c.lower()}" for c in cats
     )
-    days = f"""SELECT CAST(DATE '{MEMB_START}' + CAST(i AS INTEGER) AS DATE) AS as_of_date FROM range(0, 7) t(i)"""
+    days = f"""SELECT CAST(DATE '{start}' + CAST(i AS INTEGER) AS DATE) AS as_of_date FROM range(0, {n_days}) t(i)"""
+    return [
+        ("mdays", days),
+        (
+            "mcatctr",
+            """SELECT e.user_id, d.as_of_date, e.category,
+             count(*) FILTER (WHERE e.event_type = 'click') / count(*) FILTER (WHERE e.event_type = 'impression') AS ctr
+           FROM ad_events e JOIN mdays d ON e.event_date BETWEEN d.as_of_date - 29 AND d.as_of_date
+           GROUP BY e.user_id, d.as_of_date, e.category HAVING count(*) FILTER (WHERE e.event_type = 'impression') > 0""",
+        ),
+        ("mcatwide", f"SELECT user_id, as_of_date, {cat_cols} FROM mcatctr GROUP BY user_id, as_of_date"),
+        (
+            "mr7",
+            """SELECT r.user_id, d.as_of_date, CAST(count(*) AS DOUBLE) AS user_rides_per_week
+           FROM rides r JOIN mdays d ON r.ride_date BETWEEN d.as_of_date - 6 AND d.as_of_date GROUP BY r.user_id, d.as_of_date""",
+        ),
+        (
+            "mctx",
+            "SELECT u.user_id, u.segment, d.as_of_date, coalesce(r.user_rides_per_week, 0.0) AS user_rides_per_week, "
+            + ", ".join(f"coalesce(w.ctr_{c.lower()}, 0.0) AS ctr_{c.lower()}" for c in cats)
+            + """ FROM user_segments u CROSS JOIN mdays d
+             LEFT JOIN mr7 r ON r.user_id = u.user_id AND r.as_of_date = d.as_of_date
+             LEFT JOIN mcatwide w ON w.user_id = u.user_id AND w.as_of_date = d.as_of_date""",
+        ),
+        ("mem_long", " UNION ALL ".join(a_sql)),
+    ]
+
+
+def _memb_hist_sql() -> str:
     return V(
-        " UNION ALL ".join(a_sql),
-        "users",
+        "SELECT user_id, audience, definition_version, as_of_date FROM mem_long",
+        "user_segments",
         "ad_events",
         "rides",
-        extra=[
-            ("days", days),
-            (
-                "catctr",
-                """SELECT e.user_id, d.as_of_date, e.category,
-                 count(*) FILTER (WHERE e.event_type = 'click') / count(*) FILTER (WHERE e.event_type = 'impression') AS ctr
-               FROM ad_events e JOIN days d ON e.event_date BETWEEN d.as_of_date - 29 AND d.as_of_date
-               GROUP BY e.user_id, d.as_of_date, e.category HAVING count(*) FILTER (WHERE e.event_type = 'impression') > 0""",
-            ),
-            ("catwide", f"SELECT user_id, as_of_date, {cat_cols} FROM catctr GROUP BY user_id, as_of_date"),
-            (
-                "r7",
-                """SELECT r.user_id, d.as_of_date, CAST(count(*) AS DOUBLE) AS user_rides_per_week
-               FROM rides r JOIN days d ON r.ride_date BETWEEN d.as_of_date - 6 AND d.as_of_date GROUP BY r.user_id, d.as_of_date""",
-            ),
-            (
-                "ctx",
-                "SELECT u.user_id, u.segment, d.as_of_date, coalesce(r.user_rides_per_week, 0.0) AS user_rides_per_week, "
-                + ", ".join(f"coalesce(w.ctr_{c.lower()}, 0.0) AS ctr_{c.lower()}" for c in cats)
-                + """ FROM users u CROSS JOIN days d
-                 LEFT JOIN r7 r ON r.user_id = u.user_id AND r.as_of_date = d.as_of_date
-                 LEFT JOIN catwide w ON w.user_id = u.user_id AND w.as_of_date = d.as_of_date""",
-            ),
-        ],
+        extra=membership_ctes(MEMB_START, 7),
     )
 
 
@@ -172,9 +180,9 @@ def audience_membership_history(spark, sf):
     (written by asof partition; the version history is its distinct
     (audience, definition_version, asof) projection)."""
     out = ft.memberships_backfill(
-        tb.users(spark, sf), tb.ad_events(spark, sf), tb.rides(spark, sf), MEMB_START, AS_OF, config.fixture_audiences()
+        tb.user_segments(spark, sf), tb.ad_events(spark, sf), tb.rides(spark, sf), MEMB_START, AS_OF, config.fixture_audiences()
     )
-    return out.withColumnRenamed("asof", "as_of_date")
+    return out.drop("audience_order").withColumnRenamed("asof", "as_of_date")
 
 
 # ----------------------------------------------------------------- gate

@@ -189,6 +189,29 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def request_latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-request stage latency samples: the request event's value plays
+    the end-to-end ('total') latency in ms."""
+    e = read(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+    return e.select(
+        F.col("event_id").alias("request_id"), event_ts().alias("ts"), F.lit("total").alias("stage"),
+        F.col("value").alias("latency_ms"),
+    )
+
+
+def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-request dependency health (fixture mapping of the request value):
+    < 1 feature service down, [1, 2) pacing store down, [2, 3) model down."""
+    e = read(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+    v = F.col("value")
+    return e.select(
+        F.col("event_id").alias("request_id"),
+        (~((v >= 2) & (v < 3))).alias("model_ok"),
+        (~(v < 1)).alias("features_ok"),
+        (~((v >= 1) & (v < 2))).alias("pacing_ok"),
+    )
+
+
 def external_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").filter(F.col("event_type") == "view")
     return e.select(
