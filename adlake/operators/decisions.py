@@ -126,6 +126,12 @@ def catalog_day_table(campaigns: DataFrame, ledger: DataFrame, start: dt.date, e
             & behind_schedule(F.col("delivered_before"), F.col("impression_goal"), frac)
         ).alias("behind"),
         F.when(expected > 0, F.col("delivered_before") / expected).otherwise(F.lit(0.0)).alias("urgency"),
+        # Wins a behind campaign can take today before it is back on
+        # schedule (or out of capacity): linear pacing is judged per day.
+        F.greatest(
+            F.lit(0),
+            F.least(F.ceil(expected - F.col("delivered_before")), F.floor(F.col("remaining_capacity"))),
+        ).cast("long").alias("quota"),
     )
 
 
@@ -247,11 +253,13 @@ def arbitrate(req: DataFrame, elig: DataFrame, scored: DataFrame) -> DataFrame:
         -> rung external, winner null;
       - else best eCPM (first in catalog order on ties) -> rung auction;
       - else none."""
-    g = (
+    pick = (
         elig.filter(F.col("behind"))
-        .groupBy("request_id")
-        .agg(F.min_by("campaign_id", F.struct("urgency", "campaign_id")).alias("g_winner"))
+        .groupBy("request_id", "request_date", "ts")
+        .agg(F.min_by(F.struct("campaign_id", "quota"), F.struct("urgency", "campaign_id")).alias("p"))
+        .select("request_id", "request_date", "ts", F.col("p.campaign_id").alias("g_winner"), F.col("p.quota").alias("quota"))
     )
+    g = quota_capped(pick).select("request_id", "g_winner")
     a = scored.groupBy("request_id").agg(
         F.min_by(
             F.struct("campaign_id", "ecpm"),
@@ -281,6 +289,23 @@ def arbitrate(req: DataFrame, elig: DataFrame, scored: DataFrame) -> DataFrame:
     return j.select("*", winner.alias("winner"), rung.alias("rung"), price.alias("price"))
 
 
+def quota_capped(pick: DataFrame) -> DataFrame:
+    """Keep a guaranteed pick only while its campaign still has quota that
+    day, in request time order; overflow requests go on to the auction.
+
+    The rank inside (campaign, day) is built in two levels so no single
+    task sorts a hot campaign's whole day: per-minute counts give each
+    minute its offset (<= 1,440 rows per campaign-day), then the rank inside
+    the (campaign, day, minute) partition is added to it."""
+    p = pick.withColumn("minute", F.floor(F.unix_seconds("ts") / 60))
+    per_min = p.groupBy("g_winner", "request_date", "minute").agg(F.count("*").alias("n"))
+    wo = Window.partitionBy("g_winner", "request_date").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per_min.select("g_winner", "request_date", "minute", F.coalesce(F.sum("n").over(wo), F.lit(0)).alias("off"))
+    wi = Window.partitionBy("g_winner", "request_date", "minute").orderBy("ts", "request_id")
+    ranked = p.withColumn("r", F.row_number().over(wi)).join(offs, ["g_winner", "request_date", "minute"])
+    return ranked.filter(F.col("off") + F.col("r") <= F.col("quota")).drop("minute", "off", "r")
+
+
 def popularity_ranking(campaigns: DataFrame, ad_ctr_30d: DataFrame) -> DataFrame:
     """K-01: campaigns by ad_ctr_30d desc (missing 0.0), catalog order on
     ties.  Over the small catalog only (size-checked), so a single ordered

@@ -107,7 +107,8 @@ _DEC_CTES: list[tuple[str, str]] = membership_ctes(START - dt.timedelta(days=1),
     (
         "catday2",
         """SELECT *, demand_type = 'guaranteed' AND CAST(delivered_before AS DOUBLE) < CAST(impression_goal AS DOUBLE) * frac AS behind,
-             CASE WHEN impression_goal * frac > 0 THEN delivered_before / (impression_goal * frac) ELSE 0.0 END AS urgency
+             CASE WHEN impression_goal * frac > 0 THEN delivered_before / (impression_goal * frac) ELSE 0.0 END AS urgency,
+             CAST(greatest(0, least(ceil(impression_goal * frac - delivered_before), floor(remaining_capacity))) AS BIGINT) AS quota
            FROM catday""",
     ),
     (
@@ -141,7 +142,7 @@ _DEC_CTES: list[tuple[str, str]] = membership_ctes(START - dt.timedelta(days=1),
     ),
     (
         "cands",
-        """SELECT q.*, c.campaign_id, c.category, c.demand_type, c.bid, c.remaining_capacity, c.behind, c.urgency,
+        """SELECT q.*, c.campaign_id, c.category, c.demand_type, c.bid, c.remaining_capacity, c.behind, c.urgency, c.quota,
              c.targeted_audiences,
              c.remaining_capacity > 0 AS has_capacity,
              (len(c.targeted_audiences) = 0 OR list_has_any(c.targeted_audiences, coalesce(q.audience_memberships, CAST([] AS VARCHAR[])))) AS audience_ok
@@ -181,9 +182,14 @@ _DEC_CTES: list[tuple[str, str]] = membership_ctes(START - dt.timedelta(days=1),
     ),
     (
         "gbest",
-        """SELECT request_id, campaign_id AS g_winner FROM (
-             SELECT request_id, campaign_id, row_number() OVER (PARTITION BY request_id ORDER BY urgency, campaign_id) AS rn
-             FROM elig WHERE behind) WHERE rn = 1""",
+        """SELECT request_id, g_winner FROM (
+             SELECT request_id, g_winner, quota,
+               row_number() OVER (PARTITION BY g_winner, request_date ORDER BY ts, request_id) AS qr
+             FROM (SELECT request_id, request_date, ts, campaign_id AS g_winner, quota FROM (
+                     SELECT request_id, request_date, ts, campaign_id, quota,
+                       row_number() OVER (PARTITION BY request_id ORDER BY urgency, campaign_id) AS rn
+                     FROM elig WHERE behind) WHERE rn = 1))
+           WHERE qr <= quota""",
     ),
     (
         "abest",
