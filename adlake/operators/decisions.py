@@ -242,7 +242,9 @@ def score_with_model(elig: DataFrame, scores: DataFrame) -> DataFrame:
     auc = elig.filter(F.col("demand_type") == "auction")
     j = auc.join(scores, ["request_id", "campaign_id"], "left")
     p = boosted_pctr(F.coalesce("pctr", F.lit(0.0)), F.col("destination"), F.col("category"))
-    return j.drop("pctr").select("*", p.alias("pctr")).select("*", ecpm(F.col("bid"), F.col("pctr")).alias("ecpm"))
+    return j.select(*[c for c in j.columns if c != "pctr"], p.alias("pctr")).select(
+        "*", ecpm(F.col("bid"), F.col("pctr")).alias("ecpm")
+    )
 
 
 def arbitrate(req: DataFrame, elig: DataFrame, scored: DataFrame) -> DataFrame:

@@ -98,3 +98,13 @@ def validation_split(events: DataFrame) -> DataFrame:
         .when(empty("event_id") | empty("user_id") | empty("session_id"), F.lit("missing_id"))
     )
     return events.select("event_id", "event_type", reason.isNull().alias("valid"), reason.alias("reason"))
+
+
+def session_active_at_requests(events: DataFrame, requests: DataFrame) -> DataFrame:
+    """T-04 per request: 1 if the user had a KNOWN event in the 1,800 s
+    before (and including) the request time, else absent."""
+    from adlake.operators.asof import latest_within
+
+    known = events.filter(known_type()).select("user_id", "ts", F.lit(1).alias("user_session_active"))
+    hit = latest_within(requests, known, "user_id", ["user_session_active"], config.SESSION_TTL_SECONDS)
+    return hit.filter(F.col("user_session_active").isNotNull()).select("request_id", "user_session_active")

@@ -250,13 +250,14 @@ _DEC_CTES: list[tuple[str, str]] = membership_ctes(START - dt.timedelta(days=1),
 _DEC_VIEWS = ("campaigns", "ad_events", "rides", "user_segments", "session_events", "requests", "external_bids")
 
 
-def DV(body: str, upto: str | None = None) -> str:
-    """Oracle SQL over the decision CTE chain (optionally cut after `upto`)."""
+def DV(body: str, upto: str | None = None, extra: list[tuple[str, str]] | None = None) -> str:
+    """Oracle SQL over the decision CTE chain (optionally cut after `upto`,
+    optionally followed by more CTEs)."""
     ctes = _DEC_CTES
     if upto is not None:
         names = [n for n, _ in ctes]
         ctes = ctes[: names.index(upto) + 1]
-    return V(body, *_DEC_VIEWS, extra=ctes)
+    return V(body, *_DEC_VIEWS, "users", extra=ctes + (extra or []))
 
 
 # ------------------------------------------------------------ keys

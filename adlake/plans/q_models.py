@@ -1 +1,415 @@
-"""Named queries."""
+"""Named queries: labels, as-of attribution, point-in-time training rows,
+splits, evaluation and models (J-03, J-05, J-07, E-05, M-*, W-08 .. W-10,
+Q-05)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from adlake import config
+from adlake.operators import asof as ao
+from adlake.operators import features as ft
+from adlake.operators import training as tr
+from adlake.plans.catalog import query
+from adlake.plans.q_decisions import DV, run_decisions
+from adlake.plans.q_features import AS_OF
+from adlake.plans.sql_views import with_views as V
+from adlake.sources import tables as tb
+
+TRAIN_START = config.FIXTURE_START + dt.timedelta(days=config.WARMUP_DAYS)
+HOLDOUT_START = AS_OF - dt.timedelta(days=config.HOLDOUT_DAYS - 1)
+V1 = config.V1_FEATURES
+V2 = config.V2_FEATURES
+
+
+def feature_ctes(start: dt.date, n_days: int, p: str = "f") -> list[tuple[str, str]]:
+    """DuckDB CTEs {p}days, {p}user(user_id, as_of_date, 4 user features),
+    {p}ad(campaign_id, as_of_date, 4 ad features), {p}cat(user_id, category,
+    as_of_date, cat_ctr) for n_days days from start."""
+    return [
+        (f"{p}days", f"SELECT CAST(DATE '{start}' + CAST(i AS INTEGER) AS DATE) AS as_of_date FROM range(0, {n_days}) t(i)"),
+        (
+            f"{p}ev",
+            f"""SELECT e.user_id, e.campaign_id, e.category, d.as_of_date, e.event_type, d.as_of_date - e.event_date AS off
+               FROM ad_events e JOIN {p}days d ON e.event_date BETWEEN d.as_of_date - 29 AND d.as_of_date""",
+        ),
+        (
+            f"{p}user",
+            f"""SELECT u.user_id, d.as_of_date,
+                 CASE WHEN f.imps30 > 0 THEN f.clicks30 / f.imps30 END AS user_ctr_30d,
+                 CASE WHEN f.imps7 > 0 THEN f.imps7 END AS user_impressions_7d,
+                 CASE WHEN r.rides7 > 0 THEN CAST(r.rides7 AS DOUBLE) END AS user_rides_per_week,
+                 CAST(d.as_of_date - u.created_at AS BIGINT) AS user_account_age_days
+               FROM users u CROSS JOIN {p}days d
+               LEFT JOIN (SELECT user_id, as_of_date, count(*) FILTER (WHERE event_type = 'impression') AS imps30,
+                            count(*) FILTER (WHERE event_type = 'click') AS clicks30,
+                            count(*) FILTER (WHERE event_type = 'impression' AND off < 7) AS imps7
+                          FROM {p}ev GROUP BY user_id, as_of_date) f ON f.user_id = u.user_id AND f.as_of_date = d.as_of_date
+               LEFT JOIN (SELECT r.user_id, d3.as_of_date, count(*) AS rides7 FROM rides r
+                          JOIN {p}days d3 ON r.ride_date BETWEEN d3.as_of_date - 6 AND d3.as_of_date
+                          GROUP BY r.user_id, d3.as_of_date) r ON r.user_id = u.user_id AND r.as_of_date = d.as_of_date""",
+        ),
+        (
+            f"{p}ad",
+            f"""SELECT c.campaign_id, d.as_of_date,
+                 CASE WHEN f.imps7 > 0 THEN f.clicks7 / f.imps7 END AS ad_ctr_7d,
+                 CASE WHEN f.imps30 > 0 THEN f.clicks30 / f.imps30 END AS ad_ctr_30d,
+                 CASE WHEN f.imps7 > 0 THEN f.imps7 END AS ad_impressions_7d,
+                 CASE WHEN c.demand_type = 'auction' THEN coalesce(f.imps_y, 0) * c.bid ELSE 0.0 END AS campaign_spend_yesterday
+               FROM campaigns c CROSS JOIN {p}days d
+               LEFT JOIN (SELECT campaign_id, as_of_date,
+                            count(*) FILTER (WHERE event_type = 'impression') AS imps30,
+                            count(*) FILTER (WHERE event_type = 'click') AS clicks30,
+                            count(*) FILTER (WHERE event_type = 'impression' AND off < 7) AS imps7,
+                            count(*) FILTER (WHERE event_type = 'click' AND off < 7) AS clicks7,
+                            count(*) FILTER (WHERE event_type = 'impression' AND off = 1) AS imps_y
+                          FROM {p}ev GROUP BY campaign_id, as_of_date) f ON f.campaign_id = c.campaign_id AND f.as_of_date = d.as_of_date""",
+        ),
+        (
+            f"{p}cat",
+            f"""SELECT user_id, category, as_of_date,
+                 count(*) FILTER (WHERE event_type = 'click') / count(*) FILTER (WHERE event_type = 'impression') AS cat_ctr
+               FROM {p}ev GROUP BY user_id, category, as_of_date HAVING count(*) FILTER (WHERE event_type = 'impression') > 0""",
+        ),
+    ]
+
+
+def assembled_sql(rows: str, p: str = "f", asof_expr: str = "r.event_date") -> str:
+    """Rows (user_id, campaign_id, category, hour_of_day, ...) joined to the
+    feature CTEs at as_of = asof_expr, defaults filled."""
+    return f"""SELECT r.*, coalesce(u.user_ctr_30d, 0.0) AS user_ctr_30d, coalesce(u.user_impressions_7d, 0) AS user_impressions_7d,
+         coalesce(u.user_rides_per_week, 0.0) AS user_rides_per_week, coalesce(u.user_account_age_days, 0) AS user_account_age_days,
+         coalesce(a.ad_ctr_7d, 0.0) AS ad_ctr_7d, coalesce(a.ad_ctr_30d, 0.0) AS ad_ctr_30d,
+         coalesce(a.ad_impressions_7d, 0) AS ad_impressions_7d, coalesce(a.campaign_spend_yesterday, 0.0) AS campaign_spend_yesterday,
+         coalesce(k.cat_ctr, 0.0) AS x_user_ctr_in_ad_category
+       FROM ({rows}) r
+       JOIN {p}user u ON u.user_id = r.user_id AND u.as_of_date = {asof_expr}
+       JOIN {p}ad a ON a.campaign_id = r.campaign_id AND a.as_of_date = {asof_expr}
+       LEFT JOIN {p}cat k ON k.user_id = r.user_id AND k.category = r.category AND k.as_of_date = {asof_expr}"""
+
+
+_ATTR_SQL = """SELECT c.event_id AS click_id, c.user_id, c.campaign_id, i.event_id AS impression_id,
+     (epoch_us(c.ts) - epoch_us(i.ts)) / 1000000.0 AS age_seconds
+   FROM (SELECT * FROM ad_events WHERE event_type = 'click') c
+   ASOF LEFT JOIN (SELECT * FROM ad_events WHERE event_type = 'impression') i
+   ON c.user_id = i.user_id AND c.campaign_id = i.campaign_id AND c.ts >= i.ts"""
+
+_LABELS = [
+    ("attr", _ATTR_SQL),
+    (
+        "labeled",
+        f"""SELECT e.event_id, e.user_id, e.campaign_id, e.category, e.event_date, e.hour_of_day,
+             CAST(e.event_id IN (SELECT impression_id FROM attr WHERE impression_id IS NOT NULL) AS INTEGER) AS label
+           FROM ad_events e WHERE e.event_type = 'impression' AND e.event_date BETWEEN DATE '{TRAIN_START}' AND DATE '{AS_OF}'""",
+    ),
+]
+_N_TRAIN_DAYS = (AS_OF - TRAIN_START).days + 1
+_TRAIN_CTES = _LABELS + feature_ctes(TRAIN_START, _N_TRAIN_DAYS) + [
+    ("trows", assembled_sql("SELECT * FROM labeled"))
+]
+_TRAIN_VIEWS = ("ad_events", "users", "rides", "campaigns")
+
+
+def TV(body: str) -> str:
+    return V(body, *_TRAIN_VIEWS, extra=_TRAIN_CTES)
+
+
+@query("attribute_clicks_asof", V("SELECT click_id, impression_id FROM attr", "ad_events", extra=[("attr", _ATTR_SQL)]))
+def attribute_clicks_asof(spark, sf):
+    """J-05: latest earlier impression of the same (user, campaign), no age limit."""
+    return ao.attribute_clicks(tb.ad_events(spark, sf, with_category=False)).select("click_id", "impression_id")
+
+
+@query(
+    "attribute_clicks_user_24h",
+    V(
+        """SELECT c.event_id AS click_id,
+             CASE WHEN epoch_us(c.ts) - epoch_us(i.ts) <= CAST(86400 AS BIGINT) * 1000000 THEN i.event_id END AS impression_id
+           FROM (SELECT * FROM ad_events WHERE event_type = 'click') c
+           ASOF LEFT JOIN (SELECT * FROM ad_events WHERE event_type = 'impression') i
+           ON c.user_id = i.user_id AND c.ts >= i.ts""",
+        "ad_events",
+    ),
+)
+def attribute_clicks_user_24h(spark, sf):
+    """J-05 with the age limit as a parameter: keyed on user only, 24 hours."""
+    return ao.attribute_clicks(
+        tb.ad_events(spark, sf, with_category=False), keys=("user_id",), max_age_seconds=86400
+    ).select("click_id", "impression_id")
+
+
+@query("label_impressions", TV("SELECT event_id, label FROM labeled"))
+def label_impressions(spark, sf):
+    """J-03: training-range impressions with label = some click attributed to it."""
+    return ao.label_impressions(tb.ad_events(spark, sf), TRAIN_START, AS_OF).select("event_id", "label")
+
+
+def _train_rows(spark, sf):
+    return tr.training_rows(
+        tb.ad_events(spark, sf), tb.users(spark, sf), tb.rides(spark, sf), tb.campaigns(spark, sf), TRAIN_START, AS_OF, 0
+    )
+
+
+@query("pit_training_rows", TV("SELECT event_id, label, " + ", ".join(V1) + " FROM trows"))
+def pit_training_rows(spark, sf):
+    """J-07 (+ E-05, F-14): one row per labelled impression with that day's
+    user and ad snapshot features (lag 0 = the reference's parity mode)."""
+    return _train_rows(spark, sf).select("event_id", "label", *V1)
+
+
+@query(
+    "train_holdout_split",
+    TV(
+        f"""SELECT CASE WHEN event_date < DATE '{HOLDOUT_START}' THEN 'train' ELSE 'holdout' END AS split,
+              count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM trows GROUP BY 1"""
+    ),
+)
+def train_holdout_split(spark, sf):
+    """M-01."""
+    rows = _train_rows(spark, sf)
+    split = F.when(F.col("event_date") < F.lit(HOLDOUT_START), "train").otherwise("holdout")
+    return rows.groupBy(split.alias("split")).agg(F.count("*").alias("rows"), F.sum("label").cast("long").alias("positives"))
+
+
+@query(
+    "auc_popularity_baseline",
+    TV(
+        f"""SELECT CASE WHEN p > 0 AND n > 0 THEN num / (p * n) ELSE 'nan'::DOUBLE END AS auc, p AS positives, n AS negatives FROM (
+              SELECT sum(pos * (neg_below + 0.5 * neg)) AS num, sum(pos) AS p, sum(neg) AS n FROM (
+                SELECT s, pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+                FROM (SELECT ad_ctr_30d AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+                      FROM trows WHERE event_date >= DATE '{HOLDOUT_START}' GROUP BY ad_ctr_30d)))"""
+    ),
+)
+def auc_popularity_baseline(spark, sf):
+    """W-09: rank-sum AUC of the popularity baseline (ad_ctr_30d) on the
+    holdout; distinct baseline scores are bounded by campaigns x days."""
+    rows = _train_rows(spark, sf).filter(F.col("event_date") >= F.lit(HOLDOUT_START))
+    return tr.auc_grouped(rows, "ad_ctr_30d")
+
+
+@query(
+    "feature_leakage_scan",
+    TV(
+        " UNION ALL ".join(
+            f"""SELECT '{f}' AS feature, auc, greatest(auc, 1 - auc) > 0.99 AS flagged FROM (
+                  SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)) ELSE 'nan'::DOUBLE END AS auc
+                  FROM (SELECT s, pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+                        FROM (SELECT CAST({f} AS DOUBLE) AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+                              FROM trows GROUP BY 1)))"""
+            for f in V1
+        )
+    ),
+)
+def feature_leakage_scan(spark, sf):
+    """Q-05 on the production feature list (clean): per-feature AUC in one
+    long-form pass; > 0.99 either way is flagged."""
+    return tr.leakage_scan(_train_rows(spark, sf), V1)
+
+
+@query(
+    "retrain_split",
+    DV(
+        f"""SELECT request_id, CASE WHEN (('0x' || substr(sha256(CAST(request_id AS VARCHAR)), 1, 8))::BIGINT) % 100 < 20
+                                 THEN 'holdout' ELSE 'train' END AS split
+            FROM dec WHERE winner IS NOT NULL AND winner <> {config.HOUSE_AD_ID}"""
+    ),
+)
+def retrain_split(spark, sf):
+    """M-02: deterministic 20 % holdout by a hash of the request id."""
+    d = run_decisions(spark, sf)["decisions"]
+    real = d.filter(F.col("winner").isNotNull() & (F.col("winner") != config.HOUSE_AD_ID))
+    return real.select("request_id", F.when(tr.hash_bucket("request_id") < 20, "holdout").otherwise("train").alias("split"))
+
+
+# ------------------------------------------------------------------ models (R)
+
+
+def _fit_v1_v2(spark, sf):
+    rows = _train_rows(spark, sf).cache()
+    train, hold = tr.time_split(rows, HOLDOUT_START)
+    lr = tr.fit(train, V1, "logistic_regression")
+    gbt = tr.fit(train, V2, "gbt")
+    return rows, train, hold, lr, gbt
+
+
+@query("train_pctr_lr")
+def train_pctr_lr(spark, sf):
+    """M-03: fitted coefficients of the v1 logistic model (standardised)."""
+    _, _, _, lr, _ = _fit_v1_v2(spark, sf)
+    m = lr.stages[-1]
+    rows = [(f, float(c)) for f, c in zip(V1, m.coefficients.toArray())] + [("intercept", float(m.intercept))]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+@query("train_pctr_gbt")
+def train_pctr_gbt(spark, sf):
+    """M-04: feature importances of the v2 boosted trees."""
+    _, _, _, _, gbt = _fit_v1_v2(spark, sf)
+    imp = gbt.stages[-1].featureImportances.toArray()
+    return spark.createDataFrame([(f, float(v)) for f, v in zip(V2, imp)], "feature string, importance double")
+
+
+@query("eval_report")
+def eval_report(spark, sf):
+    """M-05: per model AUC and popularity-baseline AUC on the fixed holdout,
+    row counts; one small row per model."""
+    rows, train, hold, lr, gbt = _fit_v1_v2(spark, sf)
+    n_train, n_hold = train.count(), hold.count()
+    base = tr.auc_grouped(hold, "ad_ctr_30d").first()["auc"]
+    out = []
+    for version, model in (("v1", lr), ("v2", gbt)):
+        scored = tr.score(model, hold)
+        out.append((version, tr.auc_model(scored, "pctr"), float(base), n_train, n_hold))
+    return spark.createDataFrame(out, "model_version string, auc double, baseline_auc double, n_train long, n_holdout long")
+
+
+@query("calibration_deciles")
+def calibration_deciles(spark, sf):
+    """W-10: 10 equal-mass bins of the v1 holdout predictions."""
+    _, _, hold, lr, _ = _fit_v1_v2(spark, sf)
+    return tr.calibration(tr.score(lr, hold), "pctr")
+
+
+@query("calibration_by_category")
+def calibration_by_category(spark, sf):
+    """A-11: mean label, mean prediction and n per category on the holdout."""
+    _, _, hold, lr, _ = _fit_v1_v2(spark, sf)
+    s = tr.score(lr, hold)
+    return s.groupBy("category").agg(
+        F.avg(F.col("label").cast("double")).alias("observed_ctr"), F.avg("pctr").alias("mean_predicted"), F.count("*").alias("n")
+    )
+
+
+@query("tercile_lift")
+def tercile_lift(spark, sf):
+    """W-08: mean v1 score in the lowest and highest third of the category
+    cross feature."""
+    _, _, hold, lr, _ = _fit_v1_v2(spark, sf)
+    return tr.tercile_lift(tr.score(lr, hold), "x_user_ctr_in_ad_category", "pctr")
+
+
+def _candidate_rows(spark, sf, decisions: dict):
+    """E-05 rows for the eligible auction candidates of every request, with
+    features as of the day before the request (leak-free)."""
+    el = decisions["eligible"].filter(F.col("demand_type") == "auction").select(
+        "request_id", "user_id", "campaign_id", "category", "hour_of_day", F.date_sub("request_date", 1).alias("asof"),
+        "experiment_arm",
+    )
+    start = config.FIXTURE_START - dt.timedelta(days=1)
+    end = AS_OF - dt.timedelta(days=1)
+    ev = tb.ad_events(spark, sf).select("event_id", "event_type", "user_id", "campaign_id", "event_date", "category")
+    ub = ft.backfill_user(tb.users(spark, sf), ev, tb.rides(spark, sf), start, end)
+    ab = ft.backfill_ad(ev, tb.campaigns(spark, sf), start, end)
+    cb = tr.category_ctr_backfill(ev, start, end)
+    return tr.assemble(el, ub, ab, cb)
+
+
+_ASM_START = config.FIXTURE_START - dt.timedelta(days=1)
+
+
+@query(
+    "assemble_features",
+    DV(
+        "SELECT request_id, campaign_id, " + ", ".join(V1) + " FROM asm",
+        extra=feature_ctes(_ASM_START, (AS_OF - _ASM_START).days, "g")
+        + [
+            (
+                "asm",
+                assembled_sql(
+                    "SELECT request_id, user_id, campaign_id, category, hour_of_day, request_date FROM elig WHERE demand_type = 'auction'",
+                    "g",
+                    "r.request_date - 1",
+                ),
+            )
+        ],
+    ),
+)
+def assemble_features(spark, sf):
+    """E-05 for serving: every eligible auction candidate with user + ad +
+    cross features from the previous day's snapshots."""
+    rows = _candidate_rows(spark, sf, run_decisions(spark, sf))
+    return rows.select("request_id", "campaign_id", *V1)
+
+
+@query("score_candidates")
+def score_candidates(spark, sf):
+    """M-07: the v1 model scores every eligible auction candidate."""
+    _, _, _, lr, _ = _fit_v1_v2(spark, sf)
+    rows = _candidate_rows(spark, sf, run_decisions(spark, sf))
+    return tr.score(lr, rows).select("request_id", "campaign_id", "pctr")
+
+
+@query("score_by_arm")
+def score_by_arm(spark, sf):
+    """M-08: control rows scored by v1, treatment rows by v2; union."""
+    _, _, _, lr, gbt = _fit_v1_v2(spark, sf)
+    rows = _candidate_rows(spark, sf, run_decisions(spark, sf))
+    a = tr.score(lr, rows.filter(F.col("experiment_arm") == "control")).withColumn("model_version", F.lit("v1"))
+    b = tr.score(gbt, rows.filter(F.col("experiment_arm") == "treatment")).withColumn("model_version", F.lit("v2"))
+    return a.unionByName(b).select("request_id", "campaign_id", "experiment_arm", "model_version", "pctr")
+
+
+@query("candidate_ecpm_model")
+def candidate_ecpm_model(spark, sf):
+    """D-04 with model scores: the decision job re-run with arm-pinned model
+    pctr instead of the stand-in score."""
+    _, _, _, lr, gbt = _fit_v1_v2(spark, sf)
+    base = run_decisions(spark, sf)
+    rows = _candidate_rows(spark, sf, base)
+    sc = tr.score(lr, rows.filter(F.col("experiment_arm") == "control")).unionByName(
+        tr.score(gbt, rows.filter(F.col("experiment_arm") == "treatment"))
+    ).select("request_id", "campaign_id", "pctr")
+    d = run_decisions(spark, sf, scores=sc)
+    return d["scored"].select("request_id", "campaign_id", "pctr", "ecpm")
+
+
+@query("retrain_report")
+def retrain_report(spark, sf):
+    """M-06: retrain from the decision log: real auction wins whose winner was
+    scored, features re-assembled (+ session flag), real click labels, hash
+    split; compares the retrained model with the live v1 on one holdout."""
+    from adlake.operators import reports as rp
+    from adlake.operators import session_features as sfo
+
+    dec = run_decisions(spark, sf)
+    d = dec["decisions"]
+    wins = rp.winner_features(d).select("request_id", F.col("winner").alias("campaign_id"))
+    rows = _candidate_rows(spark, sf, dec).join(wins, ["request_id", "campaign_id"])
+    clicked = rp.decision_clicks(d, tb.ad_events(spark, sf, with_category=False)).withColumn("label", F.lit(1))
+    rows = rows.join(clicked, "request_id", "left").withColumn("label", F.coalesce("label", F.lit(0)))
+    active = sfo.session_active_at_requests(tb.session_events(spark, sf), d.select("request_id", "user_id", "ts"))
+    rows = rows.join(active, "request_id", "left").withColumn(
+        "user_session_active", F.coalesce("user_session_active", F.lit(0)).cast("int")
+    ).cache()
+    n = rows.count()
+    if n == 0:
+        raise ValueError("no retrain rows in the decision log")
+    train, hold = tr.hash_split(rows, "request_id")
+    v3 = tr.fit(train, config.V3_FEATURES, "logistic_regression")
+    _, _, _, live, _ = _fit_v1_v2(spark, sf)
+    out = [
+        ("v3", tr.auc_model(tr.score(v3, hold), "pctr"), train.count(), hold.count()),
+        ("v1", tr.auc_model(tr.score(live, hold), "pctr"), train.count(), hold.count()),
+    ]
+    return spark.createDataFrame(out, "model_version string, auc double, n_train long, n_holdout long")
+
+
+@query(
+    "retrain_rows",
+    DV(
+        """SELECT d.request_id, d.winner FROM dec d JOIN scored s ON s.request_id = d.request_id AND s.campaign_id = d.winner
+           WHERE d.full_path"""
+    ),
+)
+def retrain_rows(spark, sf):
+    """M-06 rows: real wins whose winner carries logged scores."""
+    from adlake.operators import reports as rp
+
+    return rp.winner_features(run_decisions(spark, sf)["decisions"]).select("request_id", "winner")
+
+
+_ = T  # types kept for callers building schemas
