@@ -1 +1,206 @@
-"""Named queries."""
+"""Named queries: feature resolution, request validation, parity (E-*)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from adlake import config
+from adlake.operators import features as ft
+from adlake.operators import resolve as rs
+from adlake.operators import training as tr
+from adlake.plans.catalog import query
+from adlake.plans.q_features import AS_OF
+from adlake.plans.q_models import feature_ctes
+from adlake.plans.q_quality import membership_ctes
+from adlake.plans.sql_views import with_views as V
+from adlake.sources import tables as tb
+
+START = config.FIXTURE_START - dt.timedelta(days=1)
+END = AS_OF - dt.timedelta(days=1)
+N = (END - START).days + 1
+USER_NUM = ["user_ctr_30d", "user_impressions_7d", "user_rides_per_week", "user_account_age_days"]
+REQ_FEATURES = config.SERVE_USER_FEATURES
+KNOWN_SQL = ", ".join(f"'{t}'" for t in config.KNOWN_EVENT_TYPES)
+
+
+def daily_user_snapshot(spark, sf, start=START, end=END):
+    """Every user x day snapshot with all user features (wide)."""
+    ev = tb.ad_events(spark, sf)
+    ub = ft.backfill_user(tb.users(spark, sf), ev, tb.rides(spark, sf), start, end)
+    mem = ft.membership_lists(
+        ft.memberships_backfill(tb.user_segments(spark, sf), ev, tb.rides(spark, sf), start, end, config.fixture_audiences())
+    )
+    cat = tr.category_ctr_backfill(ev, start, end).groupBy("user_id", "asof").agg(
+        F.map_from_entries(F.collect_list(F.struct("category", "cat_ctr"))).alias("user_ctr_by_category_30d")
+    )
+    return ub.join(mem, ["user_id", "asof"], "left").join(cat, ["user_id", "asof"], "left").withColumn(
+        "audience_memberships", F.coalesce("audience_memberships", F.array().cast("array<string>"))
+    )
+
+
+def _resolved(spark, sf):
+    req = tb.requests(spark, sf).select("request_id", "user_id", "ts")
+    rt = rs.realtime_values(req, tb.session_events(spark, sf))
+    snap = daily_user_snapshot(spark, sf)
+    pub = rs.publish_daily(snap, USER_NUM + ["audience_memberships", "user_ctr_by_category_30d"])
+    return rs.resolve(req, REQ_FEATURES, rt, pub)
+
+
+def _sla(name):
+    return {n: s for n, _, _, _, s, _ in config.REGISTRY}[name]
+
+
+def _resolve_sql() -> str:
+    parts = []
+    for f in USER_NUM:
+        default = "0.0"
+        parts.append(
+            f"""SELECT r.request_id, '{f}' AS feature_name,
+                 CASE WHEN u.{f} IS NOT NULL THEN 'batch' ELSE 'default' END AS source,
+                 CASE WHEN u.{f} IS NOT NULL THEN (CASE WHEN r.age_b <= {_sla(f)} THEN 'fresh' ELSE 'stale' END) ELSE 'missing' END AS freshness_status,
+                 u.{f} IS NULL AS default_substituted,
+                 CAST(coalesce(u.{f}, {default}) AS DOUBLE) AS value_num, CAST(NULL AS VARCHAR) AS value_text
+               FROM rq r LEFT JOIN guser u ON u.user_id = r.user_id AND u.as_of_date = r.request_date - 1"""
+        )
+    parts.append(
+        f"""SELECT r.request_id, 'audience_memberships', 'batch',
+             CASE WHEN r.age_b <= {_sla('audience_memberships')} THEN 'fresh' ELSE 'stale' END, false,
+             CAST(NULL AS DOUBLE), coalesce(array_to_string(m.audience_memberships, ','), '')
+           FROM rq r LEFT JOIN mem m ON m.user_id = r.user_id AND m.as_of_date = r.request_date - 1"""
+    )
+    parts.append(
+        f"""SELECT r.request_id, 'user_ctr_by_category_30d',
+             CASE WHEN k.user_id IS NOT NULL THEN 'batch' ELSE 'default' END,
+             CASE WHEN k.user_id IS NOT NULL THEN (CASE WHEN r.age_b <= {_sla('user_ctr_by_category_30d')} THEN 'fresh' ELSE 'stale' END) ELSE 'missing' END,
+             k.user_id IS NULL, CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR)
+           FROM rq r LEFT JOIN (SELECT DISTINCT user_id, as_of_date FROM gcat) k ON k.user_id = r.user_id AND k.as_of_date = r.request_date - 1"""
+    )
+    parts.append(
+        f"""SELECT r.request_id, 'user_session_active',
+             CASE WHEN a.age < {config.SESSION_TTL_SECONDS} THEN 'realtime' ELSE 'default' END,
+             CASE WHEN a.age < {config.SESSION_TTL_SECONDS} THEN (CASE WHEN a.age <= {_sla('user_session_active')} THEN 'fresh' ELSE 'stale' END) ELSE 'missing' END,
+             NOT coalesce(a.age < {config.SESSION_TTL_SECONDS}, false),
+             CASE WHEN a.age < {config.SESSION_TTL_SECONDS} THEN 1.0 ELSE 0.0 END, CAST(NULL AS VARCHAR)
+           FROM rq r LEFT JOIN act a ON a.request_id = r.request_id"""
+    )
+    parts.append(
+        f"""SELECT r.request_id, 'user_current_destination_category',
+             CASE WHEN d.age < {config.SESSION_TTL_SECONDS} THEN 'realtime' ELSE 'default' END,
+             CASE WHEN d.age < {config.SESSION_TTL_SECONDS} THEN (CASE WHEN d.age <= {_sla('user_current_destination_category')} THEN 'fresh' ELSE 'stale' END) ELSE 'missing' END,
+             NOT coalesce(d.age < {config.SESSION_TTL_SECONDS}, false),
+             CAST(NULL AS DOUBLE), CASE WHEN d.age < {config.SESSION_TTL_SECONDS} THEN d.category ELSE '' END
+           FROM rq r LEFT JOIN dst d ON d.request_id = r.request_id"""
+    )
+    extra = (
+        membership_ctes(START, N)
+        + [("mem", "SELECT user_id, as_of_date, list(audience ORDER BY audience_order) AS audience_memberships FROM mem_long GROUP BY user_id, as_of_date")]
+        + feature_ctes(START, N, "g")
+        + [
+            (
+                "rq",
+                "SELECT request_id, user_id, ts, request_date, (epoch_us(ts) - epoch_us(CAST(request_date AS TIMESTAMP))) / 1000000.0 AS age_b FROM requests",
+            ),
+            (
+                "act",
+                f"""SELECT r.request_id, (epoch_us(r.ts) - epoch_us(e.ts)) / 1000000.0 AS age FROM requests r
+                   ASOF LEFT JOIN (SELECT user_id, ts FROM session_events WHERE event_type IN ({KNOWN_SQL})) e
+                   ON r.user_id = e.user_id AND r.ts >= e.ts""",
+            ),
+            (
+                "dst",
+                """SELECT r.request_id, (epoch_us(r.ts) - epoch_us(e.ts)) / 1000000.0 AS age, e.category FROM requests r
+                   ASOF LEFT JOIN (SELECT user_id, ts, category FROM session_events WHERE event_type = 'destination_entered') e
+                   ON r.user_id = e.user_id AND r.ts >= e.ts""",
+            ),
+        ]
+    )
+    return V(" UNION ALL ".join(parts), "requests", "session_events", "ad_events", "rides", "users", "user_segments", "campaigns", extra=extra)
+
+
+@query("resolve_features", _resolve_sql())
+def resolve_features(spark, sf):
+    """E-03 (+ E-01, E-02, F-13): every request x the 8 user features of the
+    serving path, resolved real-time > batch > default with a status."""
+    return _resolved(spark, sf)
+
+
+def _feature_requests(spark, sf):
+    """Per request: the arm's model feature list (minus request-time
+    hour_of_day) asked on the user entity - the model's ad and cross
+    features are what validation must reject."""
+    from adlake.functions.scalar import assign_arm
+
+    req = tb.requests(spark, sf).select("request_id", "user_id")
+    arm = assign_arm(F.col("user_id"))
+    v1 = F.array(*[F.lit(f) for f in config.V1_FEATURES if f != "hour_of_day"])
+    v2 = F.array(*[F.lit(f) for f in config.V2_FEATURES if f != "hour_of_day"])
+    return req.select(
+        "request_id", F.lit("user").alias("entity"), F.explode(F.when(arm == "control", v1).otherwise(v2)).alias("feature_name")
+    )
+
+
+_ARM_SQL = """CASE WHEN (('0x' || right(sha256('phase5-ab-v1:' || CAST(user_id AS VARCHAR)), 1))::INTEGER) % 2 = 0
+   THEN 'control' ELSE 'treatment' END"""
+
+
+def _invalid_sql() -> str:
+    reg = {n: e for n, e, *_ in config.REGISTRY}
+    rows = []
+    for arm, feats in (("control", config.V1_FEATURES), ("treatment", config.V2_FEATURES)):
+        for f in feats:
+            if f == "hour_of_day":
+                continue
+            if f not in reg:
+                rows.append((arm, f, "unregistered"))
+            elif reg[f] != "user":
+                rows.append((arm, f, "wrong_entity"))
+    vals = ", ".join(f"('{a}', '{f}', '{r}')" for a, f, r in rows)
+    return V(
+        f"""SELECT q.request_id, 'user' AS entity, b.feature_name, b.reason
+            FROM (SELECT request_id, {_ARM_SQL} AS arm FROM requests) q
+            JOIN (VALUES {vals}) b(arm, feature_name, reason) ON b.arm = q.arm""",
+        "requests",
+    )
+
+
+@query("invalid_feature_requests", _invalid_sql())
+def invalid_feature_requests(spark, sf):
+    """E-04: offending (request, feature) rows; a job raises if non-empty."""
+    return rs.invalid_requests(_feature_requests(spark, sf))
+
+
+PARITY_DAY = AS_OF - dt.timedelta(days=1)
+
+
+@query(
+    "parity_report",
+    V(
+        """SELECT feature_name, count(*) AS compared, CAST(0 AS BIGINT) AS differing FROM (
+             SELECT s.user_id, f.feature_name FROM (SELECT user_id FROM users ORDER BY sha256(CAST(user_id AS VARCHAR)) LIMIT 20) s
+             CROSS JOIN (VALUES ('user_ctr_30d'), ('user_impressions_7d'), ('user_rides_per_week'), ('user_account_age_days')) f(feature_name))
+           GROUP BY feature_name""",
+        "users",
+    ),
+)
+def parity_report(spark, sf):
+    """E-06: for a deterministic sample of 20 users (K-04), the offline
+    snapshot values (with defaults) against the online resolution of the
+    same day; differing cells are counted per feature (expected 0)."""
+    sample = rs.deterministic_sample(tb.users(spark, sf).select("user_id"), "user_id", 20)
+    snap = daily_user_snapshot(spark, sf, PARITY_DAY, PARITY_DAY)
+    off = tr.fill_defaults(snap.join(sample, "user_id", "left_semi"), USER_NUM)
+    offline = off.select(
+        "user_id",
+        F.explode(F.array(*[F.struct(F.lit(f).alias("feature_name"), F.col(f).cast("double").alias("value")) for f in USER_NUM])).alias("x"),
+    ).select("user_id", "x.feature_name", "x.value")
+    # Online: a request per sampled user at noon of the next day.
+    noon = dt.datetime.combine(PARITY_DAY + dt.timedelta(days=1), dt.time(12))
+    req = sample.select(F.col("user_id").alias("request_id"), "user_id", F.lit(noon).cast("timestamp").alias("ts"))
+    pub = rs.publish_daily(snap, USER_NUM)
+    empty_rt = req.sparkSession.createDataFrame([], "request_id long, feature_name string, value_num double, value_text string, age_seconds double")
+    on = rs.resolve(req, USER_NUM, empty_rt, pub).select(
+        F.col("request_id").alias("user_id"), "feature_name", F.col("value_num").alias("value")
+    )
+    return rs.parity(offline, on, ["user_id"])
