@@ -153,3 +153,156 @@ def parse_event_json(spark, sf):
         F.col("payload")["ride_type"].alias("payload_ride_type"),
         F.hour("ts").cast("long").alias("hour_of_day"),
     )
+
+
+# ======================================================================
+# Streaming keys (rows-only checks; each has a batch twin above that the
+# tests compare it with).  Every key replays the session events of the
+# given tables as JSON text in time-ordered chunks and drains a streaming
+# query over them with availableNow.
+# ======================================================================
+
+import uuid  # noqa: E402
+
+from adlake.operators import decisions as dc  # noqa: E402
+from adlake.session import scratch_path  # noqa: E402
+from adlake.streaming import session_stream as st  # noqa: E402
+
+STREAM_DAYS_PER_CHUNK = 5
+
+
+def _files_per_chunk(spark) -> int:
+    return max(1, min(64, spark.sparkContext.defaultParallelism))
+
+
+def replay(spark, sf, duplicate: bool = False) -> tuple[str, int]:
+    """Write the replay source; returns (root, files per trigger)."""
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    fpc = _files_per_chunk(spark)
+    chunks = st.day_chunks(config.FIXTURE_START, config.FIXTURE_AS_OF, STREAM_DAYS_PER_CHUNK)
+    ev = tb.session_events(spark, sf)
+    st.write_replay(ev, root + "/in", chunks, fpc)
+    if duplicate:
+        st.write_replay(ev, root + "/in", chunks, fpc, suffix="_redelivered")
+    return root, fpc
+
+
+def _events_stream(spark, root, fpc):
+    return st.parse(st.read_stream(spark, root + "/in", fpc)).filter(~F.col("_corrupt"))
+
+
+@query("stream_parse_events")
+def stream_parse_events(spark, sf):
+    """S-06 + F-15: decode the JSON stream; good rows to the event table,
+    undecodable rows to a bad-record table (idempotent per batch id)."""
+    root, fpc = replay(spark, sf)
+    raw = st.parse(st.read_stream(spark, root + "/in", fpc))
+
+    def split(batch, batch_id):
+        good = batch.filter(~F.col("_corrupt")).drop("raw", "_corrupt")
+        bad = batch.filter(F.col("_corrupt")).select("raw")
+        st.batch_partition_writer(root + "/events")(good, batch_id)
+        st.batch_partition_writer(root + "/bad_records")(bad, batch_id)
+
+    st.run_foreach_batch(raw, split, root + "/ckpt", mode="append")
+    return spark.read.parquet(root + "/events").select("event_id", "event_type", "user_id", "session_id")
+
+
+@query("stream_route_events")
+def stream_route_events(spark, sf):
+    """T-01: running counts per type, unknown types counted and skipped;
+    the final (latest batch) count per type equals the batch twin."""
+    root, fpc = replay(spark, sf)
+    st.run_foreach_batch(st.route_counts(_events_stream(spark, root, fpc)), st.batch_partition_writer(root + "/out"), root + "/ckpt")
+    out = spark.read.parquet(root + "/out")
+    return out.groupBy("event_type").agg(F.max_by(F.struct("events", "unknown"), "batch_id").alias("s")).select(
+        "event_type", "s.events", "s.unknown"
+    )
+
+
+@query("stream_latest_values")
+def stream_latest_values(spark, sf):
+    """T-02: latest destination / ride type per user, update mode."""
+    root, fpc = replay(spark, sf)
+    st.run_foreach_batch(st.latest_values(_events_stream(spark, root, fpc)), st.batch_partition_writer(root + "/out"), root + "/ckpt")
+    out = spark.read.parquet(root + "/out")
+    return out.groupBy("user_id").agg(
+        F.max_by(F.struct("user_current_destination_category", "user_current_ride_type"), "batch_id").alias("s")
+    ).select("user_id", "s.user_current_destination_category", "s.user_current_ride_type")
+
+
+@query("stream_screens_10min")
+def stream_screens_10min(spark, sf):
+    """T-03: trailing 10-minute screen-view count per event from keyed state
+    (applyInPandasWithState), append mode to a Parquet sink."""
+    root, fpc = replay(spark, sf)
+    st.run_to_parquet(st.trailing_counts(_events_stream(spark, root, fpc), "app_screen_view"), root + "/out", root + "/ckpt")
+    return spark.read.parquet(root + "/out").select("event_id", "user_id", F.col("count_10min").alias("user_screens_viewed_10min"))
+
+
+@query("stream_sessions")
+def stream_sessions(spark, sf):
+    """T-04 stream: session windows (30-minute gap) of known events."""
+    root, fpc = replay(spark, sf)
+    st.run_to_parquet(st.sessions(_events_stream(spark, root, fpc)), root + "/out", root + "/ckpt")
+    return spark.read.parquet(root + "/out")
+
+
+@query("stream_hourly_type_counts")
+def stream_hourly_type_counts(spark, sf):
+    """T-05: tumbling hourly counts per type with a watermark."""
+    root, fpc = replay(spark, sf)
+    st.run_to_parquet(st.hourly_type_counts(_events_stream(spark, root, fpc)), root + "/out", root + "/ckpt")
+    return spark.read.parquet(root + "/out").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "events"
+    )
+
+
+@query("stream_dedup")
+def stream_dedup(spark, sf):
+    """T-06: every event delivered twice; each event_id kept once."""
+    root, fpc = replay(spark, sf, duplicate=True)
+    st.run_to_parquet(st.dedup(_events_stream(spark, root, fpc)).drop("raw", "_corrupt", "payload"), root + "/out", root + "/ckpt")
+    return spark.read.parquet(root + "/out").select("event_id", "event_type", "user_id")
+
+
+@query("stream_lag_report")
+def stream_lag_report(spark, sf):
+    """T-08: per micro-batch event count, newest event time and processing
+    lag (processing time - newest event time) via foreachBatch."""
+    root, fpc = replay(spark, sf)
+
+    def report(batch, batch_id):
+        r = batch.agg(F.count("*").alias("events"), F.max("ts").alias("max_event_ts")).select(
+            "events",
+            "max_event_ts",
+            (F.unix_micros(F.current_timestamp()) - F.unix_micros("max_event_ts")).cast("double").alias("lag_us"),
+        ).select("events", F.col("max_event_ts").cast("timestamp_ntz").alias("max_event_ts"), (F.col("lag_us") / 1e6).alias("lag_seconds"))
+        st.batch_partition_writer(root + "/out")(r, batch_id)
+
+    st.run_foreach_batch(_events_stream(spark, root, fpc), report, root + "/ckpt", mode="append")
+    return spark.read.parquet(root + "/out")
+
+
+@query("stream_decisions")
+def stream_decisions(spark, sf):
+    """T-10: a stream of ad requests decided per micro-batch: the batch joins
+    the static features and catalog (stream-static), runs the decision job
+    and appends to the decision log (idempotent per batch id)."""
+    from adlake.plans.q_decisions import END, START, fixture_inputs
+    from adlake.sources import decision_log as dlog
+
+    root, fpc = replay(spark, sf)
+    reqs = _events_stream(spark, root, fpc).filter(F.col("event_type") == "app_screen_view").select(
+        F.col("event_id").alias("request_id"), "user_id", "ts",
+        F.to_date("ts").alias("request_date"), F.hour("ts").cast("long").alias("hour_of_day"),
+    )
+    static = fixture_inputs(spark, sf)
+
+    def decide_batch(batch, batch_id):
+        inp = dc.DecisionInputs(**{**static.__dict__, "requests": batch})
+        d = dc.decide(inp, START, END)["decisions"]
+        st.batch_partition_writer(root + "/log")(dlog.conform(d), batch_id)
+
+    st.run_foreach_batch(reqs, decide_batch, root + "/ckpt", mode="append")
+    return spark.read.parquet(root + "/log").select("request_id", "winner", "rung")
