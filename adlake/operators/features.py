@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 from adlake import config
 from adlake.functions.scalar import account_age_days, all_of, in_window, lit_date, rule_predicate
 
-IMP = F.col("event_type") == "impression"
-CLK = F.col("event_type") == "click"
+def IMP() -> Column:
+    return F.col("event_type") == "impression"
+
+
+def CLK() -> Column:
+    return F.col("event_type") == "click"
 
 
 def events_in_window(events: DataFrame, as_of: dt.date, window_days: int, date_col: str = "event_date") -> DataFrame:
@@ -31,7 +35,7 @@ def ctr_overall(events: DataFrame, as_of: dt.date, window_days: int, key: str, n
     """A-01: clicks / impressions per key in the window; only keys with
     impressions.  Clicks are dated by their own event_date."""
     w = events_in_window(events, as_of, window_days)
-    agg = w.groupBy(key).agg(F.count_if(IMP).alias("impressions"), F.count_if(CLK).alias("clicks"))
+    agg = w.groupBy(key).agg(F.count_if(IMP()).alias("impressions"), F.count_if(CLK()).alias("clicks"))
     return agg.filter(F.col("impressions") > 0).select(
         key, (F.col("clicks") / F.col("impressions")).alias(name)
     )
@@ -41,8 +45,8 @@ def ctr_by_left_join(events: DataFrame, as_of: dt.date, window_days: int, key: s
     """J-01 written literally: impression counts left join click counts, 0 fill.
     Kept as the reference shape; ctr_overall is the one-shuffle form."""
     w = events_in_window(events, as_of, window_days)
-    imps = w.filter(IMP).groupBy(key).agg(F.count("*").alias("impressions"))
-    clks = w.filter(CLK).groupBy(key).agg(F.count("*").alias("clicks"))
+    imps = w.filter(IMP()).groupBy(key).agg(F.count("*").alias("impressions"))
+    clks = w.filter(CLK()).groupBy(key).agg(F.count("*").alias("clicks"))
     out = imps.join(clks, key, "left").fillna(0, ["clicks"])
     return out.select(key, "impressions", "clicks", (F.col("clicks") / F.col("impressions")).alias("ctr"))
 
@@ -51,7 +55,7 @@ def ctr_by_category(events: DataFrame, as_of: dt.date, window_days: int) -> Data
     """A-02: (user_id, category, ctr)."""
     w = events_in_window(events, as_of, window_days)
     agg = w.groupBy("user_id", "category").agg(
-        F.count_if(IMP).alias("impressions"), F.count_if(CLK).alias("clicks")
+        F.count_if(IMP()).alias("impressions"), F.count_if(CLK()).alias("clicks")
     )
     return agg.filter(F.col("impressions") > 0).select(
         "user_id", "category", (F.col("clicks") / F.col("impressions")).alias("ctr")
@@ -60,7 +64,7 @@ def ctr_by_category(events: DataFrame, as_of: dt.date, window_days: int) -> Data
 
 def impressions_count(events: DataFrame, as_of: dt.date, window_days: int, key: str, name: str) -> DataFrame:
     """A-03: impression count per key (long)."""
-    w = events_in_window(events, as_of, window_days).filter(IMP)
+    w = events_in_window(events, as_of, window_days).filter(IMP())
     return w.groupBy(key).agg(F.count("*").alias(name))
 
 
@@ -75,7 +79,7 @@ def spend_yesterday(events: DataFrame, campaigns: DataFrame, as_of: dt.date) ->
     guaranteed = 0.0; every campaign of any status present."""
     y = as_of - dt.timedelta(days=1)
     imps = (
-        events.filter(IMP & (F.col("event_date") == lit_date(y)))
+        events.filter(IMP() & (F.col("event_date") == lit_date(y)))
         .groupBy("campaign_id")
         .agg(F.count("*").alias("imps"))
     )
@@ -277,7 +281,7 @@ def user_snapshot(users, ad_events, rides, as_of: dt.date, audiences) -> DataFra
     w = events_in_window(ad_events, as_of, 30)
     in7 = in_window("event_date", as_of, 7)
     per_cat = w.groupBy("user_id", "category").agg(
-        F.count_if(IMP).alias("imps30"), F.count_if(CLK).alias("clicks30"), F.count_if(IMP & in7).alias("imps7")
+        F.count_if(IMP()).alias("imps30"), F.count_if(CLK()).alias("clicks30"), F.count_if(IMP() & in7).alias("imps7")
     )
     ev = per_cat.groupBy("user_id").agg(
         F.sum("imps30").alias("imps30"),
@@ -321,11 +325,11 @@ def ad_snapshot(ad_events: DataFrame, campaigns: DataFrame, as_of: dt.date) -> D
     in7 = in_window("event_date", as_of, 7)
     yday = F.col("event_date") == lit_date(as_of - dt.timedelta(days=1))
     agg = w.groupBy("campaign_id").agg(
-        F.count_if(IMP).alias("imps30"),
-        F.count_if(CLK).alias("clicks30"),
-        F.count_if(IMP & in7).alias("imps7"),
-        F.count_if(CLK & in7).alias("clicks7"),
-        F.count_if(IMP & yday).alias("imps_y"),
+        F.count_if(IMP()).alias("imps30"),
+        F.count_if(CLK()).alias("clicks30"),
+        F.count_if(IMP() & in7).alias("imps7"),
+        F.count_if(CLK() & in7).alias("clicks7"),
+        F.count_if(IMP() & yday).alias("imps_y"),
     )
     c = campaigns.select("campaign_id", "demand_type", "bid")
     return c.join(agg, "campaign_id", "full").select(
@@ -366,7 +370,7 @@ def backfill_user(users, ad_events, rides, start: dt.date, end: dt.date) -> Data
     first = start - dt.timedelta(days=29)
     ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
     daily_ev = ev.groupBy("user_id", "event_date").agg(
-        F.count_if(IMP).alias("imps"), F.count_if(CLK).alias("clicks")
+        F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
     ).withColumn("rides", F.lit(0).cast("long"))
     rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=6)), lit_date(end)))
     daily_rides = rd.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(
@@ -401,7 +405,7 @@ def backfill_ad(ad_events, campaigns, start: dt.date, end: dt.date) -> DataFrame
     first = start - dt.timedelta(days=29)
     ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
     daily = ev.groupBy("campaign_id", "event_date").agg(
-        F.count_if(IMP).alias("imps"), F.count_if(CLK).alias("clicks")
+        F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
     )
     x = _explode_days(daily, "event_date", start, end, 30)
     w7 = F.col("offset") < 7
@@ -435,7 +439,7 @@ def memberships_backfill(users, ad_events, rides, start: dt.date, end: dt.date,
     first = start - dt.timedelta(days=29)
     ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
     daily = ev.groupBy("user_id", "category", "event_date").agg(
-        F.count_if(IMP).alias("imps"), F.count_if(CLK).alias("clicks")
+        F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
     )
     x = _explode_days(daily, "event_date", start, end, 30)
     cat = x.groupBy("user_id", "asof", "category").agg(F.sum("imps").alias("i"), F.sum("clicks").alias("c"))

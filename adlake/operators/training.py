@@ -41,7 +41,7 @@ def category_ctr_backfill(ad_events: DataFrame, start: dt.date, end: dt.date) ->
     first = start - dt.timedelta(days=29)
     ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
     daily = ev.groupBy("user_id", "category", "event_date").agg(
-        F.count_if(ft.IMP).alias("imps"), F.count_if(ft.CLK).alias("clicks")
+        F.count_if(ft.IMP()).alias("imps"), F.count_if(ft.CLK()).alias("clicks")
     )
     x = ft._explode_days(daily, "event_date", start, end, 30)
     agg = x.groupBy("user_id", "category", "asof").agg(F.sum("imps").alias("i"), F.sum("clicks").alias("c"))

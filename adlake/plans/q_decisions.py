@@ -481,3 +481,21 @@ def flight_fraction(spark, sf):
 def assign_arm(spark, sf):
     """F-06."""
     return tb.user_segments(spark, sf).select("user_id", fx.assign_arm(F.col("user_id")).alias("experiment_arm"))
+
+
+@query("pacing_replay")
+def pacing_replay(spark, sf):
+    """D-08: day-slice replay with self-consistent counters; per guaranteed
+    campaign the goal and what the replay delivered."""
+    inp = fixture_inputs(spark, sf)
+    # The replay is its own ledger: start with no deliveries.
+    inp.ledger = inp.ledger.limit(0)
+    dec = dc.pacing_replay(inp, START, END, scratch_path(spark, f"pacing-{uuid.uuid4().hex}"))
+    g = tb.campaigns(spark, sf).filter(F.col("demand_type") == "guaranteed")
+    delivered = dec.filter(F.col("rung") == "guaranteed").groupBy(F.col("winner").alias("campaign_id")).agg(
+        F.count("*").alias("delivered")
+    )
+    return g.join(delivered, "campaign_id", "left").select(
+        "campaign_id", "impression_goal", F.coalesce("delivered", F.lit(0)).cast("long").alias("delivered"),
+        "flight_start", "flight_end", "status",
+    )

@@ -528,8 +528,8 @@ def _ctr_pivot(df, by: str, values: list[str]):
     the pivot does not need a distinct pre-pass."""
     aggs = []
     for v in values:
-        imp = F.count_if(ft.IMP & (F.col(by) == v))
-        clk = F.count_if(ft.CLK & (F.col(by) == v))
+        imp = F.count_if(ft.IMP() & (F.col(by) == v))
+        clk = F.count_if(ft.CLK() & (F.col(by) == v))
         aggs.append(F.coalesce(F.try_divide(clk, F.nullif(imp, F.lit(0))), F.lit(0.0)).alias(v))
     return df.groupBy("segment").agg(*aggs)
 
@@ -571,7 +571,7 @@ def click_volume_segment_hour(spark, sf):
     """A-09: clicks by segment, pivoted over hours 0..23, 0 fill."""
     df = _seg_events(spark, sf)
     return df.groupBy("segment").agg(
-        *[F.count_if(ft.CLK & (F.col("hour_of_day") == h)).alias(f"h{h:02d}") for h in range(24)]
+        *[F.count_if(ft.CLK() & (F.col("hour_of_day") == h)).alias(f"h{h:02d}") for h in range(24)]
     )
 
 
@@ -590,7 +590,7 @@ HOLDOUT_START = AS_OF - dt.timedelta(days=config.HOLDOUT_DAYS - 1)
 def ctr_category_holdout(spark, sf):
     """A-10: observed CTR per category over the holdout days."""
     ev = tb.ad_events(spark, sf).filter(F.col("event_date").between(lit_date(HOLDOUT_START), lit_date(AS_OF)))
-    agg = ev.groupBy("category").agg(F.count_if(ft.IMP).alias("i"), F.count_if(ft.CLK).alias("c"))
+    agg = ev.groupBy("category").agg(F.count_if(ft.IMP()).alias("i"), F.count_if(ft.CLK()).alias("c"))
     return agg.filter("i > 0").select("category", (F.col("c") / F.col("i")).alias("ctr"))
 
 

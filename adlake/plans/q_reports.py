@@ -244,7 +244,7 @@ W30 = f"event_date BETWEEN DATE '{AS_OF - dt.timedelta(days=29)}' AND DATE '{AS_
 def wilson_interval(spark, sf):
     """F-10 per campaign over 30 days (n = 0 -> (0, 0))."""
     ev = tb.ad_events(spark, sf, with_category=False).filter(fx.in_window("event_date", AS_OF, 30))
-    a = ev.groupBy("campaign_id").agg(F.count_if(ft.IMP).alias("impressions"), F.count_if(ft.CLK).alias("clicks"))
+    a = ev.groupBy("campaign_id").agg(F.count_if(ft.IMP()).alias("impressions"), F.count_if(ft.CLK()).alias("clicks"))
     lo, hi = fx.wilson_bounds(F.col("clicks"), F.col("impressions"))
     return a.select("campaign_id", "impressions", "clicks", lo.alias("ci_low"), hi.alias("ci_high"))
 
@@ -269,7 +269,7 @@ def x_user_ctr_in_ad_category(spark, sf):
     the ad's category from the map feature (0.0 when absent)."""
     ev = tb.ad_events(spark, sf)
     m = ft.ctr_by_category_map(ev, AS_OF, 30)
-    imps = ev.filter(ft.IMP & fx.in_window("event_date", AS_OF, 7)).select("event_id", "user_id", "category")
+    imps = ev.filter(ft.IMP() & fx.in_window("event_date", AS_OF, 7)).select("event_id", "user_id", "category")
     return imps.join(m, "user_id", "left").select(
         "event_id",
         fx.map_lookup_default(
@@ -317,7 +317,7 @@ def x_user_in_audience_matching(spark, sf):
     mem = ft.membership_lists(long).select("user_id", "audience_memberships")
     about = audiences_about()
     amap = F.create_map(*[x for c, ns in about.items() for x in (F.lit(c), F.array(*[F.lit(n) for n in ns]))])
-    imps = ev.filter(ft.IMP & fx.in_window("event_date", AS_OF, 7)).select("event_id", "user_id", "category")
+    imps = ev.filter(ft.IMP() & fx.in_window("event_date", AS_OF, 7)).select("event_id", "user_id", "category")
     j = imps.join(mem, "user_id", "left")
     flag = F.coalesce(
         F.arrays_overlap(
