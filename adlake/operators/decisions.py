@@ -31,6 +31,7 @@ from adlake.functions.scalar import (
     lit_date,
 )
 from adlake.operators.asof import latest_within
+from adlake.session import materialize
 from adlake.sources.tables import bounded
 
 RUNG_MODEL_DOWN = "model_load_failure_house_ad"
@@ -332,15 +333,18 @@ def decide(inp: DecisionInputs, start: dt.date, end: dt.date) -> dict[str, DataF
     """Run the whole decision job.  Returns the intermediate frames and the
     final ``decisions`` (one row per request, nested record D-09)."""
     audiences = inp.audiences or []
-    req = request_context(inp, start, end)
-    cat = catalog_day_table(inp.campaigns, inp.ledger, start, end)
-    cands = candidates(req, cat, audiences)
+    # The request context and the (request x live campaign) table feed every
+    # later branch (eligibility, exclusions, scores, arbitration, records):
+    # each is written once to the shared checkpoint folder.
+    req = materialize(request_context(inp, start, end))
+    cat = materialize(catalog_day_table(inp.campaigns, inp.ledger, start, end))
+    cands = materialize(candidates(req, cat, audiences))
     elig = eligible(cands)
     excl = exclusions(cands, audiences)
     if inp.scores is not None:
         scored = score_with_model(elig, inp.scores)
     else:
-        lift = lift_lookup(inp.lift_rules, inp.campaigns)
+        lift = materialize(lift_lookup(inp.lift_rules, inp.campaigns))
         scored = score_stand_in(elig, lift)
     normal = req.filter(F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok"))
     arb = arbitrate(normal.select("request_id", "external_bid"), elig, scored)

@@ -17,7 +17,7 @@ from adlake.plans.catalog import query
 from adlake.plans.q_features import AS_OF, FIX_CATS
 from adlake.plans.q_quality import membership_ctes
 from adlake.plans.sql_views import with_views as V
-from adlake.session import scratch_path
+from adlake.session import materialize, scratch_path
 from adlake.sources import decision_log as dlog
 from adlake.sources import tables as tb
 
@@ -58,7 +58,12 @@ def fixture_inputs(spark, sf, availability: bool = True, scores: DataFrame | Non
 
 
 def run_decisions(spark, sf, **kw) -> dict[str, DataFrame]:
-    return dc.decide(fixture_inputs(spark, sf, **kw), START, END)
+    """The decision job on the fixture inputs; the decision table is written
+    once (like the decision log) so reports reading it several times do not
+    recompute the job."""
+    out = dc.decide(fixture_inputs(spark, sf, **kw), START, END)
+    out["decisions"] = materialize(out["decisions"])
+    return out
 
 
 # ------------------------------------------------------------ SQL oracle

@@ -72,3 +72,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     tables (lineage cuts that survive executor loss)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder (reliable
+    checkpoint) and continue from the written copy.  Used for intermediates
+    that several branches of a job read, so they are computed once and
+    survive the loss of the executors that computed them."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
