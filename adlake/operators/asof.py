@@ -117,24 +117,28 @@ def latest_within(
     value_cols: list[str],
     ttl_seconds: int,
     left_id: str = "request_id",
+    keep_left: bool = False,
 ) -> DataFrame:
     """As-of lookup with a time-to-live: for every left row (key, ts), the
     latest right row of the same key with ts in (t - ttl, t] (ties: the
-    right row counts as earlier).  Returns left_id, value_cols and
+    right row counts as earlier).  Returns left_id (or, with ``keep_left``,
+    every left column - no join back needed), value_cols and
     ``age_seconds`` (nulls when nothing is live).
 
     Rows are bucketed by time (bucket >= ttl); right rows are also copied
     into the next bucket, so each (key, bucket) window holds at most two
     buckets of one key and a hot key is split across many tasks."""
     bucket_us = max(3600, ttl_seconds) * 1_000_000
+    lstruct = F.struct(*[F.col(c) for c in left.columns]) if keep_left else F.lit(None)
     lu = left.select(
         F.col(left_id).alias("__id"), key, F.unix_micros("ts").alias("us"),
         *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in value_cols],
-        F.lit(1).alias("__side"),
+        F.lit(1).alias("__side"), lstruct.alias("__l"),
     )
+    lnull = F.lit(None).cast(lu.schema["__l"].dataType) if keep_left else F.lit(None)
     ru = right.select(
         F.lit(None).cast(left.schema[left_id].dataType).alias("__id"), key, F.unix_micros("ts").alias("us"),
-        *value_cols, F.lit(0).alias("__side"),
+        *value_cols, F.lit(0).alias("__side"), lnull.alias("__l"),
     )
     b = F.floor(F.col("us") / F.lit(bucket_us)).cast("long")
     u = (
@@ -145,14 +149,15 @@ def latest_within(
     w = Window.partitionBy(key, "bucket").orderBy("us", "__side").rowsBetween(Window.unboundedPreceding, 0)
     r_us = F.when(F.col("__side") == 0, F.col("us"))
     picked = u.select(
-        "__id", "us", "__side",
+        "__id", "us", "__side", "__l",
         F.last(r_us, ignorenulls=True).over(w).alias("r_us"),
         *[F.last(F.when(F.col("__side") == 0, F.struct(*value_cols)), ignorenulls=True).over(w).alias("__v")],
     ).filter(F.col("__side") == 1)
     age = (F.col("us") - F.col("r_us")) / F.lit(1_000_000.0)
     live = age < F.lit(float(ttl_seconds))
+    head = [F.col("__l." + c).alias(c) for c in left.columns] if keep_left else [F.col("__id").alias(left_id)]
     return picked.select(
-        F.col("__id").alias(left_id),
+        *head,
         *[F.when(live, F.col("__v")[c]).alias(c) for c in value_cols],
         F.when(live, age).alias("age_seconds"),
     )

@@ -53,6 +53,7 @@ class DecisionInputs:
     lift_rules: DataFrame | None = None  # rule_order, segment, category, cond, multiplier
     audiences: list[config.Audience] | None = None
     scores: DataFrame | None = None  # optional model scores: request_id, campaign_id, pctr
+    user_context: DataFrame | None = None  # user_id, asof, segment, audience_memberships (one join)
 
 
 # ------------------------------------------------------------- catalog side
@@ -159,40 +160,45 @@ def lift_lookup(lift_rules: DataFrame, categories: DataFrame) -> DataFrame:
 def request_context(inp: DecisionInputs, start: dt.date, end: dt.date) -> DataFrame:
     """Per request: arm, model version, user segment and memberships as of
     the previous day (leak-free), live destination, external bid and
-    availability flags."""
+    availability flags.
+
+    Columns the request table already carries (bid, health flags) are used
+    in place; the destination as-of lookup carries the request columns
+    through its window (no join back); the user context is one join on
+    (user, day)."""
     r = inp.requests
-    arm = assign_arm(F.col("user_id"))
-    version = F.when(arm == "control", config.ARM_VERSIONS["control"]).otherwise(config.ARM_VERSIONS["treatment"])
-    mem = inp.memberships.select("user_id", F.col("asof").alias("ctx_day"), "audience_memberships")
-    out = (
-        r.select(
-            "request_id", "user_id", "ts", "request_date", "hour_of_day",
-            arm.alias("experiment_arm"), version.alias("model_version"),
-            F.date_sub("request_date", 1).alias("ctx_day"),
-        )
-        .join(mem, ["user_id", "ctx_day"], "left")
-        .join(inp.segments.select("user_id", "segment"), "user_id", "left")
+    have = set(r.columns)
+    own = [c for c in ("external_bid", "model_ok", "features_ok", "pacing_ok") if c in have]
+    base = r.select("request_id", "user_id", "ts", "request_date", "hour_of_day", *own)
+    dests = inp.destinations.select("user_id", "ts", F.col("category").alias("destination"))
+    out = latest_within(base, dests, "user_id", ["destination"], config.SESSION_TTL_SECONDS, keep_left=True).drop(
+        "age_seconds"
     )
-    dest = latest_within(
-        inp.requests.select("request_id", "user_id", "ts"),
-        inp.destinations.select("user_id", "ts", F.col("category").alias("destination")),
-        "user_id",
-        ["destination"],
-        config.SESSION_TTL_SECONDS,
-    ).select("request_id", "destination")
-    out = out.join(dest, "request_id", "left")
-    if inp.bids is not None:
-        out = out.join(inp.bids.select("request_id", F.col("bid").alias("external_bid")), "request_id", "left")
+    out = out.withColumn("ctx_day", F.date_sub("request_date", 1))
+    if inp.user_context is not None:
+        uc = inp.user_context.select("user_id", F.col("asof").alias("ctx_day"), "segment", "audience_memberships")
+        out = out.join(uc, ["user_id", "ctx_day"], "left")
     else:
-        out = out.withColumn("external_bid", F.lit(None).cast("double"))
-    if inp.availability is not None:
+        mem = inp.memberships.select("user_id", F.col("asof").alias("ctx_day"), "audience_memberships")
+        out = out.join(mem, ["user_id", "ctx_day"], "left").join(
+            inp.segments.select("user_id", "segment"), "user_id", "left"
+        )
+    if "external_bid" not in have:
+        if inp.bids is not None:
+            out = out.join(inp.bids.select("request_id", F.col("bid").alias("external_bid")), "request_id", "left")
+        else:
+            out = out.withColumn("external_bid", F.lit(None).cast("double"))
+    if inp.availability is not None and "model_ok" not in have:
         out = out.join(inp.availability, "request_id", "left")
     for c in ("model_ok", "features_ok", "pacing_ok"):
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(True))
-        else:
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(True)))
-    return out
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(True)) if c in out.columns else F.lit(True))
+    arm = assign_arm(F.col("user_id"))
+    version = F.when(arm == "control", config.ARM_VERSIONS["control"]).otherwise(config.ARM_VERSIONS["treatment"])
+    return out.select(
+        "request_id", "user_id", "ts", "request_date", "hour_of_day",
+        arm.alias("experiment_arm"), version.alias("model_version"), "ctx_day", "segment",
+        "audience_memberships", "destination", "external_bid", "model_ok", "features_ok", "pacing_ok",
+    )
 
 
 def candidates(req: DataFrame, catalog_days: DataFrame, audiences: list[config.Audience]) -> DataFrame:
@@ -329,86 +335,143 @@ def popularity_fallback(campaigns: DataFrame, ranking: DataFrame, start: dt.date
     return j.groupBy("day").agg(F.min_by("campaign_id", "popularity_rank").alias("fallback_campaign_id"))
 
 
+REQ_COLS = [
+    "user_id", "ts", "request_date", "hour_of_day", "experiment_arm", "model_version",
+    "external_bid", "model_ok", "features_ok", "pacing_ok",
+]
+
+
 def decide(inp: DecisionInputs, start: dt.date, end: dt.date) -> dict[str, DataFrame]:
     """Run the whole decision job.  Returns the intermediate frames and the
-    final ``decisions`` (one row per request, nested record D-09)."""
+    final ``decisions`` (one row per request, nested record D-09).
+
+    Shape: request context (written once) x broadcast live catalog ->
+    scored candidate pairs -> ONE groupBy(request) that builds the candidate
+    set, exclusions, scores, best eCPM and most urgent guaranteed pick
+    together (requests without any live campaign ride along as marker rows,
+    so no join back is needed) -> quota cap on the guaranteed picks ->
+    arbitration and fallback ladder as column expressions."""
     audiences = inp.audiences or []
-    # The request context and the (request x live campaign) table feed every
-    # later branch (eligibility, exclusions, scores, arbitration, records):
-    # each is written once to the shared checkpoint folder.
     req = materialize(request_context(inp, start, end))
     cat = materialize(catalog_day_table(inp.campaigns, inp.ledger, start, end))
-    cands = materialize(candidates(req, cat, audiences))
-    elig = eligible(cands)
-    excl = exclusions(cands, audiences)
+    cands = candidates(req, cat, audiences)
     if inp.scores is not None:
-        scored = score_with_model(elig, inp.scores)
+        sc = inp.scores.select("request_id", "campaign_id", F.col("pctr").alias("model_pctr"))
+        cands = cands.join(sc, ["request_id", "campaign_id"], "left")
+        p = boosted_pctr(F.coalesce("model_pctr", F.lit(0.0)), F.col("destination"), F.col("category"))
+        cands = cands.withColumn("pctr", p).drop("model_pctr")
     else:
-        lift = materialize(lift_lookup(inp.lift_rules, inp.campaigns))
-        scored = score_stand_in(elig, lift)
-    normal = req.filter(F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok"))
-    arb = arbitrate(normal.select("request_id", "external_bid"), elig, scored)
-
-    # D-09 nested record pieces, one aggregate per request each.
-    cset = elig.groupBy("request_id").agg(F.array_sort(F.collect_list("campaign_id")).alias("candidate_set"))
-    exs = excl.groupBy("request_id").agg(
-        F.array_sort(F.collect_list(F.struct("campaign_id", "audience", "definition_version"))).alias(
-            "audience_exclusions"
+        lift = F.broadcast(materialize(lift_lookup(inp.lift_rules, inp.campaigns)))
+        cands = cands.withColumn("day_part", day_part(F.col("hour_of_day"))).join(
+            lift, ["segment", "category", "day_part"], "left"
         )
+        base = click_probability(F.coalesce(F.col("lift"), F.lit(1.0)))
+        cands = cands.withColumn("pctr", boosted_pctr(base, F.col("destination"), F.col("category")))
+    cands = cands.withColumn("ecpm", ecpm(F.col("bid"), F.col("pctr")))
+
+    el = F.col("has_capacity") & F.col("audience_ok")
+    auc = el & (F.col("demand_type") == "auction")
+    excluded = F.col("has_capacity") & ~F.col("audience_ok")
+    if audiences:
+        vmap = F.create_map(*[x for a in audiences for x in (F.lit(a.name), F.lit(a.version).cast("long"))])
+        ver = lambda a: F.coalesce(F.try_element_at(vmap, a), F.lit(-1).cast("long"))
+    else:
+        ver = lambda a: F.lit(-1).cast("long")
+    markers = req.select("request_id", *REQ_COLS)
+    x = cands.unionByName(markers, allowMissingColumns=True)
+    per = x.groupBy("request_id").agg(
+        *[F.first(c).alias(c) for c in REQ_COLS],
+        F.array_sort(F.collect_list(F.when(el, F.col("campaign_id")))).alias("candidate_set"),
+        F.array_sort(
+            F.flatten(
+                F.collect_list(
+                    F.when(
+                        excluded,
+                        F.transform(
+                            "targeted_audiences",
+                            lambda a: F.struct(
+                                F.col("campaign_id").alias("campaign_id"), a.alias("audience"), ver(a).alias("definition_version")
+                            ),
+                        ),
+                    )
+                )
+            )
+        ).alias("audience_exclusions"),
+        F.array_sort(F.collect_list(F.when(auc, F.struct("campaign_id", "pctr", "ecpm")))).alias("scores"),
+        F.min_by(
+            F.when(auc, F.struct("campaign_id", "ecpm")),
+            F.when(auc, F.struct((-F.coalesce("ecpm", F.lit(0.0))).alias("k"), F.col("campaign_id"))),
+        ).alias("best"),
+        F.min_by(
+            F.when(el & F.col("behind"), F.struct("campaign_id", "quota")),
+            F.when(el & F.col("behind"), F.struct("urgency", "campaign_id")),
+        ).alias("pick"),
     )
-    scs = scored.groupBy("request_id").agg(
-        F.array_sort(F.collect_list(F.struct("campaign_id", "pctr", "ecpm"))).alias("scores")
+    ok = F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok")
+    picks = per.filter(ok & F.col("pick").isNotNull()).select(
+        "request_id", "request_date", "ts", F.col("pick.campaign_id").alias("g_winner"), F.col("pick.quota").alias("quota")
     )
+    kept = quota_capped(picks).select("request_id", "g_winner")
+    d = per.join(kept, "request_id", "left")
 
-    # D-07 fallback ladder.
-    fb = popularity_fallback(inp.campaigns, inp.popularity, start, end) if inp.popularity is not None else None
-    d = req.join(arb.select("request_id", "winner", "rung", "price"), "request_id", "left")
-    if fb is not None:
-        d = d.join(bounded(fb), d.request_date == fb.day, "left").drop("day")
-    else:
-        d = d.withColumn("fallback_campaign_id", F.lit(None).cast("long"))
+    best_ecpm = F.coalesce(F.col("best.ecpm"), F.lit(0.0))
+    ext = F.col("external_bid").isNotNull() & (F.col("external_bid") > best_ecpm)
+    winner = (
+        F.when(F.col("g_winner").isNotNull(), F.col("g_winner"))
+        .when(ext, F.lit(None).cast("long"))
+        .when(F.col("best").isNotNull(), F.col("best.campaign_id"))
+    )
+    rung = (
+        F.when(F.col("g_winner").isNotNull(), F.lit("guaranteed"))
+        .when(ext, F.lit("external"))
+        .when(F.col("best").isNotNull(), F.lit("auction"))
+        .otherwise(F.lit("none"))
+    )
+    price = (
+        F.when(F.col("g_winner").isNotNull(), F.lit(None).cast("double"))
+        .when(ext, F.col("external_bid"))
+        .when(F.col("best").isNotNull(), F.col("best.ecpm"))
+    )
     fallback = (
         F.when(~F.col("model_ok"), F.lit(RUNG_MODEL_DOWN))
         .when(~F.col("features_ok"), F.lit(RUNG_FEATURES_DOWN))
         .when(~F.col("pacing_ok"), F.lit(RUNG_PACING_DOWN))
     )
+    fb = popularity_fallback(inp.campaigns, inp.popularity, start, end) if inp.popularity is not None else None
+    if fb is not None:
+        fbb = bounded(fb)
+        d = d.join(fbb, d.request_date == fbb.day, "left").drop("day")
+    else:
+        d = d.withColumn("fallback_campaign_id", F.lit(None).cast("long"))
     d = d.withColumn("fallback_rung", fallback)
-    d = d.select(
-        "request_id", "user_id", "ts", "request_date", "hour_of_day", "experiment_arm", "model_version",
-        "external_bid", "fallback_rung",
-        F.when(F.col("fallback_rung") == RUNG_MODEL_DOWN, F.lit(config.HOUSE_AD_ID).cast("long"))
-        .when(F.col("fallback_rung").isNotNull(), F.col("fallback_campaign_id"))
-        .otherwise(F.col("winner"))
-        .alias("winner"),
-        F.coalesce(F.col("fallback_rung"), F.col("rung")).alias("rung"),
-        F.when(F.col("fallback_rung").isNull(), F.col("price")).alias("price"),
-        F.when(F.col("fallback_rung").isNotNull(), F.lit(None).cast("string"))
-        .when(F.col("external_bid").isNotNull(), F.lit("bid"))
-        .otherwise(F.lit("no_bid"))
-        .alias("external_bid_outcome"),
-    )
     full = F.col("fallback_rung").isNull()
-    d = d.join(cset, "request_id", "left").join(exs, "request_id", "left").join(scs, "request_id", "left")
-    empty_l = F.array().cast("array<long>")
     decisions = d.select(
         "request_id", "user_id", "ts", "request_date", "experiment_arm", "model_version",
-        F.when(full, F.coalesce("candidate_set", empty_l)).alias("candidate_set"),
-        F.when(full, F.coalesce("audience_exclusions", F.array().cast(exs.schema["audience_exclusions"].dataType))).alias(
-            "audience_exclusions"
-        ),
-        F.when(full, F.coalesce("scores", F.array().cast(scs.schema["scores"].dataType))).alias("scores"),
-        "external_bid_outcome",
+        F.when(full, F.col("candidate_set")).alias("candidate_set"),
+        F.when(full, F.col("audience_exclusions")).alias("audience_exclusions"),
+        F.when(full, F.col("scores")).alias("scores"),
+        F.when(~full, F.lit(None).cast("string"))
+        .when(F.col("external_bid").isNotNull(), F.lit("bid"))
+        .otherwise(F.lit("no_bid"))
+        .alias("external_bid_outcome"),
         F.when(full, F.col("external_bid")).alias("external_bid"),
-        "winner", "price", "rung", "fallback_rung",
+        F.when(F.col("fallback_rung") == RUNG_MODEL_DOWN, F.lit(config.HOUSE_AD_ID).cast("long"))
+        .when(~full, F.col("fallback_campaign_id"))
+        .otherwise(winner)
+        .alias("winner"),
+        F.coalesce(F.col("fallback_rung"), rung).alias("rung"),
+        F.when(full, price).alias("price"),
+        "fallback_rung",
     )
+    eligible_pairs = cands.filter(el)
     return {
         "requests": req,
         "catalog_days": cat,
         "candidates": cands,
-        "eligible": elig,
-        "exclusions": excl,
-        "scored": scored,
-        "arbitrated": arb,
+        "eligible": eligible_pairs,
+        "exclusions": exclusions(cands, audiences),
+        "scored": cands.filter(auc),
+        "arbitrated": decisions.filter(F.col("fallback_rung").isNull()).select("request_id", "winner", "rung", "price"),
         "decisions": decisions,
     }
 

@@ -475,3 +475,33 @@ def membership_lists(long: DataFrame) -> DataFrame:
             F.array_sort(F.collect_list(F.struct("audience_order", "audience"))), lambda s: s["audience"]
         ).alias("audience_memberships")
     )
+
+
+def membership_context(users, ad_events, rides, start: dt.date, end: dt.date, audiences) -> DataFrame:
+    """(user_id, asof, segment, audience_memberships) for every user and day
+    in [start, end] (empty list, not null): the per-day user context the
+    decision job joins once."""
+    first = start - dt.timedelta(days=29)
+    ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
+    daily = ev.groupBy("user_id", "category", "event_date").agg(
+        F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
+    )
+    x = _explode_days(daily, "event_date", start, end, 30)
+    cat = x.groupBy("user_id", "asof", "category").agg(F.sum("imps").alias("i"), F.sum("clicks").alias("c"))
+    cat_map = (
+        cat.filter(F.col("i") > 0)
+        .groupBy("user_id", "asof")
+        .agg(F.map_from_entries(F.collect_list(F.struct("category", F.col("c") / F.col("i")))).alias("user_ctr_by_category_30d"))
+    )
+    rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=6)), lit_date(end)))
+    daily_r = rd.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(F.count("*").alias("rides"))
+    r7 = (
+        _explode_days(daily_r, "event_date", start, end, 7)
+        .groupBy("user_id", "asof")
+        .agg(F.sum("rides").cast("double").alias("user_rides_per_week"))
+    )
+    spine = users.select("user_id", "segment", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof"))
+    ctx = spine.join(r7, ["user_id", "asof"], "left").join(cat_map, ["user_id", "asof"], "left")
+    match = audience_match_cols(audiences)
+    arr = F.array(*[F.when(c, F.lit(n)) for n, c in match]) if match else F.array().cast("array<string>")
+    return ctx.select("user_id", "asof", "segment", F.filter(arr, lambda s: s.isNotNull()).alias("audience_memberships"))

@@ -33,23 +33,25 @@ def fixture_inputs(spark, sf, availability: bool = True, scores: DataFrame | Non
     camps = tb.campaigns(spark, sf)
     segs = tb.user_segments(spark, sf)
     auds = config.fixture_audiences()
-    mem_long = ft.memberships_backfill(
-        segs, ev, tb.rides(spark, sf), START - dt.timedelta(days=1), END - dt.timedelta(days=1), auds
-    )
     sess = tb.session_events(spark, sf)
     dests = sess.filter(F.col("event_type") == "destination_entered").select(
         "user_id", "ts", F.col("payload")["category"].alias("category")
     )
     ad_ctr = ft.ctr_overall(tb.ad_events(spark, sf, with_category=False), AS_OF, 30, "campaign_id", "ad_ctr_30d")
+    # Bid and dependency health are columns of the request event itself.
+    reqs = tb.requests_enriched(spark, sf)
     return dc.DecisionInputs(
-        requests=tb.requests(spark, sf),
+        requests=reqs if availability else reqs.drop("model_ok", "features_ok", "pacing_ok"),
         campaigns=camps,
         segments=segs,
-        memberships=ft.membership_lists(mem_long),
+        memberships=None,
+        user_context=ft.membership_context(
+            segs, ev, tb.rides(spark, sf), START - dt.timedelta(days=1), END - dt.timedelta(days=1), auds
+        ),
         destinations=dests,
         ledger=dc.ledger_from_impressions(ev, camps),
-        bids=tb.external_bids(spark, sf),
-        availability=tb.availability(spark, sf) if availability else None,
+        bids=None,
+        availability=None,
         popularity=dc.popularity_ranking(camps, ad_ctr),
         lift_rules=config.lift_rules_df(spark),
         audiences=auds,
@@ -193,7 +195,7 @@ _DEC_CTES: list[tuple[str, str]] = membership_ctes(START - dt.timedelta(days=1),
              FROM (SELECT request_id, request_date, ts, campaign_id AS g_winner, quota FROM (
                      SELECT request_id, request_date, ts, campaign_id, quota,
                        row_number() OVER (PARTITION BY request_id ORDER BY urgency, campaign_id) AS rn
-                     FROM elig WHERE behind) WHERE rn = 1))
+                     FROM elig WHERE behind AND model_ok AND features_ok AND pacing_ok) WHERE rn = 1))
            WHERE qr <= quota""",
     ),
     (

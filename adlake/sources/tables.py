@@ -214,6 +214,24 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def requests_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """requests + external bid + dependency health, all columns of the same
+    request event (one scan, no joins)."""
+    e = read(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+    v = F.col("value")
+    return e.select(
+        F.col("event_id").alias("request_id"),
+        "user_id",
+        event_ts().alias("ts"),
+        F.to_date(event_ts()).alias("request_date"),
+        F.hour(event_ts()).cast("long").alias("hour_of_day"),
+        F.when(F.col("event_id") % 3 == 0, v / 100.0).alias("external_bid"),
+        (~((v >= 2) & (v < 3))).alias("model_ok"),
+        (~(v < 1)).alias("features_ok"),
+        (~((v >= 1) & (v < 2))).alias("pacing_ok"),
+    )
+
+
 def request_latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-request stage latency samples: the request event's value plays
     the end-to-end ('total') latency in ms."""
