@@ -477,10 +477,11 @@ def membership_lists(long: DataFrame) -> DataFrame:
     )
 
 
-def membership_context(users, ad_events, rides, start: dt.date, end: dt.date, audiences) -> DataFrame:
+def membership_context(users, ad_events, rides, start: dt.date, end: dt.date, audiences, with_inputs: bool = False) -> DataFrame:
     """(user_id, asof, segment, audience_memberships) for every user and day
     in [start, end] (empty list, not null): the per-day user context the
-    decision job joins once."""
+    decision job joins once.  ``with_inputs`` also returns the category CTR
+    map the rules read (so a snapshot needs no second pass for it)."""
     first = start - dt.timedelta(days=29)
     ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
     daily = ev.groupBy("user_id", "category", "event_date").agg(
@@ -504,4 +505,7 @@ def membership_context(users, ad_events, rides, start: dt.date, end: dt.date, au
     ctx = spine.join(r7, ["user_id", "asof"], "left").join(cat_map, ["user_id", "asof"], "left")
     match = audience_match_cols(audiences)
     arr = F.array(*[F.when(c, F.lit(n)) for n, c in match]) if match else F.array().cast("array<string>")
-    return ctx.select("user_id", "asof", "segment", F.filter(arr, lambda s: s.isNotNull()).alias("audience_memberships"))
+    extra = ["user_ctr_by_category_30d"] if with_inputs else []
+    return ctx.select(
+        "user_id", "asof", "segment", F.filter(arr, lambda s: s.isNotNull()).alias("audience_memberships"), *extra
+    )

@@ -4,6 +4,7 @@ functions (crosses, labels, Wilson, defaults)."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -15,13 +16,27 @@ from adlake.plans.catalog import query
 from adlake.plans.q_decisions import DV, run_decisions
 from adlake.plans.q_features import AS_OF
 from adlake.plans.sql_views import with_views as V
+from adlake.session import scratch_path
+from adlake.sources import decision_log as dlog
 from adlake.sources import tables as tb
 
 Z = config.Z_95
 
 
+_LOGS: dict[tuple[int, str], str] = {}
+
+
 def _decisions(spark, sf):
-    return run_decisions(spark, sf)["decisions"]
+    """The decision log the reports read: written by the decision job (once
+    per session and input folder) and read back with its fixed schema -
+    reports never recompute the decision job."""
+    key = (id(spark._jsparkSession), sf)
+    path = _LOGS.get(key)
+    if path is None:
+        path = scratch_path(spark, f"decision-log-{uuid.uuid4().hex}")
+        dlog.append(run_decisions(spark, sf)["decisions"], path)
+        _LOGS[key] = path
+    return dlog.read(spark, path)
 
 
 _CAP = "CASE WHEN c.demand_type = 'guaranteed' THEN CAST(c.impression_goal AS DOUBLE) ELSE c.budget END"

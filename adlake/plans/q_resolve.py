@@ -26,16 +26,15 @@ KNOWN_SQL = ", ".join(f"'{t}'" for t in config.KNOWN_EVENT_TYPES)
 
 
 def daily_user_snapshot(spark, sf, start=START, end=END):
-    """Every user x day snapshot with all user features (wide)."""
+    """Every user x day snapshot with all user features (wide): the numeric
+    backfill joined once with the per-day context (memberships + category
+    CTR map, computed in one exploded pass)."""
     ev = tb.ad_events(spark, sf)
     ub = ft.backfill_user(tb.users(spark, sf), ev, tb.rides(spark, sf), start, end)
-    mem = ft.membership_lists(
-        ft.memberships_backfill(tb.user_segments(spark, sf), ev, tb.rides(spark, sf), start, end, config.fixture_audiences())
-    )
-    cat = tr.category_ctr_backfill(ev, start, end).groupBy("user_id", "asof").agg(
-        F.map_from_entries(F.collect_list(F.struct("category", "cat_ctr"))).alias("user_ctr_by_category_30d")
-    )
-    return ub.join(mem, ["user_id", "asof"], "left").join(cat, ["user_id", "asof"], "left").withColumn(
+    ctx = ft.membership_context(
+        tb.user_segments(spark, sf), ev, tb.rides(spark, sf), start, end, config.fixture_audiences(), with_inputs=True
+    ).drop("segment")
+    return ub.join(ctx, ["user_id", "asof"], "left").withColumn(
         "audience_memberships", F.coalesce("audience_memberships", F.array().cast("array<string>"))
     )
 
