@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from adlake.functions.scalar import lit_date
 
 DAY_SECONDS = 86400
+HOUR_SECONDS = 3600
 
 
 def attribute_clicks(
     ad_events: DataFrame,
     keys: tuple[str, ...] = ("user_id", "campaign_id"),
     max_age_seconds: int | None = None,
-    bucket_seconds: int = DAY_SECONDS,
+    bucket_seconds: int = HOUR_SECONDS,
 ) -> DataFrame:
     """J-05: for every click, the latest impression of the same keys at or
     before the click (ties: impression first), optionally within
@@ -125,10 +126,10 @@ def latest_within(
     every left column - no join back needed), value_cols and
     ``age_seconds`` (nulls when nothing is live).
 
-    Rows are bucketed by time (bucket >= ttl); right rows are also copied
+    Rows are bucketed by time (bucket = ttl); right rows are also copied
     into the next bucket, so each (key, bucket) window holds at most two
     buckets of one key and a hot key is split across many tasks."""
-    bucket_us = max(3600, ttl_seconds) * 1_000_000
+    bucket_us = ttl_seconds * 1_000_000  # a bucket spans one lifetime: two buckets hold every live row
     lstruct = F.struct(*[F.col(c) for c in left.columns]) if keep_left else F.lit(None)
     lu = left.select(
         F.col(left_id).alias("__id"), key, F.unix_micros("ts").alias("us"),

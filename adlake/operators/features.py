@@ -11,6 +11,7 @@ before anything is shuffled.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -361,75 +362,121 @@ def _explode_days(daily: DataFrame, day_col: str, start: dt.date, end: dt.date,
     )
 
 
-def backfill_user(users, ad_events, rides, start: dt.date, end: dt.date) -> DataFrame:
+@dataclass(frozen=True)
+class FeatureSpec:
+    """X-01: a batch feature declares its entity, daily measure and window;
+    the framework composes every declared feature of an entity into ONE
+    exploded pass (W-01).  Measures:
+      ctr              clicks / impressions in the window (only with impressions)
+      impressions      impression count (absent when 0)
+      rides            ride count as double (absent when 0)
+      spend_yesterday  auction: impressions on as_of - 1 x bid; guaranteed: 0.0
+    """
+
+    name: str
+    entity: str
+    measure: str
+    window_days: int
+
+
+# The registry's event-derived batch features (windows from config.REGISTRY).
+FEATURE_SPECS = [
+    FeatureSpec("user_ctr_30d", "user", "ctr", 30),
+    FeatureSpec("user_impressions_7d", "user", "impressions", 7),
+    FeatureSpec("user_rides_per_week", "user", "rides", 7),
+    FeatureSpec("ad_ctr_7d", "ad", "ctr", 7),
+    FeatureSpec("ad_ctr_30d", "ad", "ctr", 30),
+    FeatureSpec("ad_impressions_7d", "ad", "impressions", 7),
+    FeatureSpec("campaign_spend_yesterday", "ad", "spend_yesterday", 1),
+]
+
+
+def _spec_aggs(specs: list[FeatureSpec]) -> list[Column]:
+    """Conditional window sums over exploded (key, asof, offset) rows, one per
+    distinct (daily measure, window) the specs need."""
+    need: dict[str, Column] = {}
+    for s in specs:
+        w = s.window_days
+        inw = F.col("offset") < w
+        if s.measure == "ctr":
+            need[f"imps_{w}"] = F.sum(F.when(inw, F.col("imps")).otherwise(0))
+            need[f"clicks_{w}"] = F.sum(F.when(inw, F.col("clicks")).otherwise(0))
+        elif s.measure == "impressions":
+            need[f"imps_{w}"] = F.sum(F.when(inw, F.col("imps")).otherwise(0))
+        elif s.measure == "rides":
+            need[f"rides_{w}"] = F.sum(F.when(inw, F.col("rides")).otherwise(0))
+        elif s.measure == "spend_yesterday":
+            need["imps_y"] = F.sum(F.when(F.col("offset") == 1, F.col("imps")).otherwise(0))
+        else:
+            raise ValueError(f"unknown measure {s.measure!r}")
+    return [c.alias(n) for n, c in need.items()]
+
+
+def _spec_output(s: FeatureSpec) -> Column:
+    w = s.window_days
+    if s.measure == "ctr":
+        return F.when(F.col(f"imps_{w}") > 0, F.col(f"clicks_{w}") / F.col(f"imps_{w}")).alias(s.name)
+    if s.measure == "impressions":
+        return F.when(F.col(f"imps_{w}") > 0, F.col(f"imps_{w}")).alias(s.name)
+    if s.measure == "rides":
+        return F.when(F.col(f"rides_{w}") > 0, F.col(f"rides_{w}").cast("double")).alias(s.name)
+    return (
+        F.when(F.col("demand_type") == "auction", F.coalesce("imps_y", F.lit(0)) * F.col("bid"))
+        .when(F.col("demand_type") == "guaranteed", F.lit(0.0))
+        .alias(s.name)
+    )
+
+
+def compose_backfill(
+    daily: DataFrame, key: str, spine: DataFrame, specs: list[FeatureSpec], start: dt.date, end: dt.date
+) -> DataFrame:
+    """W-01 for any set of specs: daily (key, event_date, imps, clicks, rides)
+    rows are exploded to the snapshot days they feed (max window <= 30),
+    summed once by (key, asof), and full-joined to the (key, asof) spine."""
+    max_w = max(max(s.window_days for s in specs), 2)
+    x = _explode_days(daily, "event_date", start, end, max_w)
+    rolled = x.groupBy(key, "asof").agg(*_spec_aggs(specs))
+    j = spine.join(rolled, [key, "asof"], "full")
+    return j.select(key, "asof", *[c for c in spine.columns if c not in (key, "asof")], *[_spec_output(s) for s in specs])
+
+
+def _daily_counts(ad_events: DataFrame, key: str, first: dt.date, end: dt.date) -> DataFrame:
+    ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
+    return ev.groupBy(key, "event_date").agg(
+        F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
+    ).withColumn("rides", F.lit(0).cast("long"))
+
+
+def backfill_user(users, ad_events, rides, start: dt.date, end: dt.date, specs: list[FeatureSpec] | None = None) -> DataFrame:
     """W-01 for users: every user and every day in [start, end] in one pass.
 
     daily (user, day) counts -> exploded to the days they feed -> summed by
     (user, asof): two shuffles over pre-aggregated rows, independent of the
     number of days.  Account age rides on a users x days spine."""
-    first = start - dt.timedelta(days=29)
-    ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
-    daily_ev = ev.groupBy("user_id", "event_date").agg(
-        F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
-    ).withColumn("rides", F.lit(0).cast("long"))
-    rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=6)), lit_date(end)))
+    specs = specs or [s for s in FEATURE_SPECS if s.entity == "user"]
+    max_w = max(s.window_days for s in specs)
+    daily = _daily_counts(ad_events, "user_id", start - dt.timedelta(days=max_w - 1), end)
+    rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=max_w - 1)), lit_date(end)))
     daily_rides = rd.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(
         F.lit(0).cast("long").alias("imps"), F.lit(0).cast("long").alias("clicks"), F.count("*").alias("rides")
     )
-    daily = daily_ev.unionByName(daily_rides)
-    x = _explode_days(daily, "event_date", start, end, 30)
-    w7 = F.col("offset") < 7
-    rolled = x.groupBy("user_id", "asof").agg(
-        F.sum("imps").alias("imps30"),
-        F.sum("clicks").alias("clicks30"),
-        F.sum(F.when(w7, F.col("imps")).otherwise(0)).alias("imps7"),
-        F.sum(F.when(w7, F.col("rides")).otherwise(0)).alias("rides7"),
-    )
-    feats = rolled.select(
-        "user_id",
-        "asof",
-        F.when(F.col("imps30") > 0, F.col("clicks30") / F.col("imps30")).alias("user_ctr_30d"),
-        F.when(F.col("imps7") > 0, F.col("imps7")).alias("user_impressions_7d"),
-        F.when(F.col("rides7") > 0, F.col("rides7").cast("double")).alias("user_rides_per_week"),
-    )
     spine = users.select(
         "user_id", "created_at", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof")
     ).select("user_id", "asof", account_age_days("created_at", F.col("asof")).alias("user_account_age_days"))
-    return spine.join(feats, ["user_id", "asof"], "full").select(
-        "user_id", "asof", "user_ctr_30d", "user_impressions_7d", "user_rides_per_week", "user_account_age_days"
-    )
+    out = compose_backfill(daily.unionByName(daily_rides), "user_id", spine, specs, start, end)
+    return out.select("user_id", "asof", *[s.name for s in specs], "user_account_age_days")
 
 
-def backfill_ad(ad_events, campaigns, start: dt.date, end: dt.date) -> DataFrame:
+def backfill_ad(ad_events, campaigns, start: dt.date, end: dt.date, specs: list[FeatureSpec] | None = None) -> DataFrame:
     """W-01 for ads: every campaign and every day in [start, end]."""
-    first = start - dt.timedelta(days=29)
-    ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
-    daily = ev.groupBy("campaign_id", "event_date").agg(
-        F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
-    )
-    x = _explode_days(daily, "event_date", start, end, 30)
-    w7 = F.col("offset") < 7
-    rolled = x.groupBy("campaign_id", "asof").agg(
-        F.sum("imps").alias("imps30"),
-        F.sum("clicks").alias("clicks30"),
-        F.sum(F.when(w7, F.col("imps")).otherwise(0)).alias("imps7"),
-        F.sum(F.when(w7, F.col("clicks")).otherwise(0)).alias("clicks7"),
-        F.sum(F.when(F.col("offset") == 1, F.col("imps")).otherwise(0)).alias("imps_y"),
-    )
+    specs = specs or [s for s in FEATURE_SPECS if s.entity == "ad"]
+    max_w = max(s.window_days for s in specs)
+    daily = _daily_counts(ad_events, "campaign_id", start - dt.timedelta(days=max_w - 1), end)
     spine = campaigns.select(
         "campaign_id", "demand_type", "bid", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof")
     )
-    j = spine.join(rolled, ["campaign_id", "asof"], "full")
-    return j.select(
-        "campaign_id",
-        "asof",
-        F.when(F.col("imps7") > 0, F.col("clicks7") / F.col("imps7")).alias("ad_ctr_7d"),
-        F.when(F.col("imps30") > 0, F.col("clicks30") / F.col("imps30")).alias("ad_ctr_30d"),
-        F.when(F.col("imps7") > 0, F.col("imps7")).alias("ad_impressions_7d"),
-        F.when(F.col("demand_type") == "auction", F.coalesce("imps_y", F.lit(0)) * F.col("bid"))
-        .when(F.col("demand_type") == "guaranteed", F.lit(0.0))
-        .alias("campaign_spend_yesterday"),
-    )
+    out = compose_backfill(daily, "campaign_id", spine, specs, start, end)
+    return out.select("campaign_id", "asof", *[s.name for s in specs])
 
 
 def memberships_backfill(users, ad_events, rides, start: dt.date, end: dt.date, audiences) -> DataFrame:

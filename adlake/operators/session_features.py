@@ -18,17 +18,18 @@ def trailing_count(
     events: DataFrame,
     event_type: str,
     window_seconds: int = config.TRAILING_COUNT_SECONDS,
-    bucket_us: int = HOUR_US,
+    bucket_us: int | None = None,
     out: str = "count_10min",
 ) -> DataFrame:
     """W-02: for each event of ``event_type``, the number of distinct events
     (by event_id) of that user and type with ts in (t - window, t].
 
-    Skew-safe form: rows are bucketed by hour; each bucket also sees the
+    Skew-safe form: rows are bucketed by the window length; each bucket also sees the
     previous bucket's rows as context (window < bucket), so the window is
     partitioned by (user, bucket) instead of by user alone.  Redelivered
     event ids are dropped inside the same partition (adjacent after the
     sort), so no extra shuffle is needed for de-duplication."""
+    bucket_us = bucket_us or window_seconds * MICROS  # one window per bucket
     assert window_seconds * MICROS <= bucket_us
     ev = events.filter(F.col("event_type") == event_type).select(
         "event_id", "user_id", "ts", F.unix_micros("ts").alias("us")
