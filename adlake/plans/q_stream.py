@@ -165,7 +165,7 @@ def parse_event_json(spark, sf):
 import uuid  # noqa: E402
 
 from adlake.operators import decisions as dc  # noqa: E402
-from adlake.session import scratch_path  # noqa: E402
+from adlake.session import materialize, scratch_path  # noqa: E402
 from adlake.streaming import session_stream as st  # noqa: E402
 
 STREAM_DAYS_PER_CHUNK = 5
@@ -298,6 +298,16 @@ def stream_decisions(spark, sf):
         F.to_date("ts").alias("request_date"), F.hour("ts").cast("long").alias("hour_of_day"),
     )
     static = fixture_inputs(spark, sf)
+    # The static side of the stream-static join is computed once, not per
+    # micro-batch: the per-day user context, session destinations and the
+    # popularity list are written to the shared checkpoint folder.
+    static.user_context = materialize(static.user_context)
+    static.destinations = materialize(static.destinations)
+    static.popularity = materialize(static.popularity)
+    static.ledger = materialize(static.ledger)
+    # Bid responses and dependency health are side inputs keyed by request.
+    static.bids = tb.external_bids(spark, sf)
+    static.availability = tb.availability(spark, sf)
 
     def decide_batch(batch, batch_id):
         inp = dc.DecisionInputs(**{**static.__dict__, "requests": batch})

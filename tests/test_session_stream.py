@@ -138,3 +138,10 @@ def test_malformed_records_go_to_side_output(spark):
     p = st.parse(raw)
     assert p.filter(~F.col("_corrupt")).count() == 1
     assert p.filter(F.col("_corrupt")).select("raw").first().raw == "not json"
+
+
+def test_stream_decisions_equal_batch_decisions(spark):
+    """T-10: deciding per micro-batch (whole days per batch) gives the batch
+    job's decisions."""
+    cols = ["request_id", "winner", "rung"]
+    assert _rows(_run(spark, SF001, "stream_decisions"), cols) == _rows(_run(spark, SF001, "decide_with_fallback"), cols)
