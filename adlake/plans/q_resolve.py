@@ -41,10 +41,8 @@ def daily_user_snapshot(spark, sf, start=START, end=END):
 
 def _resolved(spark, sf):
     req = tb.requests(spark, sf).select("request_id", "user_id", "ts")
-    rt = rs.realtime_values(req, tb.session_events(spark, sf))
     snap = daily_user_snapshot(spark, sf)
-    pub = rs.publish_daily(snap, USER_NUM + ["audience_memberships", "user_ctr_by_category_30d"])
-    return rs.resolve(req, REQ_FEATURES, rt, pub)
+    return rs.resolve_wide(req, REQ_FEATURES, tb.session_events(spark, sf), snap)
 
 
 def _sla(name):
