@@ -177,7 +177,7 @@ def train_holdout_split(spark, sf):
 @query(
     "auc_popularity_baseline",
     TV(
-        f"""SELECT CASE WHEN p > 0 AND n > 0 THEN num / (p * n) ELSE 'nan'::DOUBLE END AS auc, p AS positives, n AS negatives FROM (
+        f"""SELECT CASE WHEN p > 0 AND n > 0 THEN num / (p * n) ELSE 'nan'::DOUBLE END AS auc, CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives FROM (
               SELECT sum(pos * (neg_below + 0.5 * neg)) AS num, sum(pos) AS p, sum(neg) AS n FROM (
                 SELECT s, pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
                 FROM (SELECT ad_ctr_30d AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg

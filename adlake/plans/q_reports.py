@@ -157,7 +157,7 @@ def latency_histogram(spark, sf):
     DV(
         """SELECT poll_ts, requests_total, greatest(0, requests_total - prev) / 3600.0 AS requests_per_sec FROM (
              SELECT poll_ts, requests_total, lag(requests_total) OVER (ORDER BY poll_ts) AS prev FROM (
-               SELECT s.poll_ts, sum(coalesce(c.n, 0)) OVER (ORDER BY s.poll_ts) AS requests_total
+               SELECT s.poll_ts, CAST(sum(coalesce(c.n, 0)) OVER (ORDER BY s.poll_ts) AS BIGINT) AS requests_total
                FROM (SELECT unnest(generate_series(min(p), max(p), INTERVAL 1 HOUR)) AS poll_ts FROM
                        (SELECT make_timestamp(CAST((floor(epoch(ts) / 3600) + 1) * 3600 * 1000000 AS BIGINT)) AS p FROM dec)) s
                LEFT JOIN (SELECT p, count(*) AS n FROM
