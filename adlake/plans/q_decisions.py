@@ -59,12 +59,21 @@ def fixture_inputs(spark, sf, availability: bool = True, scores: DataFrame | Non
     )
 
 
+_RUNS: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
 def run_decisions(spark, sf, **kw) -> dict[str, DataFrame]:
-    """The decision job on the fixture inputs; the decision table is written
-    once (like the decision log) so reports reading it several times do not
-    recompute the job."""
+    """The decision job on the fixture inputs.  The decision table is written
+    once (like the decision log): within a session every later query that
+    reads the decisions of the same inputs reads that written table instead
+    of re-running the job."""
+    key = (id(spark._jsparkSession), sf)
+    if not kw and key in _RUNS:
+        return _RUNS[key]
     out = dc.decide(fixture_inputs(spark, sf, **kw), START, END)
     out["decisions"] = materialize(out["decisions"])
+    if not kw:
+        _RUNS[key] = out
     return out
 
 

@@ -75,9 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder (reliable
-    checkpoint) and continue from the written copy.  Used for intermediates
-    that several branches of a job read, so they are computed once and
-    survive the loss of the executors that computed them."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint
+    folder and continue from the written copy.  Used for intermediates that
+    several branches of a job read, so they are computed once (a reliable
+    RDD checkpoint would compute them twice) and survive the loss of the
+    executors that computed them; readers get column pruning for free."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"materialized/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
