@@ -201,11 +201,33 @@ def request_context(inp: DecisionInputs, start: dt.date, end: dt.date) -> DataFr
     )
 
 
+def join_live_catalog(
+    req: DataFrame, catalog_days: DataFrame, salt_buckets: int | None = None, broadcast_limit: int | None = None
+) -> DataFrame:
+    """Every request x every campaign live on its day.
+
+    A size-checked catalog (x flight days) is broadcast: a hash join per
+    request partition, no shuffle of the requests.  A catalog too large to
+    broadcast would turn this into a join on the day alone (a handful of
+    keys, one giant partition each), so it is salted instead: catalog rows
+    are split into N buckets by campaign id, every request is replicated
+    once per bucket, and the join runs on (day, bucket)."""
+    from adlake.sources.tables import BROADCAST_ROW_LIMIT, is_bounded
+
+    if is_bounded(catalog_days, broadcast_limit or BROADCAST_ROW_LIMIT):
+        cat = F.broadcast(catalog_days)
+        return req.join(cat, req.request_date == cat.day).drop("day")
+    spark = req.sparkSession
+    n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cat = catalog_days.withColumn("__salt", F.pmod(F.xxhash64("campaign_id"), F.lit(n)))
+    r = req.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")))
+    return r.join(cat, (r.request_date == cat.day) & (r["__salt"] == cat["__salt"])).drop("day", "__salt")
+
+
 def candidates(req: DataFrame, catalog_days: DataFrame, audiences: list[config.Audience]) -> DataFrame:
     """J-10 + D-01 + D-02 inputs: every (request, live campaign) pair with its
     retrieval outcome.  Equi-join on the day against the broadcast catalog."""
-    cat = bounded(catalog_days)
-    j = req.join(cat, req.request_date == cat.day).drop("day")
+    j = join_live_catalog(req, catalog_days)
     targeted = F.col("targeted_audiences")
     members = F.coalesce(F.col("audience_memberships"), F.array().cast("array<string>"))
     aud_ok = (F.size(targeted) == 0) | F.arrays_overlap(targeted, members)

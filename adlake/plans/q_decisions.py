@@ -286,9 +286,8 @@ def DV(body: str, upto: str | None = None, extra: list[tuple[str, str]] | None =
 def requests_x_live_campaigns(spark, sf):
     """J-04 / J-10: every request with every campaign live on its day.  The
     flight range join is an equi-join on the exploded (campaign, day)."""
-    live = tb.bounded(dc.live_days(tb.campaigns(spark, sf), START, END).select("campaign_id", "day"))
-    r = tb.requests(spark, sf)
-    return r.join(live, r.request_date == live.day).select("request_id", "campaign_id")
+    live = dc.live_days(tb.campaigns(spark, sf), START, END).select("campaign_id", "day")
+    return dc.join_live_catalog(tb.requests(spark, sf), live).select("request_id", "campaign_id")
 
 
 @query(

@@ -47,6 +47,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _BOUND_CHECKS: dict[tuple[int, int], bool] = {}
 
 
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
+    """True if ``df`` provably has at most ``max_rows`` rows (remembered per plan)."""
+    return bounded(df, max_rows) is not df
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows
     (a limit+count job on the small side); otherwise leave the join strategy
