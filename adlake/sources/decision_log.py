@@ -64,10 +64,12 @@ def conform(df: DataFrame) -> DataFrame:
     )
 
 
-def append(decisions: DataFrame, path: str) -> None:
+def append(decisions: DataFrame, path: str, files_per_day: int = 16) -> None:
     """S-04: append, partitioned by decision date."""
     out = conform(decisions).withColumn("decision_date", F.col("request_date"))
-    out.write.mode("append").partitionBy("decision_date").parquet(path)
+    # one day spread over several writers, each writing few files
+    bucket = F.pmod(F.xxhash64("request_id"), F.lit(files_per_day))
+    out.repartition("decision_date", bucket).write.mode("append").partitionBy("decision_date").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

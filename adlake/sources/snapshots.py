@@ -19,11 +19,15 @@ def entity_path(root: str, entity: str) -> str:
     return f"{root.rstrip('/')}/entity={entity}"
 
 
-def write_snapshot(df: DataFrame, root: str, entity: str, asof_col: str = "asof") -> None:
+def write_snapshot(df: DataFrame, root: str, entity: str, asof_col: str = "asof", files_per_day: int = 16) -> None:
     """S-02: overwrite only the asof partitions present in ``df`` (dynamic
-    partition overwrite), clustered by asof so each task writes few files."""
+    partition overwrite).  Rows are clustered by (asof, hash bucket of the
+    entity id): one day is spread over ``files_per_day`` tasks (a day is
+    never a single task) and each task writes few files."""
+    key = ENTITY_KEY[entity]
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_day))
     (
-        df.repartition(asof_col)
+        df.repartition(asof_col, bucket)
         .sortWithinPartitions(asof_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
