@@ -247,3 +247,45 @@ def batch_partition_writer(out: str):
         ).partitionBy("batch_id").parquet(out)
 
     return fn
+
+
+# ---------------------------------------------------------- plug-in specs
+
+
+class StreamFeatureSpec:
+    """X-02: a stream feature declares the event type it listens to and the
+    aggregate kind; the framework builds the streaming DataFrame:
+      latest          latest payload[payload_key] per user (update mode)
+      trailing_count  distinct events in (t - window, t] per event (keyed state)
+      presence        session windows of known events (activity sessions)
+    """
+
+    def __init__(self, name: str, event_type: str | None, kind: str, payload_key: str | None = None,
+                 window_seconds: int | None = None):
+        self.name, self.event_type, self.kind = name, event_type, kind
+        self.payload_key, self.window_seconds = payload_key, window_seconds
+
+
+# The registry's session features (names and windows from config.REGISTRY).
+STREAM_FEATURES = [
+    StreamFeatureSpec("user_session_active", None, "presence"),
+    StreamFeatureSpec("user_current_destination_category", "destination_entered", "latest", "category"),
+    StreamFeatureSpec("user_current_ride_type", "ride_type_selected", "latest", "ride_type"),
+    StreamFeatureSpec("user_screens_viewed_10min", "app_screen_view", "trailing_count", window_seconds=config.TRAILING_COUNT_SECONDS),
+    StreamFeatureSpec("promos_viewed_10min", "promo_viewed", "trailing_count", window_seconds=config.TRAILING_COUNT_SECONDS),
+]
+
+
+def build_stream_feature(events: DataFrame, spec: StreamFeatureSpec) -> DataFrame:
+    """One streaming DataFrame per declared feature, over one parsed stream."""
+    if spec.kind == "latest":
+        ev = events.filter(F.col("event_type") == spec.event_type)
+        return ev.groupBy("user_id").agg(
+            F.max_by(F.col("payload")[spec.payload_key], F.struct("ts", "event_id")).alias(spec.name),
+            F.max("ts").alias("updated_ts"),
+        )
+    if spec.kind == "trailing_count":
+        return trailing_counts(events, spec.event_type, spec.window_seconds).withColumnRenamed("count_10min", spec.name)
+    if spec.kind == "presence":
+        return sessions(events)
+    raise ValueError(f"unknown stream feature kind {spec.kind!r}")

@@ -145,3 +145,19 @@ def test_stream_decisions_equal_batch_decisions(spark):
     job's decisions."""
     cols = ["request_id", "winner", "rung"]
     assert _rows(_run(spark, SF001, "stream_decisions"), cols) == _rows(_run(spark, SF001, "decide_with_fallback"), cols)
+
+
+def test_declared_stream_features_build(spark):
+    """X-02: every declared session feature builds a streaming plan over one
+    parsed stream, and each name is in the registry."""
+    from adlake import config
+
+    root = scratch_path(spark, f"specs-{uuid.uuid4().hex}")
+    from adlake.sources import tables as tb
+
+    st.write_replay(tb.session_events(spark, SF001), root + "/in", st.day_chunks(config.FIXTURE_START, config.FIXTURE_AS_OF, 30), 1)
+    ev = st.parse(st.read_stream(spark, root + "/in", 1)).filter(~F.col("_corrupt"))
+    names = {n for n, *_ in config.REGISTRY}
+    for spec in st.STREAM_FEATURES:
+        df = st.build_stream_feature(ev, spec)
+        assert df.isStreaming and spec.name in names
