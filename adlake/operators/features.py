@@ -275,51 +275,6 @@ def merge_entity_frames(frames: list[DataFrame], key: str) -> DataFrame:
     return u.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
-def user_snapshot(users, ad_events, rides, as_of: dt.date, audiences) -> DataFrame:
-    """All user features as of a day (the reference's per-day batch run).
-
-    Event features come from ONE aggregate over the 30-day window."""
-    w = events_in_window(ad_events, as_of, 30)
-    in7 = in_window("event_date", as_of, 7)
-    per_cat = w.groupBy("user_id", "category").agg(
-        F.count_if(IMP()).alias("imps30"), F.count_if(CLK()).alias("clicks30"), F.count_if(IMP() & in7).alias("imps7")
-    )
-    ev = per_cat.groupBy("user_id").agg(
-        F.sum("imps30").alias("imps30"),
-        F.sum("clicks30").alias("clicks30"),
-        F.sum("imps7").alias("imps7"),
-        F.map_from_entries(
-            F.filter(
-                F.collect_list(F.struct("category", (F.col("clicks30") / F.col("imps30")).alias("ctr"))),
-                lambda s: s["ctr"].isNotNull(),
-            )
-        ).alias("cat_map"),
-    )
-    ev = ev.select(
-        "user_id",
-        F.when(F.col("imps30") > 0, F.col("clicks30") / F.col("imps30")).alias("user_ctr_30d"),
-        F.when(F.col("imps7") > 0, F.col("imps7")).alias("user_impressions_7d"),
-        F.when(F.col("imps30") > 0, F.col("cat_map")).alias("user_ctr_by_category_30d"),
-    )
-    r = rides_count(rides, as_of, 7)
-    base = users.select("user_id", "segment", account_age_days("created_at", as_of).alias("user_account_age_days"))
-    snap = base.join(ev, "user_id", "full").join(r, "user_id", "full")
-    ctx = snap.select(
-        "*",
-    )
-    match = audience_match_cols(audiences)
-    arr = F.array(*[F.when(c, F.lit(n)) for n, c in match])
-    return ctx.select(
-        "user_id",
-        "user_ctr_30d",
-        "user_ctr_by_category_30d",
-        "user_impressions_7d",
-        "user_rides_per_week",
-        "user_account_age_days",
-        F.filter(arr, lambda x: x.isNotNull()).alias("audience_memberships"),
-    )
-
-
 def ad_snapshot(ad_events: DataFrame, campaigns: DataFrame, as_of: dt.date) -> DataFrame:
     """All ad features as of a day, from one aggregate over the window."""
     w = events_in_window(ad_events, as_of, 30)

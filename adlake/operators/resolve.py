@@ -8,7 +8,6 @@ otherwise, missing when the default was substituted.  Never null."""
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 
 from pyspark.sql import DataFrame
@@ -19,9 +18,6 @@ from adlake.operators.asof import latest_within
 from adlake.operators.session_features import known_type
 from adlake.sources.tables import bounded
 
-NUMERIC = {"float", "int", "bool"}
-
-
 def registry_rows() -> list[tuple[str, str, str, int, object]]:
     return [(n, e, d, s, v) for n, e, d, _, s, v in config.REGISTRY]
 
@@ -144,8 +140,6 @@ def parity(offline: DataFrame, online: DataFrame, key: list[str], tol: float = 1
     return j.groupBy("feature_name").agg(F.count("*").alias("compared"), F.count_if(F.coalesce(diff, F.lit(True))).alias("differing"))
 
 
-_ = dt
-
 
 def _value_cols(name: str, dtype: str, col) -> tuple:
     """(value_num, value_text) of a typed column."""

@@ -7,7 +7,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adlake import config
 from adlake.operators import asof as ao
@@ -411,5 +410,3 @@ def retrain_rows(spark, sf):
 
     return rp.winner_features(run_decisions(spark, sf)["decisions"]).select("request_id", "winner")
 
-
-_ = T  # types kept for callers building schemas

@@ -12,7 +12,7 @@ from adlake.functions.scalar import assign_arm
 from adlake.operators import features as ft
 from adlake.operators import quality as qc
 from adlake.plans.catalog import query
-from adlake.plans.q_features import AS_OF, BACKFILL_END, BACKFILL_START, D, W, _context_sql, _d
+from adlake.plans.q_features import AS_OF, BACKFILL_END, BACKFILL_START, D, W, _d
 from adlake.plans.sql_views import with_views as V
 from adlake.session import scratch_path
 from adlake.sources import snapshots as ss
@@ -42,8 +42,6 @@ _AD_SNAPSHOT_SQL = """SELECT c.campaign_id,
 
 
 def ad_snapshot_sql(as_of: dt.date) -> str:
-    from adlake.plans.q_features import AS_OF as _A  # noqa: F401
-
     w = lambda n: f"event_date BETWEEN DATE '{as_of - dt.timedelta(days=n - 1)}' AND DATE '{as_of}'"
     return _AD_SNAPSHOT_SQL.format(w7=w(7), w30=w(30), y=as_of - dt.timedelta(days=1))
 
