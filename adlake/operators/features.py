@@ -402,7 +402,10 @@ def _daily_counts(ad_events: DataFrame, key: str, first: dt.date, end: dt.date)
     ).withColumn("rides", F.lit(0).cast("long"))
 
 
-def backfill_user(users, ad_events, rides, start: dt.date, end: dt.date, specs: list[FeatureSpec] | None = None) -> DataFrame:
+def backfill_user(
+    users, ad_events, rides, start: dt.date, end: dt.date, specs: list[FeatureSpec] | None = None,
+    daily: DataFrame | None = None,
+) -> DataFrame:
     """W-01 for users: every user and every day in [start, end] in one pass.
 
     daily (user, day) counts -> exploded to the days they feed -> summed by
@@ -410,15 +413,17 @@ def backfill_user(users, ad_events, rides, start: dt.date, end: dt.date, specs:
     number of days.  Account age rides on a users x days spine."""
     specs = specs or [s for s in FEATURE_SPECS if s.entity == "user"]
     max_w = max(s.window_days for s in specs)
-    daily = _daily_counts(ad_events, "user_id", start - dt.timedelta(days=max_w - 1), end)
-    rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=max_w - 1)), lit_date(end)))
-    daily_rides = rd.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(
-        F.lit(0).cast("long").alias("imps"), F.lit(0).cast("long").alias("clicks"), F.count("*").alias("rides")
-    )
+    if daily is None:
+        ev_daily = _daily_counts(ad_events, "user_id", start - dt.timedelta(days=max_w - 1), end)
+        rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=max_w - 1)), lit_date(end)))
+        daily_rides = rd.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(
+            F.lit(0).cast("long").alias("imps"), F.lit(0).cast("long").alias("clicks"), F.count("*").alias("rides")
+        )
+        daily = ev_daily.unionByName(daily_rides)
     spine = users.select(
         "user_id", "created_at", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof")
     ).select("user_id", "asof", account_age_days("created_at", F.col("asof")).alias("user_account_age_days"))
-    out = compose_backfill(daily.unionByName(daily_rides), "user_id", spine, specs, start, end)
+    out = compose_backfill(daily, "user_id", spine, specs, start, end)
     return out.select("user_id", "asof", *[s.name for s in specs], "user_account_age_days")
 
 

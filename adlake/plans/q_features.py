@@ -469,8 +469,10 @@ _DAYS_SQL = f"""SELECT CAST(DATE '{BACKFILL_START}' + CAST(i AS INTEGER) AS DATE
     ),
 )
 def feature_backfill_user(spark, sf):
+    daily = tb.user_daily_activity(spark, sf, BACKFILL_START - dt.timedelta(days=29), BACKFILL_END)
     out = ft.backfill_user(
-        tb.users(spark, sf), tb.ad_events(spark, sf, with_category=False), tb.rides(spark, sf), BACKFILL_START, BACKFILL_END
+        tb.users(spark, sf), tb.ad_events(spark, sf, with_category=False), tb.rides(spark, sf), BACKFILL_START, BACKFILL_END,
+        daily=daily,
     )
     return out.withColumnRenamed("asof", "as_of_date")
 

@@ -268,6 +268,19 @@ def external_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_daily_activity(spark: SparkSession, sf_dir: str, first: dt.date, end: dt.date) -> DataFrame:
+    """(user_id, event_date, imps, clicks, rides) from ONE scan of the event
+    table (impressions = views, rides = purchases), partially aggregated
+    before the shuffle.  Feeds the user backfill without a second scan."""
+    e = read(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click", "purchase"))
+    d = F.to_date(event_ts())
+    e = e.filter(d.between(F.lit(first), F.lit(end)))
+    t = F.col("event_type")
+    return e.groupBy("user_id", d.alias("event_date")).agg(
+        F.count_if(t == "view").alias("imps"), F.count_if(t == "click").alias("clicks"), F.count_if(t == "purchase").alias("rides")
+    )
+
+
 def window_bounds(as_of: dt.date, window_days: int) -> tuple[dt.date, dt.date]:
     """Trailing W-day window [as_of - W + 1, as_of], both ends included."""
     return as_of - dt.timedelta(days=window_days - 1), as_of
