@@ -276,50 +276,6 @@ def score_with_model(elig: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def arbitrate(req: DataFrame, elig: DataFrame, scored: DataFrame) -> DataFrame:
-    """D-05 per request, from two small per-request aggregates:
-      - most urgent behind-schedule guaranteed candidate (min urgency, then
-        catalog order) -> rung guaranteed, price null;
-      - else external bid strictly above the best eCPM (null eCPM counts 0)
-        -> rung external, winner null;
-      - else best eCPM (first in catalog order on ties) -> rung auction;
-      - else none."""
-    pick = (
-        elig.filter(F.col("behind"))
-        .groupBy("request_id", "request_date", "ts")
-        .agg(F.min_by(F.struct("campaign_id", "quota"), F.struct("urgency", "campaign_id")).alias("p"))
-        .select("request_id", "request_date", "ts", F.col("p.campaign_id").alias("g_winner"), F.col("p.quota").alias("quota"))
-    )
-    g = quota_capped(pick).select("request_id", "g_winner")
-    a = scored.groupBy("request_id").agg(
-        F.min_by(
-            F.struct("campaign_id", "ecpm"),
-            F.struct((-F.coalesce("ecpm", F.lit(0.0))).alias("k"), F.col("campaign_id")),
-        ).alias("best"),
-        F.count("*").alias("n_scored"),
-    )
-    j = req.join(g, "request_id", "left").join(a, "request_id", "left")
-    best_ecpm = F.coalesce(F.col("best.ecpm"), F.lit(0.0))
-    ext = F.col("external_bid").isNotNull() & (F.col("external_bid") > best_ecpm)
-    winner = (
-        F.when(F.col("g_winner").isNotNull(), F.col("g_winner"))
-        .when(ext, F.lit(None).cast("long"))
-        .when(F.col("best").isNotNull(), F.col("best.campaign_id"))
-    )
-    rung = (
-        F.when(F.col("g_winner").isNotNull(), F.lit("guaranteed"))
-        .when(ext, F.lit("external"))
-        .when(F.col("best").isNotNull(), F.lit("auction"))
-        .otherwise(F.lit("none"))
-    )
-    price = (
-        F.when(F.col("g_winner").isNotNull(), F.lit(None).cast("double"))
-        .when(ext, F.col("external_bid"))
-        .when(F.col("best").isNotNull(), F.col("best.ecpm"))
-    )
-    return j.select("*", winner.alias("winner"), rung.alias("rung"), price.alias("price"))
-
-
 def quota_capped(pick: DataFrame) -> DataFrame:
     """Keep a guaranteed pick only while its campaign still has quota that
     day, in request time order; overflow requests go on to the auction.
@@ -357,6 +313,52 @@ def popularity_fallback(campaigns: DataFrame, ranking: DataFrame, start: dt.date
     return j.groupBy("day").agg(F.min_by("campaign_id", "popularity_rank").alias("fallback_campaign_id"))
 
 
+def arbitration_aggs(el, auc) -> list:
+    """Per-request aggregates arbitration needs (D-05 inputs), computed in
+    the same groupBy as the decision record: the best eCPM (first in catalog
+    order on ties) and the most urgent behind-schedule guaranteed pick."""
+    return [
+        F.min_by(
+            F.when(auc, F.struct("campaign_id", "ecpm")),
+            F.when(auc, F.struct((-F.coalesce("ecpm", F.lit(0.0))).alias("k"), F.col("campaign_id"))),
+        ).alias("best"),
+        F.min_by(
+            F.when(el & F.col("behind"), F.struct("campaign_id", "quota")),
+            F.when(el & F.col("behind"), F.struct("urgency", "campaign_id")),
+        ).alias("pick"),
+    ]
+
+
+def arbitration_outcome(per: DataFrame, ok) -> DataFrame:
+    """D-05 on per-request rows (request_id, request_date, ts, external_bid,
+    best, pick): quota-capped guaranteed pick, else external bid strictly
+    above the best eCPM, else best eCPM, else none.  Adds winner, rung, price."""
+    picks = per.filter(ok & F.col("pick").isNotNull()).select(
+        "request_id", "request_date", "ts", F.col("pick.campaign_id").alias("g_winner"), F.col("pick.quota").alias("quota")
+    )
+    kept = quota_capped(picks).select("request_id", "g_winner")
+    d = per.join(kept, "request_id", "left")
+    best_ecpm = F.coalesce(F.col("best.ecpm"), F.lit(0.0))
+    ext = F.col("external_bid").isNotNull() & (F.col("external_bid") > best_ecpm)
+    winner = (
+        F.when(F.col("g_winner").isNotNull(), F.col("g_winner"))
+        .when(ext, F.lit(None).cast("long"))
+        .when(F.col("best").isNotNull(), F.col("best.campaign_id"))
+    )
+    rung = (
+        F.when(F.col("g_winner").isNotNull(), F.lit("guaranteed"))
+        .when(ext, F.lit("external"))
+        .when(F.col("best").isNotNull(), F.lit("auction"))
+        .otherwise(F.lit("none"))
+    )
+    price = (
+        F.when(F.col("g_winner").isNotNull(), F.lit(None).cast("double"))
+        .when(ext, F.col("external_bid"))
+        .when(F.col("best").isNotNull(), F.col("best.ecpm"))
+    )
+    return d.select("*", winner.alias("winner"), rung.alias("rung"), price.alias("price"))
+
+
 REQ_COLS = [
     "user_id", "ts", "request_date", "hour_of_day", "experiment_arm", "model_version",
     "external_bid", "model_ok", "features_ok", "pacing_ok",
@@ -420,40 +422,11 @@ def decide(inp: DecisionInputs, start: dt.date, end: dt.date) -> dict[str, DataF
             )
         ).alias("audience_exclusions"),
         F.array_sort(F.collect_list(F.when(auc, F.struct("campaign_id", "pctr", "ecpm")))).alias("scores"),
-        F.min_by(
-            F.when(auc, F.struct("campaign_id", "ecpm")),
-            F.when(auc, F.struct((-F.coalesce("ecpm", F.lit(0.0))).alias("k"), F.col("campaign_id"))),
-        ).alias("best"),
-        F.min_by(
-            F.when(el & F.col("behind"), F.struct("campaign_id", "quota")),
-            F.when(el & F.col("behind"), F.struct("urgency", "campaign_id")),
-        ).alias("pick"),
+        *arbitration_aggs(el, auc),
     )
     ok = F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok")
-    picks = per.filter(ok & F.col("pick").isNotNull()).select(
-        "request_id", "request_date", "ts", F.col("pick.campaign_id").alias("g_winner"), F.col("pick.quota").alias("quota")
-    )
-    kept = quota_capped(picks).select("request_id", "g_winner")
-    d = per.join(kept, "request_id", "left")
-
-    best_ecpm = F.coalesce(F.col("best.ecpm"), F.lit(0.0))
-    ext = F.col("external_bid").isNotNull() & (F.col("external_bid") > best_ecpm)
-    winner = (
-        F.when(F.col("g_winner").isNotNull(), F.col("g_winner"))
-        .when(ext, F.lit(None).cast("long"))
-        .when(F.col("best").isNotNull(), F.col("best.campaign_id"))
-    )
-    rung = (
-        F.when(F.col("g_winner").isNotNull(), F.lit("guaranteed"))
-        .when(ext, F.lit("external"))
-        .when(F.col("best").isNotNull(), F.lit("auction"))
-        .otherwise(F.lit("none"))
-    )
-    price = (
-        F.when(F.col("g_winner").isNotNull(), F.lit(None).cast("double"))
-        .when(ext, F.col("external_bid"))
-        .when(F.col("best").isNotNull(), F.col("best.ecpm"))
-    )
+    d = arbitration_outcome(per, ok)
+    winner, rung, price = F.col("winner"), F.col("rung"), F.col("price")
     fallback = (
         F.when(~F.col("model_ok"), F.lit(RUNG_MODEL_DOWN))
         .when(~F.col("features_ok"), F.lit(RUNG_FEATURES_DOWN))
@@ -598,7 +571,7 @@ def pacing_replay(inp: DecisionInputs, start: dt.date, end: dt.date, scratch: st
         (F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok")).alias("ok"),
     ).write.mode("overwrite").partitionBy("request_date").parquet(static_path)
     req_path = f"{scratch}/requests"
-    req.select("request_id", "request_date", "external_bid",
+    req.select("request_id", "request_date", "ts", "external_bid",
                (F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok")).alias("ok")).write.mode(
         "overwrite").partitionBy("request_date").parquet(req_path)
 
@@ -613,10 +586,17 @@ def pacing_replay(inp: DecisionInputs, start: dt.date, end: dt.date, scratch: st
             "campaign_id", "remaining_capacity", "behind", "urgency", "quota"))
         day = lit_date(d)
         pr = spark.read.parquet(static_path).filter(F.col("request_date") == day).filter("ok")
-        elig = pr.join(counters, "campaign_id").filter(F.col("remaining_capacity") > 0)
-        scored = elig.filter(F.col("demand_type") == "auction")
+        pairs = pr.join(counters, "campaign_id")
+        el = F.col("remaining_capacity") > 0
+        auc = el & (F.col("demand_type") == "auction")
         rq = spark.read.parquet(req_path).filter((F.col("request_date") == day) & F.col("ok"))
-        arb = arbitrate(rq.select("request_id", "external_bid"), elig, scored).select(
+        x = pairs.unionByName(rq.select("request_id", "request_date", "external_bid", "ok", "ts"), allowMissingColumns=True)
+        per = x.groupBy("request_id").agg(
+            F.first("request_date").alias("request_date"), F.first("ts").alias("ts"),
+            F.first("external_bid", ignorenulls=True).alias("external_bid"),
+            *arbitration_aggs(el, auc),
+        )
+        arb = arbitration_outcome(per, F.lit(True)).select(
             "request_id", "winner", "rung", "price", F.lit(d).alias("request_date")
         )
         arb.write.mode("append").parquet(out)
