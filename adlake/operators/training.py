@@ -73,12 +73,15 @@ def training_rows(
     start: dt.date,
     end: dt.date,
     lag_days: int = 0,
+    daily_user: DataFrame | None = None,
 ) -> DataFrame:
-    """J-07: labelled impressions in [start, end] with point-in-time features."""
+    """J-07: labelled impressions in [start, end] with point-in-time features.
+    ``daily_user`` (user_id, event_date, imps, clicks, rides) lets the user
+    backfill reuse a one-scan daily aggregate."""
     imps = label_impressions(ad_events, start, end).withColumn("asof", F.date_sub("event_date", lag_days))
     s, e = start - dt.timedelta(days=lag_days), end - dt.timedelta(days=lag_days)
     ev = ad_events.select("event_id", "event_type", "user_id", "campaign_id", "event_date", "category")
-    ub = ft.backfill_user(users, ev, rides, s, e)
+    ub = ft.backfill_user(users, ev, rides, s, e, daily=daily_user)
     ab = ft.backfill_ad(ev, campaigns, s, e)
     cb = category_ctr_backfill(ev, s, e)
     rows = imps.select("event_id", "user_id", "campaign_id", "category", "event_date", "hour_of_day", "label", "asof")

@@ -147,8 +147,10 @@ def label_impressions(spark, sf):
 
 
 def _train_rows(spark, sf):
+    daily = tb.user_daily_activity(spark, sf, TRAIN_START - dt.timedelta(days=29), AS_OF)
     return tr.training_rows(
-        tb.ad_events(spark, sf), tb.users(spark, sf), tb.rides(spark, sf), tb.campaigns(spark, sf), TRAIN_START, AS_OF, 0
+        tb.ad_events(spark, sf), tb.users(spark, sf), tb.rides(spark, sf), tb.campaigns(spark, sf), TRAIN_START, AS_OF, 0,
+        daily_user=daily,
     )
 
 

@@ -30,7 +30,8 @@ def daily_user_snapshot(spark, sf, start=START, end=END):
     backfill joined once with the per-day context (memberships + category
     CTR map, computed in one exploded pass)."""
     ev = tb.ad_events(spark, sf)
-    ub = ft.backfill_user(tb.users(spark, sf), ev, tb.rides(spark, sf), start, end)
+    daily = tb.user_daily_activity(spark, sf, start - dt.timedelta(days=29), end)
+    ub = ft.backfill_user(tb.users(spark, sf), ev, tb.rides(spark, sf), start, end, daily=daily)
     ctx = ft.membership_context(
         tb.user_segments(spark, sf), ev, tb.rides(spark, sf), start, end, config.fixture_audiences(), with_inputs=True
     ).drop("segment")
