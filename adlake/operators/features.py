@@ -484,11 +484,17 @@ def membership_lists(long: DataFrame) -> DataFrame:
     )
 
 
-def membership_context(users, ad_events, rides, start: dt.date, end: dt.date, audiences, with_inputs: bool = False) -> DataFrame:
+def membership_context(
+    users, ad_events, rides, start: dt.date, end: dt.date, audiences, with_inputs: bool = False,
+    spine: DataFrame | None = None,
+) -> DataFrame:
     """(user_id, asof, segment, audience_memberships) for every user and day
     in [start, end] (empty list, not null): the per-day user context the
     decision job joins once.  ``with_inputs`` also returns the category CTR
-    map the rules read (so a snapshot needs no second pass for it)."""
+    map the rules read (so a snapshot needs no second pass for it).
+    ``spine`` (user_id, asof) restricts the context to the pairs a consumer
+    needs (e.g. users with requests on the next day) instead of every user
+    on every day."""
     first = start - dt.timedelta(days=29)
     ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
     daily = ev.groupBy("user_id", "category", "event_date").agg(
@@ -508,7 +514,10 @@ def membership_context(users, ad_events, rides, start: dt.date, end: dt.date, au
         .groupBy("user_id", "asof")
         .agg(F.sum("rides").cast("double").alias("user_rides_per_week"))
     )
-    spine = users.select("user_id", "segment", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof"))
+    if spine is None:
+        spine = users.select("user_id", "segment", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof"))
+    else:
+        spine = spine.select("user_id", "asof").join(users.select("user_id", "segment"), "user_id", "left")
     ctx = spine.join(r7, ["user_id", "asof"], "left").join(cat_map, ["user_id", "asof"], "left")
     match = audience_match_cols(audiences)
     arr = F.array(*[F.when(c, F.lit(n)) for n, c in match]) if match else F.array().cast("array<string>")

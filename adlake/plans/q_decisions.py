@@ -46,7 +46,8 @@ def fixture_inputs(spark, sf, availability: bool = True, scores: DataFrame | Non
         segments=segs,
         memberships=None,
         user_context=ft.membership_context(
-            segs, ev, tb.rides(spark, sf), START - dt.timedelta(days=1), END - dt.timedelta(days=1), auds
+            segs, ev, tb.rides(spark, sf), START - dt.timedelta(days=1), END - dt.timedelta(days=1), auds,
+            spine=reqs.select("user_id", F.date_sub("request_date", 1).alias("asof")).distinct(),
         ),
         destinations=dests,
         ledger=dc.ledger_from_impressions(ev, camps),
