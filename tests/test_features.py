@@ -175,3 +175,18 @@ def test_backfill_equals_daily_runs(spark):
         rd = {r.user_id: r.user_rides_per_week for r in ft.rides_count(rides, a, 7).collect()}
         for u, created in ((1, D(2026, 1, 1)), (2, D(2026, 7, 5))):
             assert got[(u, a)] == (ctr.get(u), imp.get(u), rd.get(u), (a - created).days)
+
+
+def test_one_scan_daily_activity_equals_two_frame_path(spark):
+    """The single-scan (views, clicks, purchases) daily aggregate feeds the
+    user backfill with exactly what the separate ad-event and ride frames give."""
+    from conftest import SF001
+
+    from adlake.sources import tables as tb
+
+    start, end = D(2024, 1, 5), D(2024, 1, 30)
+    users, ev, rides = tb.users(spark, SF001), tb.ad_events(spark, SF001, with_category=False), tb.rides(spark, SF001)
+    a = ft.backfill_user(users, ev, rides, start, end)
+    daily = tb.user_daily_activity(spark, SF001, start - dt.timedelta(days=29), end)
+    b = ft.backfill_user(users, ev, rides, start, end, daily=daily)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
