@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import sentencepieces, token_output
+from adlake.llm import decontaminate, sentencepieces, token_output
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, QueryFn]:
     return {
         "op4_sentencepiece": sentencepieces.op4_sentencepiece,
         "op7_token_output": token_output.op7_token_output,
+        "op9_decontaminate": decontaminate.op9_decontaminate,
     }
 
 

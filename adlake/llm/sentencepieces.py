@@ -10,7 +10,7 @@ No shuffle is needed and nothing is gathered.
 
 Defined results: null text counts as empty; an empty text has no ids and
 decodes to the empty text; repeated rows are each encoded; columns of the
-input stay, and a clash with an output name is an error."""
+input stay, but those named like an output are replaced."""
 
 from __future__ import annotations
 
@@ -97,9 +97,7 @@ def chunk_table(path: str) -> ChunkTable:
 def encode_decode(docs: DataFrame, text_col: str = "text", model: str | None = None, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """``docs`` with the piece ids of each whole text and the text that the
     ids decode to.  ``model``: path of the model file on the executors."""
-    for c in (ids_col, decoded_col):
-        if c in docs.columns:
-            raise ValueError(f"the input has a column {c!r}; name another")
+    docs = docs.drop(ids_col, decoded_col)
     names = docs.columns
     at = names.index(text_col)
 

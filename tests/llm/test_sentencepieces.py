@@ -16,7 +16,7 @@ def brute(text):
 
 def test_odd_texts_equal_the_library(spark):
     rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(0, "", "again")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     got = S.encode_decode(df).collect()
     assert len(got) == len(rows)
     for r in got:
