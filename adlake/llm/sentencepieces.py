@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding through a table of distinct chunks.
 
 The vocabulary's pieces never hold a white space marker after another
-character, so no piece crosses from a word into the marker of the next one.
-A text is therefore cut before each run of markers, every distinct marked
-chunk is segmented once, and ids (and decoded text) are joined back by
-position.  Spark deals out the texts; each worker keeps the table of the
+character, so no piece crosses from a word into the marker of the next one;
+the same is read off the vocabulary for marks such as commas behind a letter.
+A text is therefore cut before each run of markers and before such marks,
+every distinct chunk is segmented once, and ids (and decoded text) are joined
+back by position.  Spark deals out the texts; each worker keeps the table of the
 chunks that it has met, bounded in entries, and starts it over when full.
 No shuffle is needed and nothing is gathered.
 
@@ -15,6 +16,8 @@ input stay, but those named like an output are replaced."""
 from __future__ import annotations
 
 import functools
+import re
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,14 +30,35 @@ from adlake.llm.common import bounded_batches, table, tokenizer_path
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Entries of a worker's chunk table before it starts over (memory, not results).
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 600_000
+
+
+def break_marks(pieces: list[str]) -> str:
+    """Characters before which a text may be cut wherever another character
+    than these stands before them: marks (no letters, no decimal digits) such
+    that in every piece only a marker or one of the set stands directly
+    before one of them."""
+    before: dict[str, set[str]] = {}
+    for p in pieces:
+        for x, c in zip(p, p[1:], strict=False):
+            before.setdefault(c, set()).add(x)
+    marks = {c for p in pieces for c in p if not (c.isalpha() or c.isdecimal() or c.isspace() or c == MARK)}
+    while bad := {c for c in marks if not before.get(c, set()) <= marks | {MARK}}:
+        marks -= bad
+    # Those in common use, and what may stand before them.
+    used = {c for c in marks if c.isascii()}
+    while more := {x for c in used for x in before.get(c, set())} - used - {MARK}:
+        used |= more
+    return "".join(sorted(used))
 
 
 class ChunkTable:
-    """Distinct marked chunk -> (ids as int32 bytes, decoded text).
+    """Distinct chunk -> ids as int32 bytes; and the decoded text of those
+    chunks that do not decode to themselves.
 
-    A key is the chunk without its first marker: "word" stands for one marker
-    and the word, " word" for two markers and the word."""
+    A chunk starts with a run of markers (written as spaces), or with a mark
+    of :func:`break_marks` after another character, or at a line end if no
+    piece holds one: no piece crosses into it."""
 
     def __init__(self, path: str, entries: int = TABLE_ENTRIES):
         import sentencepiece
@@ -42,51 +66,56 @@ class ChunkTable:
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.entries = entries
         self.ids: dict[str, bytes] = {}
-        self.text: dict[str, str] = {}
-        self.lead = len(self.sp.encode("a"))
-
-    def chunks(self, text: str) -> list[str]:
-        if MARK in text:
-            text = text.replace(MARK, " ")
-        parts = text.split(" ")
-        if "" not in parts:
-            return parts
-        out, run = [], 0
-        for p in parts[:-1]:
-            if p:
-                out.append(" " * run + p)
-                run = 0
-            else:
-                run += 1
-        out.append(" " * run + parts[-1])
-        return out
-
-    def add(self, chunks: list[str]) -> None:
-        """Segment the chunks that the table lacks, each once."""
-        if len(self.ids) > self.entries:
-            self.ids.clear()
-            self.text.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in self.ids]
-        worded = [c for c in new if c.strip(" ")]
-        found = dict(zip(worded, self.sp.encode(worded, num_threads=1), strict=True)) if worded else {}
+        self.odd: dict[str, str] = {}
+        pieces = [self.sp.id_to_piece(i) for i in range(self.sp.vocab_size()) if not (self.sp.is_byte(i) or self.sp.is_control(i) or self.sp.is_unknown(i))]
+        marks = re.escape(break_marks(pieces))
+        # Nothing joins what follows the guard to it: a line end that no piece
+        # holds, else a letter (chunks then start with a marker or a mark).
+        self.guard = "a" if any("\n" in p for p in pieces) else "\n"
+        self.guard_ids = self.sp.encode(self.guard)
+        if self.guard == "a":
+            self.split = re.compile(f" *[{marks}]*[^ {marks}]+| *[{marks}]+| +")
+        else:
+            self.split = re.compile(f" *[{marks}]*[^ {marks}\n]+| *[{marks}]+|\n| +")
+
+    def add(self, new: list[str]) -> None:
+        """Segment these distinct chunks, each once, and decode their ids."""
+        # The encoder puts a marker first: it stands for the chunk's own, if there is one.
+        marked = [c[1:] for c in new if c[0] == " " and c.strip(" ")]
+        found = dict(zip(marked, self.sp.encode(marked, num_threads=1), strict=True)) if marked else {}
+        ids = []
         for c in new:
-            if c not in found:  # markers only: a word before them keeps the encoder from adding one
-                found[c] = self.sp.encode("a" + " " * (len(c) + 1))[self.lead :]
-        decoded = self.sp.decode([found[c] for c in new], num_threads=1)
-        for c, d in zip(new, decoded, strict=True):
-            self.ids[c] = pa.array(found[c], pa.int32()).buffers()[1].to_pybytes()[: 4 * len(found[c])]
-            self.text[c] = d
+            if c[0] == " " and c[1:] in found:
+                ids.append(found[c[1:]])
+            else:  # the guard takes the encoder's marker
+                ids.append(self.sp.encode(self.guard + c)[len(self.guard_ids) :])
+        # Decoding strips a text's first marker: the guard's.
+        decoded = self.sp.decode([self.guard_ids + i for i in ids], num_threads=1)
+        for c, i, d in zip(new, ids, decoded, strict=True):
+            self.ids[c] = array("i", i).tobytes()
+            if d[1:] != c:
+                self.odd[c] = d[1:]
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids of the whole text, and what they decode to."""
         if not text:
             return b"", ""
-        chunks = self.chunks(text)
+        if MARK in text:
+            text = text.replace(MARK, " ")
+        chunks = self.split.findall(" " + text)
         ids = list(map(self.ids.get, chunks))
         if None in ids:
-            self.add(chunks)
-            ids = list(map(self.ids.__getitem__, chunks))
-        return b"".join(ids), " ".join(map(self.text.__getitem__, chunks))
+            lacking = [k for k, i in enumerate(ids) if i is None]
+            self.add(list(dict.fromkeys(chunks[k] for k in lacking)))
+            for k in lacking:
+                ids[k] = self.ids[chunks[k]]
+        if self.odd and not self.odd.keys().isdisjoint(chunks):
+            text = "".join(self.odd.get(c, c) for c in chunks)[1:]
+        joined = b"".join(ids)
+        if len(self.ids) > self.entries:
+            self.ids.clear()
+            self.odd.clear()
+        return joined, text
 
 
 @functools.cache

@@ -78,13 +78,16 @@ class WordTable:
         words = _SPLIT.findall(text.lower())
         ids = list(map(self.ids.get, words))
         if None in ids:
-            if len(self.ids) > self.entries:
-                self.ids.clear()
-            new = [w for w in dict.fromkeys(words) if w not in self.ids]
+            lacking = [k for k, i in enumerate(ids) if i is None]
+            new = list(dict.fromkeys(words[k] for k in lacking))
             for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
                 self.ids[w] = np.array(e.ids, self.kind).tobytes()
-            ids = list(map(self.ids.__getitem__, words))
-        return b"".join(ids)
+            for k in lacking:
+                ids[k] = self.ids[words[k]]
+        joined = b"".join(ids)
+        if len(self.ids) > self.entries:
+            self.ids.clear()
+        return joined
 
 
 @functools.cache

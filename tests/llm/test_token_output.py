@@ -11,9 +11,11 @@ from adlake.llm import token_output as O
 ODD = ["", None, " ", "It's I'LL 'S 't x's \"'s", "a<|endoftext|>b", "ÀÉÿ ß µª º²½ 12 3", "中文 ABC Σας", "\x1c\x1d a\x85b\xa0c\x0bd\x00e", "x" * 3000, "don't!!! ..,'ve'", "é é"]
 
 
+TOK = Tokenizer.from_file(public_tokenizers.path(O.VOCABULARY))
+
+
 def brute(text):
-    tok = Tokenizer.from_file(public_tokenizers.path(O.VOCABULARY))
-    return tok.encode(text or "", add_special_tokens=False).ids
+    return TOK.encode(text or "", add_special_tokens=False).ids
 
 
 def test_words_equal_the_library():
