@@ -50,7 +50,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     it back: lineage ends here, and a lost executor costs a reread only."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,6 @@ document id sorts first; an empty table gives empty files."""
 from __future__ import annotations
 
 import functools
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -41,53 +40,88 @@ END_ID = 1
 #: Ids of a block; a longer text makes a longer block of its own.
 BLOCK_IDS = 1 << 18
 #: Entries of a worker's word table before it starts over (memory, not results).
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 1_000_000
 
-# The vocabulary's own split of a text, for the characters up to U+00FF.
-_LETTERS = "a-zªµºß-öø-ÿ"
-_NUMBERS = "0-9²³¹¼-¾"
-_SPACES = "\t-\r \x85\xa0"
-_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+# The endings that the vocabulary's own split cuts off a word.
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+#: Kinds of the characters up to U+00FF: white space, letters, numbers, others.
+SPACE, LETTER, NUMBER, OTHER = range(4)
+_KIND = np.array([LETTER if c.isalpha() else NUMBER if c.isnumeric() else SPACE if c in "\t\n\v\f\r \x85\xa0" else OTHER for c in map(chr, range(256))], np.uint8)
 
 
 class WordTable:
     """Distinct word of the vocabulary's split -> its ids.  Words never share
-    an id, so a text's ids are its words' ids in order.  Texts with characters
-    above U+00FF or with a special token's marks go to the library whole."""
+    an id, so a text's ids are its words' ids in order.  A batch's texts are
+    split together, a word is looked up once for the batch, and ids are
+    joined back by position.  Texts with characters above U+00FF or with a
+    special token's marks go to the library whole."""
 
     def __init__(self, path: str, entries: int = TABLE_ENTRIES):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.entries = entries
         self.kind = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.ids: dict[str, bytes] = {}
+        self.ids: dict[bytes, bytes] = {}
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.level = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return self.whole(text)
-        if "<|" in text:
-            return self.whole(text)
-        words = _SPLIT.findall(text.lower())
-        ids = list(map(self.ids.get, words))
-        if None in ids:
-            lacking = [k for k, i in enumerate(ids) if i is None]
-            new = list(dict.fromkeys(words[k] for k in lacking))
-            for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.ids[w] = np.array(e.ids, self.kind).tobytes()
-            for k in lacking:
-                ids[k] = self.ids[words[k]]
-        joined = b"".join(ids)
+    def word(self, word: bytes) -> bytes:
+        tokens = self.tok.model.tokenize(word.decode("latin-1").translate(self.level))
+        return np.array([t.id for t in tokens], self.kind).tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        out, plain, at = [b""] * len(texts), [], []
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            try:
+                if "<|" in t:
+                    raise ValueError
+                plain.append(t.lower().encode("latin-1"))
+                at.append(i)
+            except ValueError:
+                out[i] = self.whole(t)
+        if plain:
+            for i, ids in zip(at, self._join(plain), strict=True):
+                out[i] = ids
         if len(self.ids) > self.entries:
             self.ids.clear()
-        return joined
+        return out
+
+    def _join(self, texts: list[bytes]) -> list[bytes]:
+        raw = np.frombuffer(b" ".join(texts) + b"   ", np.uint8)
+        kind = _KIND[raw]
+        inside = kind != SPACE
+        begin = inside.copy()
+        begin[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+        for end in ENDINGS:
+            q = np.flatnonzero(begin & (raw == ord("'")))
+            for k, c in enumerate(end.encode(), 1):
+                q = q[raw[q + k] == c]
+            begin[q + 1] = False
+            begin[q + len(end) + 1] = inside[q + len(end) + 1]
+        place = np.flatnonzero(inside)
+        starts = np.flatnonzero(begin[place])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(place)).astype(np.int64)), pa.py_buffer(raw[place])]).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        ids = list(map(self.ids.get, distinct))
+        for k, w in enumerate(distinct):
+            if ids[k] is None:
+                ids[k] = self.ids[w] = self.word(w)
+        size = np.array([len(x) for x in ids], np.int64) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        index = words.indices.to_numpy().astype(np.int64)
+        n = size[index]
+        ends = np.cumsum(n)
+        flat = flat[np.repeat((np.cumsum(size) - size)[index] - (ends - n), n) + np.arange(int(n.sum()))]
+        # A text's words are those that begin before its end.
+        upto = np.searchsorted(place[starts], np.cumsum([len(t) + 1 for t in texts]))
+        bound = np.concatenate([[0], ends])[np.concatenate([[0], upto])]
+        return [flat[a:b].tobytes() for a, b in zip(bound[:-1], bound[1:], strict=True)]
 
 
 @functools.cache
@@ -106,7 +140,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
         words = word_table(vocabulary or tokenizer_path(VOCABULARY))
         end = np.array([end_id], words.kind).tobytes()
         for b in batches:
-            ids = [words.encode(t or "") + end for t in b.column(1).to_pylist()]
+            ids = [x + end for x in words.encode(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([words.kind.itemsize] * len(ids), pa.int32()), pa.array(ids, pa.binary())], ["doc_id", "width", "ids"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
