@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import decontaminate, minhash_dedup, sentencepieces, token_output
+from adlake.llm import decontaminate, embed_dedup, minhash_dedup, sentencepieces, token_output
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, QueryFn]:
     return {
         "op4_sentencepiece": sentencepieces.op4_sentencepiece,
+        "op5_embedding_dedup": embed_dedup.op5_embedding_dedup,
         "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
         "op7_token_output": token_output.op7_token_output,
         "op9_decontaminate": decontaminate.op9_decontaminate,
