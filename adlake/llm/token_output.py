@@ -32,13 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adlake.llm.common import bounded_batches, table, tokenizer_path, written
+from adlake.llm.common import BATCH_ROWS, bounded_batches, table, tokenizer_path, written
 from adlake.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Ids of a block; a longer text makes a longer block of its own.
 BLOCK_IDS = 1 << 18
+#: Bytes of the texts that are split together.
+JOIN_BYTES = 4 << 20
 #: Entries of a worker's word table before it starts over (memory, not results).
 TABLE_ENTRIES = 1_000_000
 
@@ -74,7 +76,14 @@ class WordTable:
         return np.array([t.id for t in tokens], self.kind).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out, plain, at = [b""] * len(texts), [], []
+        out, plain, at, size = [b""] * len(texts), [], [], 0
+
+        def join() -> None:
+            for i, ids in zip(at, self._join(plain), strict=True):
+                out[i] = ids
+            plain.clear()
+            at.clear()
+
         for i, t in enumerate(texts):
             if not t:
                 continue
@@ -83,11 +92,14 @@ class WordTable:
                     raise ValueError
                 plain.append(t.lower().encode("latin-1"))
                 at.append(i)
+                size += len(t)
             except ValueError:
                 out[i] = self.whole(t)
+            if size >= JOIN_BYTES:
+                join()
+                size = 0
         if plain:
-            for i, ids in zip(at, self._join(plain), strict=True):
-                out[i] = ids
+            join()
         if len(self.ids) > self.entries:
             self.ids.clear()
         return out
@@ -261,7 +273,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts -> files -> per document what the files hold."""
-    bounded_batches(spark)
+    bounded_batches(spark, 4 * BATCH_ROWS)
     ids = written(encode(table(spark, sf_dir, "documents")), "ids")
     path = scratch_path(spark, f"llm/tokens-{uuid.uuid4().hex}")
     write(ids, path)
