@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import decontaminate, embed_dedup, minhash_dedup, sentencepieces, token_output
+from adlake.llm import decontaminate, embed_dedup, line_dedup, minhash_dedup, sentencepieces, token_output
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def queries() -> dict[str, QueryFn]:
         "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
         "op7_token_output": token_output.op7_token_output,
         "op9_decontaminate": decontaminate.op9_decontaminate,
+        "op10_line_dedup": line_dedup.op10_line_dedup,
     }
 
 
