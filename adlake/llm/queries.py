@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import decontaminate, embed_dedup, line_dedup, minhash_dedup, sentencepieces, token_output
+from adlake.llm import decontaminate, embed_dedup, html_extract, line_dedup, minhash_dedup, sentencepieces, token_output
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, QueryFn]:
         "op5_embedding_dedup": embed_dedup.op5_embedding_dedup,
         "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
         "op7_token_output": token_output.op7_token_output,
+        "op8_html_extract": html_extract.op8_html_extract,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_line_dedup": line_dedup.op10_line_dedup,
     }
