@@ -5,7 +5,10 @@ from __future__ import annotations
 
 import functools
 import uuid
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@dataclass
+class Tokens:
+    """Tokens of many texts, in order: runs of bytes of a set."""
+
+    data: np.ndarray  # the texts' bytes, joined by line ends
+    first: np.ndarray  # of each token, its first byte in data
+    last: np.ndarray  # and the byte after it
+    bound: np.ndarray  # of each text, its first token; and the number of all
+    inside: np.ndarray  # which bytes of data are in tokens
+
+    def column(self, data: np.ndarray | None = None) -> pa.DictionaryArray:
+        """The tokens (of ``data``, if given, with the same places) as an
+        Arrow dictionary: distinct tokens, and for each token its number."""
+        ends = np.concatenate([[0], np.cumsum(self.last - self.first)])
+        held = (self.data if data is None else data)[self.inside]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.first), [None, pa.py_buffer(ends), pa.py_buffer(held)]).dictionary_encode()
+
+
+def tokens(raw: list[bytes], members: np.ndarray) -> Tokens:
+    """``members``: for each of the 256 bytes whether tokens hold it (not the
+    line end)."""
+    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    inside = members[data]
+    edge = np.diff(inside.astype(np.int8), prepend=0)
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    after = np.cumsum([len(r) + 1 for r in raw])
+    return Tokens(data, first, last, np.concatenate([[0], np.searchsorted(first, after)]), inside)
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of undirected ``edges``: one row (node, root) for
     each node that occurs in an edge; root is the smallest node reachable.
@@ -96,4 +128,4 @@ def _stars(parent: DataFrame) -> DataFrame:
             return parent
 
 
-__all__ = ["BATCH_ROWS", "bounded_batches", "components", "free_name", "materialize", "table", "tokenizer_path", "written"]
+__all__ = ["BATCH_ROWS", "Tokens", "bounded_batches", "components", "free_name", "materialize", "table", "tokenizer_path", "tokens", "written"]
