@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import decontaminate, embed_dedup, html_extract, line_dedup, minhash_dedup, sentencepieces, token_output, toxicity
+from adlake.llm import decontaminate, embed_dedup, html_extract, line_dedup, minhash_dedup, quality, sentencepieces, token_counts, token_output, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op2_quality": quality.op2_quality,
+        "op3_token_counts": token_counts.op3_token_counts,
         "op4_sentencepiece": sentencepieces.op4_sentencepiece,
         "op5_embedding_dedup": embed_dedup.op5_embedding_dedup,
         "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
