@@ -48,10 +48,17 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a file of narrow rows, about.
+FILE_ROWS = 250_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write an intermediate table into the shared checkpoint folder and read
-    it back: lineage ends here, and a lost executor costs a reread only."""
+    it back: lineage ends here, and a lost executor costs a reread only.
+    ``rows``: a bound of its narrow rows, for the number of files."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(1 + rows // FILE_ROWS)
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -99,30 +106,31 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     spark = edges.sparkSession
     left = written(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "edges")
     kind = left.schema["u"].dataType
-    label = spark.createDataFrame([], "node long, root long").select(F.col("node").cast(kind), F.col("root").cast(kind))
-    first = True
-    while not left.isEmpty():
+    label, n = None, left.count()
+    while n:
         both = left.unionByName(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
         parent = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("root"))
-        parent = _stars(written(parent, "parents"))
-        if first:
-            label, first = parent, False
+        parent = _stars(written(parent, "parents", 2 * n), 2 * n)
+        if label is None:
+            label, nodes = parent, parent.count()
         else:
             up = parent.select(F.col("node").alias("root"), F.col("root").alias("up"))
-            label = label.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-            label = written(label, "labels")
+            label = written(label.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "labels", nodes)
         pu = parent.select(F.col("node").alias("u"), F.col("root").alias("ru"))
         pv = parent.select(F.col("node").alias("v"), F.col("root").alias("rv"))
         moved = left.join(pu, "u").join(pv, "v").where("ru <> rv")
-        left = written(moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct(), "edges")
+        left = written(moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct(), "edges", n)
+        n = left.count()
+    if label is None:
+        return spark.createDataFrame([], "node long, root long").select(F.col("node").cast(kind), F.col("root").cast(kind))
     return label
 
 
-def _stars(parent: DataFrame) -> DataFrame:
+def _stars(parent: DataFrame, rows: int) -> DataFrame:
     """Pointer jumping: replace parents by grandparents until none changes."""
     while True:
         up = parent.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        jumped = written(parent.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), F.coalesce(F.col("up") != F.col("root"), F.lit(False)).alias("moved")), "parents")
+        jumped = written(parent.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), F.coalesce(F.col("up") != F.col("root"), F.lit(False)).alias("moved")), "parents", rows)
         parent = jumped.select("node", "root")
         if jumped.where("moved").isEmpty():
             return parent

@@ -297,7 +297,10 @@ def train(pages: list[str | None]) -> Model:
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) -> Model:
     """Train on at most ``sample`` pages (a documented bound): those whose
     hash is smallest."""
-    rows = pages.select(F.col(html_col).alias("html")).where(F.length("html") < 200_000).orderBy(F.xxhash64("html")).limit(sample).collect()
+    source = pages.select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("hash")).where(F.length(html_col) < 200_000)
+    # Chosen by hash before pages move.
+    chosen = source.select("hash").distinct().orderBy("hash").limit(sample)
+    rows = source.join(F.broadcast(chosen), "hash").dropDuplicates(["hash"]).orderBy("hash").collect()
     return train([r.html for r in rows])
 
 
