@@ -122,7 +122,8 @@ def latest_within(
 ) -> DataFrame:
     """As-of lookup with a time-to-live: for every left row (key, ts), the
     latest right row of the same key with ts in (t - ttl, t] (ties: the
-    right row counts as earlier).  Returns left_id (or, with ``keep_left``,
+    right row counts as earlier, and of right rows the one with the largest
+    values is the latest).  Returns left_id (or, with ``keep_left``,
     every left column - no join back needed), value_cols and
     ``age_seconds`` (nulls when nothing is live).
 
@@ -147,7 +148,7 @@ def latest_within(
         .unionByName(ru.withColumn("bucket", b))
         .unionByName(ru.withColumn("bucket", b + 1))
     )
-    w = Window.partitionBy(key, "bucket").orderBy("us", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(key, "bucket").orderBy("us", "__side", *value_cols).rowsBetween(Window.unboundedPreceding, 0)
     r_us = F.when(F.col("__side") == 0, F.col("us"))
     picked = u.select(
         "__id", "us", "__side", "__l",

@@ -104,32 +104,25 @@ def fallback_rung_counts(decisions: DataFrame) -> DataFrame:
     )
 
 
-def last_samples(latencies: DataFrame, n: int = 1000) -> DataFrame:
-    """The metrics window: the latest n samples per stage.  row_number <= n
-    is planned with a group limit before the shuffle."""
-    w = Window.partitionBy("stage").orderBy(F.col("ts").desc(), F.col("request_id").desc())
-    return latencies.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n).drop("rn")
-
-
-def stage_latency_p99(latencies: DataFrame, window: int = 1000) -> DataFrame:
-    """W-06: nearest-rank p99 = sorted[int(n * 0.99)] and mean over the latest
-    `window` samples per stage (bounded group)."""
-    s = last_samples(latencies, window)
-    agg = s.groupBy("stage").agg(
-        F.sort_array(F.collect_list("latency_ms")).alias("v"), F.count("*").alias("n"), F.avg("latency_ms").alias("avg")
-    )
-    idx = (F.floor(F.col("n") * F.lit(config.P99_RANK_FRACTION)) + 1).cast("int")
-    return agg.select(
-        "stage", "n", F.element_at("v", idx).alias("latency_ms_p99"), F.col("avg").alias("latency_ms_avg")
+def stage_latency_p99(latencies: DataFrame) -> DataFrame:
+    """W-06: nearest-rank p99 = sorted[int(n * 0.99)] and mean over all
+    samples per stage.  Samples are counted per value first (map-side), so the
+    ordered window holds distinct values, not samples."""
+    v = latencies.groupBy("stage", "latency_ms").agg(F.count("*").alias("c"))
+    w = Window.partitionBy("stage").orderBy("latency_ms")
+    v = v.withColumn("upto", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    n = latencies.groupBy("stage").agg(F.count("*").alias("n"), F.avg("latency_ms").alias("latency_ms_avg"))
+    rank = F.floor(F.col("n") * F.lit(config.P99_RANK_FRACTION)) + 1
+    return v.join(n, "stage").filter(F.col("upto") >= rank).groupBy("stage", "n", "latency_ms_avg").agg(
+        F.min("latency_ms").alias("latency_ms_p99")
     )
 
 
-def latency_histogram(latencies: DataFrame, window: int = 1000) -> DataFrame:
+def latency_histogram(latencies: DataFrame) -> DataFrame:
     """A-20: cumulative count of samples <= each bound, per stage: one
     aggregate with one conditional count per bound (no join to bounds)."""
-    s = last_samples(latencies, window)
     aggs = [F.count_if(F.col("latency_ms") <= b).alias(f"le_{b}") for b in config.LATENCY_BUCKETS_MS]
-    a = s.groupBy("stage").agg(*aggs)
+    a = latencies.groupBy("stage").agg(*aggs)
     st = F.array(
         *[F.struct(F.lit(b).cast("long").alias("bound_ms"), F.col(f"le_{b}").alias("count")) for b in config.LATENCY_BUCKETS_MS]
     )
@@ -161,7 +154,7 @@ def counter_rate(decisions: DataFrame, poll_seconds: int = 3600) -> DataFrame:
 def latest_per_request(decisions: DataFrame) -> DataFrame:
     """K-05: the most recent log entry per request id."""
     return decisions.groupBy("request_id").agg(
-        F.max_by(F.struct("winner", "rung", "ts"), F.col("ts")).alias("d")
+        F.max_by(F.struct("winner", "rung", "ts"), F.struct("ts", "winner")).alias("d")
     ).select("request_id", "d.winner", "d.rung")
 
 

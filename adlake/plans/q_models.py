@@ -16,6 +16,7 @@ from adlake.plans.catalog import query
 from adlake.plans.q_decisions import DV, run_decisions
 from adlake.plans.q_features import AS_OF
 from adlake.plans.sql_views import with_views as V
+from adlake.session import materialize
 from adlake.sources import tables as tb
 
 TRAIN_START = config.FIXTURE_START + dt.timedelta(days=config.WARMUP_DAYS)
@@ -229,18 +230,19 @@ def retrain_split(spark, sf):
 # ------------------------------------------------------------------ models (R)
 
 
-def _fit_v1_v2(spark, sf):
-    rows = _train_rows(spark, sf).cache()
-    train, hold = tr.time_split(rows, HOLDOUT_START)
-    lr = tr.fit(train, V1, "logistic_regression")
-    gbt = tr.fit(train, V2, "gbt")
-    return rows, train, hold, lr, gbt
+_FIT = {"v1": (V1, "logistic_regression"), "v2": (V2, "gbt")}
+
+
+def _fitted(spark, sf, *versions):
+    """Training rows (written once), holdout rows and the models asked for."""
+    train, hold = tr.time_split(materialize(_train_rows(spark, sf)), HOLDOUT_START)
+    return train, hold, *(tr.fit(train, *_FIT[v]) for v in versions)
 
 
 @query("train_pctr_lr")
 def train_pctr_lr(spark, sf):
     """M-03: fitted coefficients of the v1 logistic model (standardised)."""
-    _, _, _, lr, _ = _fit_v1_v2(spark, sf)
+    _, _, lr = _fitted(spark, sf, "v1")
     m = lr.stages[-1]
     rows = [(f, float(c)) for f, c in zip(V1, m.coefficients.toArray())] + [("intercept", float(m.intercept))]
     return spark.createDataFrame(rows, "feature string, coefficient double")
@@ -249,7 +251,7 @@ def train_pctr_lr(spark, sf):
 @query("train_pctr_gbt")
 def train_pctr_gbt(spark, sf):
     """M-04: feature importances of the v2 boosted trees."""
-    _, _, _, _, gbt = _fit_v1_v2(spark, sf)
+    _, _, gbt = _fitted(spark, sf, "v2")
     imp = gbt.stages[-1].featureImportances.toArray()
     return spark.createDataFrame([(f, float(v)) for f, v in zip(V2, imp)], "feature string, importance double")
 
@@ -258,7 +260,7 @@ def train_pctr_gbt(spark, sf):
 def eval_report(spark, sf):
     """M-05: per model AUC and popularity-baseline AUC on the fixed holdout,
     row counts; one small row per model."""
-    rows, train, hold, lr, gbt = _fit_v1_v2(spark, sf)
+    train, hold, lr, gbt = _fitted(spark, sf, "v1", "v2")
     n_train, n_hold = train.count(), hold.count()
     base = tr.auc_grouped(hold, "ad_ctr_30d").first()["auc"]
     out = []
@@ -271,14 +273,14 @@ def eval_report(spark, sf):
 @query("calibration_deciles")
 def calibration_deciles(spark, sf):
     """W-10: 10 equal-mass bins of the v1 holdout predictions."""
-    _, _, hold, lr, _ = _fit_v1_v2(spark, sf)
+    _, hold, lr = _fitted(spark, sf, "v1")
     return tr.calibration(tr.score(lr, hold), "pctr")
 
 
 @query("calibration_by_category")
 def calibration_by_category(spark, sf):
     """A-11: mean label, mean prediction and n per category on the holdout."""
-    _, _, hold, lr, _ = _fit_v1_v2(spark, sf)
+    _, hold, lr = _fitted(spark, sf, "v1")
     s = tr.score(lr, hold)
     return s.groupBy("category").agg(
         F.avg(F.col("label").cast("double")).alias("observed_ctr"), F.avg("pctr").alias("mean_predicted"), F.count("*").alias("n")
@@ -289,7 +291,7 @@ def calibration_by_category(spark, sf):
 def tercile_lift(spark, sf):
     """W-08: mean v1 score in the lowest and highest third of the category
     cross feature."""
-    _, _, hold, lr, _ = _fit_v1_v2(spark, sf)
+    _, hold, lr = _fitted(spark, sf, "v1")
     return tr.tercile_lift(tr.score(lr, hold), "x_user_ctr_in_ad_category", "pctr")
 
 
@@ -339,7 +341,7 @@ def assemble_features(spark, sf):
 @query("score_candidates")
 def score_candidates(spark, sf):
     """M-07: the v1 model scores every eligible auction candidate."""
-    _, _, _, lr, _ = _fit_v1_v2(spark, sf)
+    _, _, lr = _fitted(spark, sf, "v1")
     rows = _candidate_rows(spark, sf, run_decisions(spark, sf))
     return tr.score(lr, rows).select("request_id", "campaign_id", "pctr")
 
@@ -347,7 +349,7 @@ def score_candidates(spark, sf):
 @query("score_by_arm")
 def score_by_arm(spark, sf):
     """M-08: control rows scored by v1, treatment rows by v2; union."""
-    _, _, _, lr, gbt = _fit_v1_v2(spark, sf)
+    _, _, lr, gbt = _fitted(spark, sf, "v1", "v2")
     rows = _candidate_rows(spark, sf, run_decisions(spark, sf))
     a = tr.score(lr, rows.filter(F.col("experiment_arm") == "control")).withColumn("model_version", F.lit("v1"))
     b = tr.score(gbt, rows.filter(F.col("experiment_arm") == "treatment")).withColumn("model_version", F.lit("v2"))
@@ -358,7 +360,7 @@ def score_by_arm(spark, sf):
 def candidate_ecpm_model(spark, sf):
     """D-04 with model scores: the decision job re-run with arm-pinned model
     pctr instead of the stand-in score."""
-    _, _, _, lr, gbt = _fit_v1_v2(spark, sf)
+    _, _, lr, gbt = _fitted(spark, sf, "v1", "v2")
     base = run_decisions(spark, sf)
     rows = _candidate_rows(spark, sf, base)
     sc = tr.score(lr, rows.filter(F.col("experiment_arm") == "control")).unionByName(
@@ -383,15 +385,15 @@ def retrain_report(spark, sf):
     clicked = rp.decision_clicks(d, tb.ad_events(spark, sf, with_category=False)).withColumn("label", F.lit(1))
     rows = rows.join(clicked, "request_id", "left").withColumn("label", F.coalesce("label", F.lit(0)))
     active = sfo.session_active_at_requests(tb.session_events(spark, sf), d.select("request_id", "user_id", "ts"))
-    rows = rows.join(active, "request_id", "left").withColumn(
+    rows = materialize(rows.join(active, "request_id", "left").withColumn(
         "user_session_active", F.coalesce("user_session_active", F.lit(0)).cast("int")
-    ).cache()
+    ))
     n = rows.count()
     if n == 0:
         raise ValueError("no retrain rows in the decision log")
     train, hold = tr.hash_split(rows, "request_id")
     v3 = tr.fit(train, config.V3_FEATURES, "logistic_regression")
-    _, _, _, live, _ = _fit_v1_v2(spark, sf)
+    _, _, live = _fitted(spark, sf, "v1")
     out = [
         ("v3", tr.auc_model(tr.score(v3, hold), "pctr"), train.count(), hold.count()),
         ("v1", tr.auc_model(tr.score(live, hold), "pctr"), train.count(), hold.count()),

@@ -111,7 +111,7 @@ def publish_features_long(spark, sf):
     return long.select("entity_key", "feature_name", F.col("value_json").cast("double").alias("value"))
 
 
-MEMB_START = AS_OF - dt.timedelta(days=6)
+MEMB_START = config.FIXTURE_START
 
 
 def membership_ctes(start: dt.date, n_days: int) -> list[tuple[str, str]]:
@@ -168,13 +168,13 @@ def _memb_hist_sql() -> str:
         "user_segments",
         "ad_events",
         "rides",
-        extra=membership_ctes(MEMB_START, 7),
+        extra=membership_ctes(MEMB_START, (AS_OF - MEMB_START).days + 1),
     )
 
 
 @query("audience_membership_history", _memb_hist_sql())
 def audience_membership_history(spark, sf):
-    """S-08: versioned long membership table for every day of the last week
+    """S-08: versioned long membership table for every day of the calendar
     (written by asof partition; the version history is its distinct
     (audience, definition_version, asof) projection)."""
     out = ft.memberships_backfill(

@@ -169,6 +169,15 @@ def invalid_feature_requests(spark, sf):
     return rs.invalid_requests(_feature_requests(spark, sf))
 
 
+@query(
+    "deterministic_user_sample",
+    V("SELECT user_id FROM users ORDER BY sha256(CAST(user_id AS VARCHAR)) LIMIT 20", "users"),
+)
+def deterministic_user_sample(spark, sf):
+    """K-04: the same 20 users on every run, by a hash of their ids."""
+    return rs.deterministic_sample(tb.users(spark, sf).select("user_id"), "user_id", 20)
+
+
 PARITY_DAY = AS_OF - dt.timedelta(days=1)
 
 
@@ -176,17 +185,17 @@ PARITY_DAY = AS_OF - dt.timedelta(days=1)
     "parity_report",
     V(
         """SELECT feature_name, count(*) AS compared, CAST(0 AS BIGINT) AS differing FROM (
-             SELECT s.user_id, f.feature_name FROM (SELECT user_id FROM users ORDER BY sha256(CAST(user_id AS VARCHAR)) LIMIT 20) s
+             SELECT s.user_id, f.feature_name FROM users s
              CROSS JOIN (VALUES ('user_ctr_30d'), ('user_impressions_7d'), ('user_rides_per_week'), ('user_account_age_days')) f(feature_name))
            GROUP BY feature_name""",
         "users",
     ),
 )
 def parity_report(spark, sf):
-    """E-06: for a deterministic sample of 20 users (K-04), the offline
+    """E-06: for every user, the offline
     snapshot values (with defaults) against the online resolution of the
     same day; differing cells are counted per feature (expected 0)."""
-    sample = rs.deterministic_sample(tb.users(spark, sf).select("user_id"), "user_id", 20)
+    sample = tb.users(spark, sf).select("user_id")
     snap = daily_user_snapshot(spark, sf, PARITY_DAY, PARITY_DAY)
     off = tr.fill_defaults(snap.join(sample, "user_id", "left_semi"), USER_NUM)
     offline = off.select(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from adlake import config
 from adlake.operators import session_features as sf_ops
-from adlake.plans.catalog import query
+from adlake.plans.catalog import ORACLE, query
 from adlake.plans.sql_views import with_views as V
 from adlake.sources import tables as tb
 
@@ -175,13 +175,23 @@ def _files_per_chunk(spark) -> int:
     return max(1, min(64, spark.sparkContext.defaultParallelism))
 
 
-def replay(spark, sf, duplicate: bool = False) -> tuple[str, int]:
-    """Write the replay source; returns (root, files per trigger)."""
+def replay(spark, sf, duplicate: bool = False, close: bool = False) -> tuple[str, int]:
+    """Write the replay source; returns (root, files per trigger).  ``close``
+    ends it with an event two days after the last one, which moves the
+    watermark past every window of the others."""
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     fpc = _files_per_chunk(spark)
     chunks = st.day_chunks(config.FIXTURE_START, config.FIXTURE_AS_OF, STREAM_DAYS_PER_CHUNK)
     ev = tb.session_events(spark, sf)
     st.write_replay(ev, root + "/in", chunks, fpc)
+    if close:
+        last = ev.agg(F.max("ts")).first()[0] + dt.timedelta(days=2)
+        end = ev.limit(1).select(
+            F.lit(-1).cast("long").alias("event_id"), F.lit("session_start").alias("event_type"),
+            F.lit(-1).cast("long").alias("user_id"), F.lit("end").alias("session_id"),
+            F.lit(last).cast("timestamp").alias("ts"), F.create_map().cast("map<string,string>").alias("payload"),
+        )
+        st.write_replay(end, root + "/in", [(last, last + dt.timedelta(days=1))], 1, suffix="_end")
     if duplicate:
         st.write_replay(ev, root + "/in", chunks, fpc, suffix="_redelivered")
     return root, fpc
@@ -191,7 +201,7 @@ def _events_stream(spark, root, fpc):
     return st.parse(st.read_stream(spark, root + "/in", fpc)).filter(~F.col("_corrupt"))
 
 
-@query("stream_parse_events")
+@query("stream_parse_events", V("SELECT event_id, event_type, user_id, session_id FROM session_events", "session_events"))
 def stream_parse_events(spark, sf):
     """S-06 + F-15: decode the JSON stream; good rows to the event table,
     undecodable rows to a bad-record table (idempotent per batch id)."""
@@ -208,7 +218,7 @@ def stream_parse_events(spark, sf):
     return spark.read.parquet(root + "/events").select("event_id", "event_type", "user_id", "session_id")
 
 
-@query("stream_route_events")
+@query("stream_route_events", ORACLE["event_type_counts"])
 def stream_route_events(spark, sf):
     """T-01: running counts per type, unknown types counted and skipped;
     the final (latest batch) count per type equals the batch twin."""
@@ -220,7 +230,10 @@ def stream_route_events(spark, sf):
     )
 
 
-@query("stream_latest_values")
+@query(
+    "stream_latest_values",
+    f"SELECT user_id, user_current_destination_category, user_current_ride_type FROM ({ORACLE['latest_session_values']})",
+)
 def stream_latest_values(spark, sf):
     """T-02: latest destination / ride type per user, update mode."""
     root, fpc = replay(spark, sf)
@@ -231,7 +244,10 @@ def stream_latest_values(spark, sf):
     ).select("user_id", "s.user_current_destination_category", "s.user_current_ride_type")
 
 
-@query("stream_screens_10min")
+@query(
+    "stream_screens_10min",
+    f"SELECT event_id, user_id, user_screens_viewed_10min FROM ({ORACLE['screens_viewed_10min_batch']})",
+)
 def stream_screens_10min(spark, sf):
     """T-03: trailing 10-minute screen-view count per event from keyed state
     (applyInPandasWithState), append mode to a Parquet sink."""
@@ -240,25 +256,45 @@ def stream_screens_10min(spark, sf):
     return spark.read.parquet(root + "/out").select("event_id", "user_id", F.col("count_10min").alias("user_screens_viewed_10min"))
 
 
-@query("stream_sessions")
+@query(
+    "stream_sessions",
+    V(
+        f"""SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events FROM (
+              SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (
+                SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE
+                               THEN 0 ELSE 1 END AS opens
+                FROM session_events WHERE event_type IN ({KNOWN_SQL})))
+            GROUP BY user_id, session""",
+        "session_events",
+    ),
+)
 def stream_sessions(spark, sf):
     """T-04 stream: session windows (30-minute gap) of known events."""
-    root, fpc = replay(spark, sf)
+    root, fpc = replay(spark, sf, close=True)
     st.run_to_parquet(st.sessions(_events_stream(spark, root, fpc)), root + "/out", root + "/ckpt")
-    return spark.read.parquet(root + "/out")
+    return spark.read.parquet(root + "/out").select(
+        "user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session_end").cast("timestamp_ntz").alias("session_end"), "events",
+    )
 
 
-@query("stream_hourly_type_counts")
+@query(
+    "stream_hourly_type_counts",
+    V(
+        "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS events FROM session_events GROUP BY 1, 2",
+        "session_events",
+    ),
+)
 def stream_hourly_type_counts(spark, sf):
     """T-05: tumbling hourly counts per type with a watermark."""
-    root, fpc = replay(spark, sf)
+    root, fpc = replay(spark, sf, close=True)
     st.run_to_parquet(st.hourly_type_counts(_events_stream(spark, root, fpc)), root + "/out", root + "/ckpt")
     return spark.read.parquet(root + "/out").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "events"
     )
 
 
-@query("stream_dedup")
+@query("stream_dedup", V("SELECT event_id, event_type, user_id FROM session_events", "session_events"))
 def stream_dedup(spark, sf):
     """T-06: every event delivered twice; each event_id kept once."""
     root, fpc = replay(spark, sf, duplicate=True)
@@ -269,32 +305,22 @@ def stream_dedup(spark, sf):
 @query("stream_lag_report")
 def stream_lag_report(spark, sf):
     """T-08: per micro-batch event count, newest event time and processing
-    lag, from the query's own progress reports: the stream is instrumented
-    with observe() (metrics computed by the executors as rows flow to the
-    sink) and each progress carries its batch's metrics and trigger time."""
+    lag: each batch writes its events and one row of metrics (an aggregate of
+    what it wrote), so every batch is in the report however many there are."""
     root, fpc = replay(spark, sf)
-    obs = _events_stream(spark, root, fpc).drop("raw", "_corrupt", "payload").observe(
-        "ingest", F.count(F.lit(1)).alias("events"), F.max("ts").alias("max_event_ts")
-    )
-    q = (
-        obs.writeStream.format("parquet")
-        .option("path", root + "/events")
-        .option("checkpointLocation", root + "/ckpt")
-        .trigger(availableNow=True)
-        .start()
+    events = _events_stream(spark, root, fpc).drop("raw", "_corrupt", "payload")
+
+    def ingest(batch, batch_id):
+        at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        st.batch_partition_writer(root + "/events")(batch, batch_id)
+        m = batch.agg(F.count(F.lit(1)).alias("events"), F.max("ts").cast("timestamp_ntz").alias("max_event_ts"))
+        lag = (F.unix_micros(F.lit(at).cast("timestamp")) - F.unix_micros(F.col("max_event_ts").cast("timestamp"))) / 1e6
+        st.batch_partition_writer(root + "/lag")(m.filter("events > 0").withColumn("lag_seconds", lag), batch_id)
+
+    st.run_foreach_batch(events, ingest, root + "/ckpt", mode="append")
+    return spark.read.parquet(root + "/lag").select(
+        F.col("batch_id").cast("long").alias("batch_id"), "events", "max_event_ts", "lag_seconds"
     )
-    q.awaitTermination()
-    rows = []
-    for p in q.recentProgress:  # one small record per micro-batch
-        m = (p.observedMetrics or {}).get("ingest")
-        if m is None or m["events"] == 0:
-            continue
-        trigger = dt.datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).replace(tzinfo=None)
-        newest = m["max_event_ts"]
-        if isinstance(newest, str):  # progress JSON carries ISO text
-            newest = dt.datetime.fromisoformat(newest.replace("Z", "+00:00")).replace(tzinfo=None)
-        rows.append((p.batchId, m["events"], newest, (trigger - newest).total_seconds()))
-    return spark.createDataFrame(rows, "batch_id long, events long, max_event_ts timestamp_ntz, lag_seconds double")
 
 
 @query("stream_decisions")

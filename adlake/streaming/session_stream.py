@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from adlake import config
 
-WATERMARK = "10 minutes"
+WATERMARK_SECONDS = 600
+WATERMARK = f"{WATERMARK_SECONDS} seconds"
 EVENT_SCHEMA = (
     "event_id string, event_type string, user_id string, session_id string, ts string, payload map<string,string>"
 )
@@ -134,51 +136,42 @@ TRAIL_OUT = "event_id long, user_id long, ts timestamp, count_10min long"
 TRAIL_STATE = "ts_us array<long>, ids array<long>"
 
 
-def _trailing_state_fn(window_us: int):
+def _trailing_state_fn(window_us: int, delay_us: int):
+    """Entries stay for the window and the watermark delay behind the newest
+    one, so that a row that is late but accepted finds its whole window; a
+    redelivered id is reported once in that span."""
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        if state.exists:
-            ts_l, ids_l = state.get
-            ts_l, ids_l = list(ts_l), list(ids_l)
-        else:
-            ts_l, ids_l = [], []
-        seen = set(ids_l)
-        rows = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "event_id"])
-            for eid, t in zip(pdf["event_id"].tolist(), pdf["ts"].tolist()):
-                t_us = int(pd.Timestamp(t).value // 1000)
-                if eid in seen:  # a redelivered id is counted (and reported) once
-                    continue
-                seen.add(eid)
-                ts_l.append(t_us)
-                ids_l.append(int(eid))
-                # prune scores <= t - window, count those in (t - window, t]
-                keep = [i for i, x in enumerate(ts_l) if x > t_us - window_us]
-                ts_l = [ts_l[i] for i in keep]
-                ids_l = [ids_l[i] for i in keep]
-                seen = set(ids_l)
-                n = sum(1 for x in ts_l if x <= t_us)
-                rows.append((int(eid), int(key[0]), t, n))
-        state.update((ts_l, ids_l))
-        if ts_l:
-            # Expire the state once the watermark passes the newest entry's window.
-            state.setTimeoutTimestamp(max(ts_l) // 1000 + window_us // 1000)
-        if rows:
-            yield pd.DataFrame(rows, columns=["event_id", "user_id", "ts", "count_10min"])
+        old_ts, old_ids = (np.array(x, np.int64) for x in (state.get if state.exists else ([], [])))
+        new = pd.concat(list(pdfs)).astype({"event_id": "int64"}).sort_values(["ts", "event_id"])
+        new = new[~new["event_id"].isin(old_ids) & ~new["event_id"].duplicated()]
+        us = new["ts"].to_numpy("datetime64[us]").astype(np.int64)
+        ts = np.concatenate([old_ts, us])
+        ids = np.concatenate([old_ids, new["event_id"].to_numpy(np.int64)])
+        order = np.argsort(ts, kind="stable")
+        ts, ids = ts[order], ids[order]
+        if len(ts):
+            keep = ts > ts[-1] - window_us - delay_us
+            state.update((ts[keep].tolist(), ids[keep].tolist()))
+            state.setTimeoutTimestamp(int(ts[-1] + window_us + delay_us) // 1000)
+        if len(new):
+            n = np.searchsorted(ts, us, side="right") - np.searchsorted(ts, us - window_us, side="right")
+            yield pd.DataFrame({"event_id": new["event_id"].to_numpy(), "user_id": int(key[0]), "ts": new["ts"].to_numpy(), "count_10min": n})
 
     return fn
 
 
 def trailing_counts(events: DataFrame, event_type: str, window_seconds: int = config.TRAILING_COUNT_SECONDS) -> DataFrame:
     """T-03: per event of ``event_type``, the user's distinct events of that
-    type in (t - window, t]; keyed state per user holds only the entries
-    inside the window (pruned on every event, expired by event-time timeout)."""
+    type in (t - window, t] that have arrived; keyed state per user holds the
+    entries of the window and the watermark delay (expired by event-time
+    timeout)."""
     ev = events.filter(F.col("event_type") == event_type).select("event_id", "user_id", "ts").withWatermark("ts", WATERMARK)
     return ev.groupBy("user_id").applyInPandasWithState(
-        _trailing_state_fn(window_seconds * 1_000_000),
+        _trailing_state_fn(window_seconds * 1_000_000, WATERMARK_SECONDS * 1_000_000),
         outputStructType=TRAIL_OUT,
         stateStructType=TRAIL_STATE,
         outputMode="append",
