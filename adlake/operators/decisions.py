@@ -54,6 +54,7 @@ class DecisionInputs:
     audiences: list[config.Audience] | None = None
     scores: DataFrame | None = None  # optional model scores: request_id, campaign_id, pctr
     user_context: DataFrame | None = None  # user_id, asof, segment, audience_memberships (one join)
+    granted: DataFrame | None = None  # campaign_id, day, granted (guaranteed wins of earlier batches)
 
 
 # ------------------------------------------------------------- catalog side
@@ -377,7 +378,12 @@ def decide(inp: DecisionInputs, start: dt.date, end: dt.date) -> dict[str, DataF
     arbitration and fallback ladder as column expressions."""
     audiences = inp.audiences or []
     req = materialize(request_context(inp, start, end))
-    cat = materialize(catalog_day_table(inp.campaigns, inp.ledger, start, end))
+    cat = catalog_day_table(inp.campaigns, inp.ledger, start, end)
+    if inp.granted is not None:
+        cat = cat.join(inp.granted, ["campaign_id", "day"], "left").withColumn(
+            "quota", F.greatest(F.lit(0).cast("long"), F.col("quota") - F.coalesce("granted", F.lit(0)))
+        ).drop("granted")
+    cat = materialize(cat)
     cands = candidates(req, cat, audiences)
     if inp.scores is not None:
         sc = inp.scores.select("request_id", "campaign_id", F.col("pctr").alias("model_pctr"))
@@ -499,6 +505,14 @@ def ledger_from_impressions(ad_events: DataFrame, campaigns: DataFrame) -> DataF
     )
 
 
+def granted_wins(decisions: DataFrame) -> DataFrame:
+    """Guaranteed wins per (campaign, day) of a log: what a later batch of the
+    same day finds taken from the day's quota."""
+    return decisions.filter(F.col("rung") == "guaranteed").groupBy(
+        F.col("winner").alias("campaign_id"), F.col("request_date").alias("day")
+    ).agg(F.count("*").alias("granted"))
+
+
 def pacing_status(decisions: DataFrame, campaigns: DataFrame, as_of: dt.date) -> DataFrame:
     """D-06: per guaranteed campaign, delivered = guaranteed wins in the log,
     flight fraction, expected by as_of, behind-schedule flag."""

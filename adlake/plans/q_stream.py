@@ -349,7 +349,9 @@ def stream_decisions(spark, sf):
     static.availability = tb.availability(spark, sf)
 
     def decide_batch(batch, batch_id):
-        inp = dc.DecisionInputs(**{**static.__dict__, "requests": batch})
+        # A day's quota is shared by all batches that hold requests of the day.
+        granted = dc.granted_wins(dlog.read(batch.sparkSession, root + "/log", before_batch=batch_id))
+        inp = dc.DecisionInputs(**{**static.__dict__, "requests": batch, "granted": granted})
         d = dc.decide(inp, START, END)["decisions"]
         st.batch_partition_writer(root + "/log")(dlog.conform(d), batch_id)
 

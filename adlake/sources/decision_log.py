@@ -72,12 +72,14 @@ def append(decisions: DataFrame, path: str, files_per_day: int = 16) -> None:
     out.repartition("decision_date", bucket).write.mode("append").partitionBy("decision_date").parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
     """S-05: every logged decision with the fixed schema; a missing log is an
-    empty DataFrame, not an error."""
+    empty DataFrame, not an error.  ``before_batch``: of a stream's log, the
+    decisions of earlier micro-batches only."""
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
     fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hp):
         return spark.createDataFrame([], SCHEMA)
-    return conform(spark.read.parquet(path))
+    log = spark.read.parquet(path)
+    return conform(log if before_batch is None else log.filter(F.col("batch_id") < before_batch))

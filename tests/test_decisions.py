@@ -218,3 +218,24 @@ def test_salted_catalog_join_equals_broadcast(spark):
     assert "BroadcastHashJoin" not in salted._jdf.queryExecution().executedPlan().toString()
     b = sorted((r.request_id, r.campaign_id) for r in salted.collect())
     assert a == b and len(a) > 0
+
+
+def test_quota_is_shared_by_batches(spark):
+    """Deciding time-ordered batches one after the other, each with the wins
+    of those before, gives the decisions of one batch - also when a day is cut
+    into several."""
+    from adlake.plans.q_decisions import END, START, fixture_inputs
+    from adlake.session import materialize
+    from adlake.sources import decision_log as dlog
+
+    inp = fixture_inputs(spark, "/root/testdata/sf0.001")
+    cols = ["request_id", "winner", "rung", "request_date"]
+    one = sorted(map(tuple, dc.decide(inp, START, END)["decisions"].select(cols).collect()))
+    log = None
+    for lo, hi in ((0, 6), (6, 12), (12, 24)):
+        part = inp.requests.filter((F.col("hour_of_day") >= lo) & (F.col("hour_of_day") < hi))
+        granted = None if log is None else dc.granted_wins(log)
+        d = dc.decide(dc.DecisionInputs(**{**inp.__dict__, "requests": part, "granted": granted}), START, END)["decisions"]
+        d = dlog.conform(d)
+        log = materialize(d if log is None else log.unionByName(d))
+    assert sorted(map(tuple, log.select(cols).collect())) == one
