@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import decontaminate, embed_dedup, html_extract, line_dedup, minhash_dedup, quality, sentencepieces, token_counts, token_output, toxicity
+from adlake.llm import decontaminate, embed_dedup, html_extract, line_dedup, minhash_dedup, oracles, quality, sentencepieces, token_counts, token_output, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -27,4 +27,4 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.ORACLES)
