@@ -28,46 +28,20 @@ CAMPAIGN_KEY_LIMIT = 100  # campaigns are the parts with p_partkey below this
 BROADCAST_ROW_LIMIT = 1_000_000
 
 
-_SOURCES: dict[tuple[int, str], DataFrame] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table as a lazy DataFrame.  The relation (schema, file
-    listing) is resolved once per session and path; DataFrames are immutable,
-    so every query can start from the same one."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _SOURCES.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _SOURCES[key] = df
-    return df
-
-
-_BOUND_CHECKS: dict[tuple[int, int], bool] = {}
+    """A source table as a lazy DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True if ``df`` provably has at most ``max_rows`` rows (remembered per plan)."""
-    return bounded(df, max_rows) is not df
+    """True if ``df`` has at most ``max_rows`` rows now (a limit + count job)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows
-    (a limit+count job on the small side); otherwise leave the join strategy
-    to the planner (sort-merge / AQE).  The verdict is remembered per
-    logical plan within the session, so a catalog used by many queries is
-    counted once."""
-    try:
-        key = (df.semanticHash(), max_rows)
-    except Exception:  # noqa: BLE001 - plans without a stable hash are re-checked
-        key = None
-    ok = _BOUND_CHECKS.get(key) if key is not None else None
-    if ok is None:
-        ok = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _BOUND_CHECKS[key] = ok
-    return F.broadcast(df) if ok else df
+    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows;
+    otherwise leave the join strategy to the planner (sort-merge / AQE)."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
 def event_ts(col: str = "ts") -> Column:
