@@ -183,23 +183,6 @@ def fixture_lift_rules() -> list[tuple[str, str, str, float]]:
     ]
 
 
-def registry_df(spark: SparkSession) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("feature_name", T.StringType(), False),
-            T.StructField("entity", T.StringType(), False),
-            T.StructField("dtype", T.StringType(), False),
-            T.StructField("window_days", T.LongType(), True),
-            T.StructField("freshness_sla_seconds", T.LongType(), False),
-            T.StructField("default_json", T.StringType(), False),
-        ]
-    )
-    import json
-
-    rows = [(n, e, d, w, s, json.dumps(v)) for n, e, d, w, s, v in REGISTRY]
-    return spark.createDataFrame(rows, schema)
-
-
 def registry_sql() -> str:
     import json
 
@@ -225,15 +208,3 @@ def lift_rules_sql(rules=None) -> str:
     rules = rules if rules is not None else fixture_lift_rules()
     vals = ", ".join(f"({i}, '{s}', '{c}', '{cond}', CAST({m} AS DOUBLE))" for i, (s, c, cond, m) in enumerate(rules))
     return f"SELECT * FROM (VALUES {vals}) AS r(rule_order, segment, category, cond, multiplier)"
-
-
-def audiences_df(spark: SparkSession, audiences=None) -> DataFrame:
-    """Long rules table: (audience, definition_version, audience_order, feature, op, value)."""
-    audiences = audiences if audiences is not None else fixture_audiences()
-    rows = []
-    for order, a in enumerate(audiences):
-        for feature, op, value in a.rules:
-            rows.append((a.name, a.version, order, feature, op, str(value)))
-    return spark.createDataFrame(
-        rows, "audience string, definition_version long, audience_order long, feature string, op string, value string"
-    )

@@ -28,11 +28,6 @@ def account_age_days(created_at: Column | str, as_of: Column | dt.date) -> Colum
     return F.datediff(a, c).cast("long")
 
 
-def hour_of(ts: Column) -> Column:
-    """F-02: hour of a timestamp, or of ISO text."""
-    return F.hour(F.coalesce(ts.cast("timestamp"), F.to_timestamp(ts.cast("string")))).cast("long")
-
-
 def day_part(hour: Column) -> Column:
     """F-03: 'night' for hours 20..23 and 0..4, else 'day'."""
     return F.when(hour.isin(*config.NIGHT_HOURS), "night").otherwise("day")
@@ -91,11 +86,6 @@ def wilson_bounds(clicks: Column, n: Column, z: float = config.Z_95) -> tuple[Co
     return lo, hi
 
 
-def intervals_overlap(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
-    """F-11."""
-    return (lo_a <= hi_b) & (lo_b <= hi_a)
-
-
 def click_probability(lift: Column) -> Column:
     """F-12: min(0.03 * lift, 0.6)."""
     return F.least(F.lit(config.BASE_CTR) * lift, F.lit(config.MAX_CTR))

@@ -256,27 +256,6 @@ def exclusions(cands: DataFrame, audiences: list[config.Audience]) -> DataFrame:
     return ex.select("request_id", "campaign_id", "audience", v.alias("definition_version"))
 
 
-def score_stand_in(elig: DataFrame, lift: DataFrame) -> DataFrame:
-    """D-04 with the stand-in score: pctr = F-12 expected CTR of (segment,
-    category, day part), boosted on a destination match; eCPM = bid x pctr.
-    Auction candidates only."""
-    auc = elig.filter(F.col("demand_type") == "auction").withColumn("day_part", day_part(F.col("hour_of_day")))
-    j = auc.join(bounded(lift), ["segment", "category", "day_part"], "left")
-    base = click_probability(F.coalesce(F.col("lift"), F.lit(1.0)))
-    p = boosted_pctr(base, F.col("destination"), F.col("category"))
-    return j.select("*", p.alias("pctr")).select("*", ecpm(F.col("bid"), F.col("pctr")).alias("ecpm"))
-
-
-def score_with_model(elig: DataFrame, scores: DataFrame) -> DataFrame:
-    """D-04 with model scores (request_id, campaign_id, pctr) from M-07."""
-    auc = elig.filter(F.col("demand_type") == "auction")
-    j = auc.join(scores, ["request_id", "campaign_id"], "left")
-    p = boosted_pctr(F.coalesce("pctr", F.lit(0.0)), F.col("destination"), F.col("category"))
-    return j.select(*[c for c in j.columns if c != "pctr"], p.alias("pctr")).select(
-        "*", ecpm(F.col("bid"), F.col("pctr")).alias("ecpm")
-    )
-
-
 def quota_capped(pick: DataFrame) -> DataFrame:
     """Keep a guaranteed pick only while its campaign still has quota that
     day, in request time order; overflow requests go on to the auction.
@@ -388,8 +367,11 @@ def decide(inp: DecisionInputs, start: dt.date, end: dt.date) -> dict[str, DataF
     if inp.scores is not None:
         sc = inp.scores.select("request_id", "campaign_id", F.col("pctr").alias("model_pctr"))
         cands = cands.join(sc, ["request_id", "campaign_id"], "left")
-        p = boosted_pctr(F.coalesce("model_pctr", F.lit(0.0)), F.col("destination"), F.col("category"))
-        cands = cands.withColumn("pctr", p).drop("model_pctr")
+        # Every eligible auction candidate must have a score; the others never use one.
+        needed = F.col("has_capacity") & F.col("audience_ok") & (F.col("demand_type") == "auction")
+        missing = F.raise_error(F.lit("an eligible candidate has no model score")).cast("double")
+        known = F.when(F.col("model_pctr").isNotNull(), F.col("model_pctr")).when(needed, missing).otherwise(F.lit(0.0))
+        cands = cands.withColumn("pctr", boosted_pctr(known, F.col("destination"), F.col("category"))).drop("model_pctr")
     else:
         lift = F.broadcast(materialize(lift_lookup(inp.lift_rules, inp.campaigns)))
         cands = cands.withColumn("day_part", day_part(F.col("hour_of_day"))).join(

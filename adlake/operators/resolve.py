@@ -22,22 +22,6 @@ def registry_rows() -> list[tuple[str, str, str, int, object]]:
     return [(n, e, d, s, v) for n, e, d, _, s, v in config.REGISTRY]
 
 
-def realtime_values(requests: DataFrame, session_events: DataFrame) -> DataFrame:
-    """E-01: (request_id, feature_name, value_num, value_text, age_seconds)
-    for live session features at each request."""
-    known = session_events.filter(known_type()).select("user_id", "ts", F.lit(1.0).alias("v"))
-    act = latest_within(requests, known, "user_id", ["v"], config.SESSION_TTL_SECONDS).filter(F.col("v").isNotNull())
-    dest = session_events.filter(F.col("event_type") == "destination_entered").select(
-        "user_id", "ts", F.col("payload")["category"].alias("t")
-    )
-    dst = latest_within(requests, dest, "user_id", ["t"], config.SESSION_TTL_SECONDS).filter(F.col("t").isNotNull())
-    a = act.select("request_id", F.lit("user_session_active").alias("feature_name"), F.col("v").alias("value_num"),
-                   F.lit(None).cast("string").alias("value_text"), "age_seconds")
-    b = dst.select("request_id", F.lit("user_current_destination_category").alias("feature_name"),
-                   F.lit(None).cast("double").alias("value_num"), F.col("t").alias("value_text"), "age_seconds")
-    return a.unionByName(b)
-
-
 def publish_daily(user_snap: DataFrame, names: list[str]) -> DataFrame:
     """S-07 for a multi-day user snapshot (user_id, asof, features...): long
     items (user_id, asof, feature_name, value_json, computed_at = asof + 1 day)."""

@@ -613,12 +613,10 @@ def ctr_category_holdout(spark, sf):
 def ctr_cube(spark, sf):
     """A-07..A-10 as four grains of one measure in ONE grouping-sets job."""
     df = _seg_events(spark, sf).withColumn("day_part", day_part(F.col("hour_of_day")))
-    df.createOrReplaceTempView("adlake_seg_ev")
-    return df.sparkSession.sql(
-        """SELECT segment, category, day_part, hour_of_day,
-             CAST(grouping_id(segment, category, day_part, hour_of_day) AS BIGINT) AS grain,
-             count_if(event_type = 'impression') AS impressions,
-             count_if(event_type = 'click') AS clicks
-           FROM adlake_seg_ev
-           GROUP BY GROUPING SETS ((segment, category), (segment, day_part), (segment, hour_of_day), (category))"""
+    keys = [F.col(c) for c in ("segment", "category", "day_part", "hour_of_day")]
+    segment, category, part, hour = keys
+    return df.groupingSets([[segment, category], [segment, part], [segment, hour], [category]], *keys).agg(
+        F.grouping_id().cast("long").alias("grain"),
+        F.count_if(F.col("event_type") == "impression").alias("impressions"),
+        F.count_if(F.col("event_type") == "click").alias("clicks"),
     )

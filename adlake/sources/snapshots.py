@@ -108,7 +108,3 @@ def to_long(df: DataFrame, entity: str, feature_names: list[str], computed_at: d
         F.expr("substring(s.value_json, 6, length(s.value_json) - 6)").alias("value_json"),
         F.lit(computed_at).cast("timestamp").alias("computed_at"),
     )
-
-
-def registered_outputs(entity: str) -> list[str]:
-    return [n for n, e, *_ in config.REGISTRY if e == entity]
