@@ -47,6 +47,8 @@ ROWS = 8
 BANDS = 28
 #: Documents of a comparison unit, or of each of the two blocks of one.
 UNIT = 128
+#: Buckets of the filter before texts move; its broadcast holds a long for each at most.
+BUCKETS = 1 << 19
 #: Columns of the dense piece of an incidence matrix.
 COLUMNS = 4096
 
@@ -189,6 +191,14 @@ def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
     return members.join(sets, "doc_id").groupBy("unit").applyInPandas(run, "a long, b long")
 
 
+def _among(ids: DataFrame, source: DataFrame) -> DataFrame:
+    """The rows of ``source`` that may be among ``ids``, so that few texts
+    move: a filter by a broadcast of at most BUCKETS longs."""
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))
+    some = ids.select(bucket.alias("bucket")).distinct()
+    return source.join(F.broadcast(some), bucket == F.col("bucket"), "left_semi")
+
+
 def _first_units(grouped: DataFrame) -> DataFrame:
     """Each member of a band group beside the group's smallest: units of one
     such centre and at most about UNIT members."""
@@ -226,7 +236,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = written(rows.groupBy("band").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last")).where("centre <> last").select("band", "centre"), "groups")
     grouped = written(rows.join(groups, "band").distinct(), "grouped")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = written(_sets(source.join(grouped.select("doc_id").distinct(), "doc_id", "left_semi")), "sets")
+    ids = written(grouped.select("doc_id").distinct(), "candidates")
+    sets = written(_sets(_among(ids, source).join(ids, "doc_id", "left_semi")), "sets")
     found = written(_compared(_first_units(grouped), sets), "links")
     label = components(found, "a", "b")
     more = _compared(_open_units(grouped, label), sets)
