@@ -51,7 +51,9 @@ def _decode(value_json, dtype_col):
     num = F.when(dtype_col == "bool", F.when(value_json == "true", 1.0).otherwise(0.0)).when(
         dtype_col.isin("float", "int"), as_num
     )
-    text = F.when(dtype_col == "list[str]", as_list).when(dtype_col == "str", as_str)
+    text = F.when(dtype_col == "list[str]", as_list).when(dtype_col == "str", as_str).when(
+        dtype_col.startswith("map") | dtype_col.startswith("dict"), value_json
+    )
     return num, text
 
 
@@ -135,7 +137,9 @@ def _value_cols(name: str, dtype: str, col) -> tuple:
         return F.lit(None).cast("double"), col.cast("string")
     if dtype == "list[str]":
         return F.lit(None).cast("double"), F.array_join(col, ",")
-    return F.lit(None).cast("double"), F.lit(None).cast("string")  # map: value kept out of the flat check
+    # map: JSON text with sorted keys, numbers to six digits
+    entry = F.transform(F.array_sort(F.map_entries(col)), lambda e: F.format_string('"%s":%.6f', e["key"], e["value"]))
+    return F.lit(None).cast("double"), F.concat(F.lit("{"), F.array_join(entry, ","), F.lit("}"))
 
 
 def resolve_wide(requests: DataFrame, feature_names: list[str], session_events: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -159,6 +163,15 @@ def resolve_wide(requests: DataFrame, feature_names: list[str], session_events:
     r = latest_within(r, dest, "user_id", ["rt_dest"], config.SESSION_TTL_SECONDS, keep_left=True).withColumnRenamed(
         "age_seconds", "rt_dest_age"
     )
+    ride = session_events.filter(F.col("event_type") == "ride_type_selected").select(
+        "user_id", "ts", F.col("payload")["ride_type"].alias("rt_ride")
+    )
+    if "user_current_ride_type" in feature_names:
+        r = latest_within(r, ride, "user_id", ["rt_ride"], config.SESSION_TTL_SECONDS, keep_left=True).withColumnRenamed(
+            "age_seconds", "rt_ride_age"
+        )
+    else:
+        r = r.withColumns({"rt_ride": F.lit(None).cast("string"), "rt_ride_age": F.lit(None).cast("double")})
     batch_names = [n for n in feature_names if n in snapshot.columns]
     snap = snapshot.select("user_id", "asof", F.lit(True).alias("__snap"), *batch_names)
     r = r.withColumn("asof", F.date_sub(F.to_date("ts"), 1)).join(snap, ["user_id", "asof"], "left")
@@ -167,6 +180,10 @@ def resolve_wide(requests: DataFrame, feature_names: list[str], session_events:
         "user_session_active": (F.col("rt_active"), F.col("rt_active_age")),
         "user_current_destination_category": (F.col("rt_dest"), F.col("rt_dest_age")),
     }
+    rt["user_current_ride_type"] = (F.col("rt_ride"), F.col("rt_ride_age"))
+    unknown = [n for n in feature_names if n not in reg or n not in rt and n not in batch_names]
+    if unknown:
+        raise ValueError(f"no store holds the features {unknown}")
     rows = []
     for n in feature_names:
         _, dtype, sla, default = reg[n]

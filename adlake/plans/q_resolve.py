@@ -72,8 +72,10 @@ def _resolve_sql() -> str:
         f"""SELECT r.request_id, 'user_ctr_by_category_30d',
              CASE WHEN k.user_id IS NOT NULL THEN 'batch' ELSE 'default' END,
              CASE WHEN k.user_id IS NOT NULL THEN (CASE WHEN r.age_b <= {_sla('user_ctr_by_category_30d')} THEN 'fresh' ELSE 'stale' END) ELSE 'missing' END,
-             k.user_id IS NULL, CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR)
-           FROM rq r LEFT JOIN (SELECT DISTINCT user_id, as_of_date FROM gcat) k ON k.user_id = r.user_id AND k.as_of_date = r.request_date - 1"""
+             k.user_id IS NULL, CAST(NULL AS DOUBLE), coalesce(k.j, '{{}}')
+           FROM rq r LEFT JOIN (SELECT user_id, as_of_date,
+             '{{' || string_agg('"' || category || '":' || printf('%.6f', cat_ctr), ',' ORDER BY category) || '}}' AS j
+             FROM gcat GROUP BY user_id, as_of_date) k ON k.user_id = r.user_id AND k.as_of_date = r.request_date - 1"""
     )
     parts.append(
         f"""SELECT r.request_id, 'user_session_active',
