@@ -23,11 +23,12 @@ nothing; rows without an id link with nothing and have no component; rows
 with the same id are one document; input columns beside id and text are not
 read, an empty table gives an empty result.  Shingles are compared by 64-bit
 hashes; a link at exactly the threshold is missed with probability
-(1 - t**ROWS)**BANDS = 0.00014, and less above it."""
+(1 - t**ROWS)**bands, at most MISS, and less above it."""
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,11 +41,13 @@ from pyspark.sql import functions as F
 from adlake.llm.common import bounded_batches, components, table, written
 
 WORDS = 5
-#: Link at 100 * intersection >= PERCENT * union.
+#: Link at 100 * intersection >= PERCENT * union, unless told otherwise.
 PERCENT = 85
-#: Signature values of a band, half of them minima, half maxima; and bands.
+#: Signature values of a band, half of them minima, half maxima; and bands (of PERCENT).
 ROWS = 8
 BANDS = 28
+#: Greatest share of pairs at exactly the threshold that no band brings together.
+MISS = 0.00015
 #: Documents of a comparison unit, or of each of the two blocks of one.
 UNIT = 128
 #: Buckets of the filter before texts move; its broadcast holds a long for each at most.
@@ -112,14 +115,19 @@ def bands(sets: list[np.ndarray], rows: int = ROWS, count: int = BANDS) -> np.nd
     return keys.view(np.int64)
 
 
-def _sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def band_count(percent: int) -> int:
+    """Bands that a threshold needs for MISS; BANDS at PERCENT."""
+    return 1 if percent >= 100 else math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS))
+
+
+def _sketched(docs: DataFrame, id_col: str, text_col: str, count: int = BANDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = shingle_sets(b.column(1).to_pylist())
             full = [i for i, s in enumerate(sets) if len(s)]
             keys: list = [None] * len(sets)
             if full:
-                for i, k in zip(full, bands([sets[i] for i in full]).tolist(), strict=True):
+                for i, k in zip(full, bands([sets[i] for i in full], count=count).tolist(), strict=True):
                     keys[i] = k
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "bands"])
@@ -178,14 +186,14 @@ def links_among(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray | No
     return out
 
 
-def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _compared(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) found in the units of ``members``: (unit, side, doc_id,
     label); sides null: all pairs, else pairs of different sides."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["doc_id"].to_numpy()
         side = None if pdf["side"].isna().any() else pdf["side"].to_numpy()
-        found = links_among([np.frombuffer(x, np.uint64) for x in pdf["shingles"]], pdf["label"].to_numpy(), side)
+        found = links_among([np.frombuffer(x, np.uint64) for x in pdf["shingles"]], pdf["label"].to_numpy(), side, percent)
         return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]}, dtype="int64")
 
     return members.join(sets, "doc_id").groupBy("unit").applyInPandas(run, "a long, b long")
@@ -226,10 +234,10 @@ def _open_units(grouped: DataFrame, label: DataFrame) -> DataFrame:
     return spread.select(unit, side.cast("int").alias("side"), "doc_id", "label")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id
-    reachable by links), kept (it is that one)."""
-    sketch = written(_sketched(docs, id_col, text_col), "sketch")
+    reachable by links of ``percent`` or more), kept (it is that one)."""
+    sketch = written(_sketched(docs, id_col, text_col, band_count(percent)), "sketch")
     classes = written(sketch.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first")), "classes")
     first = sketch.join(classes.select(F.col("first").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
     rows = first.select("doc_id", F.posexplode("bands").alias("at", "key")).select(F.xxhash64("at", "key").alias("band"), "doc_id")
@@ -238,9 +246,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ids = written(grouped.select("doc_id").distinct(), "candidates")
     sets = written(_sets(_among(ids, source).join(ids, "doc_id", "left_semi")), "sets")
-    found = written(_compared(_first_units(grouped), sets), "links")
+    found = written(_compared(_first_units(grouped), sets, percent), "links")
     label = components(found, "a", "b")
-    more = _compared(_open_units(grouped, label), sets)
+    more = _compared(_open_units(grouped, label), sets, percent)
     label = components(found.unionByName(more), "a", "b")
     member = sketch.join(classes, "digest", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first"))
     out = member.join(label.select(F.col("node").alias("first"), "root"), "first", "left")
@@ -251,4 +259,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the near duplicates among all documents."""
     bounded_batches(spark)
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
