@@ -65,4 +65,43 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
 
-ORACLES = {"op5_embedding_dedup": OP5, "op6_minhash_dedup": OP6, "op9_decontaminate": OP9}
+#: Every step of every order of five filters, counted document by document.
+OP11 = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+l AS (SELECT doc_id, max(quality = 1) AS q, max(toxic = 1) AS x FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS MATERIALIZED (
+  SELECT part, coalesce(q, false) AS q, coalesce(x, false) AS x,
+    (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END)
+    || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 3 * length(d.t) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN d.doc_id > first_id THEN 'E' ELSE '' END) AS fails
+  FROM d JOIN first ON first.t = d.t LEFT JOIN l ON l.doc_id = d.doc_id),
+cell AS MATERIALIZED (SELECT part, fails, count(*) AS n, count(*) FILTER (q) AS g, count(*) FILTER (x) AS x FROM f GROUP BY ALL),
+perm AS (
+  SELECT '' AS filter_order UNION ALL
+  SELECT filter_order || c FROM perm, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c) WHERE NOT contains(filter_order, c)),
+step AS (SELECT filter_order, k AS step, filter_order[k] AS filter, filter_order[1 : k - 1] AS before
+  FROM (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS k FROM perm WHERE length(filter_order) = 5)),
+state AS (
+  SELECT part, filter_order, step, filter, n, g, x, fails, contains(fails, filter) AS hit,
+    before <> '' AND regexp_matches(fails, '[' || before || '0]') AS gone
+  FROM cell, step),
+counted AS MATERIALIZED (
+  SELECT part, filter_order, step, filter,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (gone AND hit), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (fails = filter), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(g) FILTER (NOT gone AND hit), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(x) FILTER (NOT gone AND hit), 0) AS BIGINT) AS toxic_lost
+  FROM state GROUP BY part, filter_order, step, filter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM counted
+"""
+
+ORACLES = {"op5_embedding_dedup": OP5, "op6_minhash_dedup": OP6, "op9_decontaminate": OP9, "op11_filter_audit": OP11}
