@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import decontaminate, embed_dedup, filter_audit, html_extract, line_dedup, minhash_dedup, oracles, quality, sentencepieces, token_counts, token_output, toxicity, whitening
+from adlake.llm import decontaminate, embed_dedup, filter_audit, html_extract, line_dedup, lm_scoring, minhash_dedup, oracles, quality, sentencepieces, token_counts, token_output, toxicity, whitening
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, QueryFn]:
         "op10_line_dedup": line_dedup.op10_line_dedup,
         "op11_filter_audit": filter_audit.op11_filter_audit,
         "op12_embedding_whitening": whitening.op12_embedding_whitening,
+        "op13_lm_scoring": lm_scoring.op13_lm_scoring,
     }
 
 
