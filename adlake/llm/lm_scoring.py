@@ -34,6 +34,7 @@ import itertools
 import mmap
 import re
 import tempfile
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from zlib import crc32
@@ -46,9 +47,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.llm.common import bounded_batches, table, written
+from adlake.session import scratch_path
 
 #: Tokens of a block; three local word numbers have to fit 63 bits.
 BLOCK = 1 << 20
+#: Shards for each task of the scan.
+SHARDS = 4
 #: Bytes of a text that are split at once.
 PIECE = 4 << 20
 #: Weight of the base in the second order, discount of the third.
@@ -336,6 +340,14 @@ def blocks(docs: DataFrame, shards: int, size: int = BLOCK) -> DataFrame:
     return docs.select("doc_id", "train", "text").mapInArrow(run, _BLOCK)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` in buckets of ``key`` into the shared folder: it is read
+    twice, and never shuffled."""
+    spark, name = df.sparkSession, f"lm_{uuid.uuid4().hex}"
+    df.write.option("path", scratch_path(spark, f"llm/{name}")).option("compression", "zstd").bucketBy(buckets, key).saveAsTable(name)
+    return spark.table(name)
+
+
 def word_answers(blocks_: DataFrame, shards: int) -> DataFrame:
     """(block, shard, ids, counts) of a block's words; (tokens, words) trained
     are on one row of each shard."""
@@ -416,10 +428,12 @@ def _requests(grams: Grams, texts: int, block: int, shards: int) -> Iterator[dic
         own = order[a:b]
         at = spans(start[own], size[own])
         first = key[start[own]] >> 2 * _BITS
+        each = np.flatnonzero(np.diff(first, prepend=-1))  # a word u has its contexts in a row
         parts = {
-            "u": grams.ids[first],
+            "u": grams.ids[first[each]],
+            "u_count": np.where(first[each] == START, texts, grams.counts[first[each]]),
+            "u_size": np.diff(each, append=len(first)),
             "v": grams.ids[(key[start[own]] >> _BITS) & mask],
-            "u_count": np.where(first == START, texts, grams.counts[first]),
             "size": size[own],
             "w": grams.ids[key[at] & mask],
             "seen": weight[at],
@@ -427,7 +441,7 @@ def _requests(grams: Grams, texts: int, block: int, shards: int) -> Iterator[dic
         yield {"shard": int(shard[own[0]]), "block": block, **{k: packed(v) for k, v in parts.items()}}
 
 
-_REQUEST = "shard int, block long, u binary, v binary, u_count binary, size binary, w binary, seen binary"
+_REQUEST = "shard int, block long, u binary, u_count binary, u_size binary, v binary, size binary, w binary, seen binary"
 _MAPS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
 
 
@@ -436,28 +450,28 @@ def _table(rows: list[dict], schema: str) -> pa.Table:
     return pa.table({n: pa.array([r[n] for r in rows], _MAPS[k]) for n, k in names})
 
 
-def _parts(group: pa.Table) -> tuple[dict, list[dict], list[dict]]:
-    """A block's own row, the answers for its words and for its trigrams."""
-    rows = group.to_pylist()
-    return next(r for r in rows if r["kind"] == 0), [r for r in rows if r["kind"] == 1], [r for r in rows if r["kind"] == 2]
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, rising, and for each value its number among them."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.diff(ordered, prepend=-1) != 0
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], number
 
 
 def answered(group: pa.Table, mu: float = MU, discount: float = DISCOUNT) -> tuple[pa.Table, Trie]:
     """A shard: merges the blocks' counts, builds the trie of what was trained
     and looks up every block's trigrams in it."""
-    held = [{k: unpacked(r[k]) for k in ("u", "v", "u_count", "size", "w", "seen")} | {"block": r["block"], "shard": r["shard"]} for r in group.to_pylist()]
-    cat = lambda k: np.concatenate([h[k] for h in held])
-    u, v, u_count, w, seen = (cat(k) for k in ("u", "v", "u_count", "w", "seen"))
+    cat = lambda k: np.concatenate([unpacked(x.as_py()) for x in group[k]])
+    u, v, w, seen = (cat(k) for k in ("u", "v", "w", "seen"))
     word1, at = np.unique(u, return_index=True)
-    total1 = u_count[at]
+    total1 = cat("u_count")[at]
+    u = np.repeat(u, cat("u_size"))
     wide = int(max(v.max(initial=0), w.max(initial=0))) + 1
-    pair, of_pair = np.unique(np.searchsorted(word1, u) * wide + v, return_inverse=True)
-    triple = of_pair[np.repeat(np.arange(len(u)), cat("size"))] * wide + w
-    order = np.argsort(triple, kind="stable")
-    new = np.diff(triple[order], prepend=-1) != 0
-    of_triple = np.empty(len(order), np.int64)
-    of_triple[order] = np.cumsum(new) - 1
-    triple = triple[order][new]
+    pair, of_pair = numbered(np.searchsorted(word1, u) * wide + v)
+    triple, of_triple = numbered(np.repeat(of_pair, cat("size")) * wide + w)
+    del u, v, w
     count3 = np.bincount(of_triple, weights=seen, minlength=len(triple)).astype(np.int64)
     pair3, word3 = triple // wide, triple % wide
     pair1, word2 = pair // wide, pair % wide
@@ -487,9 +501,10 @@ def answered(group: pa.Table, mu: float = MU, discount: float = DISCOUNT) -> tup
     value3[has3] = three.values[0][at3[has3]]
     answers2, answers3 = value2[of_pair], value3[of_triple]
     rows, a, b = [], 0, 0
-    for h in held:
-        n, m = len(h["u"]), len(h["w"])
-        rows.append({"block": h["block"], "shard": h["shard"], "second": packed(answers2[a : a + n, 0]), "backoff": packed(answers2[a : a + n, 1]), "third": packed(answers3[b : b + m])})
+    for block, shard, sizes in zip(group["block"].to_pylist(), group["shard"].to_pylist(), group["size"], strict=True):
+        sizes = unpacked(sizes.as_py())
+        n, m = len(sizes), int(sizes.sum())
+        rows.append({"block": block, "shard": shard, "second": packed(answers2[a : a + n, 0]), "backoff": packed(answers2[a : a + n, 1]), "third": packed(answers3[b : b + m])})
         a, b = a + n, b + m
     return _table(rows, _ANSWER), trie
 
@@ -500,11 +515,7 @@ _SCORE = "row long, doc_id long, train boolean, n_tokens long, n_known long, bas
 
 def _scored(head: dict, words: list[dict], answers: list[dict], shards: int, n: int, v: int, texts: int, mu: float) -> list[dict]:
     grams = Grams(head, words, shards)
-    order = np.argsort(grams.key, kind="stable")
-    new = np.diff(grams.key[order], prepend=-1) != 0
-    inverse = np.empty(len(order), np.int64)
-    inverse[order] = np.cumsum(new) - 1
-    key = grams.key[order][new]
+    key, inverse = numbered(grams.key)
     start, size, shard = grams.contexts(key, shards)
     by_shard = np.argsort(shard, kind="stable")
     by_shard = by_shard[np.searchsorted(shard[by_shard], 0) :]
@@ -534,31 +545,30 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     if block + WORDS + 2 > 1 << _BITS:
         raise ValueError("a block's words need numbers below 2^21")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(~held_out, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
-    # As many shards as the scan has tasks, twice: both grow with the input.
-    shards = shards or max(8, 2 * source.rdd.getNumPartitions())
-    made = written(blocks(source, shards, block), "lm-blocks")
+    # The tasks of the scan grow with the input, and so do shards.
+    shards = shards or SHARDS * max(2, source.rdd.getNumPartitions())
+    made = bucketed(blocks(source, shards, block), "block", max(1, shards // SHARDS))
     words = written(word_answers(made, shards), "lm-words")
     n, v = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     texts = made.select(F.sum(F.size(F.filter(F.arrays_zip("train", "ends"), lambda x: x["train"] & x["ends"])))).first()[0] or 0
-    parts = ["codes", "row", "doc", "train", "n", "ends"]
-    own = made.select("block", F.lit(0).alias("kind"), *parts)
-    answer = words.select("block", F.lit(1).alias("kind"), "shard", "ids", "counts")
-    asked = own.unionByName(answer, allowMissingColumns=True)
-
-    def ask(group: pa.Table) -> pa.Table:
-        head, known, _ = _parts(group)
-        grams = Grams(head, known, shards)
+    own = made.drop("words").groupBy("block")
+    known = words.select("block", "shard", "ids", "counts")
+
+    def ask(head: pa.Table, known: pa.Table) -> pa.Table:
+        head = head.to_pylist()[0]
+        grams = Grams(head, known.to_pylist(), shards)
         return _table(list(_requests(grams, texts, head["block"], shards)), _REQUEST)
 
-    requests = asked.groupBy("block").applyInArrow(ask, _REQUEST)
+    requests = own.cogroup(known.groupBy("block")).applyInArrow(ask, _REQUEST)
     found = written(requests.groupBy("shard").applyInArrow(lambda g: answered(g, mu, discount)[0], _ANSWER), "lm-answers")
-    back = found.select("block", F.lit(2).alias("kind"), "shard", "second", "backoff", "third")
 
-    def add_up(group: pa.Table) -> pa.Table:
-        head, known, answers = _parts(group)
-        return _table(_scored(head, known, answers, shards, n, v, texts, mu), _SCORE)
+    def add_up(head: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = answers.to_pylist()
+        about = [[r for r in rows if (r["ids"] is None) == asked] for asked in (False, True)]
+        return _table(_scored(head.to_pylist()[0], *about, shards, n, v, texts, mu), _SCORE)
 
-    pieces = asked.unionByName(back, allowMissingColumns=True).groupBy("block").applyInArrow(add_up, _SCORE)
+    back = known.unionByName(found, allowMissingColumns=True)
+    pieces = own.cogroup(back.groupBy("block")).applyInArrow(add_up, _SCORE)
     out = pieces.groupBy("row").agg(F.first("doc_id").alias("doc_id"), (~F.first("train")).alias("held_out"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 

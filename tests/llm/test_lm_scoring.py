@@ -122,7 +122,8 @@ def test_what_the_trie_answers():
     grams = sorted(seen)
     pairs = sorted({g[:2] for g in grams})
     total = {u: 10 + u for u, _ in pairs}
-    cols = {"u": [p[0] for p in pairs], "v": [p[1] for p in pairs], "u_count": [total[p[0]] for p in pairs], "size": [sum(g[:2] == p for g in grams) for p in pairs], "w": [g[2] for g in grams], "seen": [seen[g] for g in grams]}
+    firsts = sorted(total)
+    cols = {"u": firsts, "u_count": [total[u] for u in firsts], "u_size": [sum(p[0] == u for p in pairs) for u in firsts], "v": [p[1] for p in pairs], "size": [sum(g[:2] == p for g in grams) for p in pairs], "w": [g[2] for g in grams], "seen": [seen[g] for g in grams]}
     row = {"shard": 4, "block": 9, **{k: L.packed(np.array(v)) for k, v in cols.items()}}
     out, trie = L.answered(pa.Table.from_pylist([row, row | {"block": 10}]))
     c2 = {p: 2 * sum(seen[g] for g in grams if g[:2] == p) for p in pairs}
