@@ -148,6 +148,8 @@ FIXTURE_CATEGORY = {
     "food": "PROMO",
     "entertainment": "LARGE",
 }
+# Share of a request's latency that each stage takes (the events have one number).
+FIXTURE_STAGE_SHARE = {"retrieval": 0.125, "features": 0.25, "scoring": 0.375, "bidder": 0.25, "total": 1.0}
 FIXTURE_AS_OF = dt.date(2024, 1, 30)
 FIXTURE_START = dt.date(2024, 1, 1)
 HOUSE_AD_ID = -1  # campaign ids are longs on the driver tables

@@ -1,22 +1,28 @@
 """Ad decisions as set-based jobs over a table (or micro-batch) of requests
 (D-01 .. D-09, K-01, K-02, J-04, J-10, J-11).
 
-Plan shape: requests are equi-joined to the (campaign, live day) rows of
-the catalog (the flight range join becomes an equi-join on the day; the
-exploded catalog is size-checked and broadcast), so no request ever meets
-a campaign that is not live that day.  Every later step is a per-request
-aggregate over at most catalog-size candidates.
+Plan shape: a request never meets campaigns one by one.  What a request can
+get from the catalog depends only on its day, its audiences and the category
+of the campaign, so the live catalog is first reduced to *candidate groups*:
+one row per (day, targeted audiences, category) with the number of campaigns,
+the best auction bid and the most urgent guaranteed campaign.  A context index
+holds the groups of a day with the click probability of each (segment, day
+part).  A request picks up one index row (an equi-join) and filters, scores
+and arbitrates its groups inside that row.  The size of every step is requests
+plus catalog, never their product; :func:`eligible_pairs` expands the pairs
+for whoever wants them.
 
 Counters: a set-based job sees capacity and delivery as of the start of
 the request's day, taken from a delivery ledger (campaign, day, wins,
-guaranteed_wins).  The sequential within-day behaviour is D-08."""
+guaranteed_wins).  :func:`decide_in_days` feeds each day's own wins to the next."""
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake import config
@@ -31,6 +37,7 @@ from adlake.functions.scalar import (
     lit_date,
 )
 from adlake.operators.asof import latest_within
+from adlake.operators.ranks import row_numbers
 from adlake.session import materialize
 from adlake.sources.tables import bounded
 
@@ -42,7 +49,7 @@ RUNG_PACING_DOWN = "redis_down_popularity_fallback"
 @dataclass
 class DecisionInputs:
     requests: DataFrame  # request_id, user_id, ts, request_date, hour_of_day
-    campaigns: DataFrame  # catalog (small, size-checked)
+    campaigns: DataFrame  # the whole catalog
     segments: DataFrame  # user_id, segment
     memberships: DataFrame  # user_id, asof, audience_memberships (as of asof)
     destinations: DataFrame  # user_id, ts, category  (destination_entered events)
@@ -52,7 +59,8 @@ class DecisionInputs:
     popularity: DataFrame | None = None  # campaign_id, popularity_rank
     lift_rules: DataFrame | None = None  # rule_order, segment, category, cond, multiplier
     audiences: list[config.Audience] | None = None
-    scores: DataFrame | None = None  # optional model scores: request_id, campaign_id, pctr
+    ad_features: DataFrame | None = None  # campaign_id, day, numbers that the scorer uses
+    scorer: Callable[[DataFrame], DataFrame] | None = None  # rows of a request and a group -> the same with pctr
     user_context: DataFrame | None = None  # user_id, asof, segment, audience_memberships (one join)
     granted: DataFrame | None = None  # campaign_id, day, granted (guaranteed wins of earlier batches)
 
@@ -62,7 +70,7 @@ class DecisionInputs:
 
 def live_days(campaigns: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """J-04: (campaign, day) for every day of an ACTIVE campaign's flight in
-    [start, end].  Size = catalog x flight length; checked before broadcast."""
+    [start, end].  Size = catalog x flight length."""
     s, e = lit_date(start), lit_date(end)
     lo = F.greatest(F.col("flight_start"), s)
     hi = F.least(F.col("flight_end"), e)
@@ -110,8 +118,7 @@ def capacity_at_day_start(campaigns: DataFrame, ledger: DataFrame, start: dt.dat
 
 
 def catalog_day_table(campaigns: DataFrame, ledger: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Catalog x live days with counters, pacing numbers and audience info:
-    the broadcast side of the request join."""
+    """Catalog x live days with counters, pacing numbers and audience info."""
     cap = capacity_at_day_start(campaigns, ledger, start, end)
     c = campaigns.select(
         "campaign_id", "category", "demand_type", "bid", "impression_goal", "flight_start", "flight_end",
@@ -169,7 +176,7 @@ def request_context(inp: DecisionInputs, start: dt.date, end: dt.date) -> DataFr
     (user, day)."""
     r = inp.requests
     have = set(r.columns)
-    own = [c for c in ("external_bid", "model_ok", "features_ok", "pacing_ok") if c in have]
+    own = [c for c in ("external_bid", "model_ok", "features_ok", "pacing_ok", "stage_latencies_ms") if c in have]
     base = r.select("request_id", "user_id", "ts", "request_date", "hour_of_day", *own)
     dests = inp.destinations.select("user_id", "ts", F.col("category").alias("destination"))
     out = latest_within(base, dests, "user_id", ["destination"], config.SESSION_TTL_SECONDS, keep_left=True).drop(
@@ -193,67 +200,129 @@ def request_context(inp: DecisionInputs, start: dt.date, end: dt.date) -> DataFr
         out = out.join(inp.availability, "request_id", "left")
     for c in ("model_ok", "features_ok", "pacing_ok"):
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(True)) if c in out.columns else F.lit(True))
+    if "stage_latencies_ms" not in out.columns:
+        out = out.withColumn("stage_latencies_ms", F.lit(None).cast("map<string,double>"))
     arm = assign_arm(F.col("user_id"))
     version = F.when(arm == "control", config.ARM_VERSIONS["control"]).otherwise(config.ARM_VERSIONS["treatment"])
     return out.select(
         "request_id", "user_id", "ts", "request_date", "hour_of_day",
         arm.alias("experiment_arm"), version.alias("model_version"), "ctx_day", "segment",
         "audience_memberships", "destination", "external_bid", "model_ok", "features_ok", "pacing_ok",
+        "stage_latencies_ms",
     )
 
 
-def join_live_catalog(
-    req: DataFrame, catalog_days: DataFrame, salt_buckets: int | None = None, broadcast_limit: int | None = None
-) -> DataFrame:
-    """Every request x every campaign live on its day.
-
-    A size-checked catalog (x flight days) is broadcast: a hash join per
-    request partition, no shuffle of the requests.  A catalog too large to
-    broadcast would turn this into a join on the day alone (a handful of
-    keys, one giant partition each), so it is salted instead: catalog rows
-    are split into N buckets by campaign id, every request is replicated
-    once per bucket, and the join runs on (day, bucket)."""
-    from adlake.sources.tables import BROADCAST_ROW_LIMIT, is_bounded
-
-    if is_bounded(catalog_days, broadcast_limit or BROADCAST_ROW_LIMIT):
-        cat = F.broadcast(catalog_days)
-        return req.join(cat, req.request_date == cat.day).drop("day")
-    spark = req.sparkSession
-    n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cat = catalog_days.withColumn("__salt", F.pmod(F.xxhash64("campaign_id"), F.lit(n)))
-    r = req.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")))
-    return r.join(cat, (r.request_date == cat.day) & (r["__salt"] == cat["__salt"])).drop("day", "__salt")
-
-
-def candidates(req: DataFrame, catalog_days: DataFrame, audiences: list[config.Audience]) -> DataFrame:
-    """J-10 + D-01 + D-02 inputs: every (request, live campaign) pair with its
-    retrieval outcome.  Equi-join on the day against the broadcast catalog."""
-    j = join_live_catalog(req, catalog_days)
-    targeted = F.col("targeted_audiences")
-    members = F.coalesce(F.col("audience_memberships"), F.array().cast("array<string>"))
-    aud_ok = (F.size(targeted) == 0) | F.arrays_overlap(targeted, members)
-    return j.select(
-        "*",
-        (F.col("remaining_capacity") > 0).alias("has_capacity"),
-        F.coalesce(aud_ok, F.lit(False)).alias("audience_ok"),
+def requests_per_live_campaign(req: DataFrame, live: DataFrame) -> DataFrame:
+    """J-04 / J-10 without pairs: every campaign live on a day that has
+    requests, with the number of the requests that meet it."""
+    per_day = req.groupBy(F.col("request_date").alias("day")).agg(F.count("*").alias("n_requests"))
+    return live.select("day", "campaign_id").join(per_day, "day")
+
+
+def audiences_of(targeted) -> Column:
+    """Targeted audiences as a key: distinct, in order."""
+    return F.array_sort(F.array_distinct(F.coalesce(targeted, F.array().cast("array<string>"))))
+
+
+def reaches(audiences: Column, members: Column) -> Column:
+    """P-07: untargeted, or the user is in one of the audiences."""
+    mine = F.coalesce(members, F.array().cast("array<string>"))
+    return (F.size(audiences) == 0) | F.coalesce(F.arrays_overlap(audiences, mine), F.lit(False))
+
+
+def with_capacity(catalog_days: DataFrame) -> DataFrame:
+    return catalog_days.filter(F.col("remaining_capacity") > 0)
+
+
+def candidate_groups(catalog_days: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The catalog with capacity, by (day, targeted audiences, category): the
+    campaigns of a group are alike to every request, but for bid and pacing.
+    ``by``: further columns in which they have to be alike (ad features)."""
+    auction = F.col("demand_type") == "auction"
+    offer = F.struct("campaign_id", "bid")
+    return (
+        with_capacity(catalog_days)
+        .groupBy("day", audiences_of(F.col("targeted_audiences")).alias("audiences"), "category", *by)
+        .agg(
+            F.count("*").alias("campaigns"),
+            F.sum("campaign_id").alias("id_sum"),
+            F.count_if(auction).alias("auctions"),
+            # Equal click probability inside a group: the best eCPM is the best bid's (first id on ties) ...
+            F.min_by(offer, F.when(auction, F.struct((-F.coalesce("bid", F.lit(0.0))).alias("k"), "campaign_id"))).alias("best"),
+            # ... and the first id's where all eCPMs are zero.
+            F.min_by(offer, F.when(auction, F.col("campaign_id"))).alias("first"),
+            F.min(F.when(F.col("behind"), F.struct("urgency", "campaign_id", "quota"))).alias("pick"),
+        )
     )
 
 
-def eligible(cands: DataFrame) -> DataFrame:
-    """D-01: active, in flight (by construction), capacity > 0, audience ok."""
-    return cands.filter(F.col("has_capacity") & F.col("audience_ok"))
+def context_index(req: DataFrame, groups: DataFrame, lift: DataFrame) -> DataFrame:
+    """Groups of the day with their click probability, one row for every
+    (day, segment, day part) that requests have."""
+    ctx = ["request_date", "segment", "day_part"]
+    rows = req.select(*ctx).distinct().join(groups.withColumnRenamed("day", "request_date"), "request_date")
+    rows = rows.join(lift, ["segment", "category", "day_part"], "left")
+    group = F.struct(
+        "audiences", "category", "campaigns", "id_sum", "auctions", "best", "first", "pick",
+        F.coalesce("lift", F.lit(1.0)).alias("lift"),
+    )
+    return rows.groupBy(*ctx).agg(F.array_sort(F.collect_list(group)).alias("groups"))
+
+
+def eligible_pairs(req: DataFrame, catalog_days: DataFrame) -> DataFrame:
+    """D-01 expanded: a row per request and eligible campaign."""
+    c = with_capacity(catalog_days)
+    j = req.join(c, req.request_date == c.day).drop("day")
+    return j.filter(reaches(audiences_of(F.col("targeted_audiences")), F.col("audience_memberships")))
+
+
+def eligible_by_class(req: DataFrame, catalog_days: DataFrame) -> DataFrame:
+    """D-01: requests of a day that are in the same targeted audiences have
+    the same candidates.  (request_date, audiences, campaign_id, n_requests):
+    the candidates of each such class, and how many requests are in it."""
+    c = with_capacity(catalog_days).withColumn("target", audiences_of(F.col("targeted_audiences")))
+    # Names of audiences that any campaign of a day targets: configuration, few.
+    used = c.select("day", F.explode("target").alias("a")).groupBy("day").agg(F.collect_set("a").alias("used"))
+    r = req.join(used, req.request_date == used.day, "left")
+    mine = audiences_of(F.array_intersect(F.coalesce("audience_memberships", F.array().cast("array<string>")), F.coalesce("used", F.array().cast("array<string>"))))
+    classes = r.groupBy("request_date", mine.alias("mine")).agg(F.count("*").alias("n_requests"))
+    j = classes.join(c.select("day", "campaign_id", "target"), F.col("request_date") == F.col("day"))
+    return j.filter(reaches(F.col("target"), F.col("mine"))).select(
+        "request_date", F.array_join("mine", ",").alias("audiences"), "campaign_id", "n_requests"
+    )
 
 
-def exclusions(cands: DataFrame, audiences: list[config.Audience]) -> DataFrame:
-    """D-02: campaigns that passed status, flight and capacity but failed the
-    audience rule: one row per targeted audience with its definition
-    version (-1 when the audience is unknown)."""
-    versions = F.create_map(*[x for a in audiences for x in (F.lit(a.name), F.lit(a.version).cast("long"))]) if audiences else None
-    ex = cands.filter(F.col("has_capacity") & ~F.col("audience_ok")).select(
-        "request_id", "campaign_id", F.explode("targeted_audiences").alias("audience")
+def exclusions(req: DataFrame, catalog_days: DataFrame, audiences: list[config.Audience]) -> DataFrame:
+    """D-02: targeted campaigns that passed status, flight and capacity but
+    failed the audience rule: one row per targeted audience with its
+    definition version (-1 when the audience is unknown).  Only targeted
+    campaigns take part."""
+    c = with_capacity(catalog_days).select("day", "campaign_id", audiences_of(F.col("targeted_audiences")).alias("target"))
+    c = c.filter(F.size("target") > 0)
+    j = req.select("request_id", "request_date", "audience_memberships").join(c, F.col("request_date") == F.col("day"))
+    ex = j.filter(~reaches(F.col("target"), F.col("audience_memberships"))).select(
+        "request_id", "campaign_id", F.explode("target").alias("audience")
     )
-    v = F.coalesce(F.try_element_at(versions, F.col("audience")), F.lit(-1).cast("long")) if versions is not None else F.lit(-1).cast("long")
-    return ex.select("request_id", "campaign_id", "audience", v.alias("definition_version"))
+    return ex.select("request_id", "campaign_id", "audience", _version(audiences)(F.col("audience")).alias("definition_version"))
+
+
+def _version(audiences: list[config.Audience]) -> Callable[[Column], Column]:
+    if not audiences:
+        return lambda a: F.lit(-1).cast("long")
+    known = F.create_map(*[x for a in audiences for x in (F.lit(a.name), F.lit(a.version).cast("long"))])
+    return lambda a: F.coalesce(F.try_element_at(known, a), F.lit(-1).cast("long"))
+
+
+def model_rows(req: DataFrame, groups: DataFrame) -> DataFrame:
+    """E-05 input: a row per request and eligible auction group (campaigns of
+    a group have equal ad features, so one score holds for all of them)."""
+    g = groups.filter("auctions > 0").withColumnRenamed("day", "request_date")
+    j = req.select(
+        "request_id", "user_id", "request_date", "hour_of_day", "experiment_arm", "audience_memberships", "destination",
+        F.col("ctx_day").alias("asof"),
+    ).join(g, "request_date")
+    j = j.filter(reaches(F.col("audiences"), F.col("audience_memberships"))).drop("audience_memberships", "pick", "campaigns", "id_sum")
+    return j.withColumn("campaign_id", F.col("best.campaign_id"))
 
 
 def quota_capped(pick: DataFrame) -> DataFrame:
@@ -274,12 +343,10 @@ def quota_capped(pick: DataFrame) -> DataFrame:
 
 
 def popularity_ranking(campaigns: DataFrame, ad_ctr_30d: DataFrame) -> DataFrame:
-    """K-01: campaigns by ad_ctr_30d desc (missing 0.0), catalog order on
-    ties.  Over the small catalog only (size-checked), so a single ordered
-    window is fine here."""
+    """K-01: campaigns by ad_ctr_30d desc (missing 0.0), catalog order on ties."""
     j = campaigns.select("campaign_id").join(ad_ctr_30d, "campaign_id", "left")
-    w = Window.orderBy(F.coalesce("ad_ctr_30d", F.lit(0.0)).desc(), "campaign_id")
-    return j.select("campaign_id", F.row_number().over(w).cast("long").alias("popularity_rank"))
+    j = j.select("campaign_id", (-F.coalesce("ad_ctr_30d", F.lit(0.0))).alias("rank_key"))
+    return row_numbers(j, ["rank_key", "campaign_id"], "popularity_rank").select("campaign_id", "popularity_rank")
 
 
 def catalog_only_days(campaigns: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -293,22 +360,6 @@ def popularity_fallback(campaigns: DataFrame, ranking: DataFrame, start: dt.date
     return j.groupBy("day").agg(F.min_by("campaign_id", "popularity_rank").alias("fallback_campaign_id"))
 
 
-def arbitration_aggs(el, auc) -> list:
-    """Per-request aggregates arbitration needs (D-05 inputs), computed in
-    the same groupBy as the decision record: the best eCPM (first in catalog
-    order on ties) and the most urgent behind-schedule guaranteed pick."""
-    return [
-        F.min_by(
-            F.when(auc, F.struct("campaign_id", "ecpm")),
-            F.when(auc, F.struct((-F.coalesce("ecpm", F.lit(0.0))).alias("k"), F.col("campaign_id"))),
-        ).alias("best"),
-        F.min_by(
-            F.when(el & F.col("behind"), F.struct("campaign_id", "quota")),
-            F.when(el & F.col("behind"), F.struct("urgency", "campaign_id")),
-        ).alias("pick"),
-    ]
-
-
 def arbitration_outcome(per: DataFrame, ok) -> DataFrame:
     """D-05 on per-request rows (request_id, request_date, ts, external_bid,
     best, pick): quota-capped guaranteed pick, else external bid strictly
@@ -339,91 +390,105 @@ def arbitration_outcome(per: DataFrame, ok) -> DataFrame:
     return d.select("*", winner.alias("winner"), rung.alias("rung"), price.alias("price"))
 
 
-REQ_COLS = [
-    "user_id", "ts", "request_date", "hour_of_day", "experiment_arm", "model_version",
-    "external_bid", "model_ok", "features_ok", "pacing_ok",
-]
+def scored_groups(eligible: Column, destination: Column) -> Column:
+    """D-04: one entry per eligible auction group: its best campaign."""
+
+    def entry(g: Column) -> Column:
+        pctr = boosted_pctr(click_probability(g["lift"]), destination, g["category"])
+        value = ecpm(g["best"]["bid"], pctr)
+        offer = F.when(F.coalesce(value, F.lit(0.0)) == 0, g["first"]).otherwise(g["best"])
+        features = F.create_map(
+            F.lit("lift"), g["lift"], F.lit("destination_match"), F.coalesce((destination == g["category"]).cast("double"), F.lit(0.0))
+        )
+        return F.struct(
+            g["audiences"].alias("audiences"), g["category"].alias("category"), g["auctions"].alias("campaigns"),
+            offer["campaign_id"].alias("campaign_id"), pctr.alias("pctr"), ecpm(offer["bid"], pctr).alias("ecpm"),
+            features.alias("features"),
+        )
+
+    return F.transform(F.filter(eligible, lambda g: g["auctions"] > 0), entry)
+
+
+def model_scores(inp: DecisionInputs, req: DataFrame, cat: DataFrame) -> DataFrame:
+    """(request_id, scores) from the scorer: campaigns with equal ad features
+    are scored once a request.  A missing score is an error."""
+    names = [c for c in inp.ad_features.columns if c not in ("campaign_id", "day")]
+    groups = materialize(candidate_groups(cat.join(inp.ad_features, ["campaign_id", "day"], "left"), tuple(names)))
+    rows = inp.scorer(model_rows(req, groups))
+    missing = F.raise_error(F.lit("an eligible candidate has no model score")).cast("double")
+    pctr = boosted_pctr(F.coalesce("pctr", missing), F.col("destination"), F.col("category"))
+    used = [c for c in config.V1_FEATURES if c in rows.columns]
+    rows = rows.withColumn("pctr", pctr).withColumn("value", ecpm(F.col("best.bid"), F.col("pctr")))
+    rows = rows.withColumn("offer", F.when(F.coalesce("value", F.lit(0.0)) == 0, F.col("first")).otherwise(F.col("best")))
+    score = F.struct(
+        "audiences", "category", F.col("auctions").alias("campaigns"), F.col("offer.campaign_id").alias("campaign_id"), "pctr",
+        ecpm(F.col("offer.bid"), F.col("pctr")).alias("ecpm"),
+        F.create_map(*[x for c in used for x in (F.lit(c), F.col(c).cast("double"))]).alias("features"),
+    )
+    return rows.groupBy("request_id").agg(F.collect_list(score).alias("scores"))
 
 
 def decide(inp: DecisionInputs, start: dt.date, end: dt.date) -> dict[str, DataFrame]:
     """Run the whole decision job.  Returns the intermediate frames and the
     final ``decisions`` (one row per request, nested record D-09).
 
-    Shape: request context (written once) x broadcast live catalog ->
-    scored candidate pairs -> ONE groupBy(request) that builds the candidate
-    set, exclusions, scores, best eCPM and most urgent guaranteed pick
-    together (requests without any live campaign ride along as marker rows,
-    so no join back is needed) -> quota cap on the guaranteed picks ->
-    arbitration and fallback ladder as column expressions."""
+    Shape: request context (written once) -> equi-join with the context index
+    -> eligible and excluded groups, scores, best eCPM and most urgent
+    guaranteed pick as expressions over the row's groups -> quota cap on the
+    guaranteed picks -> arbitration and fallback ladder as columns."""
     audiences = inp.audiences or []
-    req = materialize(request_context(inp, start, end))
+    req = materialize(request_context(inp, start, end).withColumn("day_part", day_part(F.col("hour_of_day"))))
     cat = catalog_day_table(inp.campaigns, inp.ledger, start, end)
     if inp.granted is not None:
         cat = cat.join(inp.granted, ["campaign_id", "day"], "left").withColumn(
             "quota", F.greatest(F.lit(0).cast("long"), F.col("quota") - F.coalesce("granted", F.lit(0)))
         ).drop("granted")
     cat = materialize(cat)
-    cands = candidates(req, cat, audiences)
-    if inp.scores is not None:
-        sc = inp.scores.select("request_id", "campaign_id", F.col("pctr").alias("model_pctr"))
-        cands = cands.join(sc, ["request_id", "campaign_id"], "left")
-        # Every eligible auction candidate must have a score; the others never use one.
-        needed = F.col("has_capacity") & F.col("audience_ok") & (F.col("demand_type") == "auction")
-        missing = F.raise_error(F.lit("an eligible candidate has no model score")).cast("double")
-        known = F.when(F.col("model_pctr").isNotNull(), F.col("model_pctr")).when(needed, missing).otherwise(F.lit(0.0))
-        cands = cands.withColumn("pctr", boosted_pctr(known, F.col("destination"), F.col("category"))).drop("model_pctr")
-    else:
-        lift = F.broadcast(materialize(lift_lookup(inp.lift_rules, inp.campaigns)))
-        cands = cands.withColumn("day_part", day_part(F.col("hour_of_day"))).join(
-            lift, ["segment", "category", "day_part"], "left"
-        )
-        base = click_probability(F.coalesce(F.col("lift"), F.lit(1.0)))
-        cands = cands.withColumn("pctr", boosted_pctr(base, F.col("destination"), F.col("category")))
-    cands = cands.withColumn("ecpm", ecpm(F.col("bid"), F.col("pctr")))
-
-    el = F.col("has_capacity") & F.col("audience_ok")
-    auc = el & (F.col("demand_type") == "auction")
-    excluded = F.col("has_capacity") & ~F.col("audience_ok")
-    if audiences:
-        vmap = F.create_map(*[x for a in audiences for x in (F.lit(a.name), F.lit(a.version).cast("long"))])
-        ver = lambda a: F.coalesce(F.try_element_at(vmap, a), F.lit(-1).cast("long"))
+    groups = materialize(candidate_groups(cat))
+    lift = lift_lookup(inp.lift_rules, inp.campaigns)
+    index = materialize(context_index(req, groups, lift))
+    same = (
+        (F.col("r.request_date") == F.col("i.request_date"))
+        & F.col("r.segment").eqNullSafe(F.col("i.segment"))
+        & F.col("r.day_part").eqNullSafe(F.col("i.day_part"))
+    )
+    per = req.alias("r").join(index.alias("i"), same, "left").select("r.*", "i.groups")
+    per = per.withColumn("groups", F.coalesce("groups", F.array().cast(index.schema["groups"].dataType)))
+    fits = lambda g: reaches(g["audiences"], F.col("audience_memberships"))
+    per = per.withColumns({"ok": F.filter("groups", fits), "out": F.filter("groups", lambda g: ~fits(g))}).drop("groups")
+    if inp.scorer is None:
+        per = per.withColumn("scores", scored_groups(F.col("ok"), F.col("destination")))
     else:
-        ver = lambda a: F.lit(-1).cast("long")
-    markers = req.select("request_id", *REQ_COLS)
-    x = cands.unionByName(markers, allowMissingColumns=True)
-    per = x.groupBy("request_id").agg(
-        *[F.first(c).alias(c) for c in REQ_COLS],
-        F.array_sort(F.collect_list(F.when(el, F.col("campaign_id")))).alias("candidate_set"),
-        F.array_sort(
-            F.flatten(
-                F.collect_list(
-                    F.when(
-                        excluded,
-                        F.transform(
-                            "targeted_audiences",
-                            lambda a: F.struct(
-                                F.col("campaign_id").alias("campaign_id"), a.alias("audience"), ver(a).alias("definition_version")
-                            ),
-                        ),
-                    )
-                )
-            )
-        ).alias("audience_exclusions"),
-        F.array_sort(F.collect_list(F.when(auc, F.struct("campaign_id", "pctr", "ecpm")))).alias("scores"),
-        *arbitration_aggs(el, auc),
+        found = model_scores(inp, req, cat)
+        none = F.array().cast(found.schema["scores"].dataType)
+        per = per.join(found, "request_id", "left").withColumn("scores", F.coalesce("scores", none))
+    offer = F.transform("scores", lambda s: F.struct((-F.coalesce(s["ecpm"], F.lit(0.0))).alias("k"), s["campaign_id"].alias("campaign_id"), s["ecpm"].alias("ecpm")))
+    picks = F.transform(F.filter("ok", lambda g: g["pick"].isNotNull()), lambda g: g["pick"])
+    version = _version(audiences)
+    per = per.select(
+        "request_id", "user_id", "ts", "request_date", "ctx_day", "experiment_arm", "model_version", "external_bid",
+        "model_ok", "features_ok", "pacing_ok", "stage_latencies_ms",
+        F.transform("ok", lambda g: F.struct(
+            g["audiences"].alias("audiences"), g["category"].alias("category"), g["campaigns"].alias("campaigns"), g["id_sum"].alias("id_sum")
+        )).alias("candidate_set"),
+        F.flatten(F.transform("out", lambda g: F.transform(g["audiences"], lambda a: F.struct(
+            g["audiences"].alias("audiences"), g["category"].alias("category"), a.alias("audience"),
+            version(a).alias("definition_version"), g["campaigns"].alias("campaigns"),
+        )))).alias("audience_exclusions"),
+        "scores", F.array_min(offer).alias("best"), F.array_min(picks).alias("pick"),
     )
     ok = F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok")
-    d = arbitration_outcome(per, ok)
+    d = arbitration_outcome(materialize(per), ok)
     winner, rung, price = F.col("winner"), F.col("rung"), F.col("price")
     fallback = (
         F.when(~F.col("model_ok"), F.lit(RUNG_MODEL_DOWN))
         .when(~F.col("features_ok"), F.lit(RUNG_FEATURES_DOWN))
         .when(~F.col("pacing_ok"), F.lit(RUNG_PACING_DOWN))
     )
-    fb = popularity_fallback(inp.campaigns, inp.popularity, start, end) if inp.popularity is not None else None
-    if fb is not None:
-        fbb = bounded(fb)
-        d = d.join(fbb, d.request_date == fbb.day, "left").drop("day")
+    if inp.popularity is not None:
+        # One row per day.
+        fb = popularity_fallback(inp.campaigns, inp.popularity, start, end)
+        d = d.join(fb, d.request_date == fb.day, "left").drop("day")
     else:
         d = d.withColumn("fallback_campaign_id", F.lit(None).cast("long"))
     d = d.withColumn("fallback_rung", fallback)
@@ -433,6 +498,9 @@ def decide(inp: DecisionInputs, start: dt.date, end: dt.date) -> dict[str, DataF
         F.when(full, F.col("candidate_set")).alias("candidate_set"),
         F.when(full, F.col("audience_exclusions")).alias("audience_exclusions"),
         F.when(full, F.col("scores")).alias("scores"),
+        F.when(full, F.col("ctx_day")).alias("features_as_of"),
+        F.when(full, F.unix_seconds("ts") - F.unix_seconds(F.date_add("ctx_day", 1).cast("timestamp"))).alias("feature_age_seconds"),
+        "stage_latencies_ms",
         F.when(~full, F.lit(None).cast("string"))
         .when(F.col("external_bid").isNotNull(), F.lit("bid"))
         .otherwise(F.lit("no_bid"))
@@ -446,14 +514,14 @@ def decide(inp: DecisionInputs, start: dt.date, end: dt.date) -> dict[str, DataF
         F.when(full, price).alias("price"),
         "fallback_rung",
     )
-    eligible_pairs = cands.filter(el)
     return {
         "requests": req,
         "catalog_days": cat,
-        "candidates": cands,
-        "eligible": eligible_pairs,
-        "exclusions": exclusions(cands, audiences),
-        "scored": cands.filter(auc),
+        "groups": groups,
+        "index": index,
+        "eligible": eligible_pairs(req, cat),
+        "exclusions": exclusions(req, cat, audiences),
+        "scored": per.select("request_id", F.explode("scores").alias("s")).select("request_id", "s.*"),
         "arbitrated": decisions.filter(F.col("fallback_rung").isNull()).select("request_id", "winner", "rung", "price"),
         "decisions": decisions,
     }
@@ -480,8 +548,7 @@ def ledger_from_impressions(ad_events: DataFrame, campaigns: DataFrame) -> DataF
     imps = ad_events.filter(F.col("event_type") == "impression").groupBy(
         "campaign_id", F.col("event_date").alias("day")
     ).agg(F.count("*").alias("wins"))
-    c = bounded(campaigns.select("campaign_id", "demand_type"))
-    return imps.join(c, "campaign_id").select(
+    return imps.join(campaigns.select("campaign_id", "demand_type"), "campaign_id").select(
         "campaign_id", "day", "wins",
         F.when(F.col("demand_type") == "guaranteed", F.col("wins")).otherwise(F.lit(0)).cast("long").alias("guaranteed_wins"),
     )
@@ -529,80 +596,17 @@ def remaining_capacity(decisions: DataFrame, campaigns: DataFrame) -> DataFrame:
     )
 
 
-def pacing_replay(inp: DecisionInputs, start: dt.date, end: dt.date, scratch: str) -> DataFrame:
-    """D-08: sequential pacing replayed in day slices.
+def decide_in_days(inp: DecisionInputs, start: dt.date, end: dt.date, log: str) -> DataFrame:
+    """D-08: the decision job day after day, each day with the wins that the
+    days before it logged.  The ledger is read from the written log; inside a
+    day the quota rule holds."""
+    from adlake.sources import decision_log as dlog
 
-    Counters carry over between slices exactly (each slice reads the wins of
-    all earlier slices); inside a slice a guaranteed campaign wins at most
-    its remaining daily quota (the number of wins that puts it back on
-    schedule), in request time order, and the overflow goes to the auction.
-
-    Everything that does not depend on the counters - request context,
-    (request, live campaign) pairs, audience check, scores - is computed
-    ONCE and written partitioned by day.  A slice then reads one partition
-    and joins the day's counter table (catalog-sized, built from the small
-    win ledger kept on the driver like the reference's counter store)."""
     spark = inp.requests.sparkSession
-    audiences = inp.audiences or []
-    campaigns = bounded(inp.campaigns.checkpoint(eager=True))
-    lift = F.broadcast(lift_lookup(inp.lift_rules, campaigns).checkpoint(eager=True))
-    req = request_context(inp, start, end)
-    live = bounded(live_days(campaigns, start, end).select(
-        "campaign_id", "day", "category", "demand_type", "bid", "impression_goal", "flight_start", "flight_end",
-        "targeted_audiences",
-    ))
-    pairs = req.join(live, req.request_date == live.day).drop("day")
-    members = F.coalesce(F.col("audience_memberships"), F.array().cast("array<string>"))
-    pairs = pairs.withColumn(
-        "audience_ok",
-        F.coalesce((F.size("targeted_audiences") == 0) | F.arrays_overlap("targeted_audiences", members), F.lit(False)),
-    ).filter("audience_ok").withColumn("day_part", day_part(F.col("hour_of_day")))
-    pairs = pairs.join(lift, ["segment", "category", "day_part"], "left")
-    base = click_probability(F.coalesce(F.col("lift"), F.lit(1.0)))
-    pairs = pairs.withColumn("pctr", boosted_pctr(base, F.col("destination"), F.col("category")))
-    pairs = pairs.withColumn("ecpm", ecpm(F.col("bid"), F.col("pctr")))
-    static_path = f"{scratch}/pairs"
-    pairs.select(
-        "request_id", "request_date", "ts", "campaign_id", "demand_type", "pctr", "ecpm", "external_bid",
-        (F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok")).alias("ok"),
-    ).write.mode("overwrite").partitionBy("request_date").parquet(static_path)
-    req_path = f"{scratch}/requests"
-    req.select("request_id", "request_date", "ts", "external_bid",
-               (F.col("model_ok") & F.col("features_ok") & F.col("pacing_ok")).alias("ok")).write.mode(
-        "overwrite").partitionBy("request_date").parquet(req_path)
-
-    schema = "campaign_id long, day date, wins long, guaranteed_wins long"
-    ledger_rows = [tuple(r) for r in inp.ledger.filter(F.col("day") < lit_date(start)).select(
-        "campaign_id", "day", F.col("wins").cast("long"), F.col("guaranteed_wins").cast("long")).collect()]
-    out = f"{scratch}/decisions"
-    d = start
-    while d <= end:
-        led = spark.createDataFrame(ledger_rows, schema)
-        counters = F.broadcast(catalog_day_table(campaigns, led, d, d).select(
-            "campaign_id", "remaining_capacity", "behind", "urgency", "quota"))
-        day = lit_date(d)
-        pr = spark.read.parquet(static_path).filter(F.col("request_date") == day).filter("ok")
-        pairs = pr.join(counters, "campaign_id")
-        el = F.col("remaining_capacity") > 0
-        auc = el & (F.col("demand_type") == "auction")
-        rq = spark.read.parquet(req_path).filter((F.col("request_date") == day) & F.col("ok"))
-        x = pairs.unionByName(rq.select("request_id", "request_date", "external_bid", "ok", "ts"), allowMissingColumns=True)
-        per = x.groupBy("request_id").agg(
-            F.first("request_date").alias("request_date"), F.first("ts").alias("ts"),
-            F.first("external_bid", ignorenulls=True).alias("external_bid"),
-            *arbitration_aggs(el, auc),
-        )
-        arb = arbitration_outcome(per, F.lit(True)).select(
-            "request_id", "winner", "rung", "price", F.lit(d).alias("request_date")
-        )
-        arb.write.mode("append").parquet(out)
-        day_wins = (
-            spark.read.parquet(out)
-            .filter((F.col("request_date") == day) & F.col("winner").isNotNull() & F.col("rung").isin("guaranteed", "auction"))
-            .groupBy("winner")
-            .agg(F.count("*").alias("w"), F.count_if(F.col("rung") == "guaranteed").alias("g"))
-            .collect()
-        )
-        ledger_rows += [(row["winner"], d, row["w"], row["g"]) for row in day_wins]
-        d += dt.timedelta(days=1)
-    return spark.read.parquet(out)
+    earlier = inp.ledger.filter(F.col("day") < lit_date(start))
+    for n in range((end - start).days + 1):
+        day = start + dt.timedelta(days=n)
+        ledger = earlier.unionByName(ledger_from_decisions(dlog.read(spark, log)))
+        today = replace(inp, requests=inp.requests.filter(F.col("request_date") == lit_date(day)), ledger=ledger)
+        dlog.append(decide(today, day, day)["decisions"], log)
+    return dlog.read(spark, log)

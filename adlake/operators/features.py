@@ -13,11 +13,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake import config
 from adlake.functions.scalar import account_age_days, all_of, in_window, lit_date, rule_predicate
+from adlake.session import materialize
 
 def IMP() -> Column:
     return F.col("event_type") == "impression"
@@ -166,86 +167,54 @@ def membership_long(mem: DataFrame) -> DataFrame:
     return mem.select("user_id", F.explode("audience_memberships").alias("audience"))
 
 
-def _audience_counts(mem: DataFrame, names: list[str]) -> DataFrame:
-    """One global aggregate: total users, members per audience and users in
-    each sorted pair of audiences.  Pairs come from the (small, fixed)
-    audience config, so nothing is exploded or self-joined per user."""
-    m = F.col("audience_memberships")
-    aggs = [F.count("*").alias("total_users")]
-    aggs += [F.count_if(F.array_contains(m, n)).alias(f"m{i}") for i, n in enumerate(names)]
-    srt = sorted(range(len(names)), key=lambda i: names[i])
-    for x, i in enumerate(srt):
-        for j in srt[x + 1 :]:
-            aggs.append(
-                F.count_if(F.array_contains(m, names[i]) & F.array_contains(m, names[j])).alias(f"p{i}_{j}")
-            )
-    return mem.agg(*aggs)
+def audience_bitmaps(mem: DataFrame) -> DataFrame:
+    """(audience, bucket, bits): the members of an audience as bitmaps of the
+    users of a bucket, built map-side and merged."""
+    long = mem.select("user_id", F.explode(F.array_distinct("audience_memberships")).alias("audience"))
+    return long.groupBy("audience", F.bitmap_bucket_number("user_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("bits")
+    )
 
 
 def audience_reach(mem: DataFrame, names: list[str]) -> DataFrame:
-    """A-14: members per audience (audiences with members only) and total users."""
-    c = _audience_counts(mem, names)
-    rows = F.array(*[F.struct(F.lit(n).alias("audience"), F.col(f"m{i}").alias("members")) for i, n in enumerate(names)])
-    return (
-        c.select("total_users", F.explode(rows).alias("r"))
-        .select("r.audience", "r.members", "total_users")
-        .filter(F.col("members") > 0)
-    )
+    """A-14: members per audience (audiences with members only) and total
+    users: one aggregate, in which every user also counts under no name."""
+    everyone = F.array(F.lit(None).cast("string"))
+    each = F.concat(F.array_intersect("audience_memberships", F.array(*map(F.lit, names))), everyone)
+    n = mem.select(F.explode(each).alias("audience")).groupBy("audience").agg(F.count("*").alias("members"))
+    total = F.max(F.when(F.col("audience").isNull(), F.col("members"))).over(Window.partitionBy(F.lit(1)))  # a row per audience
+    return n.withColumn("total_users", total).filter(F.col("audience").isNotNull())
 
 
 def audience_overlap(mem: DataFrame, names: list[str]) -> DataFrame:
     """A-15: for each sorted pair (a < b) of non-empty audiences, the size of
-    the intersection, zeros kept."""
-    c = _audience_counts(mem, names)
-    srt = sorted(range(len(names)), key=lambda i: names[i])
-    structs = []
-    for x, i in enumerate(srt):
-        for j in srt[x + 1 :]:
-            structs.append(
-                F.struct(
-                    F.lit(names[i]).alias("audience_a"),
-                    F.lit(names[j]).alias("audience_b"),
-                    F.col(f"p{i}_{j}").alias("overlap"),
-                    ((F.col(f"m{i}") > 0) & (F.col(f"m{j}") > 0)).alias("both"),
-                )
-            )
-    if not structs:
-        return c.select(
-            F.lit(None).cast("string").alias("audience_a"),
-            F.lit(None).cast("string").alias("audience_b"),
-            F.lit(None).cast("long").alias("overlap"),
-        ).filter(F.lit(False))
-    return (
-        c.select(F.explode(F.array(*structs)).alias("r"))
-        .filter("r.both")
-        .select("r.audience_a", "r.audience_b", "r.overlap")
+    the intersection, zeros kept.  Bitmaps of a bucket are intersected pair by
+    pair; the plan is the same for any number of audiences."""
+    bits = materialize(audience_bitmaps(mem).filter(F.col("audience").isin(*names)))
+    side = lambda x: bits.select(F.col("audience").alias(f"audience_{x}"), "bucket", F.col("bits").alias(x))
+    both = side("a").join(side("b"), "bucket").filter("audience_a < audience_b")
+    one = F.explode(F.array("a", "b")).alias("bits")
+    shared = both.select("audience_a", "audience_b", "bucket", one).groupBy("audience_a", "audience_b", "bucket").agg(
+        F.bitmap_count(F.bitmap_and_agg("bits")).alias("n")
     )
+    # Every pair of audiences that have members (names: configuration).
+    held = bits.groupBy(F.lit(1).alias("one")).agg(F.array_sort(F.collect_set("audience")).alias("held"))
+    pairs = held.select(F.explode("held").alias("audience_a"), "held").select("audience_a", F.explode("held").alias("audience_b"))
+    zero = pairs.filter("audience_a < audience_b").withColumn("n", F.lit(0).cast("long"))
+    return shared.select("audience_a", "audience_b", "n").unionByName(zero).groupBy("audience_a", "audience_b").agg(F.sum("n").alias("overlap"))
 
 
 def reach_report(mem: DataFrame, names: list[str]) -> DataFrame:
     """R-03: member rows and overlap rows, each with total users."""
-    c = _audience_counts(mem, names)
-    rows = [
-        F.struct(
-            F.lit("members").alias("kind"), F.lit(n).alias("audience_a"), F.lit(None).cast("string").alias("audience_b"),
-            F.col(f"m{i}").alias("n"), (F.col(f"m{i}") > 0).alias("keep"),
-        )
-        for i, n in enumerate(names)
-    ]
-    srt = sorted(range(len(names)), key=lambda i: names[i])
-    for x, i in enumerate(srt):
-        for j in srt[x + 1 :]:
-            rows.append(
-                F.struct(
-                    F.lit("overlap").alias("kind"), F.lit(names[i]).alias("audience_a"), F.lit(names[j]).alias("audience_b"),
-                    F.col(f"p{i}_{j}").alias("n"), ((F.col(f"m{i}") > 0) & (F.col(f"m{j}") > 0)).alias("keep"),
-                )
-            )
-    return (
-        c.select("total_users", F.explode(F.array(*rows)).alias("r"))
-        .filter("r.keep")
-        .select("r.kind", "r.audience_a", "r.audience_b", "r.n", "total_users")
+    reach = audience_reach(mem, names).select(
+        F.lit("members").alias("kind"), F.col("audience").alias("audience_a"), F.lit(None).cast("string").alias("audience_b"),
+        F.col("members").alias("n"), "total_users",
+    )
+    overlap = audience_overlap(mem, names).select(
+        F.lit("overlap").alias("kind"), "audience_a", "audience_b", F.col("overlap").alias("n"), F.lit(None).cast("long").alias("total_users")
     )
+    both = reach.unionByName(overlap)  # a row per audience and per pair
+    return both.withColumn("total_users", F.max("total_users").over(Window.partitionBy(F.lit(1))))
 
 
 # ----------------------------------------------------------- snapshot / merge
@@ -302,18 +271,48 @@ def ad_snapshot(ad_events: DataFrame, campaigns: DataFrame, as_of: dt.date) -> D
 # ------------------------------------------------------------ W-01 backfill
 
 
-def _explode_days(daily: DataFrame, day_col: str, start: dt.date, end: dt.date, max_window: int) -> DataFrame:
-    """Each daily row contributes to the W snapshot days [day, day + W - 1]
-    inside [start, end]: emit (asof, offset = asof - day).  W <= 30 bounds
-    the growth; daily rows are already aggregated, so hot keys are one row
-    per day here."""
-    s, e = lit_date(start), lit_date(end)
-    lo = F.greatest(F.col(day_col), s)
-    hi = F.least(F.date_add(F.col(day_col), max_window - 1), e)
-    return (
-        daily.filter((F.col(day_col) <= e) & (F.date_add(F.col(day_col), max_window - 1) >= s))
-        .withColumn("asof", F.explode(F.sequence(lo, hi)))
-        .withColumn("offset", F.datediff("asof", day_col))
+def rolling_days(
+    daily: DataFrame, keys: list[str], frames: dict[str, tuple[str, int, int]], start: dt.date, end: dt.date,
+    entities: DataFrame | None = None,
+) -> DataFrame:
+    """W-01: for every key and day in [start, end], sums of daily measures
+    over the days between ``lo`` and ``hi`` days back (``frames``: name ->
+    column, lo, hi).  ``entities`` (a row per key, with attributes) are there
+    on every day; other keys on days when a frame holds a row.
+
+    Daily rows meet their key once: a key's rows (at most one a day) are put
+    into one array, the days of the result are added behind the shuffle, and
+    all frames are range frames of one sort by day."""
+    measures = sorted({c for c, _, _ in frames.values()})
+    attrs = [c for c in (entities.columns if entities is not None else []) if c not in keys]
+    far = max(hi for _, _, hi in frames.values())
+    first = start - dt.timedelta(days=far)
+    rows = daily.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
+    day = lambda c: F.datediff(c, lit_date(start))
+    of_day = F.struct(
+        day(F.col("event_date")).alias("day"), F.lit(False).alias("spine"), *(F.col(c).cast("long").alias(c) for c in measures)
+    )
+    rows = rows.select(*keys, of_day.alias("r"))
+    kind = rows.schema["r"].dataType
+    about = F.struct(F.lit(1).alias("known"), *attrs)
+    if entities is None:
+        rows = rows.withColumn("a", F.lit(None).cast("struct<known:int>"))
+    else:
+        known = entities.select(*keys, F.lit(None).cast(kind).alias("r"), about.alias("a"))
+        rows = rows.withColumn("a", F.lit(None).cast(known.schema["a"].dataType)).unionByName(known)
+    per = rows.groupBy(*keys).agg(F.first("a", ignorenulls=True).alias("a"), F.collect_list("r").alias("rows"))
+    spine = F.transform(
+        F.sequence(F.lit(0), day(lit_date(end))),
+        lambda d: F.struct(d.alias("day"), F.lit(True).alias("spine"), *(F.lit(None).cast("long").alias(c) for c in measures)),
+    )
+    x = per.select(*keys, "a", F.explode(F.concat("rows", spine)).alias("r")).select(*keys, "a", "r.*")
+    w = Window.partitionBy(*keys).orderBy("day")
+    sums = {n: F.coalesce(F.sum(c).over(w.rangeBetween(-hi, -lo)), F.lit(0)) for n, (c, lo, hi) in frames.items()}
+    held = F.count_if(~F.col("spine")).over(w.rangeBetween(-far, 0))
+    x = x.select(*keys, "a", "day", "spine", held.alias("held"), *(c.alias(n) for n, c in sums.items()))
+    x = x.filter(F.col("spine") & (F.col("a").isNotNull() | (F.col("held") > 0)))
+    return x.select(
+        *keys, F.date_add(lit_date(start), F.col("day")).alias("asof"), *(F.col("a")[c].alias(c) for c in attrs), *frames
     )
 
 
@@ -346,25 +345,22 @@ FEATURE_SPECS = [
 ]
 
 
-def _spec_aggs(specs: list[FeatureSpec]) -> list[Column]:
-    """Conditional window sums over exploded (key, asof, offset) rows, one per
-    distinct (daily measure, window) the specs need."""
-    need: dict[str, Column] = {}
+def _spec_frames(specs: list[FeatureSpec]) -> dict[str, tuple[str, int, int]]:
+    """Window sums that the specs need, one per distinct (measure, window)."""
+    need: dict[str, tuple[str, int, int]] = {}
     for s in specs:
         w = s.window_days
-        inw = F.col("offset") < w
         if s.measure == "ctr":
-            need[f"imps_{w}"] = F.sum(F.when(inw, F.col("imps")).otherwise(0))
-            need[f"clicks_{w}"] = F.sum(F.when(inw, F.col("clicks")).otherwise(0))
+            need[f"imps_{w}"], need[f"clicks_{w}"] = ("imps", 0, w - 1), ("clicks", 0, w - 1)
         elif s.measure == "impressions":
-            need[f"imps_{w}"] = F.sum(F.when(inw, F.col("imps")).otherwise(0))
+            need[f"imps_{w}"] = ("imps", 0, w - 1)
         elif s.measure == "rides":
-            need[f"rides_{w}"] = F.sum(F.when(inw, F.col("rides")).otherwise(0))
+            need[f"rides_{w}"] = ("rides", 0, w - 1)
         elif s.measure == "spend_yesterday":
-            need["imps_y"] = F.sum(F.when(F.col("offset") == 1, F.col("imps")).otherwise(0))
+            need["imps_y"] = ("imps", 1, 1)
         else:
             raise ValueError(f"unknown measure {s.measure!r}")
-    return [c.alias(n) for n, c in need.items()]
+    return need
 
 
 def _spec_output(s: FeatureSpec) -> Column:
@@ -383,16 +379,12 @@ def _spec_output(s: FeatureSpec) -> Column:
 
 
 def compose_backfill(
-    daily: DataFrame, key: str, spine: DataFrame, specs: list[FeatureSpec], start: dt.date, end: dt.date
+    daily: DataFrame, key: str, entities: DataFrame, specs: list[FeatureSpec], start: dt.date, end: dt.date
 ) -> DataFrame:
     """W-01 for any set of specs: daily (key, event_date, imps, clicks, rides)
-    rows are exploded to the snapshot days they feed (max window <= 30),
-    summed once by (key, asof), and full-joined to the (key, asof) spine."""
-    max_w = max(max(s.window_days for s in specs), 2)
-    x = _explode_days(daily, "event_date", start, end, max_w)
-    rolled = x.groupBy(key, "asof").agg(*_spec_aggs(specs))
-    j = spine.join(rolled, [key, "asof"], "full")
-    return j.select(key, "asof", *[c for c in spine.columns if c not in (key, "asof")], *[_spec_output(s) for s in specs])
+    rows and entities -> every entity on every day with its features."""
+    x = rolling_days(daily, [key], _spec_frames(specs), start, end, entities)
+    return x.select(key, "asof", *[c for c in entities.columns if c != key], *[_spec_output(s) for s in specs])
 
 
 def _daily_counts(ad_events: DataFrame, key: str, first: dt.date, end: dt.date) -> DataFrame:
@@ -406,11 +398,8 @@ def backfill_user(
     users, ad_events, rides, start: dt.date, end: dt.date, specs: list[FeatureSpec] | None = None,
     daily: DataFrame | None = None,
 ) -> DataFrame:
-    """W-01 for users: every user and every day in [start, end] in one pass.
-
-    daily (user, day) counts -> exploded to the days they feed -> summed by
-    (user, asof): two shuffles over pre-aggregated rows, independent of the
-    number of days.  Account age rides on a users x days spine."""
+    """W-01 for users: every user and every day in [start, end] in one pass:
+    daily (user, day) counts and the users meet in one shuffle by user."""
     specs = specs or [s for s in FEATURE_SPECS if s.entity == "user"]
     max_w = max(s.window_days for s in specs)
     if daily is None:
@@ -420,11 +409,9 @@ def backfill_user(
             F.lit(0).cast("long").alias("imps"), F.lit(0).cast("long").alias("clicks"), F.count("*").alias("rides")
         )
         daily = ev_daily.unionByName(daily_rides)
-    spine = users.select(
-        "user_id", "created_at", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof")
-    ).select("user_id", "asof", account_age_days("created_at", F.col("asof")).alias("user_account_age_days"))
-    out = compose_backfill(daily, "user_id", spine, specs, start, end)
-    return out.select("user_id", "asof", *[s.name for s in specs], "user_account_age_days")
+    out = compose_backfill(daily, "user_id", users.select("user_id", "created_at"), specs, start, end)
+    age = account_age_days("created_at", F.col("asof")).alias("user_account_age_days")
+    return out.select("user_id", "asof", *[s.name for s in specs], age)
 
 
 def backfill_ad(ad_events, campaigns, start: dt.date, end: dt.date, specs: list[FeatureSpec] | None = None) -> DataFrame:
@@ -432,36 +419,43 @@ def backfill_ad(ad_events, campaigns, start: dt.date, end: dt.date, specs: list[
     specs = specs or [s for s in FEATURE_SPECS if s.entity == "ad"]
     max_w = max(s.window_days for s in specs)
     daily = _daily_counts(ad_events, "campaign_id", start - dt.timedelta(days=max_w - 1), end)
-    spine = campaigns.select(
-        "campaign_id", "demand_type", "bid", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof")
-    )
-    out = compose_backfill(daily, "campaign_id", spine, specs, start, end)
+    out = compose_backfill(daily, "campaign_id", campaigns.select("campaign_id", "demand_type", "bid"), specs, start, end)
     return out.select("campaign_id", "asof", *[s.name for s in specs])
 
 
-def memberships_backfill(users, ad_events, rides, start: dt.date, end: dt.date, audiences) -> DataFrame:
-    """S-08 / A-12 over days: long membership table (user_id, audience,
-    definition_version, asof) for every day in [start, end], from exploded
-    daily counts (no per-day loop)."""
+def category_counts_by_day(ad_events, start: dt.date, end: dt.date) -> DataFrame:
+    """(user_id, category, asof, i, c): 30-day impressions and clicks of every
+    day that has any in its window."""
     first = start - dt.timedelta(days=29)
     ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
     daily = ev.groupBy("user_id", "category", "event_date").agg(
         F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
     )
-    x = _explode_days(daily, "event_date", start, end, 30)
-    cat = x.groupBy("user_id", "asof", "category").agg(F.sum("imps").alias("i"), F.sum("clicks").alias("c"))
-    cat_map = (
-        cat.filter(F.col("i") > 0)
-        .groupBy("user_id", "asof")
-        .agg(F.map_from_entries(F.collect_list(F.struct("category", F.col("c") / F.col("i")))).alias("user_ctr_by_category_30d"))
-    )
-    rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=6)), lit_date(end)))
-    daily_r = rd.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(F.count("*").alias("rides"))
-    r7 = (
-        _explode_days(daily_r, "event_date", start, end, 7)
+    return rolling_days(daily, ["user_id", "category"], {"i": ("imps", 0, 29), "c": ("clicks", 0, 29)}, start, end)
+
+
+def category_map_by_day(ad_events, start: dt.date, end: dt.date) -> DataFrame:
+    """A-06 for every day: (user_id, asof, user_ctr_by_category_30d)."""
+    entry = F.struct("category", F.col("c") / F.col("i"))
+    return (
+        category_counts_by_day(ad_events, start, end)
+        .filter(F.col("i") > 0)
         .groupBy("user_id", "asof")
-        .agg(F.sum("rides").cast("double").alias("user_rides_per_week"))
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("user_ctr_by_category_30d"))
     )
+
+
+def rides_by_day(rides, start: dt.date, end: dt.date) -> DataFrame:
+    """A-04 for every day: (user_id, asof, user_rides_per_week)."""
+    daily = rides.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(F.count("*").alias("rides"))
+    x = rolling_days(daily, ["user_id"], {"n": ("rides", 0, 6)}, start, end)
+    return x.select("user_id", "asof", F.col("n").cast("double").alias("user_rides_per_week"))
+
+
+def memberships_backfill(users, ad_events, rides, start: dt.date, end: dt.date, audiences) -> DataFrame:
+    """S-08 / A-12 over days: long membership table (user_id, audience,
+    definition_version, asof) for every day in [start, end] (no per-day loop)."""
+    cat_map, r7 = category_map_by_day(ad_events, start, end), rides_by_day(rides, start, end)
     spine = users.select("user_id", "segment", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof"))
     ctx = spine.join(r7, ["user_id", "asof"], "left").join(cat_map, ["user_id", "asof"], "left")
     match = audience_match_cols(audiences)
@@ -495,25 +489,7 @@ def membership_context(
     ``spine`` (user_id, asof) restricts the context to the pairs a consumer
     needs (e.g. users with requests on the next day) instead of every user
     on every day."""
-    first = start - dt.timedelta(days=29)
-    ev = ad_events.filter(F.col("event_date").between(lit_date(first), lit_date(end)))
-    daily = ev.groupBy("user_id", "category", "event_date").agg(
-        F.count_if(IMP()).alias("imps"), F.count_if(CLK()).alias("clicks")
-    )
-    x = _explode_days(daily, "event_date", start, end, 30)
-    cat = x.groupBy("user_id", "asof", "category").agg(F.sum("imps").alias("i"), F.sum("clicks").alias("c"))
-    cat_map = (
-        cat.filter(F.col("i") > 0)
-        .groupBy("user_id", "asof")
-        .agg(F.map_from_entries(F.collect_list(F.struct("category", F.col("c") / F.col("i")))).alias("user_ctr_by_category_30d"))
-    )
-    rd = rides.filter(F.col("ride_date").between(lit_date(start - dt.timedelta(days=6)), lit_date(end)))
-    daily_r = rd.groupBy("user_id", F.col("ride_date").alias("event_date")).agg(F.count("*").alias("rides"))
-    r7 = (
-        _explode_days(daily_r, "event_date", start, end, 7)
-        .groupBy("user_id", "asof")
-        .agg(F.sum("rides").cast("double").alias("user_rides_per_week"))
-    )
+    cat_map, r7 = category_map_by_day(ad_events, start, end), rides_by_day(rides, start, end)
     if spine is None:
         spine = users.select("user_id", "segment", F.explode(F.sequence(lit_date(start), lit_date(end))).alias("asof"))
     else:

@@ -10,7 +10,7 @@ from adlake import config
 from adlake.functions.scalar import campaign_label, rate_from_counter, wilson_bounds
 from adlake.operators.asof import attribute_clicks
 from adlake.operators.decisions import decremented, live_days
-from adlake.sources.tables import bounded
+from adlake.operators.ranks import row_numbers, value_counts
 
 
 def real_impressions(decisions: DataFrame) -> DataFrame:
@@ -57,9 +57,8 @@ def reconcile(decisions: DataFrame, campaigns: DataFrame) -> DataFrame:
         (F.col("initial_capacity") - remaining).alias("expected_consumed"),
         F.coalesce("actual_served", F.lit(0)).cast("long").alias("actual_served"),
     ).withColumn("discrepancy", F.col("expected_consumed") - F.col("actual_served"))
-    # The report is catalog-sized: one ordered window is fine.
-    w = Window.orderBy(F.abs("discrepancy").desc(), "campaign_id")
-    return out.withColumn("discrepancy_rank", F.row_number().over(w).cast("long"))
+    out = out.withColumn("size", -F.abs("discrepancy"))
+    return row_numbers(out, ["size", "campaign_id"], "discrepancy_rank").drop("size")
 
 
 def decision_clicks(decisions: DataFrame, ad_events: DataFrame) -> DataFrame:
@@ -106,16 +105,12 @@ def fallback_rung_counts(decisions: DataFrame) -> DataFrame:
 
 def stage_latency_p99(latencies: DataFrame) -> DataFrame:
     """W-06: nearest-rank p99 = sorted[int(n * 0.99)] and mean over all
-    samples per stage.  Samples are counted per value first (map-side), so the
-    ordered window holds distinct values, not samples."""
-    v = latencies.groupBy("stage", "latency_ms").agg(F.count("*").alias("c"))
-    w = Window.partitionBy("stage").orderBy("latency_ms")
-    v = v.withColumn("upto", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    n = latencies.groupBy("stage").agg(F.count("*").alias("n"), F.avg("latency_ms").alias("latency_ms_avg"))
-    rank = F.floor(F.col("n") * F.lit(config.P99_RANK_FRACTION)) + 1
-    return v.join(n, "stage").filter(F.col("upto") >= rank).groupBy("stage", "n", "latency_ms_avg").agg(
-        F.min("latency_ms").alias("latency_ms_p99")
-    )
+    samples per stage: the value whose rank range holds that place."""
+    v = value_counts(latencies, ["stage"], "latency_ms")
+    n = latencies.groupBy("stage").agg(F.count("latency_ms").alias("n"), F.avg("latency_ms").alias("latency_ms_avg"))
+    place = F.floor(F.col("total") * F.lit(config.P99_RANK_FRACTION))
+    j = v.join(n.withColumnRenamed("n", "total"), "stage").filter((F.col("before") <= place) & (place < F.col("before") + F.col("n")))
+    return j.select("stage", F.col("total").alias("n"), F.col("value").alias("latency_ms_p99"), "latency_ms_avg")
 
 
 def latency_histogram(latencies: DataFrame) -> DataFrame:
@@ -160,39 +155,45 @@ def latest_per_request(decisions: DataFrame) -> DataFrame:
 
 def enriched(decisions: DataFrame, segments: DataFrame, campaigns: DataFrame) -> DataFrame:
     """J-08: user segment and winner category / advertiser; unknown -> null."""
-    c = bounded(campaigns.select(F.col("campaign_id").alias("winner"), "category", "advertiser_name"))
+    c = campaigns.select(F.col("campaign_id").alias("winner"), "category", "advertiser_name")
     return decisions.join(segments, "user_id", "left").join(c, "winner", "left").select(
         "request_id", "user_id", "segment", "winner", "category", "advertiser_name"
     )
 
 
 def winner_features(decisions: DataFrame) -> DataFrame:
-    """J-09: the scored entry of the winner; decisions without one dropped."""
+    """J-09: the scored entry of the winner with its logged features;
+    decisions without one dropped."""
     m = F.filter("scores", lambda s: s["campaign_id"] == F.col("winner"))
     return (
         decisions.select("request_id", "winner", F.get(m, 0).alias("w"))
         .filter(F.col("w").isNotNull())
-        .select("request_id", "winner", F.col("w.pctr").alias("pctr"), F.col("w.ecpm").alias("ecpm"))
+        .select(
+            "request_id", "winner", F.col("w.category").alias("category"), F.col("w.pctr").alias("pctr"),
+            F.col("w.ecpm").alias("ecpm"), F.col("w.features").alias("features"),
+        )
     )
 
 
 def decision_trail(decisions: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """R-05: every scored candidate of every decision with its label, score,
-    whether it won, and the decision's rung."""
-    c = bounded(campaigns.select("campaign_id", "category", "advertiser_name"))
-    x = decisions.select("request_id", "winner", "rung", F.explode("scores").alias("s")).select(
-        "request_id", "winner", "rung", "s.campaign_id", "s.pctr", "s.ecpm"
-    )
+    """R-05: every scored group of every decision (its best campaign and how
+    many it stands for) with label and score, whether it won, the decision's
+    rung, external bid and total latency."""
+    x = decisions.select(
+        "request_id", "winner", "rung", "external_bid", F.col("stage_latencies_ms")["total"].alias("total_ms"),
+        F.explode("scores").alias("s"),
+    ).select("request_id", "winner", "rung", "external_bid", "total_ms", "s.campaign_id", "s.campaigns", "s.pctr", "s.ecpm")
+    c = campaigns.select("campaign_id", "category", "advertiser_name")
     return x.join(c, "campaign_id", "left").select(
-        "request_id", "campaign_id",
+        "request_id", "campaign_id", "campaigns",
         campaign_label(F.col("campaign_id"), F.col("advertiser_name"), F.col("category")).alias("label"),
-        "pctr", "ecpm", (F.col("campaign_id") == F.col("winner")).alias("is_winner"), "rung",
+        "pctr", "ecpm", (F.col("campaign_id") == F.col("winner")).alias("is_winner"), "rung", "external_bid", "total_ms",
     )
 
 
 def spend_delivery_view(recon: DataFrame, campaigns: DataFrame) -> DataFrame:
     """R-04: reconciliation with labels, numbers rounded to one digit."""
-    c = bounded(campaigns.select("campaign_id", "category", "advertiser_name"))
+    c = campaigns.select("campaign_id", "category", "advertiser_name")
     j = recon.join(c, "campaign_id", "left")
     return j.select(
         "campaign_id",

@@ -14,13 +14,15 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake import config
 from adlake.functions.scalar import lit_date
 from adlake.operators import features as ft
 from adlake.operators.asof import label_impressions
+from adlake.operators.ranks import quantiles, row_numbers, with_sums_before
+from adlake.session import materialize
 
 USER_FEATS = ["user_ctr_30d", "user_impressions_7d", "user_rides_per_week", "user_account_age_days"]
 AD_FEATS = ["ad_ctr_7d", "ad_ctr_30d", "ad_impressions_7d", "campaign_spend_yesterday"]
@@ -43,8 +45,7 @@ def category_ctr_backfill(ad_events: DataFrame, start: dt.date, end: dt.date) ->
     daily = ev.groupBy("user_id", "category", "event_date").agg(
         F.count_if(ft.IMP()).alias("imps"), F.count_if(ft.CLK()).alias("clicks")
     )
-    x = ft._explode_days(daily, "event_date", start, end, 30)
-    agg = x.groupBy("user_id", "category", "asof").agg(F.sum("imps").alias("i"), F.sum("clicks").alias("c"))
+    agg = ft.rolling_days(daily, ["user_id", "category"], {"i": ("imps", 0, 29), "c": ("clicks", 0, 29)}, start, end)
     return agg.filter(F.col("i") > 0).select("user_id", "category", "asof", (F.col("c") / F.col("i")).alias("cat_ctr"))
 
 
@@ -65,6 +66,16 @@ def assemble(
     return fill_defaults(j, USER_FEATS + AD_FEATS)
 
 
+def assemble_groups(rows: DataFrame, user_bf: DataFrame, cat_bf: DataFrame) -> DataFrame:
+    """E-05 for rows that carry their ad features: user and cross features as
+    of ``asof``; rows without a user snapshot are dropped, defaults fill the rest."""
+    u = user_bf.select("user_id", "asof", *USER_FEATS)
+    c = cat_bf.select("user_id", "category", "asof", "cat_ctr")
+    j = rows.join(u, ["user_id", "asof"]).join(c, ["user_id", "category", "asof"], "left")
+    j = j.withColumn("x_user_ctr_in_ad_category", F.coalesce("cat_ctr", F.lit(0.0))).drop("cat_ctr")
+    return fill_defaults(j, USER_FEATS + AD_FEATS)
+
+
 def training_rows(
     ad_events: DataFrame,
     users: DataFrame,
@@ -162,14 +173,13 @@ def auc_grouped(df: DataFrame, score_col: str, label_col: str = "label", by: lis
     """W-09 rank-sum AUC with half credit for ties, per group ``by``.
 
     Rows are first reduced to (group, score) counts of positives and
-    negatives; the cumulative negatives run over DISTINCT scores of a group.
-    NaN when a group has one class only."""
+    negatives; the negatives below each distinct score come from ranks by
+    range.  NaN when a group has one class only."""
     by = by or []
     g = df.groupBy(*by, F.col(score_col).alias("s")).agg(
         F.count_if(F.col(label_col) == 1).alias("pos"), F.count_if(F.col(label_col) != 1).alias("neg")
     )
-    w = Window.partitionBy(*by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1) if by else Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    g = with_sums_before(g, by, ["s"], {"neg_below": "neg"})
     agg = g.groupBy(*by).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("num"),
         F.sum("pos").alias("P"),
@@ -192,32 +202,29 @@ def auc_model(df: DataFrame, score_col: str, label_col: str = "label") -> float:
     return ev.evaluate(df.select(F.col(score_col).cast("double"), F.col(label_col).cast("double")))
 
 
-def quantile_bins(df: DataFrame, col: str, n_bins: int, accuracy: int = 100000) -> DataFrame:
-    """Bin index 0..n-1 by approximate quantile edges (percentile_approx is a
-    mergeable sketch: no group is gathered into one task)."""
-    probs = [i / n_bins for i in range(1, n_bins)]
-    # The edges are n_bins - 1 numbers: fetched once and used as literals.
-    edges = df.agg(F.percentile_approx(col, probs, accuracy).alias("e")).first()["e"] or []
-    idx = F.lit(0)
-    for e in edges:
-        idx = idx + F.when(F.col(col) >= F.lit(e), 1).otherwise(0)
-    return df.withColumn("bin", idx)
-
-
 def calibration(df: DataFrame, score_col: str, label_col: str = "label", n_bins: int = 10) -> DataFrame:
-    """W-10: equal-mass bins of the score; mean prediction and positive share
+    """W-10: equal-mass bins of the score by its exact quantiles (a score on
+    an edge belongs to the bin below it); mean prediction and positive share
     per non-empty bin."""
-    b = quantile_bins(df, score_col, n_bins)
-    return b.groupBy("bin").agg(
+    edges = quantiles(df, score_col, [i / n_bins for i in range(1, n_bins)])
+    index = F.lit(0)
+    for e in edges:
+        index = index + F.when(F.col(score_col) > F.lit(e), 1).otherwise(0)
+    return df.withColumn("bin", index).groupBy("bin").agg(
         F.avg(score_col).alias("mean_predicted"), F.avg(F.col(label_col).cast("double")).alias("fraction_positive"),
         F.count("*").alias("n"),
     )
 
 
-def tercile_lift(df: DataFrame, feature: str, score_col: str) -> DataFrame:
-    """W-08: mean score in the lowest and highest third of a feature."""
-    b = quantile_bins(df, feature, 3)
-    return b.groupBy("bin").agg(F.avg(score_col).alias("mean_score"), F.count("*").alias("n")).filter(F.col("bin").isin(0, 2))
+def tercile_lift(df: DataFrame, feature: str, score_col: str, id_col: str = "event_id") -> DataFrame:
+    """W-08: mean score in the lowest and highest third of a feature: the
+    first and last n // 3 rows in order of (feature, id)."""
+    ranked = materialize(row_numbers(df.select(*dict.fromkeys([feature, score_col, id_col])), [feature, id_col], "row"))
+    third, n = ranked.count() // 3, ranked.count()
+    bin_ = F.when(F.col("row") <= third, 0).when(F.col("row") > n - third, 2)
+    return ranked.withColumn("bin", bin_).filter("bin is not null").groupBy("bin").agg(
+        F.avg(score_col).alias("mean_score"), F.count("*").alias("n")
+    )
 
 
 def leakage_scan(rows: DataFrame, features: list[str], threshold: float = 0.99) -> DataFrame:

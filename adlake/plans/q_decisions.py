@@ -28,7 +28,7 @@ N_DAYS = (END - START).days + 1
 # ------------------------------------------------------------ spark inputs
 
 
-def fixture_inputs(spark, sf, availability: bool = True, scores: DataFrame | None = None) -> dc.DecisionInputs:
+def fixture_inputs(spark, sf, availability: bool = True, **more) -> dc.DecisionInputs:
     ev = tb.ad_events(spark, sf)
     camps = tb.campaigns(spark, sf)
     segs = tb.user_segments(spark, sf)
@@ -56,25 +56,14 @@ def fixture_inputs(spark, sf, availability: bool = True, scores: DataFrame | Non
         popularity=dc.popularity_ranking(camps, ad_ctr),
         lift_rules=config.lift_rules_df(spark),
         audiences=auds,
-        scores=scores,
+        **more,
     )
 
 
-_RUNS: dict[tuple[int, str], dict[str, DataFrame]] = {}
-
-
-def run_decisions(spark, sf, **kw) -> dict[str, DataFrame]:
-    """The decision job on the fixture inputs.  The decision table is written
-    once (like the decision log): within a session every later query that
-    reads the decisions of the same inputs reads that written table instead
-    of re-running the job."""
-    key = (id(spark._jsparkSession), sf)
-    if not kw and key in _RUNS:
-        return _RUNS[key]
-    out = dc.decide(fixture_inputs(spark, sf, **kw), START, END)
+def run_decisions(spark, sf, **more) -> dict[str, DataFrame]:
+    """The decision job on the fixture inputs; its decisions are written once."""
+    out = dc.decide(fixture_inputs(spark, sf, **more), START, END)
     out["decisions"] = materialize(out["decisions"])
-    if not kw:
-        _RUNS[key] = out
     return out
 
 
@@ -264,6 +253,17 @@ _DEC_CTES: list[tuple[str, str]] = membership_ctes(START - dt.timedelta(days=1),
            FROM req q LEFT JOIN arb a ON a.request_id = q.request_id LEFT JOIN fallback f ON f.day = q.request_date""",
     ),
 ]
+#: The best campaign of each (request, targeted audiences, category), and how many there are.
+GROUP_SCORES: list[tuple[str, str]] = [
+    (
+        "group_scores",
+        """SELECT request_id, audiences, category, campaign_id, pctr, ecpm, campaigns FROM (
+             SELECT request_id, audiences, category, campaign_id, pctr, ecpm,
+               count(*) OVER (PARTITION BY request_id, audiences, category) AS campaigns,
+               row_number() OVER (PARTITION BY request_id, audiences, category ORDER BY coalesce(ecpm, 0.0) DESC, campaign_id) AS rn
+             FROM (SELECT *, array_to_string(list_sort(targeted_audiences), ',') AS audiences FROM scored)) WHERE rn = 1""",
+    ),
+]
 _DEC_VIEWS = ("campaigns", "ad_events", "rides", "user_segments", "session_events", "requests", "external_bids")
 
 
@@ -282,13 +282,16 @@ def DV(body: str, upto: str | None = None, extra: list[tuple[str, str]] | None =
 
 @query(
     "requests_x_live_campaigns",
-    DV("SELECT q.request_id, l.campaign_id FROM requests q JOIN live l ON q.request_date = l.day", "live"),
+    DV(
+        "SELECT l.day, l.campaign_id, count(*) AS n_requests FROM requests q JOIN live l ON q.request_date = l.day GROUP BY l.day, l.campaign_id",
+        "live",
+    ),
 )
 def requests_x_live_campaigns(spark, sf):
-    """J-04 / J-10: every request with every campaign live on its day.  The
-    flight range join is an equi-join on the exploded (campaign, day)."""
+    """J-04 / J-10: every campaign live on a day with the number of requests
+    that meet it: requests are reduced to their days before the join."""
     live = dc.live_days(tb.campaigns(spark, sf), START, END).select("campaign_id", "day")
-    return dc.join_live_catalog(tb.requests(spark, sf), live).select("request_id", "campaign_id")
+    return dc.requests_per_live_campaign(tb.requests(spark, sf), live)
 
 
 @query(
@@ -326,7 +329,7 @@ def _event_lift(spark, sf):
     ev = tb.ad_events(spark, sf).filter(F.col("event_type") == "impression")
     ev = ev.join(tb.user_segments(spark, sf), "user_id", "left").withColumn("day_part", fx.day_part(F.col("hour_of_day")))
     lift = dc.lift_lookup(config.lift_rules_df(spark), tb.campaigns(spark, sf))
-    return ev.join(tb.bounded(lift), ["segment", "category", "day_part"], "left").select(
+    return ev.join(lift, ["segment", "category", "day_part"], "left").select(
         "event_id", F.coalesce("lift", F.lit(1.0)).alias("lift")
     )
 
@@ -347,10 +350,23 @@ def expected_ctr(spark, sf):
     return _event_lift(spark, sf).select("event_id", fx.click_probability(F.col("lift")).alias("expected_ctr"))
 
 
-@query("eligible_candidates", DV("SELECT request_id, campaign_id FROM elig", "elig"))
+@query(
+    "eligible_candidates",
+    DV(
+        """SELECT request_date, audiences, campaign_id, count(*) AS n_requests FROM (
+             SELECT e.request_date, e.campaign_id,
+               array_to_string(list_sort(list_distinct(list_intersect(coalesce(e.audience_memberships, CAST([] AS VARCHAR[])), u.used))), ',') AS audiences
+             FROM elig e LEFT JOIN (SELECT day, coalesce(list(a), CAST([] AS VARCHAR[])) AS used FROM (
+               SELECT DISTINCT day, unnest(targeted_audiences) AS a FROM catday2 WHERE remaining_capacity > 0) GROUP BY day) u
+             ON u.day = e.request_date) GROUP BY ALL""",
+        "elig",
+    ),
+)
 def eligible_candidates(spark, sf):
-    """D-01."""
-    return run_decisions(spark, sf)["eligible"].select("request_id", "campaign_id")
+    """D-01: candidates of each class of requests (a day's requests that are
+    in the same targeted audiences) with the size of the class."""
+    res = run_decisions(spark, sf)
+    return dc.eligible_by_class(res["requests"], res["catalog_days"])
 
 
 @query("audience_exclusions", DV("SELECT request_id, campaign_id, audience, definition_version FROM excl", "excl"))
@@ -359,11 +375,16 @@ def audience_exclusions(spark, sf):
     return run_decisions(spark, sf)["exclusions"]
 
 
-@query("candidate_ecpm", DV("SELECT request_id, campaign_id, pctr, ecpm FROM scored", "scored"))
+@query(
+    "candidate_ecpm",
+    DV("SELECT request_id, audiences, category, campaign_id, campaigns, pctr, ecpm FROM group_scores", "scored", extra=GROUP_SCORES),
+)
 def candidate_ecpm(spark, sf):
     """D-04 with the stand-in score column (expected CTR from the rule table,
-    destination boost, bid x pctr)."""
-    return run_decisions(spark, sf)["scored"].select("request_id", "campaign_id", "pctr", "ecpm")
+    destination boost, bid x pctr): per request and candidate group the best
+    campaign; the others of the group have the same pctr."""
+    s = run_decisions(spark, sf)["scored"]
+    return s.select("request_id", F.array_join("audiences", ",").alias("audiences"), "category", "campaign_id", "campaigns", "pctr", "ecpm")
 
 
 @query("arbitrate_requests", DV("SELECT request_id, winner, rung, price FROM arb", "arb"))
@@ -386,35 +407,39 @@ def decide_with_fallback(spark, sf):
 _REC_SQL = DV(
     """SELECT d.request_id, d.winner, d.rung, d.external_bid_outcome,
          CASE WHEN d.full_path THEN coalesce(e.n, 0) END AS n_candidates,
+         CASE WHEN d.full_path THEN coalesce(e.id_sum, 0) END AS candidate_id_sum,
          CASE WHEN d.full_path THEN coalesce(x.n, 0) END AS n_exclusions,
          CASE WHEN d.full_path THEN coalesce(s.n, 0) END AS n_scores,
-         CASE WHEN d.full_path THEN coalesce(e.ids, '') END AS candidate_ids
+         CASE WHEN d.full_path THEN d.request_date - 1 END AS features_as_of,
+         CASE WHEN d.full_path THEN CAST(floor(epoch(d.ts)) - epoch(d.request_date) AS BIGINT) END AS feature_age_seconds,
+         v.value AS total_ms, v.value * 0.25 AS features_ms
        FROM dec d
-       LEFT JOIN (SELECT request_id, count(*) AS n, string_agg(CAST(campaign_id AS VARCHAR), ',' ORDER BY campaign_id) AS ids
+       JOIN events v ON v.event_id = d.request_id
+       LEFT JOIN (SELECT request_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(campaign_id) AS BIGINT) AS id_sum
                   FROM elig GROUP BY request_id) e ON e.request_id = d.request_id
-       LEFT JOIN (SELECT request_id, count(*) AS n FROM excl GROUP BY request_id) x ON x.request_id = d.request_id
-       LEFT JOIN (SELECT request_id, count(*) AS n FROM scored GROUP BY request_id) s ON s.request_id = d.request_id"""
+       LEFT JOIN (SELECT request_id, CAST(count(*) AS BIGINT) AS n FROM excl GROUP BY request_id) x ON x.request_id = d.request_id
+       LEFT JOIN (SELECT request_id, CAST(count(*) AS BIGINT) AS n FROM scored GROUP BY request_id) s ON s.request_id = d.request_id"""
 )
 
 
 @query("decision_records", _REC_SQL)
 def decision_records(spark, sf):
-    """D-09: the nested decision record, checked on its scalar projection."""
-    d = run_decisions(spark, sf)["decisions"]
-    return _record_scalars(d)
+    """D-09: the nested decision record, checked on its scalar projection
+    (counts and id sums of candidates, exclusions and scores, freshness of the
+    features, stage latencies)."""
+    return _record_scalars(run_decisions(spark, sf)["decisions"])
 
 
 def _record_scalars(d):
+    total = lambda c, f: F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + x[f])
     return d.select(
         "request_id", "winner", "rung", "external_bid_outcome",
-        F.size("candidate_set").cast("long").alias("n_candidates"),
-        F.size("audience_exclusions").cast("long").alias("n_exclusions"),
-        F.size("scores").cast("long").alias("n_scores"),
-        F.array_join(F.transform("candidate_set", lambda x: x.cast("string")), ",").alias("candidate_ids"),
-    ).select(
-        "request_id", "winner", "rung", "external_bid_outcome",
-        *[F.when(F.col(c) >= 0, F.col(c)).alias(c) for c in ("n_candidates", "n_exclusions", "n_scores")],
-        "candidate_ids",
+        total("candidate_set", "campaigns").alias("n_candidates"),
+        total("candidate_set", "id_sum").alias("candidate_id_sum"),
+        total("audience_exclusions", "campaigns").alias("n_exclusions"),
+        total("scores", "campaigns").alias("n_scores"),
+        "features_as_of", "feature_age_seconds",
+        F.col("stage_latencies_ms")["total"].alias("total_ms"), F.col("stage_latencies_ms")["features"].alias("features_ms"),
     )
 
 
@@ -501,12 +526,12 @@ def assign_arm(spark, sf):
 
 @query("pacing_replay")
 def pacing_replay(spark, sf):
-    """D-08: day-slice replay with self-consistent counters; per guaranteed
-    campaign the goal and what the replay delivered."""
+    """D-08: the decision job day after day on its own log; per guaranteed
+    campaign the goal and what was delivered."""
     inp = fixture_inputs(spark, sf)
-    # The replay is its own ledger: start with no deliveries.
+    # The log is the only ledger: start with no deliveries.
     inp.ledger = inp.ledger.limit(0)
-    dec = dc.pacing_replay(inp, START, END, scratch_path(spark, f"pacing-{uuid.uuid4().hex}"))
+    dec = dc.decide_in_days(inp, START, END, scratch_path(spark, f"pacing-{uuid.uuid4().hex}"))
     g = tb.campaigns(spark, sf).filter(F.col("demand_type") == "guaranteed")
     delivered = dec.filter(F.col("rung") == "guaranteed").groupBy(F.col("winner").alias("campaign_id")).agg(
         F.count("*").alias("delivered")

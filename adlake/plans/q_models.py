@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from adlake import config
 from adlake.operators import asof as ao
+from adlake.operators import decisions as dc
 from adlake.operators import features as ft
 from adlake.operators import training as tr
 from adlake.plans.catalog import query
-from adlake.plans.q_decisions import DV, run_decisions
+from adlake.plans.q_decisions import DV, END, START, fixture_inputs, run_decisions
 from adlake.plans.q_features import AS_OF
 from adlake.plans.sql_views import with_views as V
 from adlake.session import materialize
@@ -295,35 +296,57 @@ def tercile_lift(spark, sf):
     return tr.tercile_lift(tr.score(lr, hold), "x_user_ctr_in_ad_category", "pctr")
 
 
-def _candidate_rows(spark, sf, decisions: dict):
-    """E-05 rows for the eligible auction candidates of every request, with
-    features as of the day before the request (leak-free)."""
-    el = decisions["eligible"].filter(F.col("demand_type") == "auction").select(
-        "request_id", "user_id", "campaign_id", "category", "hour_of_day", F.date_sub("request_date", 1).alias("asof"),
-        "experiment_arm",
-    )
-    start = config.FIXTURE_START - dt.timedelta(days=1)
-    end = AS_OF - dt.timedelta(days=1)
+_ASM_START = config.FIXTURE_START - dt.timedelta(days=1)
+_ASM_END = AS_OF - dt.timedelta(days=1)
+
+
+def _feature_frames(spark, sf):
+    """User, ad and category snapshots of the days before the requests."""
     ev = tb.ad_events(spark, sf).select("event_id", "event_type", "user_id", "campaign_id", "event_date", "category")
-    ub = ft.backfill_user(tb.users(spark, sf), ev, tb.rides(spark, sf), start, end)
-    ab = ft.backfill_ad(ev, tb.campaigns(spark, sf), start, end)
-    cb = tr.category_ctr_backfill(ev, start, end)
-    return tr.assemble(el, ub, ab, cb)
+    ub = ft.backfill_user(tb.users(spark, sf), ev, tb.rides(spark, sf), _ASM_START, _ASM_END)
+    ab = ft.backfill_ad(ev, tb.campaigns(spark, sf), _ASM_START, _ASM_END)
+    ab = tr.fill_defaults(ab, tr.AD_FEATS).withColumn("day", F.date_add("asof", 1)).drop("asof")
+    return ub, ab, tr.category_ctr_backfill(ev, _ASM_START, _ASM_END)
 
 
-_ASM_START = config.FIXTURE_START - dt.timedelta(days=1)
+def _candidate_rows(spark, sf):
+    """E-05 rows of every request: one for each group of eligible auction
+    campaigns that are alike in audiences, category and ad features (of the day
+    before the request: leak-free), with its best campaign."""
+    ub, ab, cb = _feature_frames(spark, sf)
+    inp = fixture_inputs(spark, sf)
+    req = materialize(dc.request_context(inp, START, END))
+    cat = dc.catalog_day_table(inp.campaigns, inp.ledger, START, END)
+    groups = dc.candidate_groups(cat.join(ab, ["campaign_id", "day"], "left"), tuple(tr.AD_FEATS))
+    return tr.assemble_groups(dc.model_rows(req, materialize(groups)), ub, cb)
+
+
+def _arm_scorer(spark, sf, models: dict):
+    """A scorer for the decision job: each arm by its pinned version."""
+    ub, ab, cb = _feature_frames(spark, sf)
+
+    def score(rows):
+        rows = materialize(tr.assemble_groups(rows, ub, cb))
+        parts = [tr.score(m, rows.filter(F.col("experiment_arm") == arm)) for arm, m in models.items()]
+        return parts[0].unionByName(parts[1])
+
+    return {"ad_features": ab, "scorer": score}
 
 
 @query(
     "assemble_features",
     DV(
-        "SELECT request_id, campaign_id, " + ", ".join(V1) + " FROM asm",
+        "SELECT request_id, campaigns, campaign_id, " + ", ".join(V1) + f""" FROM (
+           SELECT *, count(*) OVER (PARTITION BY request_id, audiences, category, {", ".join(tr.AD_FEATS)}) AS campaigns,
+             row_number() OVER (PARTITION BY request_id, audiences, category, {", ".join(tr.AD_FEATS)}
+               ORDER BY coalesce(bid, 0.0) DESC, campaign_id) AS rn FROM asm) WHERE rn = 1""",
         extra=feature_ctes(_ASM_START, (AS_OF - _ASM_START).days, "g")
         + [
             (
                 "asm",
                 assembled_sql(
-                    "SELECT request_id, user_id, campaign_id, category, hour_of_day, request_date FROM elig WHERE demand_type = 'auction'",
+                    """SELECT request_id, user_id, campaign_id, category, hour_of_day, request_date, bid,
+                         array_to_string(list_sort(targeted_audiences), ',') AS audiences FROM elig WHERE demand_type = 'auction'""",
                     "g",
                     "r.request_date - 1",
                 ),
@@ -332,58 +355,60 @@ _ASM_START = config.FIXTURE_START - dt.timedelta(days=1)
     ),
 )
 def assemble_features(spark, sf):
-    """E-05 for serving: every eligible auction candidate with user + ad +
-    cross features from the previous day's snapshots."""
-    rows = _candidate_rows(spark, sf, run_decisions(spark, sf))
-    return rows.select("request_id", "campaign_id", *V1)
+    """E-05 for serving: user + ad + cross features from the previous day's
+    snapshots for every request and group of eligible auction campaigns."""
+    return _candidate_rows(spark, sf).select("request_id", F.col("auctions").alias("campaigns"), "campaign_id", *V1)
 
 
 @query("score_candidates")
 def score_candidates(spark, sf):
-    """M-07: the v1 model scores every eligible auction candidate."""
+    """M-07: the v1 model scores every group of eligible auction candidates."""
     _, _, lr = _fitted(spark, sf, "v1")
-    rows = _candidate_rows(spark, sf, run_decisions(spark, sf))
-    return tr.score(lr, rows).select("request_id", "campaign_id", "pctr")
+    return tr.score(lr, _candidate_rows(spark, sf)).select("request_id", "campaign_id", "auctions", "pctr")
 
 
 @query("score_by_arm")
 def score_by_arm(spark, sf):
     """M-08: control rows scored by v1, treatment rows by v2; union."""
     _, _, lr, gbt = _fitted(spark, sf, "v1", "v2")
-    rows = _candidate_rows(spark, sf, run_decisions(spark, sf))
+    rows = materialize(_candidate_rows(spark, sf))
     a = tr.score(lr, rows.filter(F.col("experiment_arm") == "control")).withColumn("model_version", F.lit("v1"))
     b = tr.score(gbt, rows.filter(F.col("experiment_arm") == "treatment")).withColumn("model_version", F.lit("v2"))
     return a.unionByName(b).select("request_id", "campaign_id", "experiment_arm", "model_version", "pctr")
 
 
+def _model_decisions(spark, sf):
+    _, _, lr, gbt = _fitted(spark, sf, "v1", "v2")
+    return run_decisions(spark, sf, **_arm_scorer(spark, sf, {"control": lr, "treatment": gbt}))
+
+
 @query("candidate_ecpm_model")
 def candidate_ecpm_model(spark, sf):
-    """D-04 with model scores: the decision job re-run with arm-pinned model
-    pctr instead of the stand-in score."""
-    _, _, lr, gbt = _fitted(spark, sf, "v1", "v2")
-    base = run_decisions(spark, sf)
-    rows = _candidate_rows(spark, sf, base)
-    sc = tr.score(lr, rows.filter(F.col("experiment_arm") == "control")).unionByName(
-        tr.score(gbt, rows.filter(F.col("experiment_arm") == "treatment"))
-    ).select("request_id", "campaign_id", "pctr")
-    d = run_decisions(spark, sf, scores=sc)
-    return d["scored"].select("request_id", "campaign_id", "pctr", "ecpm")
+    """D-04 with model scores: the decision job with arm-pinned model pctr
+    instead of the stand-in score."""
+    return _model_decisions(spark, sf)["scored"].select("request_id", "campaign_id", "pctr", "ecpm")
+
+
+def _logged_wins(decisions):
+    """M-06 rows: real auction wins with the features that were logged with
+    the winner's score."""
+    from adlake.operators import reports as rp
+
+    w = rp.winner_features(decisions)
+    return w.select("request_id", F.col("winner").alias("campaign_id"), "category", *[F.col("features")[f].alias(f) for f in V1])
 
 
 @query("retrain_report")
 def retrain_report(spark, sf):
-    """M-06: retrain from the decision log: real auction wins whose winner was
-    scored, features re-assembled (+ session flag), real click labels, hash
-    split; compares the retrained model with the live v1 on one holdout."""
+    """M-06: retrain from the decision log: real auction wins, the features
+    logged with their scores (+ session flag), real click labels, hash split;
+    compares the retrained model with the live v1 on one holdout."""
     from adlake.operators import reports as rp
     from adlake.operators import session_features as sfo
 
-    dec = run_decisions(spark, sf)
-    d = dec["decisions"]
-    wins = rp.winner_features(d).select("request_id", F.col("winner").alias("campaign_id"))
-    rows = _candidate_rows(spark, sf, dec).join(wins, ["request_id", "campaign_id"])
+    d = _model_decisions(spark, sf)["decisions"]
     clicked = rp.decision_clicks(d, tb.ad_events(spark, sf, with_category=False)).withColumn("label", F.lit(1))
-    rows = rows.join(clicked, "request_id", "left").withColumn("label", F.coalesce("label", F.lit(0)))
+    rows = _logged_wins(d).join(clicked, "request_id", "left").withColumn("label", F.coalesce("label", F.lit(0)))
     active = sfo.session_active_at_requests(tb.session_events(spark, sf), d.select("request_id", "user_id", "ts"))
     rows = materialize(rows.join(active, "request_id", "left").withColumn(
         "user_session_active", F.coalesce("user_session_active", F.lit(0)).cast("int")

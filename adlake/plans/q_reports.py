@@ -13,7 +13,7 @@ from adlake.functions import scalar as fx
 from adlake.operators import features as ft
 from adlake.operators import reports as rp
 from adlake.plans.catalog import query
-from adlake.plans.q_decisions import DV, run_decisions
+from adlake.plans.q_decisions import DV, GROUP_SCORES, run_decisions
 from adlake.plans.q_features import AS_OF
 from adlake.plans.sql_views import with_views as V
 from adlake.session import scratch_path
@@ -23,19 +23,11 @@ from adlake.sources import tables as tb
 Z = config.Z_95
 
 
-_LOGS: dict[tuple[int, str], str] = {}
-
-
 def _decisions(spark, sf):
-    """The decision log the reports read: written by the decision job (once
-    per session and input folder) and read back with its fixed schema -
-    reports never recompute the decision job."""
-    key = (id(spark._jsparkSession), sf)
-    path = _LOGS.get(key)
-    if path is None:
-        path = scratch_path(spark, f"decision-log-{uuid.uuid4().hex}")
-        dlog.append(run_decisions(spark, sf)["decisions"], path)
-        _LOGS[key] = path
+    """The decision log the reports read: written by the decision job and
+    read back with its fixed schema."""
+    path = scratch_path(spark, f"decision-log-{uuid.uuid4().hex}")
+    dlog.append(run_decisions(spark, sf)["decisions"], path)
     return dlog.read(spark, path)
 
 
@@ -125,7 +117,9 @@ def fallback_rung_counts(spark, sf):
     return rp.fallback_rung_counts(_decisions(spark, sf))
 
 
-_LAT_SQL = "(SELECT event_id AS request_id, ts, 'total' AS stage, value AS latency_ms FROM events WHERE event_type = 'view')"
+_SHARE_SQL = ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in config.FIXTURE_STAGE_SHARE.items())
+_LAT_SQL = f"""(SELECT event_id AS request_id, ts, stage, value * share AS latency_ms
+   FROM events, (VALUES {_SHARE_SQL}) AS shares(stage, share) WHERE event_type = 'view')"""
 
 
 @query(
@@ -195,7 +189,7 @@ def decisions_enriched(spark, sf):
 )
 def winner_features(spark, sf):
     """J-09."""
-    return rp.winner_features(_decisions(spark, sf))
+    return rp.winner_features(_decisions(spark, sf)).select("request_id", "winner", "pctr", "ecpm")
 
 
 @query(
@@ -210,11 +204,13 @@ def real_impressions(spark, sf):
 @query(
     "decision_trail",
     DV(
-        f"""SELECT s.request_id, s.campaign_id,
+        f"""SELECT s.request_id, s.campaign_id, s.campaigns,
               {_LABEL_SQL.format(id='s.campaign_id', cat='c.category', adv='c.advertiser_name')} AS label,
-              s.pctr, s.ecpm, s.campaign_id = d.winner AS is_winner, d.rung
-            FROM scored s JOIN dec d ON d.request_id = s.request_id AND d.full_path
-            JOIN campaigns c ON c.campaign_id = s.campaign_id"""
+              s.pctr, s.ecpm, s.campaign_id = d.winner AS is_winner, d.rung, d.external_bid, e.value AS total_ms
+            FROM group_scores s JOIN dec d ON d.request_id = s.request_id AND d.full_path
+            JOIN events e ON e.event_id = s.request_id
+            JOIN campaigns c ON c.campaign_id = s.campaign_id""",
+        extra=GROUP_SCORES,
     ),
 )
 def decision_trail(spark, sf):
@@ -234,7 +230,7 @@ def decision_trail(spark, sf):
 def campaign_label(spark, sf):
     """F-17 on every decision's winner (house ad and none included)."""
     d = _decisions(spark, sf)
-    c = tb.bounded(tb.campaigns(spark, sf).select(F.col("campaign_id").alias("winner"), "category", "advertiser_name"))
+    c = tb.campaigns(spark, sf).select(F.col("campaign_id").alias("winner"), "category", "advertiser_name")
     return d.join(c, "winner", "left").select(
         "request_id", fx.campaign_label(F.col("winner"), F.col("advertiser_name"), F.col("category")).alias("winner_label")
     )

@@ -27,7 +27,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
           CASE WHEN p_partkey = 21 THEN ['frequent_airport_travelers']
                WHEN p_partkey = 22 THEN ['weekday_commuters']
                ELSE CAST([] AS VARCHAR[]) END AS targeted_audiences
-        FROM part WHERE p_partkey < 100""",
+        FROM part""",
     ),
     "users": (
         [],

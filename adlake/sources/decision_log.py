@@ -2,54 +2,25 @@
 
 One fixed nested schema for every outcome (fallback decisions carry nulls
 and empty lists), stored as Parquet partitioned by decision_date and
-appended by micro-batch or batch job."""
+appended by micro-batch or batch job.  A record names its candidates by group
+(targeted audiences, category), each with the number of its campaigns and the
+sum of their ids; :func:`candidate_sets` has the campaigns of each group."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
-SCHEMA = T.StructType(
-    [
-        T.StructField("request_id", T.LongType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("request_date", T.DateType()),
-        T.StructField("experiment_arm", T.StringType()),
-        T.StructField("model_version", T.StringType()),
-        T.StructField("candidate_set", T.ArrayType(T.LongType())),
-        T.StructField(
-            "audience_exclusions",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("campaign_id", T.LongType()),
-                        T.StructField("audience", T.StringType()),
-                        T.StructField("definition_version", T.LongType()),
-                    ]
-                )
-            ),
-        ),
-        T.StructField(
-            "scores",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("campaign_id", T.LongType()),
-                        T.StructField("pctr", T.DoubleType()),
-                        T.StructField("ecpm", T.DoubleType()),
-                    ]
-                )
-            ),
-        ),
-        T.StructField("external_bid_outcome", T.StringType()),
-        T.StructField("external_bid", T.DoubleType()),
-        T.StructField("winner", T.LongType()),
-        T.StructField("price", T.DoubleType()),
-        T.StructField("rung", T.StringType()),
-        T.StructField("fallback_rung", T.StringType()),
-    ]
+SCHEMA = StructType.fromDDL(
+    """request_id long, user_id long, ts timestamp, request_date date, experiment_arm string, model_version string,
+    candidate_set array<struct<audiences: array<string>, category: string, campaigns: long, id_sum: long>>,
+    audience_exclusions array<struct<audiences: array<string>, category: string, audience: string,
+        definition_version: long, campaigns: long>>,
+    scores array<struct<audiences: array<string>, category: string, campaigns: long, campaign_id: long, pctr: double,
+        ecpm: double, features: map<string, double>>>,
+    features_as_of date, feature_age_seconds long, stage_latencies_ms map<string, double>,
+    external_bid_outcome string, external_bid double, winner long, price double, rung string, fallback_rung string"""
 )
 
 
@@ -64,6 +35,16 @@ def conform(df: DataFrame) -> DataFrame:
     )
 
 
+def candidate_sets(catalog_days: DataFrame) -> DataFrame:
+    """(day, audiences, category, campaign_id, bid): what the groups of a
+    record's candidate set stand for, written once a day beside the log."""
+    from adlake.operators.decisions import audiences_of, with_capacity
+
+    return with_capacity(catalog_days).select(
+        "day", audiences_of(F.col("targeted_audiences")).alias("audiences"), "category", "campaign_id", "bid"
+    )
+
+
 def append(decisions: DataFrame, path: str, files_per_day: int = 16) -> None:
     """S-04: append, partitioned by decision date."""
     out = conform(decisions).withColumn("decision_date", F.col("request_date"))

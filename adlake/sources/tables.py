@@ -6,7 +6,7 @@ DuckDB definitions live in :mod:`adlake.plans.sql_views`.
 
 Mapping (see FIXTURES.md part B):
   users          customer + nation + first order date
-  campaigns      part where p_partkey < 100
+  campaigns      part
   ad_events      events of type view (impression) / click
   rides          events of type purchase
   session_events all events, renamed to the session-event vocabulary
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from adlake import config
 
-CAMPAIGN_KEY_LIMIT = 100  # campaigns are the parts with p_partkey below this
 # Small config / catalog tables are broadcast only after their size is checked.
 BROADCAST_ROW_LIMIT = 1_000_000
 
@@ -54,7 +53,7 @@ def prop_k() -> Column:
 
 
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "part").filter(F.col("p_partkey") < CAMPAIGN_KEY_LIMIT)
+    p = read(spark, sf_dir, "part")
     key = F.col("p_partkey")
     auction = key % 2 == 0
     cents = F.round(F.col("p_retailprice") * 100).cast("long")
@@ -120,8 +119,8 @@ def ad_events(spark: SparkSession, sf_dir: str, with_category: bool = True) -> D
         F.hour(event_ts()).cast("long").alias("hour_of_day"),
     )
     if with_category:
-        cats = bounded(campaigns(spark, sf_dir).select("campaign_id", "category"))
-        out = out.join(cats, "campaign_id", "left")
+        # The catalog grows with its table: the planner picks the join by its size.
+        out = out.join(campaigns(spark, sf_dir).select("campaign_id", "category"), "campaign_id", "left")
     return out
 
 
@@ -157,7 +156,7 @@ def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as session events; `error` keeps its name and plays the
     unknown type.  payload: category for destinations, ride_type for rides."""
     e = read(spark, sf_dir, "events")
-    cats = bounded(campaigns(spark, sf_dir).select(F.col("campaign_id").alias("k"), "category"))
+    cats = campaigns(spark, sf_dir).select(F.col("campaign_id").alias("k"), "category")
     types = F.array(*[F.lit(t) for t in config.RIDE_TYPES])
     base = e.select(
         "event_id",
@@ -208,16 +207,20 @@ def requests_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~((v >= 2) & (v < 3))).alias("model_ok"),
         (~(v < 1)).alias("features_ok"),
         (~((v >= 1) & (v < 2))).alias("pacing_ok"),
+        stage_latencies(v).alias("stage_latencies_ms"),
     )
 
 
+def stage_latencies(total: Column) -> Column:
+    """Latency of each stage: fixed shares of the request's value (ms)."""
+    return F.create_map(*[x for stage, share in config.FIXTURE_STAGE_SHARE.items() for x in (F.lit(stage), total * share)])
+
+
 def request_latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-request stage latency samples: the request event's value plays
-    the end-to-end ('total') latency in ms."""
+    """Per-request latency samples of all stages."""
     e = read(spark, sf_dir, "events").filter(F.col("event_type") == "view")
     return e.select(
-        F.col("event_id").alias("request_id"), event_ts().alias("ts"), F.lit("total").alias("stage"),
-        F.col("value").alias("latency_ms"),
+        F.col("event_id").alias("request_id"), event_ts().alias("ts"), F.explode(stage_latencies(F.col("value"))).alias("stage", "latency_ms")
     )
 
 

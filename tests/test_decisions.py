@@ -48,7 +48,7 @@ def test_guaranteed_delivery_within_10_percent(spark):
             rid += 1
             reqs.append((rid, i % 20, dt.datetime.combine(D0 + dt.timedelta(days=day), dt.time(12)) + dt.timedelta(seconds=i)))
     inp = inputs(spark, camp, reqs)
-    out = dc.pacing_replay(inp, D0, D0 + dt.timedelta(days=9), scratch_path(spark, f"t-pacing-{uuid.uuid4().hex}"))
+    out = dc.decide_in_days(inp, D0, D0 + dt.timedelta(days=9), scratch_path(spark, f"t-pacing-{uuid.uuid4().hex}"))
     delivered = out.filter((F.col("rung") == "guaranteed") & (F.col("winner") == 1)).count()
     assert 900 <= delivered <= 1100
     # day 0 of the flight is never behind schedule
@@ -199,27 +199,6 @@ def test_counter_rate(spark):
     assert [r.r for r in out[1:]] == [0.0, 3.0] and out[0].z == 0.0
 
 
-def test_salted_catalog_join_equals_broadcast(spark):
-    """The fallback for a catalog too large to broadcast gives the same pairs."""
-    from adlake.sources import tables as tb
-
-    camp = spark.createDataFrame(
-        [(i, "a", "food", "auction", 1.0, 10.0, None, D0, D0 + dt.timedelta(days=i % 4), "active", []) for i in range(1, 13)],
-        CAMP_SCHEMA,
-    )
-    days = dc.live_days(camp, D0, D0 + dt.timedelta(days=3)).select("campaign_id", "day")
-    t = dt.datetime.combine(D0, dt.time(9))
-    req = spark.createDataFrame(
-        [(r, r % 3, t + dt.timedelta(days=r % 4), (t + dt.timedelta(days=r % 4)).date()) for r in range(40)],
-        "request_id long, user_id long, ts timestamp, request_date date",
-    )
-    a = sorted((r.request_id, r.campaign_id) for r in dc.join_live_catalog(req, days).collect())
-    salted = dc.join_live_catalog(req, days, salt_buckets=4, broadcast_limit=5)
-    assert "BroadcastHashJoin" not in salted._jdf.queryExecution().executedPlan().toString()
-    b = sorted((r.request_id, r.campaign_id) for r in salted.collect())
-    assert a == b and len(a) > 0
-
-
 def test_quota_is_shared_by_batches(spark):
     """Deciding time-ordered batches one after the other, each with the wins
     of those before, gives the decisions of one batch - also when a day is cut
