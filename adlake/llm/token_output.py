@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adlake.llm.common import BATCH_ROWS, bounded_batches, table, tokenizer_path, written
+from adlake.llm.common import bounded_batches, table, tokenizer_path, written
 from adlake.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -40,9 +40,9 @@ END_ID = 1
 #: Ids of a block; a longer text makes a longer block of its own.
 BLOCK_IDS = 1 << 18
 #: Bytes of the texts that are split together.
-JOIN_BYTES = 4 << 20
+JOIN_BYTES = 1 << 20
 #: Entries of a worker's word table before it starts over (memory, not results).
-TABLE_ENTRIES = 1_000_000
+TABLE_ENTRIES = 250_000
 
 # The endings that the vocabulary's own split cuts off a word.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -273,7 +273,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts -> files -> per document what the files hold."""
-    bounded_batches(spark, 4 * BATCH_ROWS)
+    bounded_batches(spark)
     ids = written(encode(table(spark, sf_dir, "documents")), "ids")
     path = scratch_path(spark, f"llm/tokens-{uuid.uuid4().hex}")
     write(ids, path)
