@@ -15,7 +15,8 @@ those links that join what was apart: no pair list is made.
 
 Defined results: only vectors with equal labels (and as many components) are
 compared; a null label or vector, a null or non-finite component or a zero
-vector links with nothing; rows with the same id are one vector; a null id
+vector links with nothing; rows with the same id are one vector, linked
+wherever one of them is, with the most n_links that one of them has; a null id
 has no component; other input columns are not read."""
 
 from __future__ import annotations
@@ -221,10 +222,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     joined = pairs.join(side("i", "a"), ["label", "dim", "i"]).join(side("j", "b"), ["label", "dim", "j"])
     found = written(_compared(joined.select("i", "j", "a_firsts", "a_ns", "a_units", "b_firsts", "b_ns", "b_units"), threshold), "links")
     more = found.where("more > 0").groupBy("first").agg(F.sum("more").alias("more"))
-    label = components(found.where("other is not null").select(F.col("first").alias("a"), F.col("other").alias("b")), "a", "b")
+    # Rows of one id are one vector: their classes belong together.
+    several = member.groupBy("vec_id").agg(F.min("first").alias("a"), F.max("first").alias("last")).where("a <> last").select("vec_id", "a")
+    same = several.join(member, "vec_id").where("first <> a").select("a", F.col("first").alias("b"))
+    label = components(found.where("other is not null").select(F.col("first").alias("a"), F.col("other").alias("b")).unionByName(same), "a", "b")
     known = written(more.join(label.select(F.col("node").alias("first"), "root"), "first", "full"), "known")
     out = member.join(known, "first", "left").select("vec_id", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).cast("long").alias("n_links"), F.coalesce("root", "first").alias("component_id"))
-    return out.distinct().withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    out = out.groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

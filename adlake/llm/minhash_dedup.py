@@ -20,7 +20,8 @@ Defined results: words are runs of anything but ASCII white space, A-Z
 lower-cased; a text with fewer words than a shingle has its whole sequence as
 the only shingle; null or wordless texts have an empty set and link with
 nothing; rows without an id link with nothing and have no component; rows
-with the same id are one document; input columns beside id and text are not
+with the same id are one document and give one row: it links wherever one of
+its texts does, and n_shingles is that of its largest set; input columns beside id and text are not
 read, an empty table gives an empty result.  Shingles are compared by 64-bit
 hashes; a link at exactly the threshold is missed with probability
 (1 - t**ROWS)**bands, at most MISS, and less above it."""
@@ -32,7 +33,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -190,13 +190,14 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Da
     """Links (a, b) found in the units of ``members``: (unit, side, doc_id,
     label); sides null: all pairs, else pairs of different sides."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = pdf["doc_id"].to_numpy()
-        side = None if pdf["side"].isna().any() else pdf["side"].to_numpy()
-        found = links_among([np.frombuffer(x, np.uint64) for x in pdf["shingles"]], pdf["label"].to_numpy(), side, percent)
-        return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]}, dtype="int64")
+    def run(unit: pa.Table) -> pa.Table:
+        ids, label = unit["doc_id"].to_numpy(), unit["label"].to_numpy()
+        side = None if unit["side"].null_count else unit["side"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in unit["shingles"]]
+        at = np.array(links_among(sets, label, side, percent), np.int64).reshape(-1, 2)
+        return pa.table({"a": ids[at[:, 0]], "b": ids[at[:, 1]]})
 
-    return members.join(sets, "doc_id").groupBy("unit").applyInPandas(run, "a long, b long")
+    return members.join(sets, "doc_id").groupBy("unit").applyInArrow(run, "a long, b long")
 
 
 def _among(ids: DataFrame, source: DataFrame) -> DataFrame:
@@ -234,6 +235,14 @@ def _open_units(grouped: DataFrame, label: DataFrame) -> DataFrame:
     return spread.select(unit, side.cast("int").alias("side"), "doc_id", "label")
 
 
+def _same_ids(sketch: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes that hold rows of one id: such rows are one
+    document, whatever their texts."""
+    held = sketch.where("doc_id is not null").join(classes, "digest").select("doc_id", "first")
+    several = held.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("last")).where("a <> last")
+    return several.select("doc_id", "a").join(held, "doc_id").where("first <> a").select("a", F.col("first").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id
     reachable by links of ``percent`` or more), kept (it is that one)."""
@@ -246,14 +255,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ids = written(grouped.select("doc_id").distinct(), "candidates")
     sets = written(_sets(_among(ids, source).join(ids, "doc_id", "left_semi")), "sets")
-    found = written(_compared(_first_units(grouped), sets, percent), "links")
+    found = written(_compared(_first_units(grouped), sets, percent).unionByName(_same_ids(sketch, classes)), "links")
     label = components(found, "a", "b")
     more = _compared(_open_units(grouped, label), sets, percent)
     label = components(found.unionByName(more), "a", "b")
     member = sketch.join(classes, "digest", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first"))
     out = member.join(label.select(F.col("node").alias("first"), "root"), "first", "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "first")).alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = out.select("doc_id", "n_shingles", F.coalesce("root", "first").alias("component_id"))
+    named = out.where("doc_id is not null").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"))
+    unnamed = out.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    return named.unionByName(unnamed).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

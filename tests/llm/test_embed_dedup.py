@@ -67,3 +67,10 @@ def test_query_against_brute_force(spark, sf001):
 
 def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
+
+
+def test_rows_of_one_id_are_one_vector(spark):
+    u, v = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, v, 0), (2, v, 0), (2, u, 0), (3, [0.99, 0.05, 0.0], 0), (4, u, 1), (4, None, 0)]
+    got = E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.component_id, r.kept) for r in got) == [(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]

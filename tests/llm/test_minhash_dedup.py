@@ -85,5 +85,12 @@ def test_query_against_brute_force(spark, sf001):
 def test_odd_rows(spark):
     df = spark.createDataFrame([(None, "a b c"), (1, "a b c"), (None, "a b c"), (2, None), (1, "a b c")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.component_id, r.kept) for r in M.near_duplicates(df).collect())
-    assert got == [(0, None, True), (0, None, True), (1, 1, True), (1, 1, True), (2, 2, True)]
+    assert got == [(0, None, True), (0, None, True), (1, 1, True), (2, 2, True)]
     assert M.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    w, z = "a b c d e f", "u v w x y z z"
+    df = spark.createDataFrame([(1, w), (1, w), (2, w), (2, z), (3, z), (4, z + " q r s"), (5, "other"), (5, None)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in M.near_duplicates(df).collect())
+    assert got == [(1, 2, 1, True), (2, 3, 1, False), (3, 3, 1, False), (4, 6, 4, True), (5, 1, 5, True)]
