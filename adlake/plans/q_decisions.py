@@ -28,6 +28,12 @@ N_DAYS = (END - START).days + 1
 # ------------------------------------------------------------ spark inputs
 
 
+def request_days(spark, sf) -> tuple[dt.date, dt.date]:
+    """First and last day that has requests."""
+    first, last = tb.requests(spark, sf).agg(F.min("request_date"), F.max("request_date")).first()
+    return first or START, last or END
+
+
 def fixture_inputs(spark, sf, availability: bool = True, **more) -> dc.DecisionInputs:
     ev = tb.ad_events(spark, sf)
     camps = tb.campaigns(spark, sf)
@@ -40,13 +46,14 @@ def fixture_inputs(spark, sf, availability: bool = True, **more) -> dc.DecisionI
     ad_ctr = ft.ctr_overall(tb.ad_events(spark, sf, with_category=False), AS_OF, 30, "campaign_id", "ad_ctr_30d")
     # Bid and dependency health are columns of the request event itself.
     reqs = tb.requests_enriched(spark, sf)
+    first, last = request_days(spark, sf)
     return dc.DecisionInputs(
         requests=reqs if availability else reqs.drop("model_ok", "features_ok", "pacing_ok"),
         campaigns=camps,
         segments=segs,
         memberships=None,
         user_context=ft.membership_context(
-            segs, ev, tb.rides(spark, sf), START - dt.timedelta(days=1), END - dt.timedelta(days=1), auds,
+            segs, ev, tb.rides(spark, sf), first - dt.timedelta(days=1), last - dt.timedelta(days=1), auds,
             spine=reqs.select("user_id", F.date_sub("request_date", 1).alias("asof")).distinct(),
         ),
         destinations=dests,
@@ -62,7 +69,7 @@ def fixture_inputs(spark, sf, availability: bool = True, **more) -> dc.DecisionI
 
 def run_decisions(spark, sf, **more) -> dict[str, DataFrame]:
     """The decision job on the fixture inputs; its decisions are written once."""
-    out = dc.decide(fixture_inputs(spark, sf, **more), START, END)
+    out = dc.decide(fixture_inputs(spark, sf, **more), *request_days(spark, sf))
     out["decisions"] = materialize(out["decisions"])
     return out
 
@@ -290,7 +297,7 @@ def DV(body: str, upto: str | None = None, extra: list[tuple[str, str]] | None =
 def requests_x_live_campaigns(spark, sf):
     """J-04 / J-10: every campaign live on a day with the number of requests
     that meet it: requests are reduced to their days before the join."""
-    live = dc.live_days(tb.campaigns(spark, sf), START, END).select("campaign_id", "day")
+    live = dc.live_days(tb.campaigns(spark, sf), *request_days(spark, sf)).select("campaign_id", "day")
     return dc.requests_per_live_campaign(tb.requests(spark, sf), live)
 
 
@@ -300,7 +307,7 @@ def requests_x_live_campaigns(spark, sf):
 )
 def catalog_only_eligible(spark, sf):
     """P-08 per day."""
-    return dc.catalog_only_days(tb.campaigns(spark, sf), START, END)
+    return dc.catalog_only_days(tb.campaigns(spark, sf), *request_days(spark, sf))
 
 
 @query("popularity_ranking", DV("SELECT campaign_id, popularity_rank FROM popularity", "popularity"))
@@ -315,7 +322,7 @@ def popularity_fallback(spark, sf):
     """K-02 per day."""
     ad_ctr = ft.ctr_overall(tb.ad_events(spark, sf, with_category=False), AS_OF, 30, "campaign_id", "ad_ctr_30d")
     c = tb.campaigns(spark, sf)
-    return dc.popularity_fallback(c, dc.popularity_ranking(c, ad_ctr), START, END)
+    return dc.popularity_fallback(c, dc.popularity_ranking(c, ad_ctr), *request_days(spark, sf))
 
 
 _EV_LIFT_SQL = """SELECT e.event_id, coalesce(l.lift, 1.0) AS lift
@@ -531,7 +538,7 @@ def pacing_replay(spark, sf):
     inp = fixture_inputs(spark, sf)
     # The log is the only ledger: start with no deliveries.
     inp.ledger = inp.ledger.limit(0)
-    dec = dc.decide_in_days(inp, START, END, scratch_path(spark, f"pacing-{uuid.uuid4().hex}"))
+    dec = dc.decide_in_days(inp, *request_days(spark, sf), scratch_path(spark, f"pacing-{uuid.uuid4().hex}"))
     g = tb.campaigns(spark, sf).filter(F.col("demand_type") == "guaranteed")
     delivered = dec.filter(F.col("rung") == "guaranteed").groupBy(F.col("winner").alias("campaign_id")).agg(
         F.count("*").alias("delivered")

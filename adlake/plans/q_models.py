@@ -14,7 +14,7 @@ from adlake.operators import decisions as dc
 from adlake.operators import features as ft
 from adlake.operators import training as tr
 from adlake.plans.catalog import query
-from adlake.plans.q_decisions import DV, END, START, fixture_inputs, run_decisions
+from adlake.plans.q_decisions import DV, fixture_inputs, request_days, run_decisions
 from adlake.plans.q_features import AS_OF
 from adlake.plans.sql_views import with_views as V
 from adlake.session import materialize
@@ -315,8 +315,9 @@ def _candidate_rows(spark, sf):
     before the request: leak-free), with its best campaign."""
     ub, ab, cb = _feature_frames(spark, sf)
     inp = fixture_inputs(spark, sf)
-    req = materialize(dc.request_context(inp, START, END))
-    cat = dc.catalog_day_table(inp.campaigns, inp.ledger, START, END)
+    first, last = request_days(spark, sf)
+    req = materialize(dc.request_context(inp, first, last))
+    cat = dc.catalog_day_table(inp.campaigns, inp.ledger, first, last)
     groups = dc.candidate_groups(cat.join(ab, ["campaign_id", "day"], "left"), tuple(tr.AD_FEATS))
     return tr.assemble_groups(dc.model_rows(req, materialize(groups)), ub, cb)
 

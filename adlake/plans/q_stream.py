@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 from adlake import config
 from adlake.operators import session_features as sf_ops
 from adlake.plans.catalog import ORACLE, query
+from adlake.plans.q_decisions import DV
 from adlake.plans.sql_views import with_views as V
 from adlake.sources import tables as tb
 
@@ -156,10 +158,9 @@ def parse_event_json(spark, sf):
 
 
 # ======================================================================
-# Streaming keys (rows-only checks; each has a batch twin above that the
-# tests compare it with).  Every key replays the session events of the
-# given tables as JSON text in time-ordered chunks and drains a streaming
-# query over them with availableNow.
+# Streaming keys.  Every key replays the session events of the given tables
+# as JSON text in time-ordered chunks and drains a streaming query over them
+# with availableNow.
 # ======================================================================
 
 import uuid  # noqa: E402
@@ -172,22 +173,25 @@ STREAM_DAYS_PER_CHUNK = 5
 
 
 def _files_per_chunk(spark) -> int:
-    return max(1, min(64, spark.sparkContext.defaultParallelism))
+    return max(1, spark.sparkContext.defaultParallelism)
 
 
-def replay(spark, sf, duplicate: bool = False, close: bool = False) -> tuple[str, int]:
+def replay(spark, sf, duplicate: bool = False, close: bool = False, days: int = STREAM_DAYS_PER_CHUNK) -> tuple[str, int]:
     """Write the replay source; returns (root, files per trigger).  ``close``
-    ends it with an event two days after the last one, which moves the
+    ends it with events two days after the last one, which move the
     watermark past every window of the others."""
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     fpc = _files_per_chunk(spark)
-    chunks = st.day_chunks(config.FIXTURE_START, config.FIXTURE_AS_OF, STREAM_DAYS_PER_CHUNK)
     ev = tb.session_events(spark, sf)
+    first, last = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    chunks = st.day_chunks(first, last, days) if first else []
     st.write_replay(ev, root + "/in", chunks, fpc)
     if close:
         last = ev.agg(F.max("ts")).first()[0] + dt.timedelta(days=2)
-        end = ev.limit(1).select(
-            F.lit(-1).cast("long").alias("event_id"), F.lit("session_start").alias("event_type"),
+        # One of every known type, as each stream sees its own types only.
+        types = F.posexplode(F.array(*map(F.lit, config.KNOWN_EVENT_TYPES))).alias("at", "event_type")
+        end = spark.range(1).select(types).select(
+            (-F.col("at") - 1).cast("long").alias("event_id"), "event_type",
             F.lit(-1).cast("long").alias("user_id"), F.lit("end").alias("session_id"),
             F.lit(last).cast("timestamp").alias("ts"), F.create_map().cast("map<string,string>").alias("payload"),
         )
@@ -249,9 +253,9 @@ def stream_latest_values(spark, sf):
     f"SELECT event_id, user_id, user_screens_viewed_10min FROM ({ORACLE['screens_viewed_10min_batch']})",
 )
 def stream_screens_10min(spark, sf):
-    """T-03: trailing 10-minute screen-view count per event from keyed state
-    (applyInPandasWithState), append mode to a Parquet sink."""
-    root, fpc = replay(spark, sf)
+    """T-03: trailing 10-minute screen-view count per event from an interval
+    join of the stream with itself, append mode to a Parquet sink."""
+    root, fpc = replay(spark, sf, close=True)
     st.run_to_parquet(st.trailing_counts(_events_stream(spark, root, fpc), "app_screen_view"), root + "/out", root + "/ckpt")
     return spark.read.parquet(root + "/out").select("event_id", "user_id", F.col("count_10min").alias("user_screens_viewed_10min"))
 
@@ -278,6 +282,47 @@ def stream_sessions(spark, sf):
     )
 
 
+@query(
+    "stream_session_flag",
+    V(
+        "SELECT user_id, true AS active, a AS at FROM spans UNION ALL SELECT user_id, false, b FROM spans",
+        "session_events",
+        extra=[
+            (
+                "spans",
+                f"""SELECT user_id, min(ts) AS a, max(ts) + INTERVAL 30 MINUTE AS b FROM (
+                      SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS span FROM (
+                        SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE
+                                       THEN 0 ELSE 1 END AS opens
+                        FROM session_events WHERE event_type IN ({KNOWN_SQL})))
+                    GROUP BY user_id, span""",
+            )
+        ],
+    ),
+)
+def stream_session_flag(spark, sf):
+    """T-04: changes of the session flag from keyed state with timers."""
+    root, fpc = replay(spark, sf, close=True)
+    st.run_to_parquet(st.session_flag(_events_stream(spark, root, fpc)), root + "/out", root + "/ckpt")
+    return spark.read.parquet(root + "/out").select("user_id", "active", F.col("at").cast("timestamp_ntz").alias("at"))
+
+
+@query(
+    "stream_user_sliding_counts",
+    V(
+        f"""SELECT user_id, window_start, count(*) AS events FROM (
+              SELECT user_id, unnest(generate_series(date_trunc('minute', ts) - INTERVAL 9 MINUTE, date_trunc('minute', ts), INTERVAL 1 MINUTE)) AS window_start
+              FROM session_events WHERE event_type IN ({KNOWN_SQL})) GROUP BY user_id, window_start""",
+        "session_events",
+    ),
+)
+def stream_user_sliding_counts(spark, sf):
+    """T-05: sliding windows (10 minutes, every minute) per user."""
+    root, fpc = replay(spark, sf, close=True)
+    st.run_to_parquet(st.sliding_user_counts(_events_stream(spark, root, fpc)), root + "/out", root + "/ckpt")
+    return spark.read.parquet(root + "/out").select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "events")
+
+
 @query(
     "stream_hourly_type_counts",
     V(
@@ -323,37 +368,51 @@ def stream_lag_report(spark, sf):
     )
 
 
-@query("stream_decisions")
-def stream_decisions(spark, sf):
-    """T-10: a stream of ad requests decided per micro-batch: the batch joins
-    the static features and catalog (stream-static), runs the decision job
-    and appends to the decision log (idempotent per batch id)."""
-    from adlake.plans.q_decisions import END, START, fixture_inputs
+def decide_stream(spark, sf, days: int = STREAM_DAYS_PER_CHUNK):
+    """T-10: a stream of ad requests decided per micro-batch of ``days`` days
+    and logged (idempotent per batch id).  A batch is joined with the static
+    tables: the context of its own (user, day) pairs is built from the events,
+    the catalog is read for the days that it holds.  Counters are keyed by
+    (campaign, day): what earlier batches of a day have granted is taken off the
+    day's quota."""
+    from adlake.operators import features as ft
+    from adlake.plans.q_decisions import fixture_inputs
     from adlake.sources import decision_log as dlog
 
-    root, fpc = replay(spark, sf)
+    root, fpc = replay(spark, sf, days=days)
     reqs = _events_stream(spark, root, fpc).filter(F.col("event_type") == "app_screen_view").select(
         F.col("event_id").alias("request_id"), "user_id", "ts",
         F.to_date("ts").alias("request_date"), F.hour("ts").cast("long").alias("hour_of_day"),
     )
     static = fixture_inputs(spark, sf)
-    # The static side of the stream-static join is computed once, not per
-    # micro-batch: the per-day user context, session destinations and the
-    # popularity list are written to the shared checkpoint folder.
-    static.user_context = materialize(static.user_context)
+    # Read by every batch, computed once.
     static.destinations = materialize(static.destinations)
     static.popularity = materialize(static.popularity)
     static.ledger = materialize(static.ledger)
-    # Bid responses and dependency health are side inputs keyed by request.
-    static.bids = tb.external_bids(spark, sf)
-    static.availability = tb.availability(spark, sf)
+    # Bid responses, dependency health and latencies are side inputs keyed by request.
+    side = tb.requests_enriched(spark, sf).drop("user_id", "ts", "request_date", "hour_of_day")
 
     def decide_batch(batch, batch_id):
+        batch = materialize(batch.join(side, "request_id", "left"))
+        first, last = batch.agg(F.min("request_date"), F.max("request_date")).first()
+        if first is None:
+            return
+        day = dt.timedelta(days=1)
+        context = ft.membership_context(
+            tb.user_segments(spark, sf), tb.ad_events(spark, sf), tb.rides(spark, sf), first - day, last - day,
+            static.audiences, spine=batch.select("user_id", F.date_sub("request_date", 1).alias("asof")).distinct(),
+        )
         # A day's quota is shared by all batches that hold requests of the day.
-        granted = dc.granted_wins(dlog.read(batch.sparkSession, root + "/log", before_batch=batch_id))
-        inp = dc.DecisionInputs(**{**static.__dict__, "requests": batch, "granted": granted})
-        d = dc.decide(inp, START, END)["decisions"]
+        granted = dc.granted_wins(dlog.read(spark, root + "/log", before_batch=batch_id))
+        inp = dataclasses.replace(static, requests=batch, user_context=context, granted=granted)
+        d = dc.decide(inp, first, last)["decisions"]
         st.batch_partition_writer(root + "/log")(dlog.conform(d), batch_id)
 
     st.run_foreach_batch(reqs, decide_batch, root + "/ckpt", mode="append")
-    return spark.read.parquet(root + "/log").select("request_id", "winner", "rung")
+    return spark.read.parquet(root + "/log")
+
+
+@query("stream_decisions", DV("SELECT request_id, winner, rung FROM dec"))
+def stream_decisions(spark, sf):
+    """T-10."""
+    return decide_stream(spark, sf).select("request_id", "winner", "rung")

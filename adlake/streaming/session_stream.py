@@ -19,12 +19,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from adlake import config
 
 WATERMARK_SECONDS = 600
 WATERMARK = f"{WATERMARK_SECONDS} seconds"
+#: Timers and keyed state need a store that is not held in memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EVENT_SCHEMA = (
     "event_id string, event_type string, user_id string, session_id string, ts string, payload map<string,string>"
 )
@@ -132,50 +134,92 @@ def latest_values(events: DataFrame) -> DataFrame:
     )
 
 
-TRAIL_OUT = "event_id long, user_id long, ts timestamp, count_10min long"
-TRAIL_STATE = "ts_us array<long>, ids array<long>"
-
-
-def _trailing_state_fn(window_us: int, delay_us: int):
-    """Entries stay for the window and the watermark delay behind the newest
-    one, so that a row that is late but accepted finds its whole window; a
-    redelivered id is reported once in that span."""
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        old_ts, old_ids = (np.array(x, np.int64) for x in (state.get if state.exists else ([], [])))
-        new = pd.concat(list(pdfs)).astype({"event_id": "int64"}).sort_values(["ts", "event_id"])
-        new = new[~new["event_id"].isin(old_ids) & ~new["event_id"].duplicated()]
-        us = new["ts"].to_numpy("datetime64[us]").astype(np.int64)
-        ts = np.concatenate([old_ts, us])
-        ids = np.concatenate([old_ids, new["event_id"].to_numpy(np.int64)])
-        order = np.argsort(ts, kind="stable")
-        ts, ids = ts[order], ids[order]
-        if len(ts):
-            keep = ts > ts[-1] - window_us - delay_us
-            state.update((ts[keep].tolist(), ids[keep].tolist()))
-            state.setTimeoutTimestamp(int(ts[-1] + window_us + delay_us) // 1000)
-        if len(new):
-            n = np.searchsorted(ts, us, side="right") - np.searchsorted(ts, us - window_us, side="right")
-            yield pd.DataFrame({"event_id": new["event_id"].to_numpy(), "user_id": int(key[0]), "ts": new["ts"].to_numpy(), "count_10min": n})
-
-    return fn
-
-
 def trailing_counts(events: DataFrame, event_type: str, window_seconds: int = config.TRAILING_COUNT_SECONDS) -> DataFrame:
     """T-03: per event of ``event_type``, the user's distinct events of that
-    type in (t - window, t] that have arrived; keyed state per user holds the
-    entries of the window and the watermark delay (expired by event-time
-    timeout)."""
+    type in (t - window, t].  A stream-stream interval join on (user, bucket of
+    one window length): an event meets the events of its own bucket and of the
+    one before, so a busy user's events are split by time.  Both sides leave
+    the state when the watermark has passed their interval, and an event's
+    count is final (late rows included) when it is emitted."""
     ev = events.filter(F.col("event_type") == event_type).select("event_id", "user_id", "ts").withWatermark("ts", WATERMARK)
-    return ev.groupBy("user_id").applyInPandasWithState(
-        _trailing_state_fn(window_seconds * 1_000_000, WATERMARK_SECONDS * 1_000_000),
-        outputStructType=TRAIL_OUT,
-        stateStructType=TRAIL_STATE,
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout,
+    ev = ev.dropDuplicatesWithinWatermark(["event_id"])
+    bucket = F.floor(F.unix_micros("ts") / (window_seconds * 1_000_000))
+    own = ev.select("event_id", "user_id", "ts", bucket.alias("bucket"))
+    seen = ev.select(
+        F.col("user_id").alias("seen_user"), F.col("ts").alias("seen_ts"), F.explode(F.array(bucket, bucket + 1)).alias("seen_bucket")
+    )
+    window = F.expr(f"INTERVAL {window_seconds} SECONDS")
+    near = (
+        (F.col("user_id") == F.col("seen_user")) & (F.col("bucket") == F.col("seen_bucket"))
+        & (F.col("seen_ts") <= F.col("ts")) & (F.col("seen_ts") > F.col("ts") - window)
+    )
+    pairs = own.join(seen, near).select("event_id", "user_id", "ts")
+    return pairs.groupBy("event_id", "user_id", "ts").agg(F.count("*").alias("count_10min"))
+
+
+FLAG_OUT = "user_id long, active boolean, at timestamp"
+
+
+class SessionFlag(StatefulProcessor):
+    """State of a user: spans of activity as (first, last) event times whose
+    changes are not all reported yet.  Event-time timers stand at the start of
+    a span and 1,800 s after its last event; when the watermark passes one, no
+    accepted row can change what lies before it, and the change is emitted."""
+
+    TTL_US = config.SESSION_TTL_SECONDS * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spans = handle.getValueState("spans", "first array<long>, last array<long>, reported array<boolean>")
+
+    def _spans(self) -> list[list]:
+        return [list(x) for x in zip(*self.spans.get(), strict=True)] if self.spans.exists() else []
+
+    def _keep(self, spans: list[list]) -> None:
+        if spans:
+            self.spans.update(tuple(list(c) for c in zip(*spans, strict=True)))
+        else:
+            self.spans.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        spans = self._spans()
+        for pdf in rows:
+            for t in np.sort(pdf["ts"].to_numpy("datetime64[us]").astype(np.int64)).tolist():
+                joined = [s for s in spans if s[0] - self.TTL_US < t < s[1] + self.TTL_US]
+                span = [min([t, *(s[0] for s in joined)]), max([t, *(s[1] for s in joined)]), any(s[2] for s in joined)]
+                spans = sorted([s for s in spans if s not in joined] + [span])
+        for first, last, _ in spans:
+            self.handle.registerTimer(-(-first // 1000))
+            self.handle.registerTimer(-(-(last + self.TTL_US) // 1000))
+        self._keep(spans)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        spans, out = self._spans(), []
+        for s in spans:
+            if s[0] <= now and not s[2]:
+                s[2] = True
+                out.append((True, s[0]))
+            if s[1] + self.TTL_US <= now:
+                out.append((False, s[1] + self.TTL_US))
+        self._keep([s for s in spans if s[1] + self.TTL_US > now])
+        if out:
+            at = pd.to_datetime([t for _, t in out], unit="us")
+            yield pd.DataFrame({"user_id": int(key[0]), "active": [a for a, _ in out], "at": at})
+
+    def close(self) -> None:
+        pass
+
+
+def session_flag(events: DataFrame) -> DataFrame:
+    """T-04 stream: every change of a user's session flag (user_id, active,
+    at): on with the first KNOWN event, off 1,800 s after the last one."""
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    ev = events.filter(known()).select("user_id", "ts").withWatermark("ts", WATERMARK)
+    return ev.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=SessionFlag(), outputStructType=FLAG_OUT, outputMode="append", timeMode="EventTime"
     )
 
 
@@ -195,6 +239,14 @@ def hourly_type_counts(events: DataFrame) -> DataFrame:
     return w.select(F.col("w.start").alias("window_start"), "event_type", "events")
 
 
+def sliding_user_counts(events: DataFrame, window: str = "10 minutes", slide: str = "1 minute") -> DataFrame:
+    """T-05: per user the KNOWN events of every sliding window (append on
+    watermark)."""
+    ev = events.filter(known()).withWatermark("ts", WATERMARK)
+    w = ev.groupBy("user_id", F.window("ts", window, slide).alias("w")).agg(F.count("*").alias("events"))
+    return w.select("user_id", F.col("w.start").alias("window_start"), "events")
+
+
 def dedup(events: DataFrame) -> DataFrame:
     """T-06: a redelivered event_id is kept once (state bounded by the watermark)."""
     return events.withWatermark("ts", WATERMARK).dropDuplicatesWithinWatermark(["event_id"])
@@ -249,8 +301,8 @@ class StreamFeatureSpec:
     """X-02: a stream feature declares the event type it listens to and the
     aggregate kind; the framework builds the streaming DataFrame:
       latest          latest payload[payload_key] per user (update mode)
-      trailing_count  distinct events in (t - window, t] per event (keyed state)
-      presence        session windows of known events (activity sessions)
+      trailing_count  distinct events in (t - window, t] per event (interval join)
+      presence        changes of the session flag (timers)
     """
 
     def __init__(self, name: str, event_type: str | None, kind: str, payload_key: str | None = None,
@@ -280,5 +332,5 @@ def build_stream_feature(events: DataFrame, spec: StreamFeatureSpec) -> DataFram
     if spec.kind == "trailing_count":
         return trailing_counts(events, spec.event_type, spec.window_seconds).withColumnRenamed("count_10min", spec.name)
     if spec.kind == "presence":
-        return sessions(events)
+        return session_flag(events).withColumnRenamed("active", spec.name)
     raise ValueError(f"unknown stream feature kind {spec.kind!r}")

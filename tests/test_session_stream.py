@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from adlake import config
 from adlake.operators import session_features as sfo
 from adlake.session import scratch_path
 from adlake.streaming import session_stream as st
@@ -48,41 +49,62 @@ def test_trailing_count_features_independent_and_dedup(spark):
     assert p == {2: 1}
 
 
-def test_trailing_state_function_matches_batch(spark):
-    fn = st._trailing_state_fn(600 * 1_000_000, 600 * 1_000_000)
-
-    class State:
-        exists = False
-        hasTimedOut = False
-
-        def update(self, v):
-            self.v = v
-            self.exists = True
-
-        def setTimeoutTimestamp(self, t):
-            pass
-
-        @property
-        def get(self):
-            return self.v
-
-    import pandas as pd
-
-    state = State()
-    b1 = pd.DataFrame({"event_id": [1, 2], "ts": [T0 + dt.timedelta(seconds=1000), T0 + dt.timedelta(seconds=1100)]})
-    out1 = pd.concat(list(fn((7,), iter([b1]), state)))
-    b2 = pd.DataFrame({"event_id": [2, 3], "ts": [T0 + dt.timedelta(seconds=1100), T0 + dt.timedelta(seconds=1700)]})
-    out2 = pd.concat(list(fn((7,), iter([b2]), state)))
-    assert out1["count_10min"].tolist() == [1, 2]
-    # the redelivered id 2 is not reported again; at 1700 the entry at 1100 is
-    # exactly 600 s old and falls out of (t - 600, t]
-    assert out2["event_id"].tolist() == [3]
-    assert out2["count_10min"].tolist() == [1]
-    # late, but inside the watermark delay: its window still holds the rows at 1000 and 1100
-    b3 = pd.DataFrame({"event_id": [4], "ts": [T0 + dt.timedelta(seconds=1500)]})
-    assert pd.concat(list(fn((7,), iter([b3]), state)))["count_10min"].tolist() == [3]
-    b4 = pd.DataFrame({"event_id": [5], "ts": [T0 + dt.timedelta(seconds=1710)]})
-    assert pd.concat(list(fn((7,), iter([b4]), state)))["count_10min"].tolist() == [3]
+def _streamed(spark, chunks, build):
+    """Runs ``build`` over chunks of event rows, one micro-batch each."""
+    root = scratch_path(spark, f"chunks-{uuid.uuid4().hex}")
+    for i, rows in enumerate(chunks):
+        st.encode(events(spark, rows)).select("value").coalesce(1).write.text(f"{root}/in/chunk={i:04d}")
+    parsed = st.parse(st.read_stream(spark, root + "/in", 1)).filter(~F.col("_corrupt"))
+    df = build(parsed)
+    st.run_to_parquet(df, root + "/out", root + "/ckpt")
+    return spark.read.schema(df.schema).parquet(root + "/out").collect()
+
+
+SCREEN, END = "app_screen_view", [(-1, "app_screen_view", -1, 10**6)]
+
+
+def test_streamed_trailing_counts_take_late_and_repeated_rows(spark):
+    chunks = [
+        [(1, SCREEN, 7, 1000), (2, SCREEN, 7, 1100)],
+        [(2, SCREEN, 7, 1100), (3, SCREEN, 7, 1700)],  # 2 is redelivered; at 1700 the one at 1100 is out
+        [(4, SCREEN, 7, 1500), (5, SCREEN, 7, 1710), (6, SCREEN, 8, 1710)],  # 4 is late, inside the delay
+        END,
+    ]
+    got = {r.event_id: r.count_10min for r in _streamed(spark, chunks, lambda e: st.trailing_counts(e, SCREEN))}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 3, 5: 3, 6: 1}
+
+
+def test_streamed_trailing_counts_of_a_busy_user(spark):
+    """One user with nearly all rows: the join deals them by time, and no
+    Python runs in the plan."""
+    rows = [(i, SCREEN, 1, 7 * i) for i in range(600)] + [(1000 + i, SCREEN, 2 + i, 60 * i) for i in range(30)]
+    plans = []
+
+    def build(e):
+        out = st.trailing_counts(e, SCREEN)
+        plans.append(out._jdf.queryExecution().analyzed().toString())
+        return out
+
+    got = {r.event_id: r.count_10min for r in _streamed(spark, [rows[:300], rows[300:], END], build)}
+    want = {r.event_id: r.count_10min for r in sfo.trailing_count(events(spark, rows), SCREEN).collect()}
+    assert got == want
+    assert "Pandas" not in plans[0] and "Python" not in plans[0]
+
+
+def test_session_flag_changes(spark):
+    t = config.SESSION_TTL_SECONDS
+    chunks = [
+        [(1, "session_start", 1, 0), (2, SCREEN, 1, 900), (3, "error", 2, 0)],  # the unknown type starts nothing
+        [(4, SCREEN, 1, 900 + t), (5, SCREEN, 3, 900 + t)],  # exactly at the end: off and on again
+        [(6, SCREEN, 3, 500 + t)],  # late: the span begins earlier
+        END,
+    ]
+    got = sorted((r.user_id, r["at"], r.active) for r in _streamed(spark, chunks, st.session_flag))
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    assert got == [
+        (1, at(0), True), (1, at(900 + t), False), (1, at(900 + t), True), (1, at(900 + 2 * t), False),
+        (3, at(500 + t), True), (3, at(900 + 2 * t), False),
+    ]
 
 
 def test_session_active_and_unknown_types(spark):
@@ -118,7 +140,6 @@ def test_stream_twins_match_batch(spark):
 def test_stream_restart_recovers_without_loss(spark):
     """T-09: stop after the first chunk, add the rest, restart on the same
     checkpoint: the file sink holds every event exactly once."""
-    from adlake import config
     from adlake.sources import tables as tb
 
     root = scratch_path(spark, f"restart-{uuid.uuid4().hex}")
@@ -146,17 +167,20 @@ def test_malformed_records_go_to_side_output(spark):
 
 
 def test_stream_decisions_equal_batch_decisions(spark):
-    """T-10: deciding per micro-batch (whole days per batch) gives the batch
-    job's decisions."""
+    """T-10: one batch and four batches give the batch job's decisions."""
+    from adlake.plans.q_stream import decide_stream
+
     cols = ["request_id", "winner", "rung"]
-    assert _rows(_run(spark, SF001, "stream_decisions"), cols) == _rows(_run(spark, SF001, "decide_with_fallback"), cols)
+    want = _rows(_run(spark, SF001, "decide_with_fallback"), cols)
+    for days, batches in ((30, 1), (8, 4)):
+        log = decide_stream(spark, SF001, days)
+        assert log.select("batch_id").distinct().count() == batches
+        assert _rows(log, cols) == want
 
 
 def test_declared_stream_features_build(spark):
     """X-02: every declared session feature builds a streaming plan over one
     parsed stream, and each name is in the registry."""
-    from adlake import config
-
     root = scratch_path(spark, f"specs-{uuid.uuid4().hex}")
     from adlake.sources import tables as tb
 
