@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlake.llm.common import bounded_batches, table
+from adlake.llm.common import bounded_batches, table, written
 
 WINDOW = 10
 #: Bounds of a shard, and of a block of benchmark text that is broadcast.
@@ -230,6 +230,10 @@ def find(docs: DataFrame, items: DataFrame, item_col: str = "item_id", item_text
         # A block of benchmark items is about block_bytes at most.
         windows = spark.sparkContext.broadcast(Windows([(r.item, r.text) for r in part.collect()], window))
         out = _pass(out, windows, text_col, shard_bytes, shard_symbols)
+        if blocks > 1:
+            # One block at a time: its pass is written before the next is built.
+            out = written(out, "decontaminate")
+            windows.destroy()
     return out
 
 

@@ -12,8 +12,10 @@ The potentials are counted on labelled pages: layouts labelled by hand below
 label themselves by article or main elements.
 
 Blocks are what block elements bound; white space inside one becomes one
-space, blocks are joined by a line end.  Scripts, styles, titles, comments
-and markup are never text.
+space, blocks are joined by a line end.  Scripts, styles, titles, drawings,
+comments and markup are never text; formulas are, in their line.  Controls,
+templates and embedded objects are elements like others, which the model keeps
+or drops.
 
 Defined results: null or empty html has an empty text, as has a page without
 content; markup that is not closed is closed as browsers do for paragraphs,
@@ -38,13 +40,20 @@ from adlake.llm.common import bounded_batches, table
 
 #: Pages of the training sample, at most.
 SAMPLE_PAGES = 200
+#: Longer pages are not trained on (all are extracted).
+SAMPLE_CHARS = 200_000
 #: How often each hand-labelled layout counts.
 LAYOUT_WEIGHT = 10
 
 # Element names of the markup language.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "noframes", "xmp", "svg", "math", "select", "object"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "button"}
+#: Content is not markup: skipped up to the end tag, or the page's end.
+RAW = {"script", "style", "title", "textarea"}
+#: Skipped up to the end tag; without one, or closed by "/>", only the tag is.
+SKIPPED = {"iframe", "noframes", "xmp", "svg", "annotation", "annotation-xml"}
+#: Formulas: their text stays in the line.
+FORMULA = {"math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "mstyle", "mpadded", "mphantom", "menclose", "merror", "mtable", "mtr", "mtd"}
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "button", "svg", "iframe"} | FORMULA | {"annotation", "annotation-xml"}
 ENDS_PARAGRAPH = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "ul"}
 #: A start tag on the left closes an open element on the right, up to the bound.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -121,6 +130,7 @@ def parse(page: str | None) -> list[Node]:
             text(" " if tag == "br" else "")
             continue
         if tag in ENDS_PARAGRAPH:
+            close({"select"}, {"form", "td", "th", "table", "div", "article", "section", "body"})
             close({"p"}, {"button", "td", "th", "table", "div", "article", "section", "body"} - {tag})
         if tag in CLOSES:
             close(*CLOSES[tag])
@@ -135,12 +145,13 @@ def parse(page: str | None) -> list[Node]:
                     mark = value.strip("\"'")
                 else:
                     words += _WORD.findall(re.sub("([a-z])([A-Z])", r"\1 \2", value).lower())
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else size
+        if tag in RAW or tag in SKIPPED:
+            closed = tag in SKIPPED and m[3].endswith("/")
+            end = None if closed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            at = end.end() if end else size if tag in RAW else at
             continue
         nodes.append(Node(tag, open_[-1], tuple(dict.fromkeys(words)), mark, block=block))
-        if not m[3].endswith("/") or tag in INLINE or tag in ENDS_PARAGRAPH:
+        if not m[3].endswith("/") or (tag in INLINE and tag not in FORMULA) or tag in ENDS_PARAGRAPH:
             open_.append(len(nodes) - 1)
     return nodes
 
@@ -235,7 +246,7 @@ LAYOUTS = [
     """<html><head><title>S</title></head><body><header class="site-header"><a href="/">S</a><nav class="main-nav menu"><ul><li><a>S</a></li><li><a>S</a></li><li><a>S</a></li></ul></nav></header><main id="content"><article data-label="keep"><h1>S</h1><p>P</p><p>P <a>S</a> P</p><aside class="sidebar related" data-label="drop"><h3>S</h3><ul><li><a>S</a></li><li><a>S</a></li></ul></aside><h2>S</h2><p>P</p><ul><li>P</li><li>P</li></ul></article></main><footer class="footer"><p>S</p><a>S</a></footer></body></html>""",
     """<body><div id="top" class="header banner"><span>S</span></div><div class="cookie notice"><p>P</p><button>S</button></div><div id="main" class="content"><div class="post entry article-body" data-label="keep"><h2>S</h2><p>P</p><div class="ad advert sponsor" data-label="drop"><p>P</p><a>S</a></div><p>P</p><ul><li>S</li><li>P</li><li>S</li></ul><blockquote><p>P</p></blockquote><p>S</p></div><div class="comments" id="comments"><h3>S</h3><div class="comment reply"><b>S</b><p>P</p></div><div class="comment"><p>P</p></div><form class="comment-form"><label>S</label><p>S</p></form></div></div><div class="footer copyright">S</div></body>""",
     """<body><nav class="breadcrumb"><a>S</a><a>S</a></nav><section class="article" data-label="keep"><h1>S</h1><p><b>S</b> P</p><p>P</p><p>S</p><ul><li>S</li><li>S</li></ul><table><tr><th>S</th><td>S</td></tr><tr><td>S</td><td>P</td></tr></table><pre>P</pre><div class="share social" data-label="drop"><a>S</a><a>S</a></div><section class="comments" data-label="drop"><p>P</p><p>P</p></section></section><aside id="sidebar" class="widget"><p>P</p><a>S</a></aside><div class="newsletter subscribe"><form><p>P</p><button>S</button></form></div><footer><p>P</p></footer></body>""",
-    """<body><div class="ad">P</div><article data-label="keep"><h1>S</h1><p>P</p><p>S</p><p><i>P</i></p><ol><li>S</li><li>S</li><li>P</li></ol><dl><dt>S</dt><dd>P</dd></dl><figure><figcaption>S</figcaption></figure><div>P</div><div class="ads banner" data-label="drop">P</div><nav data-label="drop"><a>S</a></nav><form data-label="drop"><p>S</p><label>S</label></form><footer data-label="drop"><p>S</p></footer></article><div id="related" class="promo"><h3>S</h3><p>P</p><a>S</a></div><div class="pagination"><a>S</a><a>S</a></div></body>""",
+    """<body><div class="ad">P</div><article data-label="keep"><h1>S</h1><p>P</p><p>S</p><p><i>P</i></p><ol><li>S</li><li>S</li><li>P</li></ol><dl><dt>S</dt><dd>P</dd></dl><figure><figcaption>S</figcaption></figure><div>P</div><div class="ads banner" data-label="drop">P</div><nav data-label="drop"><a>S</a></nav><form data-label="drop"><p>S</p><label>S</label><select><option>S</option><option>S</option></select></form><template data-label="drop"><p>S</p></template><footer data-label="drop"><p>S</p></footer></article><div id="related" class="promo"><h3>S</h3><p>P</p><a>S</a></div><div class="pagination"><a>S</a><a>S</a></div></body>""",
     """<body><div class="menu navbar"><ul><li>S</li><li>S</li></ul></div><div class="alert popup modal consent gdpr notice">P</div><div role="main" data-label="keep"><p>P</p><p>P</p><p>S</p><ol><li>P</li><li>S</li></ol></div><div role="complementary" class="side sidebar"><p>P</p></div><div role="contentinfo"><p>S</p></div><div class="login search"><form><p>S</p></form></div></body>""",
     """<body><header><h1>S</h1><p>S</p></header><div class="page wrapper container"><div class="text story body" data-label="keep"><p>P</p><p>P</p><h3>S</h3><ul><li><b>S</b></li><li>S</li><li>S</li><li>P</li></ul><p>P <em>S</em> P</p><p>P</p><div class="tags meta author byline" data-label="drop"><a>S</a></div></div><div class="disqus thread responses replies"><div class="user"><p>P</p></div><div class="user"><p>P</p></div></div></div><div class="legal disclaimer">P</div></body>""",
 ]
@@ -294,10 +305,10 @@ def train(pages: list[str | None]) -> Model:
     return Model(emission, potential)
 
 
-def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) -> Model:
-    """Train on at most ``sample`` pages (a documented bound): those whose
-    hash is smallest."""
-    source = pages.select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("hash")).where(F.length(html_col) < 200_000)
+def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES, shorter_than: int = SAMPLE_CHARS) -> Model:
+    """Train on at most ``sample`` pages (documented bounds): of those with
+    fewer than ``shorter_than`` characters the ones whose hash is smallest."""
+    source = pages.select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("hash")).where(F.length(html_col) < shorter_than)
     # Chosen by hash before pages move.
     chosen = source.select("hash").distinct().orderBy("hash").limit(sample)
     rows = source.join(F.broadcast(chosen), "hash").dropDuplicates(["hash"]).orderBy("hash").collect()

@@ -47,6 +47,21 @@ def test_odd_pages():
     assert text("<article>" + f"<p>{LONG}</p>" * 3000 + "</article>") == "\n".join([LONG] * 3000)
 
 
+def test_drawings_formulas_controls():
+    art = lambda inner: text(f"<body><nav><a>x</a></nav><article><h1>Head</h1><p>{LONG}</p>{inner}<p>{LONG}</p></article></body>").split("\n")
+    two = ["Head", LONG, LONG]
+    assert art('<svg class="icon" viewBox="0 0 1 1"/>') == two
+    assert art("<svg><title>t</title><text>label</text></svg>") == two
+    assert art("<svg>") == two  # never closed: only the tag goes
+    assert art("<select><option>one<option>two") == two
+    assert art("<select><option>one</option></select>") == two
+    assert art("<iframe src=x>") == two
+    assert art(f"<p>Then <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds. {LONG}</p>") == ["Head", LONG, f"Then x=2 holds. {LONG}", LONG]
+    assert art(f"<p>An <svg/> icon. {LONG}</p>") == ["Head", LONG, f"An icon. {LONG}", LONG]
+    assert art(f"<object data=x><p>{LONG}</p></object>") == ["Head", LONG, LONG, LONG]
+    assert art(f"<noscript><p>{LONG}</p></noscript>") == ["Head", LONG, LONG, LONG]
+
+
 def truth(page):
     """The given pages' articles, read off by their known markup."""
     body = page[page.index("<article>") : page.index("</article>")]
