@@ -440,3 +440,15 @@ def retrain_rows(spark, sf):
 
     return rp.winner_features(run_decisions(spark, sf)["decisions"]).select("request_id", "winner")
 
+
+
+# ------------------------------------------------------- published snapshots
+
+from adlake.plans import q_quality as qq  # noqa: E402
+from adlake.plans.catalog import ORACLE  # noqa: E402
+
+ORACLE["published_user_features"] = qq._user_day_sql()
+ORACLE["published_membership_versions"] = V(
+    "SELECT user_id, audience, definition_version, as_of_date FROM mem_long", "user_segments", "ad_events", "rides",
+    extra=qq.membership_ctes(AS_OF - dt.timedelta(days=1), 2),
+)

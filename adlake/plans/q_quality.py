@@ -8,13 +8,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from adlake import config
-from adlake.functions.scalar import assign_arm
+from adlake.functions.scalar import account_age_days, assign_arm, in_window
+from adlake.functions.scalar import lit_date as fx_date
 from adlake.operators import features as ft
 from adlake.operators import quality as qc
 from adlake.plans.catalog import query
 from adlake.plans.q_features import AS_OF, BACKFILL_END, BACKFILL_START, D, W, _d
 from adlake.plans.sql_views import with_views as V
 from adlake.session import scratch_path
+from adlake.sources import publish as pb
 from adlake.sources import snapshots as ss
 from adlake.sources import tables as tb
 
@@ -53,19 +55,101 @@ def _write_backfilled_ads(spark, sf) -> str:
     return root
 
 
+def shown_in(spark, sf, key: str, as_of: dt.date, window_days: int) -> int:
+    """Q-02 for the write path: entities with impressions in a job's window
+    (most customers and parts have no events; FIXTURES.md, trap 2)."""
+    ev = tb.ad_events(spark, sf, with_category=False).filter(ft.IMP() & in_window("event_date", as_of, window_days))
+    return ev.agg(F.count_distinct(key).alias("n")).first()["n"]
+
+
+def user_jobs(spark, sf, as_of: dt.date) -> list[pb.Job]:
+    """The six user jobs of a day."""
+    ev, rides, users = tb.ad_events(spark, sf), tb.rides(spark, sf), tb.users(spark, sf)
+    month, week = (shown_in(spark, sf, "user_id", as_of, n) for n in (30, 7))
+    mem = ft.memberships(ft.audience_context(users, ev, rides, as_of), config.fixture_audiences())
+    age = users.select("user_id", account_age_days(F.col("created_at"), fx_date(as_of)).alias("user_account_age_days"))
+    return [
+        pb.Job("user_ctr", ft.ctr_overall(ev, as_of, 30, "user_id", "user_ctr_30d"), month),
+        pb.Job("user_impressions", ft.impressions_count(ev, as_of, 7, "user_id", "user_impressions_7d"), week),
+        pb.Job("user_rides", ft.rides_count(rides, as_of, 7), 0),
+        pb.Job("user_account_age", age, users.count()),
+        pb.Job("user_category_ctr", ft.ctr_by_category_map(ev, as_of, 30), month),
+        pb.Job("user_audiences", mem, users.count()),
+    ]
+
+
+def ad_jobs(spark, sf, as_of: dt.date) -> list[pb.Job]:
+    """The four ad jobs of a day."""
+    ev, camps = tb.ad_events(spark, sf, with_category=False), tb.campaigns(spark, sf)
+    month, week = (shown_in(spark, sf, "campaign_id", as_of, n) for n in (30, 7))
+    return [
+        pb.Job("ad_ctr_week", ft.ctr_overall(ev, as_of, 7, "campaign_id", "ad_ctr_7d"), week),
+        pb.Job("ad_ctr_month", ft.ctr_overall(ev, as_of, 30, "campaign_id", "ad_ctr_30d"), month),
+        pb.Job("ad_impressions", ft.impressions_count(ev, as_of, 7, "campaign_id", "ad_impressions_7d"), week),
+        pb.Job("ad_spend", ft.spend_yesterday(ev, camps, as_of).select("campaign_id", "campaign_spend_yesterday"), camps.count()),
+    ]
+
+
 @query("write_feature_snapshot", V(ad_snapshot_sql(AS_OF), "ad_events"))
 def write_feature_snapshot(spark, sf):
-    """S-02: gate, then overwrite the as_of partition; the result is the
-    read-back partition."""
+    """S-02: stage, gate, publish the ads' day; the result is the read-back
+    partition."""
     root = _store(spark)
-    ev = tb.ad_events(spark, sf, with_category=False)
-    camps = tb.campaigns(spark, sf)
-    snap = ft.ad_snapshot(ev, camps, AS_OF).filter(F.col("campaign_id").isNotNull())
-    qc.check_output_contract(snap, "campaign_id", AD_COLS, "ad")
-    qc.enforce(qc.gate_report(snap, "ad_snapshot", ["campaign_spend_yesterday"], 0))
-    ss.write_snapshot(snap.withColumn("asof", F.lit(AS_OF)), root, "ad")
-    back = ss.query_as_of(spark, root, "ad", AS_OF)
-    return back.select("campaign_id", *AD_COLS)
+    pb.publish_day(spark, root, "ad", ad_jobs(spark, sf, AS_OF), AS_OF)
+    return ss.query_as_of(spark, root, "ad", AS_OF).select("campaign_id", *AD_COLS)
+
+
+@query("snapshot_after_rejected_day", V(ad_snapshot_sql(AS_OF), "ad_events"))
+def snapshot_after_rejected_day(spark, sf):
+    """S-02 / Q-01: the published day after a second run of it whose events
+    had lost half of their campaign ids: the gate refuses it, and the
+    snapshot stays as it was."""
+    root = _store(spark)
+    jobs = ad_jobs(spark, sf, AS_OF)
+    pb.publish_day(spark, root, "ad", jobs, AS_OF)
+    lost = F.when(F.pmod(F.xxhash64("campaign_id"), F.lit(2)) == 0, F.col("campaign_id"))
+    for job in jobs:
+        job.frame = job.frame.withColumn("campaign_id", lost)
+    try:
+        pb.publish_day(spark, root, "ad", jobs, AS_OF)
+    except qc.QualityGateError:
+        return ss.query_as_of(spark, root, "ad", AS_OF).select("campaign_id", *AD_COLS)
+    raise AssertionError("the gate let a poisoned day pass")
+
+
+def _user_day_sql() -> str:
+    from adlake.plans.q_models import feature_ctes
+
+    return V(
+        """SELECT u.user_id, u.user_ctr_30d, u.user_impressions_7d, u.user_rides_per_week, u.user_account_age_days,
+             coalesce(array_to_string(m.a, ','), '') AS audience_memberships, coalesce(k.n, 0) AS categories
+           FROM puser u LEFT JOIN (SELECT user_id, list(audience ORDER BY audience_order) AS a FROM mem_long GROUP BY user_id) m
+             ON m.user_id = u.user_id
+           LEFT JOIN (SELECT user_id, count(*) AS n FROM pcat GROUP BY user_id) k ON k.user_id = u.user_id""",
+        "users", "user_segments", "ad_events", "rides", "campaigns",
+        extra=membership_ctes(AS_OF, 1) + feature_ctes(AS_OF, 1, "p"),
+    )
+
+
+@query("published_user_features")
+def published_user_features(spark, sf):
+    """J-02 + S-02: all six user frames of a day, merged, gated and read back."""
+    root = _store(spark)
+    pb.publish_day(spark, root, "user", user_jobs(spark, sf, AS_OF), AS_OF)
+    return ss.query_as_of(spark, root, "user", AS_OF).select(
+        "user_id", *USER_NUM, F.array_join("audience_memberships", ",").alias("audience_memberships"),
+        F.greatest(F.coalesce(F.size("user_ctr_by_category_30d"), F.lit(0)), F.lit(0)).cast("long").alias("categories"),
+    )
+
+
+@query("published_membership_versions")
+def published_membership_versions(spark, sf):
+    """S-08: two published days; a day that is published again is replaced."""
+    root = _store(spark)
+    for day in (AS_OF - dt.timedelta(days=1), AS_OF, AS_OF):
+        jobs = [j for j in user_jobs(spark, sf, day) if j.name == "user_audiences"]
+        pb.publish_day(spark, root, "user", jobs, day)
+    return pb.memberships(spark, root).select("user_id", "audience", "definition_version", F.col("asof").alias("as_of_date"))
 
 
 @query(
@@ -103,11 +187,11 @@ def features_as_of(spark, sf):
     ),
 )
 def publish_features_long(spark, sf):
-    """S-07: long-form items (entity_key, feature_name, value JSON,
+    """S-07: published long-form items (entity_key, feature_name, value JSON,
     computed_at), null values skipped; value parsed back for the check."""
-    snap = ft.ad_snapshot(tb.ad_events(spark, sf, with_category=False), tb.campaigns(spark, sf), AS_OF)
-    computed_at = dt.datetime.combine(AS_OF + dt.timedelta(days=1), dt.time())
-    long = ss.to_long(snap, "ad", AD_COLS, computed_at)
+    root = _store(spark)
+    pb.publish_day(spark, root, "ad", ad_jobs(spark, sf, AS_OF), AS_OF)
+    long = pb.items(spark, root, "ad", AS_OF)
     return long.select("entity_key", "feature_name", F.col("value_json").cast("double").alias("value"))
 
 
