@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake import config
-from adlake.operators.asof import latest_within
-from adlake.operators.session_features import known_type
 from adlake.sources.tables import bounded
 
+
 def registry_rows() -> list[tuple[str, str, str, int, object]]:
     return [(n, e, d, s, v) for n, e, d, _, s, v in config.REGISTRY]
 
@@ -142,57 +141,53 @@ def _value_cols(name: str, dtype: str, col) -> tuple:
     return F.lit(None).cast("double"), F.concat(F.lit("{"), F.array_join(entry, ","), F.lit("}"))
 
 
-def resolve_wide(requests: DataFrame, feature_names: list[str], session_events: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """E-03 in its scale form: each request meets the stores ONCE.
+class ResolverError(ValueError):
+    pass
+
+
+def validate(entity: str, feature_names: list[str]) -> None:
+    """E-04: a query with an unregistered feature, or one of another entity,
+    fails as a whole before anything is resolved."""
+    reg = {n: e for n, e, *_ in registry_rows()}
+    for n in feature_names:
+        if n not in reg:
+            raise ResolverError(f"{n!r} is not a registered feature")
+        if reg[n] != entity:
+            raise ResolverError(f"{n!r} is registered as entity {reg[n]!r}, not {entity!r}")
+
+
+def resolve_entity(requests: DataFrame, entity: str, feature_names: list[str], snapshot: DataFrame, session_events: DataFrame | None = None) -> DataFrame:
+    """E-03 in its scale form: each request meets each store once.
 
-    Session values come from two as-of windows that carry the request
-    columns along (no join back); the batch side is one equi-join of the
-    requests with the wide daily snapshot of the previous day on
-    (user_id, asof), instead of one long-form lookup per feature.  The
-    precedence real-time > batch > default and the status are then column
+    ``requests`` (request_id, the entity's id, ts).  Session values (users)
+    come from one as-of window over all session features; the batch side is one
+    equi-join with the wide daily snapshot of the previous day on (id, asof).
+    Precedence real-time > batch > default and the status are column
     expressions, unpivoted at the end (one output row per feature)."""
-    reg = {n: (e, d, s, v) for n, e, d, s, v in registry_rows()}
-    r = requests.select("request_id", "user_id", "ts")
-    known = session_events.filter(known_type()).select("user_id", "ts", F.lit(True).alias("rt_active"))
-    r = latest_within(r, known, "user_id", ["rt_active"], config.SESSION_TTL_SECONDS, keep_left=True).withColumnRenamed(
-        "age_seconds", "rt_active_age"
-    )
-    dest = session_events.filter(F.col("event_type") == "destination_entered").select(
-        "user_id", "ts", F.col("payload")["category"].alias("rt_dest")
-    )
-    r = latest_within(r, dest, "user_id", ["rt_dest"], config.SESSION_TTL_SECONDS, keep_left=True).withColumnRenamed(
-        "age_seconds", "rt_dest_age"
-    )
-    ride = session_events.filter(F.col("event_type") == "ride_type_selected").select(
-        "user_id", "ts", F.col("payload")["ride_type"].alias("rt_ride")
-    )
-    if "user_current_ride_type" in feature_names:
-        r = latest_within(r, ride, "user_id", ["rt_ride"], config.SESSION_TTL_SECONDS, keep_left=True).withColumnRenamed(
-            "age_seconds", "rt_ride_age"
-        )
-    else:
-        r = r.withColumns({"rt_ride": F.lit(None).cast("string"), "rt_ride_age": F.lit(None).cast("double")})
-    batch_names = [n for n in feature_names if n in snapshot.columns]
-    snap = snapshot.select("user_id", "asof", F.lit(True).alias("__snap"), *batch_names)
-    r = r.withColumn("asof", F.date_sub(F.to_date("ts"), 1)).join(snap, ["user_id", "asof"], "left")
+    from adlake.operators.session_features import SESSION_FEATURES, session_values_at
+    from adlake.sources.snapshots import ENTITY_KEY
+
+    validate(entity, feature_names)
+    key = ENTITY_KEY[entity]
+    reg = {n: (d, s, v) for n, _, d, s, v in registry_rows()}
+    live = [n for n in feature_names if n in SESSION_FEATURES and entity == "user"]
+    batch = [n for n in feature_names if n in snapshot.columns]
+    r = requests.select("request_id", key, "ts")
+    if live:
+        r = session_values_at(r, session_events)
+    snap = snapshot.select(key, "asof", *(F.col(n).alias(f"b_{n}") for n in batch))
+    r = r.withColumn("asof", F.date_sub(F.to_date("ts"), 1)).join(snap, [key, "asof"], "left")
     b_age = (F.unix_micros("ts") - F.unix_micros(F.to_timestamp(F.date_add("asof", 1)))) / F.lit(1e6)
-    rt = {
-        "user_session_active": (F.col("rt_active"), F.col("rt_active_age")),
-        "user_current_destination_category": (F.col("rt_dest"), F.col("rt_dest_age")),
-    }
-    rt["user_current_ride_type"] = (F.col("rt_ride"), F.col("rt_ride_age"))
-    unknown = [n for n in feature_names if n not in reg or n not in rt and n not in batch_names]
-    if unknown:
-        raise ValueError(f"no store holds the features {unknown}")
+    none = (F.lit(None).cast("double"), F.lit(None).cast("string"))
     rows = []
     for n in feature_names:
-        _, dtype, sla, default = reg[n]
-        has_rt = rt[n][1].isNotNull() if n in rt else F.lit(False)
-        has_b = F.col(n).isNotNull() if n in batch_names else F.lit(False)
-        rt_num, rt_text = _value_cols(n, dtype, rt[n][0]) if n in rt else (F.lit(None), F.lit(None))
-        b_num, b_text = _value_cols(n, dtype, F.col(n)) if n in batch_names else (F.lit(None), F.lit(None))
+        dtype, sla, default = reg[n]
+        has_rt = F.col(n).isNotNull() if n in live else F.lit(False)
+        has_b = F.col(f"b_{n}").isNotNull() if n in batch else F.lit(False)
+        rt_num, rt_text = _value_cols(n, dtype, F.col(n)["value"]) if n in live else none
+        b_num, b_text = _value_cols(n, dtype, F.col(f"b_{n}")) if n in batch else none
         d_num, d_text = _decode(F.lit(json.dumps(default)), F.lit(dtype))
-        age = F.when(has_rt, rt[n][1] if n in rt else F.lit(None)).when(has_b, b_age)
+        age = F.when(has_rt, F.col(n)["age_seconds"] if n in live else none[0]).when(has_b, b_age)
         status = F.when(~has_rt & ~has_b, F.lit("missing")).when(age <= F.lit(sla), "fresh").otherwise("stale")
         rows.append(
             F.struct(
@@ -204,4 +199,4 @@ def resolve_wide(requests: DataFrame, feature_names: list[str], session_events:
                 F.when(has_rt, rt_text).when(has_b, b_text).otherwise(d_text).cast("string").alias("value_text"),
             )
         )
-    return r.select("request_id", F.explode(F.array(*rows)).alias("x")).select("request_id", "x.*")
+    return r.select("request_id", F.lit(entity).alias("entity"), F.explode(F.array(*rows)).alias("x")).select("request_id", "entity", "x.*")

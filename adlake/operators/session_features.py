@@ -109,3 +109,60 @@ def session_active_at_requests(events: DataFrame, requests: DataFrame) -> DataFr
     known = events.filter(known_type()).select("user_id", "ts", F.lit(1).alias("user_session_active"))
     hit = latest_within(requests, known, "user_id", ["user_session_active"], config.SESSION_TTL_SECONDS)
     return hit.filter(F.col("user_session_active").isNotNull()).select("request_id", "user_session_active")
+
+
+def stored_values(events: DataFrame, window_seconds: int = config.TRAILING_COUNT_SECONDS) -> DataFrame:
+    """E-01: what the session store holds after each KNOWN event, as one row
+    (user_id, us, and a value in the column of each feature that the event
+    writes): the flag, the destination, the ride type, and the trailing counts
+    of screens and promos at the event (events are unique, see T-06).
+
+    The counts are one range frame per (user, type, bucket of a window); each
+    bucket sees the one before, so a busy user is split by time."""
+    t, us = F.col("event_type"), F.unix_micros("ts")
+    width = window_seconds * MICROS
+    counted = t.isin("app_screen_view", "promo_viewed")
+    e = events.filter(known_type()).select(
+        "user_id", "event_type", us.alias("us"), F.col("payload")["category"].alias("category"),
+        F.col("payload")["ride_type"].alias("ride_type"),
+    )
+    bucket = F.floor(F.col("us") / width)
+    copies = F.when(counted, F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")), F.struct((bucket + 1).alias("b"), F.lit(False).alias("own")))).otherwise(
+        F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")))
+    )
+    e = e.withColumn("at", F.explode(copies)).select("*", "at.b", "at.own").drop("at")
+    w = Window.partitionBy("user_id", "event_type", "b").orderBy("us").rangeBetween(-(width - 1), 0)
+    e = e.withColumn("n", F.when(counted, F.count("*").over(w))).filter("own")
+    return e.select(
+        "user_id", "us", F.lit(True).alias("user_session_active"),
+        F.when(t == "destination_entered", F.col("category")).alias("user_current_destination_category"),
+        F.when(t == "ride_type_selected", F.col("ride_type")).alias("user_current_ride_type"),
+        F.when(t == "app_screen_view", F.col("n")).alias("user_screens_viewed_10min"),
+        F.when(t == "promo_viewed", F.col("n")).alias("promos_viewed_10min"),
+    )
+
+
+SESSION_FEATURES = [
+    "user_session_active", "user_current_destination_category", "user_current_ride_type", "user_screens_viewed_10min",
+    "promos_viewed_10min",
+]
+
+
+def session_values_at(requests: DataFrame, events: DataFrame, ttl_seconds: int = config.SESSION_TTL_SECONDS) -> DataFrame:
+    """E-01 for a table of requests (with user_id and ts): its columns and, for
+    each session feature, a struct (value, age_seconds) of the last write that
+    is younger than the lifetime, or null.  One window carries the last value
+    of all features; a bucket is a lifetime and sees the one before."""
+    width = ttl_seconds * MICROS
+    writes = stored_values(events)
+    bucket = F.floor(F.col("us") / width)
+    writes = writes.withColumn("b", F.explode(F.array(bucket, bucket + 1)))
+    mine = F.struct(*requests.columns)
+    r = requests.select("user_id", F.unix_micros("ts").alias("us"), mine.alias("r")).withColumn("b", bucket)
+    both = writes.unionByName(r, allowMissingColumns=True)
+    w = Window.partitionBy("user_id", "b").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    last = {f: F.max(F.when(F.col(f).isNotNull(), F.struct(F.col("us").alias("us"), F.col(f).alias("value")))).over(w) for f in SESSION_FEATURES}
+    x = both.select("r", "us", *(c.alias(f) for f, c in last.items())).filter(F.col("r").isNotNull())
+    age = lambda f: F.col("us") - F.col(f)["us"]
+    live = {f: F.when(age(f) < width, F.struct(F.col(f)["value"].alias("value"), (age(f) / float(MICROS)).alias("age_seconds"))) for f in SESSION_FEATURES}
+    return x.select("r.*", *(c.alias(f) for f, c in live.items()))

@@ -393,29 +393,47 @@ def contract_violations(spark, sf):
 PIT_DAY = AS_OF - dt.timedelta(days=10)
 
 
-@query(
-    "pit_leak_check",
-    V(
-        f"""SELECT 'user_ctr_30d' AS feature, count(*) AS rows_full, count(*) AS rows_truncated,
-              CAST(0 AS BIGINT) AS rows_differing
-            FROM (SELECT user_id FROM ad_events WHERE event_date BETWEEN DATE '{PIT_DAY - dt.timedelta(days=29)}' AND DATE '{PIT_DAY}'
-                  GROUP BY user_id HAVING count(*) FILTER (WHERE event_type = 'impression') > 0) t""",
-        "ad_events",
-    ),
-)
+_PIT_JOBS = {
+    "user_ctr_30d": ("user_id", 30, "count(*) FILTER (WHERE event_type = 'click') / count(*) FILTER (WHERE event_type = 'impression')"),
+    "user_impressions_7d": ("user_id", 7, "count(*) FILTER (WHERE event_type = 'impression')"),
+    "ad_ctr_7d": ("campaign_id", 7, "count(*) FILTER (WHERE event_type = 'click') / count(*) FILTER (WHERE event_type = 'impression')"),
+    "ad_ctr_30d": ("campaign_id", 30, "count(*) FILTER (WHERE event_type = 'click') / count(*) FILTER (WHERE event_type = 'impression')"),
+    "ad_impressions_7d": ("campaign_id", 7, "count(*) FILTER (WHERE event_type = 'impression')"),
+}
+
+
+def _pit_sql(feature: str) -> str:
+    """The feature from the whole table and from the table up to the day."""
+    key, w, value = _PIT_JOBS[feature]
+    one = f"""SELECT {key} AS id, {value} AS v FROM {{source}}
+      WHERE event_date BETWEEN DATE '{PIT_DAY - dt.timedelta(days=w - 1)}' AND DATE '{PIT_DAY}'
+      GROUP BY {key} HAVING count(*) FILTER (WHERE event_type = 'impression') > 0"""
+    a, b = one.format(source="ad_events"), one.format(source=f"(SELECT * FROM ad_events WHERE event_date <= DATE '{PIT_DAY}')")
+    return f"""SELECT '{feature}' AS feature, count(a.id) AS rows_full, count(b.id) AS rows_truncated,
+      count(*) FILTER (WHERE a.v IS DISTINCT FROM b.v) AS rows_differing FROM ({a}) a FULL JOIN ({b}) b ON a.id = b.id"""
+
+
+@query("pit_leak_check", V(" UNION ALL ".join(_pit_sql(f) for f in _PIT_JOBS), "ad_events"))
 def pit_leak_check(spark, sf):
-    """Q-04: user_ctr_30d as of a past day, on the full table and on the
-    table truncated at that day, full-joined and compared."""
-    ev = tb.ad_events(spark, sf, with_category=False)
-    full = ft.ctr_overall(ev, PIT_DAY, 30, "user_id", "a")
-    trunc = ft.ctr_overall(ev.filter(F.col("event_date") <= F.lit(PIT_DAY)), PIT_DAY, 30, "user_id", "b")
-    j = full.join(trunc, "user_id", "full")
-    return j.agg(
-        F.lit("user_ctr_30d").alias("feature"),
-        F.count("a").alias("rows_full"),
-        F.count("b").alias("rows_truncated"),
-        F.count_if(~F.equal_null(F.col("a"), F.col("b"))).alias("rows_differing"),
-    )
+    """Q-04: a past day of the one-pass backfill, which reads later events as
+    well, against the day's own jobs on the table cut at that day; a feature
+    that saw the future would differ."""
+    ev, users, camps = tb.ad_events(spark, sf, with_category=False), tb.users(spark, sf), tb.campaigns(spark, sf)
+    cut = ev.filter(F.col("event_date") <= F.lit(PIT_DAY))
+    full = {
+        "user_id": ft.backfill_user(users, ev, tb.rides(spark, sf), PIT_DAY, AS_OF),
+        "campaign_id": ft.backfill_ad(ev, camps, PIT_DAY, AS_OF),
+    }
+    out = None
+    for f, (key, w, _) in _PIT_JOBS.items():
+        own = ft.ctr_overall(cut, PIT_DAY, w, key, "b") if "ctr" in f else ft.impressions_count(cut, PIT_DAY, w, key, "b")
+        seen = full[key].filter((F.col("asof") == F.lit(PIT_DAY)) & F.col(f).isNotNull()).select(key, F.col(f).alias("a"))
+        r = seen.join(own, key, "full").agg(
+            F.lit(f).alias("feature"), F.count("a").alias("rows_full"), F.count("b").alias("rows_truncated"),
+            F.count_if(~F.equal_null(F.col("a"), F.col("b"))).alias("rows_differing"),
+        )
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 @query(
