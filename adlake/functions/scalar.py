@@ -113,6 +113,12 @@ def all_of(preds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, preds) if preds else F.lit(True)
 
 
+def map_text(col: Column) -> Column:
+    """A map of numbers as JSON text: sorted keys, six digits."""
+    entry = F.transform(F.array_sort(F.map_entries(col)), lambda e: F.format_string('"%s":%.6f', e["key"], e["value"]))
+    return F.concat(F.lit("{"), F.array_join(entry, ","), F.lit("}"))
+
+
 def campaign_label(campaign_id: Column, advertiser: Column, category: Column) -> Column:
     """F-17: 'id (category, advertiser)'; the bare id when the campaign is
     unknown; '(none)' for a null id."""

@@ -102,14 +102,6 @@ def ctr_by_category_map(events: DataFrame, as_of: dt.date, window_days: int = 30
     )
 
 
-def ctr_by_category_wide(events: DataFrame, as_of: dt.date, categories: list[str], window_days: int = 30) -> DataFrame:
-    """A-06 (wide form): one column per category, 0.0 where missing.
-    The category list is given, so the pivot needs no extra distinct job."""
-    cat = ctr_by_category(events, as_of, window_days)
-    wide = cat.groupBy("user_id").pivot("category", categories).agg(F.first("ctr"))
-    return wide.fillna(0.0, categories)
-
-
 def account_age(users: DataFrame, as_of: dt.date) -> DataFrame:
     """P-10."""
     return users.select("user_id", account_age_days("created_at", as_of).alias("user_account_age_days"))

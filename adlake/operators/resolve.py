@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake import config
+from adlake.functions.scalar import map_text
 from adlake.sources.tables import bounded
 
 
@@ -136,9 +137,7 @@ def _value_cols(name: str, dtype: str, col) -> tuple:
         return F.lit(None).cast("double"), col.cast("string")
     if dtype == "list[str]":
         return F.lit(None).cast("double"), F.array_join(col, ",")
-    # map: JSON text with sorted keys, numbers to six digits
-    entry = F.transform(F.array_sort(F.map_entries(col)), lambda e: F.format_string('"%s":%.6f', e["key"], e["value"]))
-    return F.lit(None).cast("double"), F.concat(F.lit("{"), F.array_join(entry, ","), F.lit("}"))
+    return F.lit(None).cast("double"), map_text(col)
 
 
 class ResolverError(ValueError):

@@ -101,6 +101,35 @@ def training_rows(
     )
 
 
+def save_trained(model: PipelineModel, report: DataFrame, path: str, version: str) -> None:
+    """M-05: a fitted pipeline and its report, by version."""
+    model.write().overwrite().save(f"{path}/models/{version}")
+    report.withColumn("model_version", F.lit(version)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("model_version").parquet(f"{path}/reports")
+
+
+def load_model(path: str, version: str) -> PipelineModel:
+    """M-07 / X-04: the saved pipeline of a version."""
+    return PipelineModel.load(f"{path}/models/{version}")
+
+
+REPORT = (
+    "auc double, baseline_auc double, n_train long, n_holdout long, "
+    "calibration array<struct<bin: int, mean_predicted: double, fraction_positive: double, n: long>>"
+)
+
+
+def evaluate(model: PipelineModel, train: DataFrame, holdout: DataFrame, baseline_col: str = "ad_ctr_30d") -> DataFrame:
+    """M-05 report, one row: AUC of the model and of the popularity baseline,
+    row counts and the calibration curve on the holdout."""
+    scored = materialize(score(model, holdout))
+    curve = [tuple(r) for r in calibration(scored, "pctr").select("bin", "mean_predicted", "fraction_positive", "n").orderBy("bin").collect()]
+    base = auc_grouped(holdout, baseline_col).first()["auc"]
+    row = (float(auc_model(scored, "pctr")), float(base), train.count(), holdout.count(), curve)
+    return holdout.sparkSession.createDataFrame([row], REPORT)
+
+
 def time_split(rows: DataFrame, holdout_start: dt.date) -> tuple[DataFrame, DataFrame]:
     """M-01: train before holdout_start, holdout from it (warm-up days are
     excluded by the training range itself)."""

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from adlake import config
-from adlake.functions.scalar import day_part, lit_date
+from adlake.functions.scalar import day_part, lit_date, map_text
 from adlake.operators import features as ft
 from adlake.plans.catalog import query
 from adlake.plans.sql_views import with_views as V
@@ -29,7 +29,10 @@ def W(window: int) -> str:
 LIVE_DAY = dt.date(2024, 1, 15)
 BACKFILL_START = config.FIXTURE_START
 BACKFILL_END = AS_OF
-FIX_CATS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+#: Categories that audience rules read (SQL needs a column for each).
+RULE_CATS = sorted(
+    {f.split(".", 1)[1] for a in config.fixture_audiences() for f, _, _ in a.rules if f.startswith("user_ctr_by_category_30d.")}
+)
 
 
 # --------------------------------------------------------------- sources
@@ -131,8 +134,9 @@ def user_account_age_days(spark, sf):
 
 def _context_sql() -> list[tuple[str, str]]:
     cat_cols = ", ".join(
-        f"coalesce(max(ctr) FILTER (WHERE category = '{c}'), 0.0) AS ctr_{c.lower()}" for c in FIX_CATS
+        f"coalesce(max(ctr) FILTER (WHERE category = '{c}'), 0.0) AS ctr_{c.lower()}" for c in RULE_CATS
     )
+    text = """'{' || string_agg('"' || category || '":' || printf('%.6f', ctr), ',' ORDER BY category) || '}'"""
     return [
         (
             "rides7",
@@ -146,12 +150,12 @@ def _context_sql() -> list[tuple[str, str]]:
             FROM ad_events WHERE {W(30)} GROUP BY user_id, category
             HAVING count(*) FILTER (WHERE event_type = 'impression') > 0""",
         ),
-        ("catwide", f"SELECT user_id, {cat_cols} FROM catctr GROUP BY user_id"),
+        ("catwide", f"SELECT user_id, {text} AS ctr_by_category, {cat_cols} FROM catctr GROUP BY user_id"),
         (
             "ctx",
             """SELECT u.user_id, u.segment, coalesce(r.user_rides_per_week, 0.0) AS user_rides_per_week,
-               """
-            + ", ".join(f"coalesce(w.ctr_{c.lower()}, 0.0) AS ctr_{c.lower()}" for c in FIX_CATS)
+                 coalesce(w.ctr_by_category, '{}') AS ctr_by_category, """
+            + ", ".join(f"coalesce(w.ctr_{c.lower()}, 0.0) AS ctr_{c.lower()}" for c in RULE_CATS)
             + """
             FROM users u LEFT JOIN rides7 r ON u.user_id = r.user_id LEFT JOIN catwide w ON u.user_id = w.user_id""",
         ),
@@ -186,7 +190,7 @@ def _ctx_spark(spark, sf):
 @query(
     "audience_context",
     V(
-        "SELECT * FROM ctx",
+        "SELECT user_id, segment, user_rides_per_week, ctr_by_category FROM ctx",
         "users",
         "rides",
         "ad_events",
@@ -194,13 +198,9 @@ def _ctx_spark(spark, sf):
     ),
 )
 def audience_context(spark, sf):
-    ctx = _ctx_spark(spark, sf)
-    m = F.col("user_ctr_by_category_30d")
-    return ctx.select(
-        "user_id",
-        "segment",
-        "user_rides_per_week",
-        *[F.coalesce(F.try_element_at(m, F.lit(c)), F.lit(0.0)).alias(f"ctr_{c.lower()}") for c in FIX_CATS],
+    """A-13: what the audience rules read, for every category that occurs."""
+    return _ctx_spark(spark, sf).select(
+        "user_id", "segment", "user_rides_per_week", map_text(F.col("user_ctr_by_category_30d")).alias("ctr_by_category")
     )
 
 
@@ -396,18 +396,12 @@ def campaign_spend_yesterday(spark, sf):
 
 @query(
     "user_ctr_by_category_30d",
-    V(
-        "SELECT user_id, "
-        + ", ".join(f"coalesce(max(ctr) FILTER (WHERE category = '{c}'), 0.0) AS ctr_{c.lower()}" for c in FIX_CATS)
-        + " FROM catctr GROUP BY user_id",
-        "ad_events",
-        extra=[_context_sql()[1]],
-    ),
+    V("SELECT user_id, ctr_by_category FROM catwide", "ad_events", extra=_context_sql()[1:3]),
 )
 def user_ctr_by_category_30d(spark, sf):
-    """A-06 flattened: one column per category, 0.0 when missing."""
-    wide = ft.ctr_by_category_wide(tb.ad_events(spark, sf), AS_OF, FIX_CATS, 30)
-    return wide.select("user_id", *[F.col(c).alias(f"ctr_{c.lower()}") for c in FIX_CATS])
+    """A-06: a map over the categories that occur, as text (six digits)."""
+    m = ft.ctr_by_category_map(tb.ad_events(spark, sf), AS_OF, 30)
+    return m.select("user_id", map_text(F.col("user_ctr_by_category_30d")).alias("ctr_by_category"))
 
 
 @query(
@@ -538,10 +532,20 @@ def _ctr_pivot(df, by: str, values: list[str]):
 
 @query(
     "ctr_segment_category",
-    V(_ctr_pivot_sql("category", FIX_CATS), "ad_events", "user_segments", extra=[_SEG_EV_SQL]),
+    V(
+        """SELECT segment, category, coalesce(count(*) FILTER (WHERE event_type = 'click')
+             / nullif(count(*) FILTER (WHERE event_type = 'impression'), 0), 0.0) AS ctr FROM seg_ev GROUP BY segment, category""",
+        "ad_events",
+        "user_segments",
+        extra=[_SEG_EV_SQL],
+    ),
 )
 def ctr_segment_category(spark, sf):
-    return _ctr_pivot(_seg_events(spark, sf), "category", FIX_CATS)
+    """A-07: CTR by segment and category, 0 without impressions, for every
+    category that occurs."""
+    g = _seg_events(spark, sf).groupBy("segment", "category")
+    ctr = F.coalesce(F.try_divide(F.count_if(ft.CLK()), F.nullif(F.count_if(ft.IMP()), F.lit(0))), F.lit(0.0))
+    return g.agg(ctr.alias("ctr"))
 
 
 @query(

@@ -5,6 +5,7 @@ Q-05)."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from adlake.plans.catalog import query
 from adlake.plans.q_decisions import DV, fixture_inputs, request_days, run_decisions
 from adlake.plans.q_features import AS_OF
 from adlake.plans.sql_views import with_views as V
-from adlake.session import materialize
+from adlake.session import materialize, scratch_path
 from adlake.sources import tables as tb
 
 TRAIN_START = config.FIXTURE_START + dt.timedelta(days=config.WARMUP_DAYS)
@@ -240,6 +241,20 @@ def _fitted(spark, sf, *versions):
     return train, hold, *(tr.fit(train, *_FIT[v]) for v in versions)
 
 
+def train_and_save(spark, sf, *versions) -> str:
+    """M-05: fit, evaluate and save the versions; returns where they lie."""
+    path = scratch_path(spark, f"pctr-{uuid.uuid4().hex}")
+    train, hold, *models = _fitted(spark, sf, *versions)
+    for version, model in zip(versions, models, strict=True):
+        tr.save_trained(model, tr.evaluate(model, train, hold), path, version)
+    return path
+
+
+def _saved(spark, sf, *versions):
+    path = train_and_save(spark, sf, *versions)
+    return [tr.load_model(path, v) for v in versions]
+
+
 @query("train_pctr_lr")
 def train_pctr_lr(spark, sf):
     """M-03: fitted coefficients of the v1 logistic model (standardised)."""
@@ -259,23 +274,29 @@ def train_pctr_gbt(spark, sf):
 
 @query("eval_report")
 def eval_report(spark, sf):
-    """M-05: per model AUC and popularity-baseline AUC on the fixed holdout,
-    row counts; one small row per model."""
-    train, hold, lr, gbt = _fitted(spark, sf, "v1", "v2")
-    n_train, n_hold = train.count(), hold.count()
-    base = tr.auc_grouped(hold, "ad_ctr_30d").first()["auc"]
-    out = []
-    for version, model in (("v1", lr), ("v2", gbt)):
-        scored = tr.score(model, hold)
-        out.append((version, tr.auc_model(scored, "pctr"), float(base), n_train, n_hold))
-    return spark.createDataFrame(out, "model_version string, auc double, baseline_auc double, n_train long, n_holdout long")
-
-
-@query("calibration_deciles")
+    """M-05: the saved reports: per model AUC, popularity-baseline AUC, row
+    counts and the calibration curve on the fixed holdout."""
+    path = train_and_save(spark, sf, "v1", "v2")
+    return spark.read.parquet(f"{path}/reports").select("model_version", "auc", "baseline_auc", "n_train", "n_holdout", "calibration")
+
+
+_HOLD_SQL = f"(SELECT * FROM trows WHERE event_date >= DATE '{HOLDOUT_START}')"
+
+
+@query(
+    "calibration_deciles",
+    TV(
+        f"""SELECT bin, avg(s) AS mean_predicted, avg(CAST(label AS DOUBLE)) AS fraction_positive, count(*) AS n FROM (
+              SELECT ad_ctr_30d AS s, label, CAST(len(list_filter(edges, lambda e: e < ad_ctr_30d)) AS INTEGER) AS bin FROM {_HOLD_SQL} h,
+                (SELECT quantile_cont(ad_ctr_30d, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM {_HOLD_SQL}) q)
+            GROUP BY bin"""
+    ),
+)
 def calibration_deciles(spark, sf):
-    """W-10: 10 equal-mass bins of the v1 holdout predictions."""
-    _, hold, lr = _fitted(spark, sf, "v1")
-    return tr.calibration(tr.score(lr, hold), "pctr")
+    """W-10: 10 equal-mass bins, by exact quantiles, of the popularity score
+    on the holdout (the models' curves are in their reports)."""
+    hold = _train_rows(spark, sf).filter(F.col("event_date") >= F.lit(HOLDOUT_START))
+    return tr.calibration(materialize(hold), "ad_ctr_30d")
 
 
 @query("calibration_by_category")
@@ -288,12 +309,20 @@ def calibration_by_category(spark, sf):
     )
 
 
-@query("tercile_lift")
+@query(
+    "tercile_lift",
+    TV(
+        f"""SELECT bin, avg(s) AS mean_score, count(*) AS n FROM (
+              SELECT user_ctr_30d AS s, CASE WHEN row <= n // 3 THEN 0 WHEN row > n - n // 3 THEN 2 END AS bin FROM (
+                SELECT *, row_number() OVER (ORDER BY x_user_ctr_in_ad_category, event_id) AS row, count(*) OVER () AS n FROM {_HOLD_SQL}))
+            WHERE bin IS NOT NULL GROUP BY bin"""
+    ),
+)
 def tercile_lift(spark, sf):
-    """W-08: mean v1 score in the lowest and highest third of the category
-    cross feature."""
-    _, hold, lr = _fitted(spark, sf, "v1")
-    return tr.tercile_lift(tr.score(lr, hold), "x_user_ctr_in_ad_category", "pctr")
+    """W-08: mean score (the user's overall CTR) in the lowest and highest
+    third of the category cross feature, on the holdout."""
+    hold = _train_rows(spark, sf).filter(F.col("event_date") >= F.lit(HOLDOUT_START))
+    return tr.tercile_lift(hold, "x_user_ctr_in_ad_category", "user_ctr_30d")
 
 
 _ASM_START = config.FIXTURE_START - dt.timedelta(days=1)
@@ -363,15 +392,15 @@ def assemble_features(spark, sf):
 
 @query("score_candidates")
 def score_candidates(spark, sf):
-    """M-07: the v1 model scores every group of eligible auction candidates."""
-    _, _, lr = _fitted(spark, sf, "v1")
+    """M-07: the saved v1 model scores every group of eligible auction candidates."""
+    (lr,) = _saved(spark, sf, "v1")
     return tr.score(lr, _candidate_rows(spark, sf)).select("request_id", "campaign_id", "auctions", "pctr")
 
 
 @query("score_by_arm")
 def score_by_arm(spark, sf):
-    """M-08: control rows scored by v1, treatment rows by v2; union."""
-    _, _, lr, gbt = _fitted(spark, sf, "v1", "v2")
+    """M-08: control rows scored by the saved v1, treatment rows by v2; union."""
+    lr, gbt = _saved(spark, sf, "v1", "v2")
     rows = materialize(_candidate_rows(spark, sf))
     a = tr.score(lr, rows.filter(F.col("experiment_arm") == "control")).withColumn("model_version", F.lit("v1"))
     b = tr.score(gbt, rows.filter(F.col("experiment_arm") == "treatment")).withColumn("model_version", F.lit("v2"))
@@ -379,7 +408,7 @@ def score_by_arm(spark, sf):
 
 
 def _model_decisions(spark, sf):
-    _, _, lr, gbt = _fitted(spark, sf, "v1", "v2")
+    lr, gbt = _saved(spark, sf, "v1", "v2")
     return run_decisions(spark, sf, **_arm_scorer(spark, sf, {"control": lr, "treatment": gbt}))
 
 

@@ -13,7 +13,7 @@ from adlake.functions.scalar import lit_date as fx_date
 from adlake.operators import features as ft
 from adlake.operators import quality as qc
 from adlake.plans.catalog import query
-from adlake.plans.q_features import AS_OF, BACKFILL_END, BACKFILL_START, D, W, _d
+from adlake.plans.q_features import AS_OF, BACKFILL_END, BACKFILL_START, D, RULE_CATS, W, _d
 from adlake.plans.sql_views import with_views as V
 from adlake.session import scratch_path
 from adlake.sources import publish as pb
@@ -214,7 +214,7 @@ def membership_ctes(start: dt.date, n_days: int) -> list[tuple[str, str]]:
             f"SELECT user_id, '{a.name}' AS audience, CAST({a.version} AS BIGINT) AS definition_version, "
             f"{order} AS audience_order, as_of_date FROM mctx WHERE {' AND '.join(preds)}"
         )
-    cats = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+    cats = RULE_CATS
     cat_cols = ", ".join(
         f"coalesce(max(ctr) FILTER (WHERE category = '{c}'), 0.0) AS ctr_{c.lower()}" for c in cats
     )

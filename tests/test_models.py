@@ -1,6 +1,7 @@
 """Models and evaluation: AUC, leakage detection, planted-signal recovery."""
 
 import random
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -45,6 +46,25 @@ def test_models_recover_planted_signal(spark):
         assert auc > 0.62 and auc > base + 0.1
 
 
+def test_saved_model_scores_like_the_fitted_one(spark):
+    from adlake.session import scratch_path
+
+    df = _planted(spark, 800).withColumn("ad_ctr_30d", F.col("noise"))
+    train, hold = tr.hash_split(df, "event_id")
+    path = scratch_path(spark, f"t-models-{uuid.uuid4().hex}")
+    for version, algo in (("v1", "logistic_regression"), ("v2", "gbt")):
+        m = tr.fit(train, ["signal", "noise"], algo)
+        tr.save_trained(m, tr.evaluate(m, train, hold), path, version)
+        a = {r.event_id: r.pctr for r in tr.score(m, hold).select("event_id", "pctr").collect()}
+        b = {r.event_id: r.pctr for r in tr.score(tr.load_model(path, version), hold).select("event_id", "pctr").collect()}
+        assert a == b and len(a) > 0
+    reports = {r.model_version: r for r in spark.read.parquet(f"{path}/reports").collect()}
+    assert set(reports) == {"v1", "v2"}
+    for r in reports.values():
+        assert r.auc > r.baseline_auc and r.n_train + r.n_holdout == 800
+        assert sum(c.n for c in r.calibration) == r.n_holdout and len(r.calibration) == 10
+
+
 def test_calibration_and_terciles(spark):
     df = _planted(spark)
     cal = tr.calibration(df, "signal").orderBy("bin").collect()
