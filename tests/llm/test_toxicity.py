@@ -44,6 +44,25 @@ def test_held_out_accuracy_and_neutral_mentions():
     assert fair.score(["a vilest thing " + "and so on " * 30000, "", None, " "]).tolist()[0] > 0.9
 
 
+def test_penalty_against_literally_swapped_sentences():
+    """Swapping a name in a sentence changes the logit by the difference of
+    two word weights, which is what training penalises; the mean squared change
+    over all literal swaps falls by far more than it would without."""
+    rng = random.Random(2)
+    texts, labels = corpus(600, rng)
+    logit = lambda s, t: np.log(p := s.score(t)) - np.log(1 - p)
+    sentences = [x for t in texts for x in t.split(". ") if "muslims" in x.split(" ")][:150]
+    change = {}
+    for c in (0.0, 1.0):
+        s = X.Scorer(X.train(texts, labels, counterfactual=c))
+        base = logit(s, sentences)
+        swapped = np.array([logit(s, [x.replace("muslims", n) for x in sentences]) - base for n in X.IDENTITY])
+        weights = np.array([s.word(n.encode()) - s.word(b"muslims") for n in X.IDENTITY])
+        np.testing.assert_allclose(swapped, np.repeat(weights[:, None], len(sentences), axis=1), atol=1e-6)
+        change[c] = (swapped**2).mean()
+    assert change[0.0] > 1e-3 and change[1.0] < 0.01 * change[0.0], change
+
+
 def test_query(spark):
     d = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in X.op1_toxicity(spark, d).collect()}
