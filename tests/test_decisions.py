@@ -218,3 +218,80 @@ def test_quota_is_shared_by_batches(spark):
         d = dlog.conform(d)
         log = materialize(d if log is None else log.unionByName(d))
     assert sorted(map(tuple, log.select(cols).collect())) == one
+
+
+def test_groups_decide_like_pairs(spark):
+    """A random catalog (ties, null and zero bids, targeted and paused
+    campaigns): the winner found inside candidate groups is the best of all
+    eligible pairs, and the record counts what the pairs hold."""
+    import random
+
+    rng = random.Random(11)
+    names = [a for a, _, _ in config.AUDIENCES]
+    camp = []
+    for i in range(1, 90):
+        guaranteed = rng.random() < 0.2
+        start = D0 + dt.timedelta(days=rng.randrange(-2, 3))
+        camp.append((
+            i, "adv", rng.choice(config.CATEGORIES), "guaranteed" if guaranteed else "auction",
+            None if guaranteed else rng.choice([None, 0.0, 0.5, 1.0, 2.0, 2.0]), None if guaranteed else rng.choice([0.0, 10.0]),
+            rng.randrange(0, 40) if guaranteed else None, start, start + dt.timedelta(days=rng.randrange(1, 6)),
+            rng.choice(["active", "active", "active", "paused"]), rng.choice([[], [], [names[0]], names, [names[1], names[0]]]),
+        ))
+    reqs, mem = [], []
+    for r in range(120):
+        ts = dt.datetime.combine(D0 + dt.timedelta(days=rng.randrange(4)), dt.time(rng.randrange(24), 1))
+        reqs.append((r, r % 12, ts))
+    for u in range(12):
+        for day in range(-1, 4):
+            mem.append((u, D0 + dt.timedelta(days=day), [n for n in names if (u + day) % (2 + names.index(n)) == 0]))
+    inp = inputs(spark, camp, reqs, mem)
+    inp.segments = spark.createDataFrame([(u, config.SEGMENTS[u % 7]) for u in range(11)], "user_id long, segment string")
+    inp.destinations = spark.createDataFrame(
+        [(u, dt.datetime.combine(D0 + dt.timedelta(days=d), dt.time(u)), rng.choice(config.CATEGORIES)) for u in range(12) for d in range(4)],
+        "user_id long, ts timestamp, category string",
+    )
+    res = dc.decide(inp, D0, D0 + dt.timedelta(days=3))
+    context = {r.request_id: r for r in res["requests"].collect()}
+    lift = {(r.segment, r.category, r.day_part): r.lift for r in dc.lift_lookup(inp.lift_rules, inp.campaigns).collect()}
+    by_id = {c[0]: c for c in camp}
+    pairs = {}
+    for p in res["eligible"].select("request_id", "campaign_id").collect():
+        pairs.setdefault(p.request_id, []).append(p.campaign_id)
+
+    def best(r):
+        q, offers = context[r], []
+        for c in pairs.get(r, []):
+            if by_id[c][3] == "auction":
+                p = min(0.03 * lift.get((q.segment, by_id[c][2], q.day_part), 1.0), 0.6)
+                p = min(1.0, p * 1.5) if q.destination == by_id[c][2] else p
+                offers.append((-((by_id[c][4] or 0.0) * p), c))
+        return min(offers) if offers else (0.0, None)
+
+    decided = res["decisions"].collect()
+    assert len(decided) == 120
+    for d in decided:
+        assert sum(g.campaigns for g in d.candidate_set) == len(pairs.get(d.request_id, []))
+        assert sum(g.id_sum for g in d.candidate_set) == sum(pairs.get(d.request_id, []))
+        value, winner = best(d.request_id)
+        if d.rung != "guaranteed":
+            assert d.winner == winner
+            assert winner is None or abs((d.price or 0.0) + value) < 1e-12
+        for s in d.scores:
+            assert s.campaigns == sum(by_id[c][2] == s.category and sorted(set(by_id[c][10])) == list(s.audiences) and by_id[c][3] == "auction" for c in pairs[d.request_id])
+    assert {d.rung for d in decided} == {"guaranteed", "auction"}
+    plan = res["decisions"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "CartesianProduct" not in plan
+
+
+def test_classes_of_requests_hold_all_pairs(spark):
+    """D-01 by class: expanded by the sizes of the classes it has the pairs."""
+    t = dt.datetime.combine(D0, dt.time(9))
+    end = D0 + dt.timedelta(days=3)
+    camp = [(i, "a", "food", "auction", 1.0, 10.0, None, D0, end, "active", [["x"], ["y"], [], ["x", "y"]][i % 4]) for i in range(1, 13)]
+    mem = [(1, D0 - dt.timedelta(days=1), ["x", "z"]), (2, D0 - dt.timedelta(days=1), ["y"]), (3, D0 - dt.timedelta(days=1), ["z"])]
+    reqs = [(r, r % 4, t) for r in range(40)]
+    res = dc.decide(inputs(spark, camp, reqs, mem), D0, end)
+    by_class = dc.eligible_by_class(res["requests"], res["catalog_days"]).collect()
+    assert sum(r.n_requests for r in by_class) == res["eligible"].count()
+    assert {(r.audiences, r.n_requests) for r in by_class} == {("", 20), ("x", 10), ("y", 10)}
