@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from adlake import config
 from adlake.functions.scalar import campaign_label, rate_from_counter, wilson_bounds
 from adlake.operators.asof import attribute_clicks
-from adlake.operators.decisions import decremented, live_days
 from adlake.operators.ranks import row_numbers, value_counts
 
 
@@ -22,10 +21,8 @@ def touched_campaigns(decisions: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Campaigns whose capacity counter was read: live on the day of a request
     that reached retrieval.  Days are few, so this is a small join."""
     days = decisions.filter(F.col("fallback_rung").isNull()).select(F.col("request_date").alias("day")).distinct()
-    rng = decisions.agg(F.min("request_date").alias("a"), F.max("request_date").alias("b")).first()
-    if rng is None or rng["a"] is None:
-        return campaigns.select("campaign_id").limit(0)
-    live = live_days(campaigns, rng["a"], rng["b"]).select("campaign_id", "day")
+    flight = F.explode(F.sequence("flight_start", "flight_end"))
+    live = campaigns.filter((F.col("status") == "active") & (F.col("flight_start") <= F.col("flight_end"))).select("campaign_id", flight.alias("day"))
     return live.join(days, "day", "left_semi").select("campaign_id").distinct()
 
 
@@ -33,10 +30,10 @@ def reconcile(decisions: DataFrame, campaigns: DataFrame) -> DataFrame:
     """R-01: per campaign initial, remaining (initial - decremented wins),
     expected consumed, actual served (all wins, any rung) and discrepancy;
     untouched and unserved campaigns omitted; K-03 rank by |discrepancy|."""
+    wins = F.count_if(F.col("rung").isin("guaranteed", "auction"))
     served = decisions.filter(F.col("winner").isNotNull()).groupBy(F.col("winner").alias("campaign_id")).agg(
-        F.count("*").alias("actual_served")
+        F.count("*").alias("actual_served"), F.nullif(wins, F.lit(0)).alias("dec")
     )
-    dec = decremented(decisions).groupBy(F.col("winner").alias("campaign_id")).agg(F.count("*").alias("dec"))
     touched = touched_campaigns(decisions, campaigns).withColumn("touched", F.lit(True))
     initial = F.when(F.col("demand_type") == "guaranteed", F.col("impression_goal").cast("double")).otherwise(
         F.col("budget")
@@ -44,7 +41,6 @@ def reconcile(decisions: DataFrame, campaigns: DataFrame) -> DataFrame:
     j = (
         campaigns.select("campaign_id", "demand_type", initial.alias("initial_capacity"))
         .join(served, "campaign_id", "left")
-        .join(dec, "campaign_id", "left")
         .join(touched, "campaign_id", "left")
     )
     j = j.filter(F.col("touched").isNotNull() | F.col("dec").isNotNull() | (F.coalesce("actual_served", F.lit(0)) > 0))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -349,22 +350,27 @@ def stream_dedup(spark, sf):
 
 @query("stream_lag_report")
 def stream_lag_report(spark, sf):
-    """T-08: per micro-batch event count, newest event time and processing
-    lag: each batch writes its events and one row of metrics (an aggregate of
+    """T-08: per micro-batch event count, newest event time, processing lag,
+    time and throughput of the write: each batch writes its events and one row of metrics (an aggregate of
     what it wrote), so every batch is in the report however many there are."""
     root, fpc = replay(spark, sf)
     events = _events_stream(spark, root, fpc).drop("raw", "_corrupt", "payload")
 
     def ingest(batch, batch_id):
+        begin = time.time()
         at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         st.batch_partition_writer(root + "/events")(batch, batch_id)
-        m = batch.agg(F.count(F.lit(1)).alias("events"), F.max("ts").cast("timestamp_ntz").alias("max_event_ts"))
+        seconds = time.time() - begin
+        # What was written, not the batch again.
+        own = spark.read.schema(batch.schema.add("batch_id", "long")).parquet(root + "/events").filter(F.col("batch_id") == batch_id)
+        m = own.agg(F.count(F.lit(1)).alias("events"), F.max("ts").cast("timestamp_ntz").alias("max_event_ts"))
         lag = (F.unix_micros(F.lit(at).cast("timestamp")) - F.unix_micros(F.col("max_event_ts").cast("timestamp"))) / 1e6
-        st.batch_partition_writer(root + "/lag")(m.filter("events > 0").withColumn("lag_seconds", lag), batch_id)
+        m = m.withColumns({"lag_seconds": lag, "write_seconds": F.lit(seconds), "events_per_second": F.col("events") / F.lit(seconds)})
+        st.batch_partition_writer(root + "/lag")(m.filter("events > 0"), batch_id)
 
     st.run_foreach_batch(events, ingest, root + "/ckpt", mode="append")
     return spark.read.parquet(root + "/lag").select(
-        F.col("batch_id").cast("long").alias("batch_id"), "events", "max_event_ts", "lag_seconds"
+        F.col("batch_id").cast("long").alias("batch_id"), "events", "max_event_ts", "lag_seconds", "write_seconds", "events_per_second"
     )
 
 
