@@ -39,7 +39,6 @@ from adlake.functions.scalar import (
 from adlake.operators.asof import latest_within
 from adlake.operators.ranks import row_numbers
 from adlake.session import materialize
-from adlake.sources.tables import bounded
 
 RUNG_MODEL_DOWN = "model_load_failure_house_ad"
 RUNG_FEATURES_DOWN = "feature_service_down_popularity_fallback"
@@ -148,13 +147,11 @@ def catalog_day_table(campaigns: DataFrame, ledger: DataFrame, start: dt.date, e
 def lift_lookup(lift_rules: DataFrame, categories: DataFrame) -> DataFrame:
     """J-11 precomputed over (segment, category, day part): most specific rule
     wins (exact category before exact condition), later rule on ties.
-    Inputs are the rule table and the catalog's categories: both tiny and
-    size-checked, so their theta join is a bounded broadcast."""
-    cats = bounded(categories.select("category").distinct())
+    A category asks for its own rules and for those of '*', by one equi-join."""
+    cats = categories.select("category").distinct()
+    cats = cats.select("category", F.explode(F.array("category", F.lit("*"))).alias("rule_category"))
     parts = F.explode(F.array(F.lit("day"), F.lit("night"))).alias("day_part")
-    r = bounded(lift_rules)
-    j = cats.join(r.withColumnRenamed("category", "rule_category"),
-                  (F.col("rule_category") == F.col("category")) | (F.col("rule_category") == "*"))
+    j = cats.join(lift_rules.withColumnRenamed("category", "rule_category"), "rule_category")
     j = j.select("*", parts).filter((F.col("cond") == "any") | (F.col("cond") == F.col("day_part")))
     spec = F.struct(
         (F.col("rule_category") != "*").alias("a"), (F.col("cond") != "any").alias("b"), F.col("rule_order")
