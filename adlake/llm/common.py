@@ -64,6 +64,14 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def consumed(df: DataFrame) -> None:
+    """Delete a table that :func:`written` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @dataclass
 class Tokens:
     """Tokens of many texts, in order: runs of bytes of a set."""
@@ -136,4 +144,4 @@ def _stars(parent: DataFrame, rows: int) -> DataFrame:
             return parent
 
 
-__all__ = ["BATCH_ROWS", "Tokens", "bounded_batches", "components", "free_name", "materialize", "table", "tokenizer_path", "tokens", "written"]
+__all__ = ["BATCH_ROWS", "Tokens", "bounded_batches", "components", "consumed", "free_name", "materialize", "table", "tokenizer_path", "tokens", "written"]
