@@ -10,18 +10,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-SCHEMA = StructType.fromDDL(
-    """request_id long, user_id long, ts timestamp, request_date date, experiment_arm string, model_version string,
-    candidate_set array<struct<audiences: array<string>, category: string, campaigns: long, id_sum: long>>,
-    audience_exclusions array<struct<audiences: array<string>, category: string, audience: string,
-        definition_version: long, campaigns: long>>,
-    scores array<struct<audiences: array<string>, category: string, campaigns: long, campaign_id: long, pctr: double,
-        ecpm: double, features: map<string, double>>>,
-    features_as_of date, feature_age_seconds long, stage_latencies_ms map<string, double>,
-    external_bid_outcome string, external_bid double, winner long, price double, rung string, fallback_rung string"""
-)
+from pyspark.sql import types as T
+
+_LONG, _TEXT, _NUMBER, _DAY = T.LongType(), T.StringType(), T.DoubleType(), T.DateType()
+_AUDIENCES = T.ArrayType(_TEXT)
+
+
+def _list_of(**fields: T.DataType) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(n, t) for n, t in fields.items()]))
+
+
+_FIELDS = {
+    "request_id": _LONG,
+    "user_id": _LONG,
+    "ts": T.TimestampType(),
+    "request_date": _DAY,
+    "experiment_arm": _TEXT,
+    "model_version": _TEXT,
+    "candidate_set": _list_of(audiences=_AUDIENCES, category=_TEXT, campaigns=_LONG, id_sum=_LONG),
+    "audience_exclusions": _list_of(
+        audiences=_AUDIENCES, category=_TEXT, audience=_TEXT, definition_version=_LONG, campaigns=_LONG
+    ),
+    "scores": _list_of(
+        audiences=_AUDIENCES, category=_TEXT, campaigns=_LONG, campaign_id=_LONG, pctr=_NUMBER, ecpm=_NUMBER,
+        features=T.MapType(_TEXT, _NUMBER),
+    ),
+    "features_as_of": _DAY,
+    "feature_age_seconds": _LONG,
+    "stage_latencies_ms": T.MapType(_TEXT, _NUMBER),
+    "external_bid_outcome": _TEXT,
+    "external_bid": _NUMBER,
+    "winner": _LONG,
+    "price": _NUMBER,
+    "rung": _TEXT,
+    "fallback_rung": _TEXT,
+}
+SCHEMA = T.StructType([T.StructField(n, t) for n, t in _FIELDS.items()])
 
 
 def conform(df: DataFrame) -> DataFrame:
