@@ -295,3 +295,30 @@ def test_classes_of_requests_hold_all_pairs(spark):
     by_class = dc.eligible_by_class(res["requests"], res["catalog_days"]).collect()
     assert sum(r.n_requests for r in by_class) == res["eligible"].count()
     assert {(r.audiences, r.n_requests) for r in by_class} == {("", 20), ("x", 10), ("y", 10)}
+
+
+def test_pair_queries_return_every_pair(spark, tmp_path):
+    """J-04, D-01 and D-04 have a row per request and campaign: two requests,
+    three campaigns live that day (one of them guaranteed) and a paused one."""
+    import __spark_entry__ as E
+
+    day = dt.datetime(2024, 1, 25, 9)
+    rows = {
+        # All in flight that day: 18 and 20 are auction, 19 is guaranteed, 16 is paused.
+        "part": ([(k, f"b{k}", "PROMO", 10, 1000.0 * k) for k in (16, 18, 19, 20)], "p_partkey long, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "customer": ([(1, 0, "BUILDING"), (2, 0, "MACHINERY")], "c_custkey long, c_nationkey long, c_mktsegment string"),
+        "events": ([(10, day, 1, "view", 50.0, '{"k": 4}'), (11, day, 2, "view", 60.0, '{"k": 5}')],
+                   "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    q = E.queries()
+    pairs = {n: sorted(map(tuple, q[n](spark, str(tmp_path)).select("request_id", "campaign_id").collect()))
+             for n in ("requests_x_live_campaigns", "eligible_candidates", "candidate_ecpm")}
+    live = [(r, c) for r in (10, 11) for c in (18, 19, 20)]
+    assert pairs["requests_x_live_campaigns"] == live
+    assert pairs["eligible_candidates"] == live
+    assert pairs["candidate_ecpm"] == [p for p in live if p[1] != 19]
+    scored = q["candidate_ecpm"](spark, str(tmp_path)).collect()
+    bids = {18: 18.0, 20: 20.0}
+    assert all(abs(r.ecpm - bids[r.campaign_id] * r.pctr) < 1e-12 for r in scored)
