@@ -34,6 +34,8 @@ from adlake.llm.common import bounded_batches, table, tokens, written
 #: Texts that the scorer is trained on, at most; longer ones than SAMPLE_CHARS are not taken.
 SAMPLE = 4000
 SAMPLE_CHARS = 20_000
+#: Texts whose tokens are held at once, in a task and in the driver.
+TEXTS = 64
 #: Hashed shape features.
 DIMENSIONS = 1 << 14
 ACCEPT = 0.2
@@ -50,6 +52,10 @@ _STOP = np.array([chr(c) in ".?!" for c in range(256)])
 STATISTICS = ("words", "odd", "upper", "repeat", "same", "bars", "marks", "plain")
 
 
+def slices(texts: list, at_once: int = TEXTS) -> Iterator[list]:
+    return (texts[i : i + at_once] for i in range(0, len(texts), at_once))
+
+
 @dataclass
 class Shapes:
     """Statistics of texts, and their hashed shape features: text, feature."""
@@ -155,6 +161,9 @@ class Model:
     accuracy: np.ndarray  # of the labellers: P(vote | class)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
+        return np.concatenate([self._score(part) for part in slices(texts)]) if texts else np.zeros(0)
+
+    def _score(self, texts: list[str | None]) -> np.ndarray:
         s = shapes(texts)
         n = s.statistics[:, 0]
         total = np.bincount(s.owner, weights=self.weights[s.feature], minlength=len(texts))
@@ -162,14 +171,23 @@ class Model:
         return np.where(n > 0, out, 0.0)
 
 
+def features(texts: list[str], at_once: int = TEXTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature, share of the text's tokens), in order of both."""
+    parts, first = [], 0
+    for some in slices(texts, at_once):
+        s = shapes(some)
+        key, count = np.unique(s.owner * DIMENSIONS + s.feature, return_counts=True)
+        row = key // DIMENSIONS
+        parts.append((row + first, key % DIMENSIONS, count / np.maximum(s.statistics[:, 0], 1)[row]))
+        first += len(some)
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
 def train(texts: list[str], posterior: np.ndarray, accuracy: np.ndarray, steps: int = 300, rate: float = 0.1, ridge: float = 1e-5) -> Model:
     """Logistic regression on soft labels; features are shares of tokens."""
     weights, bias = np.zeros(DIMENSIONS), 0.0
     if texts:
-        s = shapes(texts)
-        key, count = np.unique(s.owner * DIMENSIONS + s.feature, return_counts=True)
-        row, col = key // DIMENSIONS, key % DIMENSIONS
-        x = count / np.maximum(s.statistics[:, 0], 1)[row]
+        row, col, x = features(texts)
         share = min(max(float(posterior.mean()), 1e-3), 1 - 1e-3)
         balance = posterior * 0.5 / share + (1 - posterior) * 0.5 / (1 - share)
         m, v, mb, vb = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS), 0.0, 0.0
@@ -188,7 +206,9 @@ def train(texts: list[str], posterior: np.ndarray, accuracy: np.ndarray, steps:
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            said = votes(shapes(b.column(0).to_pylist()).statistics)
+            if not b.num_rows:
+                continue
+            said = votes(np.concatenate([shapes(part).statistics for part in slices(b.column(0).to_pylist())]))
             code = ((said.astype(np.int64) + 1) * 3 ** np.arange(said.shape[1])).sum(1)
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array([int(x) for x in b.column(1).to_pylist()], pa.int64())], ["pattern", "hash"])
 

@@ -39,3 +39,24 @@ def test_odd_rows(spark):
     got = {(r.doc_id, r.text and r.text[:3]): r.accepted for r in Q.score(df, Q.fit(df)).collect()}
     assert not got[1, None] and not got[1, ""] and not got[2, "  "] and len(got) == 5
     assert Q.score(df.limit(0), Q.fit(df.limit(0))).collect() == []
+
+
+def test_training_holds_few_texts_at_once(monkeypatch):
+    """The driver trains on shares of features that it makes of a few texts at
+    a time; cutting the texts changes no number."""
+    import numpy as np
+
+    from adlake.llm import quality
+
+    texts = [f"Word{i} aa, bb bb {i * 7} " * (1 + i % 5) for i in range(300)]
+    posterior = np.linspace(0, 1, len(texts))
+    held, shapes = [], quality.shapes
+    monkeypatch.setattr(quality, "shapes", lambda t: held.append(len(t)) or shapes(t))
+    model = quality.train(texts, posterior, None)
+    assert sum(held) == len(texts) and max(held) <= quality.TEXTS
+    for one, cut in zip(quality.features(texts, len(texts)), quality.features(texts, 7), strict=True):
+        assert one.tolist() == cut.tolist()
+    assert model.weights.any()
+    held.clear()
+    whole = model._score(texts)
+    assert model.score(texts).tolist() == whole.tolist() and held[0] == 300 and max(held[1:]) <= quality.TEXTS
