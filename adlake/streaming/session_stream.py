@@ -136,25 +136,26 @@ def latest_values(events: DataFrame) -> DataFrame:
 
 def trailing_counts(events: DataFrame, event_type: str, window_seconds: int = config.TRAILING_COUNT_SECONDS) -> DataFrame:
     """T-03: per event of ``event_type``, the user's distinct events of that
-    type in (t - window, t].  A stream-stream interval join on (user, bucket of
-    one window length): an event meets the events of its own bucket and of the
-    one before, so a busy user's events are split by time.  Both sides leave
-    the state when the watermark has passed their interval, and an event's
-    count is final (late rows included) when it is emitted."""
-    ev = events.filter(F.col("event_type") == event_type).select("event_id", "user_id", "ts").withWatermark("ts", WATERMARK)
-    ev = ev.dropDuplicatesWithinWatermark(["event_id"])
-    bucket = F.floor(F.unix_micros("ts") / (window_seconds * 1_000_000))
-    own = ev.select("event_id", "user_id", "ts", bucket.alias("bucket"))
-    seen = ev.select(
-        F.col("user_id").alias("seen_user"), F.col("ts").alias("seen_ts"), F.explode(F.array(bucket, bucket + 1)).alias("seen_bucket")
-    )
-    window = F.expr(f"INTERVAL {window_seconds} SECONDS")
-    near = (
-        (F.col("user_id") == F.col("seen_user")) & (F.col("bucket") == F.col("seen_bucket"))
-        & (F.col("seen_ts") <= F.col("ts")) & (F.col("seen_ts") > F.col("ts") - window)
-    )
-    pairs = own.join(seen, near).select("event_id", "user_id", "ts")
-    return pairs.groupBy("event_id", "user_id", "ts").agg(F.count("*").alias("count_10min"))
+    type in (t - window, t].  Windows of two lengths that start every length
+    hold the events of one length, and those of the length before that their
+    counts take in, so a busy user's events are split by time.  A window is
+    emitted when the watermark has passed it: its counts are final (late rows
+    included).  Events without a user have no count."""
+    ev = events.filter((F.col("event_type") == event_type) & F.col("user_id").isNotNull())
+    ev = ev.select("event_id", "user_id", "ts").withWatermark("ts", WATERMARK).dropDuplicatesWithinWatermark(["event_id"])
+    span = F.window("ts", f"{2 * window_seconds} seconds", f"{window_seconds} seconds").alias("w")
+    held = ev.groupBy("user_id", span).agg(F.collect_list(F.struct("event_id", "ts")).alias("seen"))
+    length = F.expr(f"INTERVAL {window_seconds} SECONDS")
+    own = F.filter("seen", lambda e: e["ts"] >= F.col("w.start") + length)
+    near = lambda t: F.filter("seen", lambda x: (x["ts"] <= t) & (x["ts"] > t - length))
+    # Events of one time share their count.
+    at = F.array_distinct(F.transform(own, lambda e: e["ts"]))
+    counts = F.map_from_arrays(at, F.transform(at, lambda t: F.size(near(t)).cast("long")))
+    held = held.select("user_id", own.alias("own"), counts.alias("counts"))
+    counted = F.transform("own", lambda e: F.struct(
+        e["event_id"].alias("event_id"), e["ts"].alias("ts"), F.col("counts")[e["ts"]].alias("count_10min")
+    ))
+    return held.select("user_id", F.explode(counted).alias("e")).select("e.event_id", "user_id", "e.ts", "e.count_10min")
 
 
 FLAG_OUT = "user_id long, active boolean, at timestamp"
@@ -239,12 +240,22 @@ def hourly_type_counts(events: DataFrame) -> DataFrame:
     return w.select(F.col("w.start").alias("window_start"), "event_type", "events")
 
 
-def sliding_user_counts(events: DataFrame, window: str = "10 minutes", slide: str = "1 minute") -> DataFrame:
+def sliding_user_counts(events: DataFrame, window_seconds: int = 600, slide_seconds: int = 60) -> DataFrame:
     """T-05: per user the KNOWN events of every sliding window (append on
-    watermark)."""
+    watermark; the window is a multiple of the slide).  The state has an event
+    twice, not once a window: blocks of two windows' length that start every
+    length hold what the windows that start in a block's first half need, and
+    are cut into those windows when the watermark has passed the block."""
     ev = events.filter(known()).withWatermark("ts", WATERMARK)
-    w = ev.groupBy("user_id", F.window("ts", window, slide).alias("w")).agg(F.count("*").alias("events"))
-    return w.select("user_id", F.col("w.start").alias("window_start"), "events")
+    block = F.window("ts", f"{2 * window_seconds} seconds", f"{window_seconds} seconds").alias("b")
+    held = ev.groupBy("user_id", block).agg(F.collect_list(F.unix_micros("ts")).alias("at"))
+    length, slide = window_seconds * 1_000_000, slide_seconds * 1_000_000
+    begin = F.unix_micros("b.start")
+    starts = F.sequence(begin, begin + F.lit(length - slide), F.lit(slide))
+    inside = lambda s: F.size(F.filter("at", lambda t: (t >= s) & (t < s + F.lit(length)))).cast("long")
+    counted = F.transform(starts, lambda s: F.struct(s.alias("start"), inside(s).alias("events")))
+    w = held.select("user_id", F.explode(F.filter(counted, lambda c: c["events"] > 0)).alias("w"))
+    return w.select("user_id", F.timestamp_micros("w.start").alias("window_start"), "w.events")
 
 
 def dedup(events: DataFrame) -> DataFrame:
@@ -301,7 +312,7 @@ class StreamFeatureSpec:
     """X-02: a stream feature declares the event type it listens to and the
     aggregate kind; the framework builds the streaming DataFrame:
       latest          latest payload[payload_key] per user (update mode)
-      trailing_count  distinct events in (t - window, t] per event (interval join)
+      trailing_count  distinct events in (t - window, t] per event
       presence        changes of the session flag (timers)
     """
 

@@ -211,3 +211,35 @@ def test_stream_windows_equal_batch_windows(spark):
     )
     cols = ["window_start", "event_type", "events"]
     assert _rows(_run(spark, SF001, "stream_hourly_type_counts"), cols) == _rows(bh, cols)
+
+
+def test_streamed_sliding_counts_keep_an_event_twice(spark):
+    """Every window of a user's events, with a late row inside the delay; the
+    plan deals an event to two blocks, not to ten windows."""
+    chunks = [[(1, SCREEN, 1, 0), (2, SCREEN, 1, 61), (3, "error", 1, 61)], [(4, SCREEN, 2, 1200)], [(5, SCREEN, 1, 700)], END]
+    plans = []
+
+    def build(e):
+        out = st.sliding_user_counts(e)
+        plans.append(out._jdf.queryExecution().analyzed().toString())
+        return out
+
+    got = {(r.user_id, r.window_start): r.events for r in _streamed(spark, chunks, build)}
+    want = {}
+    for user, s in ((1, 0), (1, 61), (2, 1200), (1, 700)):
+        for k in range(10):
+            key = (user, T0 + dt.timedelta(seconds=s // 60 * 60 - 60 * k))
+            want[key] = want.get(key, 0) + 1
+    assert got == want
+    expand = [x for x in plans[0].split("\n") if "Expand" in x]
+    assert len(expand) == 1 and expand[0].count("named_struct") <= 2, expand
+
+
+def test_streamed_trailing_counts_read_the_source_once(spark):
+    def build(e):
+        out = st.trailing_counts(e, SCREEN)
+        assert "Join" not in out._jdf.queryExecution().analyzed().toString()
+        return out
+
+    got = {r.event_id: r.count_10min for r in _streamed(spark, [[(1, SCREEN, 7, 0), (2, SCREEN, 7, 599), (3, SCREEN, 7, 600)], END], build)}
+    assert got == {1: 1, 2: 2, 3: 2}
