@@ -80,3 +80,20 @@ def test_decision_plan_has_no_unplanned_nested_loop(spark):
         assert "CartesianProduct" not in plan
         # the only theta join allowed is the rule table x catalog categories
         assert plan.count("BroadcastNestedLoopJoin") <= 1, name
+
+
+def test_catalog_joins_are_not_planned_as_broadcasts(spark):
+    """No side is built in the driver because its file is small; operators get
+    the cluster's threshold back."""
+    from adlake import session
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    session.broadcast_by_plan(spark)
+    own = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plan = _plan(E.queries()["label_impressions"](spark, SF001))
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    session.broadcast_by_plan(spark)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == own
+    assert [session._bytes(x) for x in ("10485760b", "256k", "10MB", "-1", "5")] == [10485760, 262144, 10485760, -1, 5]
+    if before == "-1":
+        session.broadcast_by_measured_size(spark)
