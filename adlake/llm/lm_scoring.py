@@ -99,18 +99,21 @@ def unpacked(raw: bytes) -> np.ndarray:
 # ---- Elias-Fano sequences and the trie -------------------------------------
 
 _ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
-#: Set bits of a byte, and the place of its k-th one.
-_COUNT = _ONES.sum(axis=1, dtype=np.uint8)
+#: Place of the k-th one of a byte.
 _PLACE = np.argsort(1 - _ONES, axis=1, kind="stable").astype(np.uint8)
+#: A one, and the highest bit, in each byte; masks of every other bit, pair and half byte.
+_EACH, _HIGH, _BIT, _PAIR, _HALF = (np.uint64(0x0101010101010101 * b) for b in (1, 0x80, 0x55, 0x33, 0x0F))
 
 
 def _select(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th one (from 0) of each 64-bit word."""
-    octets = words.view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_COUNT[octets], axis=1, dtype=np.int64)
-    at = (upto <= k[:, None]).sum(axis=1)
-    row = np.arange(len(k))
-    return 8 * at + _PLACE[octets[row, at], k - np.where(at > 0, upto[row, at - 1], 0)]
+    """Place of the k-th one (from 0) of each 64-bit word, which has it."""
+    k = k.astype(np.uint64)
+    ones = words - ((words >> 1) & _BIT)
+    ones = (ones & _PAIR) + ((ones >> 2) & _PAIR)
+    upto = ((ones + (ones >> 4)) & _HALF) * _EACH  # a byte: the ones up to its end
+    at = (((((k * _EACH) | _HIGH) - upto) & _HIGH) >> 7) * _EACH >> 56 << 3  # after the bytes with k ones or fewer
+    octet, before = (words >> at) & 255, ((upto << 8) >> at) & 255
+    return at.astype(np.int64) + _PLACE[octet, k - before]
 
 
 class Monotone:
@@ -125,7 +128,8 @@ class Monotone:
         n = len(values)
         top = int(values[-1]) if n else 0
         bits = min(56, max(0, (top // max(n, 1)).bit_length() - 1))
-        low = np.packbits((values[:, None] >> np.arange(bits)).astype(np.uint8) & 1, bitorder="little")
+        octets = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(n, 8)
+        low = np.packbits(np.unpackbits(octets, axis=1, count=bits, bitorder="little"), bitorder="little")
         size = -(-(n + (top >> bits) + 2) // 64) * 64
         unary = np.zeros(size, np.uint8)
         unary[(values >> bits) + np.arange(n)] = 1
@@ -156,9 +160,15 @@ class Monotone:
         h = x >> self.bits
         beyond = h > last
         h = np.minimum(h, last)
-        lo, hi = np.zeros(len(x), np.int64), self._upto(h)
-        later = np.flatnonzero(h > 0)
-        lo[later] = self._upto(h[later] - 1)
+        # Rising queries share high parts, and one ends where the next begins.
+        new = np.diff(h, prepend=-1) != 0
+        own, run = h[new], np.cumsum(new) - 1
+        upto = self._upto(own)
+        below = np.concatenate([[0], upto])[: len(own)]
+        apart = np.flatnonzero((own > 0) & (np.diff(own, prepend=-1) != 1))
+        below[apart] = self._upto(own[apart] - 1)
+        below[own == 0] = 0
+        lo, hi = below[run], upto[run]
         end, want = hi.copy(), x & ((1 << self.bits) - 1)
         open_ = np.flatnonzero(lo < hi)
         while len(open_):
@@ -197,8 +207,8 @@ class Level:
         ask = np.flatnonzero(found)
         if not len(ask):
             return at, found
-        edge = np.flatnonzero(np.diff(context[ask], prepend=-1))
-        own, run = context[ask][edge], np.cumsum(np.diff(context[ask], prepend=-1) != 0) - 1
+        new = np.diff(context[ask], prepend=-1) != 0
+        own, run = context[ask][new], np.cumsum(new) - 1
         first, after = self.starts[own], self.starts[own + 1]
         base = np.where(first > 0, self.ids[np.maximum(first - 1, 0)], 0) if self.ids.n else first
         place, same = self.ids.successor(base[run] + ids[ask])

@@ -135,3 +135,31 @@ def test_what_the_trie_answers():
         np.testing.assert_allclose(third, [max(2 * seen[g] - L.DISCOUNT, 0) / c2[g[:2]] if c2[g[:2]] else 0 for g in grams], rtol=3e-4)
     # Compact: below the 24 bytes that three numbers take.
     assert len(trie) < 12 * sum(n > 0 for n in seen.values())
+
+
+def test_rising_queries_select_once_for_a_shared_high_part(monkeypatch):
+    rng = np.random.default_rng(5)
+    values = np.sort(rng.integers(0, 50_000, 4_000))
+    n, bits, low, high, ones = L.Monotone.arrays(values)
+    held = L.Monotone(n, bits, low, high, ones)
+    asked = []
+    select = L._select
+    monkeypatch.setattr(L, "_select", lambda words, k: asked.append(len(k)) or select(words, k))
+    for queries in (np.arange(0, 50_200), rng.integers(0, 50_200, 5_000), values[:0]):
+        asked.clear()
+        place, found = held.successor(queries)
+        assert (place == np.searchsorted(values, queries)).all()
+        assert (found == np.isin(queries, values)).all()
+        if len(queries) > 5_000:  # rising: one select for each high part, not two for each query
+            assert sum(asked) <= (int(queries[-1]) >> bits) + 2
+    every = np.arange(n)
+    assert (held[every] == values).all()
+
+
+def test_select_finds_every_one_of_a_word():
+    rng = np.random.default_rng(6)
+    words = np.concatenate([rng.integers(0, 2**64, 200, dtype=np.uint64), np.array([1, 1 << 63, 2**64 - 1], np.uint64)])
+    for w in words.tolist():
+        places = [i for i in range(64) if w >> i & 1]
+        got = L._select(np.full(len(places), w, np.uint64), np.arange(len(places)))
+        assert got.tolist() == places
