@@ -159,55 +159,73 @@ def trailing_counts(events: DataFrame, event_type: str, window_seconds: int = co
 
 
 FLAG_OUT = "user_id long, active boolean, at timestamp"
+#: Groups of users with a common state; part of the state's key, so fixed for a checkpoint's life.
+FLAG_GROUPS = 1024
 
 
 class SessionFlag(StatefulProcessor):
-    """State of a user: spans of activity as (first, last) event times whose
-    changes are not all reported yet.  Event-time timers stand at the start of
-    a span and 1,800 s after its last event; when the watermark passes one, no
-    accepted row can change what lies before it, and the change is emitted."""
+    """State of a group of users: their spans of activity as (first, last) event
+    times whose changes are not all reported yet, as columns.  An event-time
+    timer stands at the earliest change that is due (the start of a span, or
+    1,800 s after its last event); when the watermark passes it, no accepted
+    row can change what lies before the watermark, and all changes up to there
+    are emitted.  Calls, state updates and timers number a few for each group
+    and micro-batch, however many users and events there are."""
 
     TTL_US = config.SESSION_TTL_SECONDS * 1_000_000
+    #: The user (0 without an id), whether there is an id, first and last event, whether the start is reported.
+    COLUMNS = ("user", "named", "first", "last", "reported")
+    KINDS = (np.int64, bool, np.int64, np.int64, bool)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.spans = handle.getValueState("spans", "first array<long>, last array<long>, reported array<boolean>")
+        self.spans = handle.getValueState("spans", "user array<long>, named array<boolean>, first array<long>, last array<long>, reported array<boolean>")
 
-    def _spans(self) -> list[list]:
-        return [list(x) for x in zip(*self.spans.get(), strict=True)] if self.spans.exists() else []
+    def _spans(self) -> list[np.ndarray]:
+        held = self.spans.get() if self.spans.exists() else [[]] * len(self.COLUMNS)
+        return [np.array(c, kind) for c, kind in zip(held, self.KINDS, strict=True)]
 
-    def _keep(self, spans: list[list]) -> None:
-        if spans:
-            self.spans.update(tuple(list(c) for c in zip(*spans, strict=True)))
-        else:
+    def _keep(self, spans: list[np.ndarray]) -> None:
+        """Store the spans, with a timer at their earliest change."""
+        first, last, reported = spans[2:]
+        if not len(first):
             self.spans.clear()
+            return
+        self.spans.update(tuple(c.tolist() for c in spans))
+        due = min([int(last.min()) + self.TTL_US, *first[~reported].tolist()])
+        self.handle.registerTimer(-(-due // 1000))
+
+    def _joined(self, spans: list[np.ndarray]) -> list[np.ndarray]:
+        """Spans of a user that are less than the lifetime apart become one."""
+        order = np.lexsort((spans[2], spans[0], spans[1]))
+        user, named, first, last, reported = (c[order] for c in spans)
+        other = np.concatenate([[True], (user[1:] != user[:-1]) | (named[1:] != named[:-1])])
+        # The latest event of the user's spans so far, by the ranks of times.
+        times, rank = np.unique(last, return_inverse=True)
+        so_far = times[np.maximum.accumulate((np.cumsum(other) - 1) * len(times) + rank) % len(times)]
+        opens = np.flatnonzero(other | np.concatenate([[True], first[1:] - so_far[:-1] >= self.TTL_US]))
+        return [user[opens], named[opens], first[opens], np.maximum.reduceat(last, opens), np.logical_or.reduceat(reported, opens)]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        spans = self._spans()
+        parts = [self._spans()]
         for pdf in rows:
-            for t in np.sort(pdf["ts"].to_numpy("datetime64[us]").astype(np.int64)).tolist():
-                joined = [s for s in spans if s[0] - self.TTL_US < t < s[1] + self.TTL_US]
-                span = [min([t, *(s[0] for s in joined)]), max([t, *(s[1] for s in joined)]), any(s[2] for s in joined)]
-                spans = sorted([s for s in spans if s not in joined] + [span])
-        for first, last, _ in spans:
-            self.handle.registerTimer(-(-first // 1000))
-            self.handle.registerTimer(-(-(last + self.TTL_US) // 1000))
-        self._keep(spans)
+            at = pdf["ts"].to_numpy("datetime64[us]").astype(np.int64)
+            parts.append([pdf["user"].to_numpy(np.int64), pdf["named"].to_numpy(bool), at, at, np.zeros(len(at), bool)])
+        self._keep(self._joined([np.concatenate(c) for c in zip(*parts, strict=True)]))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        spans, out = self._spans(), []
-        for s in spans:
-            if s[0] <= now and not s[2]:
-                s[2] = True
-                out.append((True, s[0]))
-            if s[1] + self.TTL_US <= now:
-                out.append((False, s[1] + self.TTL_US))
-        self._keep([s for s in spans if s[1] + self.TTL_US > now])
-        if out:
-            at = pd.to_datetime([t for _, t in out], unit="us")
-            yield pd.DataFrame({"user_id": int(key[0]), "active": [a for a, _ in out], "at": at})
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        spans = self._spans()
+        user, named, first, last, reported = spans
+        on, off = (first <= now) & ~reported, last + self.TTL_US <= now
+        if not (on | off).any():
+            return  # an earlier timer of this watermark has emitted all
+        reported |= on
+        self._keep([c[~off] for c in spans])
+        whose = pd.arrays.IntegerArray(np.concatenate([user[on], user[off]]), ~np.concatenate([named[on], named[off]]))
+        at = np.concatenate([first[on], last[off] + self.TTL_US]).astype("datetime64[us]")
+        yield pd.DataFrame({"user_id": whose, "active": np.repeat([True, False], [on.sum(), off.sum()]), "at": at})
 
     def close(self) -> None:
         pass
@@ -215,11 +233,15 @@ class SessionFlag(StatefulProcessor):
 
 def session_flag(events: DataFrame) -> DataFrame:
     """T-04 stream: every change of a user's session flag (user_id, active,
-    at): on with the first KNOWN event, off 1,800 s after the last one."""
+    at): on with the first KNOWN event, off 1,800 s after the last one.  Events
+    without a user are those of one user."""
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    ev = events.filter(known()).select("user_id", "ts").withWatermark("ts", WATERMARK)
-    return ev.groupBy("user_id").transformWithStateInPandas(
+    ev = events.filter(known()).select(
+        F.pmod(F.xxhash64("user_id"), F.lit(FLAG_GROUPS)).alias("users"), F.coalesce("user_id", F.lit(0)).cast("long").alias("user"),
+        F.col("user_id").isNotNull().alias("named"), "ts",
+    )
+    return ev.withWatermark("ts", WATERMARK).groupBy("users").transformWithStateInPandas(
         statefulProcessor=SessionFlag(), outputStructType=FLAG_OUT, outputMode="append", timeMode="EventTime"
     )
 

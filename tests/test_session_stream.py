@@ -4,6 +4,8 @@ restart recovery."""
 import datetime as dt
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from adlake import config
@@ -107,6 +109,69 @@ def test_session_flag_changes(spark):
     ]
 
 
+def test_session_flag_calls_do_not_grow_with_users(spark):
+    """A state and a call for every user took the stream hours; groups of users have one."""
+    t = config.SESSION_TTL_SECONDS
+    users = range(3000)
+    chunks = [
+        [*((u, SCREEN, u, u % 7) for u in users), (9000, SCREEN, None, 5)],
+        [*((10000 + u, SCREEN, u, 100 + t * (1 + u % 2)) for u in users), (9001, SCREEN, None, t)],
+        END,
+    ]
+    got = sorted((-1 if r.user_id is None else r.user_id, r["at"], r.active) for r in _streamed(spark, chunks, st.session_flag))
+    want = []
+    for u, seen in [*((u, [u % 7, 100 + t * (1 + u % 2)]) for u in users), (-1, [5, t])]:
+        apart = seen[1] - seen[0] >= t
+        want += [(u, T0 + dt.timedelta(seconds=x), on) for x, on in [(seen[0], True), (seen[1] + t, False), *([(seen[0] + t, False), (seen[1], True)] if apart else [])]]
+    assert got == sorted(want)
+
+
+def test_session_flag_state_is_of_groups():
+    """One state, one update and one timer for all users of a group."""
+
+    class Handle:
+        value, timers, updates = None, [], 0
+
+        def getValueState(self, name, schema):
+            return self
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value, self.updates = value, self.updates + 1
+
+        def clear(self):
+            self.value = None
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def getExpiryTimeInMs(self):
+            return self.timers[-1]
+
+    p, h = st.SessionFlag(), Handle()
+    p.init(h)
+    ttl = p.TTL_US
+    at = np.array([10, 10 + ttl - 1, 5, 5 + ttl, 7])
+    rows = pd.DataFrame({"user": [1, 1, 2, 2, 0], "named": [True, True, True, True, False], "ts": at.astype("datetime64[us]")})
+    assert not list(p.handleInputRows((0,), iter([rows[:2], rows[2:]]), None))
+    assert (h.updates, h.timers) == (1, [1])  # 5 microseconds, in milliseconds
+    h.getCurrentWatermarkInMs = lambda: (ttl + 20) // 1000
+    out = pd.concat(p.handleExpiredTimer((0,), h, h))
+    assert sorted(zip(out["user_id"].fillna(-1), out["active"], strict=True)) == [(-1, True), (1, True), (2, True)]
+    h.getCurrentWatermarkInMs = lambda: 3 * ttl // 1000
+    out = pd.concat(p.handleExpiredTimer((0,), h, h))
+    us = lambda x: np.array(x).astype("datetime64[us]")
+    assert sorted(zip(out["user_id"].fillna(-1), out["active"], out["at"], strict=True)) == [
+        (-1, False, us(7 + ttl)), (1, False, us(9 + 2 * ttl)), (2, False, us(5 + ttl)), (2, False, us(5 + 2 * ttl)), (2, True, us(5 + ttl))
+    ]
+    assert h.value is None and not list(p.handleExpiredTimer((0,), h, h))
+
+
 def test_session_active_and_unknown_types(spark):
     ev = events(spark, [(1, "session_start", 1, 0), (2, "error", 2, 0), (3, "app_screen_view", 3, 0)])
     act = {r.user_id for r in sfo.session_active_asof(ev, T0 + dt.timedelta(seconds=1799)).collect()}
