@@ -55,6 +55,31 @@ def test_guaranteed_delivery_within_10_percent(spark):
     assert out.filter((F.col("request_date") == F.lit(D0)) & (F.col("rung") == "guaranteed")).count() == 0
 
 
+def test_replay_makes_the_contexts_of_all_days_once(spark, monkeypatch):
+    """Every day used to compute the contexts, multipliers and fallbacks of all days anew."""
+    days = [D0 + dt.timedelta(days=n) for n in range(4)]
+    camp = [
+        (1, "adv", "food", "guaranteed", None, None, 12, D0, days[3], "active", []),
+        (2, "adv", "food", "auction", 1.0, 100.0, None, D0, days[3], "active", []),
+    ]
+    reqs = [(10 * n + i, i, dt.datetime.combine(d, dt.time(12)) + dt.timedelta(seconds=i)) for n, d in enumerate(days) for i in range(6)]
+    inp = inputs(spark, camp, reqs)
+    inp.popularity = spark.createDataFrame([(1, 2), (2, 1)], "campaign_id long, popularity_rank long")
+    made = []
+    for name in ("request_context", "lift_lookup", "popularity_fallback"):
+        def counting(*args, fn=getattr(dc, name), name=name):
+            made.append(name)
+            return fn(*args)
+
+        monkeypatch.setattr(dc, name, counting)
+    out = dc.decide_in_days(inp, days[0], days[2], scratch_path(spark, f"t-replay-{uuid.uuid4().hex}"))
+    got = sorted((r.request_date, r.request_id, r.rung, r.winner) for r in out.collect())
+    # Expected by a day's start 0, 4 and 8 of 12: four wins each on the second and third day; the fourth is not replayed.
+    want = [(d, 10 * n + i, *(("guaranteed", 1) if n and i < 4 else ("auction", 2))) for n, d in enumerate(days[:3]) for i in range(6)]
+    assert got == want
+    assert sorted(made) == ["lift_lookup", "popularity_fallback", "request_context"]
+
+
 def test_audience_gating_member_vs_non_member(spark):
     camp = [
         (21, "adv", "travel", "auction", 1.0, 100.0, None, D0, D0 + dt.timedelta(days=5), "active", ["frequent_airport_travelers"]),
